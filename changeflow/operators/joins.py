@@ -1,0 +1,54 @@
+"""Left join that stands a hot key on its many side."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def spread_left_join(
+    left: DataFrame,
+    right: DataFrame,
+    left_key: str,
+    right_key: str,
+    right_id: str,
+    hot_rows: int = 1_000_000,
+    salts: int = 64,
+) -> DataFrame:
+    """``left LEFT JOIN right`` where one key may own most rows of ``right``.
+
+    Adaptive execution can split a skewed left side of a left join, not the
+    right side.  So keys with more than ``hot_rows`` right rows are spread over
+    ``salts`` tasks: the left rows of such a key are repeated per salt, and a
+    repeat that meets no partner is dropped, which is exact because a hot key
+    has partners by definition.  The list of hot keys has at most
+    ``rows / hot_rows`` entries and is broadcast.
+    """
+    hot = (
+        right.groupBy(F.col(right_key).alias("_hot_key"))
+        .agg(F.count(F.lit(1)).alias("_rows"))
+        .where(F.col("_rows") > hot_rows)
+        .select("_hot_key")
+    )
+    hot = F.broadcast(hot)
+    all_salts = F.sequence(F.lit(0), F.lit(salts - 1))
+    spread_left = left.join(hot, left[left_key] == hot["_hot_key"], "left").select(
+        *left.columns,
+        F.col("_hot_key").isNotNull().alias("_is_hot"),
+        F.explode(F.when(F.col("_hot_key").isNotNull(), all_salts).otherwise(F.array(F.lit(0)))).alias(
+            "_left_salt"
+        ),
+    )
+    spread_right = right.join(hot, right[right_key] == hot["_hot_key"], "left").select(
+        *right.columns,
+        F.when(F.col("_hot_key").isNotNull(), F.pmod(F.xxhash64(right_id), F.lit(salts)))
+        .otherwise(F.lit(0))
+        .cast("int")
+        .alias("_right_salt"),
+    )
+    partner = (F.col(left_key) == F.col(right_key)) & (F.col("_left_salt") == F.col("_right_salt"))
+    return (
+        spread_left.join(spread_right, partner, "left")
+        .where(~F.col("_is_hot") | F.col("_right_salt").isNotNull())
+        .drop("_is_hot", "_left_salt", "_right_salt")
+    )

@@ -1,0 +1,139 @@
+"""Tables written one batch at a time, merged on read.
+
+Layout, all plain Parquet::
+
+    <path>/batches/batch_id=<n>/...   one folder per micro-batch
+    <path>/loads/load=<name>/...      one folder per bulk load
+    <path>/bases/<through>-<id>/...   batches <= through, merged
+    <path>/base_log/*.parquet         one row per finished base
+
+A batch replaces its own folder, so a batch that is run again after a failure
+leaves one copy.  Compaction writes a new base beside the old one and then
+appends one row to the log; readers take the newest base of the log plus the
+batches after it, so they never see half of a compaction.
+"""
+
+from __future__ import annotations
+
+import uuid
+from collections.abc import Callable, Sequence
+from functools import reduce
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+Fold = Callable[[DataFrame], DataFrame]
+BASE_LOG = T.StructType([T.StructField("through", T.LongType()), T.StructField("path", T.StringType())])
+
+
+class BatchTable:
+    """``fold`` merges rows of several batches; it must not care how they were
+    grouped or ordered (sums of partial aggregates, newest row per key)."""
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        path: str,
+        schema: T.StructType | str,
+        fold: Fold | None = None,
+        partition_by: Sequence[str] = (),
+        sort_by: Sequence[str] = (),
+    ):
+        self.spark = spark
+        self.path = path.rstrip("/")
+        self.schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+        self.fold = fold
+        self.partition_by = list(partition_by)
+        self.sort_by = list(sort_by)
+
+    # -- writing -----------------------------------------------------------
+
+    def write_batch(self, rows: DataFrame, batch_id: int) -> None:
+        self._write(rows, f"{self.path}/batches/batch_id={int(batch_id)}")
+
+    def write_load(self, rows: DataFrame, name: str) -> None:
+        """A bulk load beside the stream; loading the same name replaces it."""
+        self._write(self._arranged(rows), f"{self.path}/loads/load={name}")
+
+    def _write(self, rows: DataFrame, folder: str) -> None:
+        writer = rows.select(*self.schema.names).write.mode("overwrite")
+        if self.partition_by:
+            writer = writer.partitionBy(*self.partition_by)
+        writer.parquet(folder)
+
+    def _arranged(self, rows: DataFrame) -> DataFrame:
+        """Few files per partition value.
+
+        Rebalancing splits a partition value that holds most of the rows over
+        several tasks and packs small ones together.
+        """
+        out = rows.hint("rebalance", *self.partition_by)
+        return out.sortWithinPartitions(*self.partition_by, *self.sort_by) if self.sort_by else out
+
+    # -- reading -----------------------------------------------------------
+
+    def rows(self) -> DataFrame:
+        """All stored rows, not merged."""
+        base = self._newest_base()
+        parts = [self._batches(after=base[0] if base else None)]
+        if base:
+            parts.append(self._read(base[1]))
+        loads = self._read(f"{self.path}/loads")
+        if loads.inputFiles():
+            parts.append(loads)
+        return reduce(DataFrame.unionAll, parts)
+
+    def merged(self) -> DataFrame:
+        rows = self.rows()
+        return self.fold(rows) if self.fold else rows
+
+    def _read(self, folder: str, *extra: T.StructField) -> DataFrame:
+        schema = T.StructType([*self.schema.fields, *extra])
+        return _read_parquet(self.spark, folder, schema).select(
+            *self.schema.names, *(f.name for f in extra)
+        )
+
+    def _batches(self, after: int | None, through: int | None = None) -> DataFrame:
+        out = self._read(f"{self.path}/batches", T.StructField("batch_id", T.LongType()))
+        if after is not None:
+            out = out.where(F.col("batch_id") > after)
+        if through is not None:
+            out = out.where(F.col("batch_id") <= through)
+        return out.drop("batch_id")
+
+    def _newest_base(self) -> tuple[int, str] | None:
+        log = _read_parquet(self.spark, f"{self.path}/base_log", BASE_LOG)
+        newest = log.agg(F.max("through"), F.max_by("path", "through")).first()
+        return None if newest[0] is None else (newest[0], newest[1])
+
+    # -- compaction --------------------------------------------------------
+
+    def compact(self, through: int) -> None:
+        """Merge all batches up to ``through`` into one set of large files.
+
+        ``through`` must be a batch that cannot be run again: for a stream, one
+        before the newest.  Old files stay for readers that still use them.
+        """
+        base = self._newest_base()
+        if base is not None and base[0] >= through:
+            return
+        rows = self._batches(after=base[0] if base else None, through=through)
+        if base is not None:
+            rows = rows.unionAll(self._read(base[1]))
+        target = f"{self.path}/bases/{int(through)}-{uuid.uuid4().hex}"
+        self._write(self._arranged(self.fold(rows) if self.fold else rows), target)
+        entry = self.spark.range(1).select(
+            F.lit(through).cast("long").alias("through"), F.lit(target).alias("path")
+        )
+        entry.coalesce(1).write.mode("append").parquet(f"{self.path}/base_log")
+
+
+def _read_parquet(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
+    try:
+        return spark.read.schema(schema).parquet(folder)
+    except AnalysisException as missing:  # nothing written there yet
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
