@@ -78,13 +78,11 @@ MESSAGE_SLICES = 3
 
 def _plain(df: DataFrame) -> DataFrame:
     """Instants as zone-less timestamps, as the given tables have them."""
-    return df.select(
-        *(
-            F.col(f"`{f.name}`").cast("timestamp_ntz").alias(f.name)
-            if isinstance(f.dataType, T.TimestampType)
-            else F.col(f"`{f.name}`")
-            for f in df.schema.fields
-        )
+    instants = {f.name for f in df.schema.fields if isinstance(f.dataType, T.TimestampType)}
+    if not instants:
+        return df
+    return df.selectExpr(
+        *(f"cast(`{c}` AS timestamp_ntz) AS `{c}`" if c in instants else f"`{c}`" for c in df.columns)
     )
 
 

@@ -59,8 +59,15 @@ def round_half_up(x: Column, digits: int) -> Column:
 
 
 def rate_pct(part: Column, whole: Column, empty: float | None = None) -> Column:
-    """``100 * part / whole`` with one decimal; ``empty`` when whole is 0."""
-    ratio = round_half_up(F.lit(100.0) * part / F.nullif(whole, F.lit(0)), 1)
+    """``100 * part / whole`` of two counts, rounded half up to one decimal;
+    ``empty`` (default NULL) when whole is 0.
+
+    Computed in integers, so it is exact and cheap enough for every row.
+    """
+    n = F.nullif(whole.cast("bigint"), F.lit(0))
+    twice = F.abs(n) * 2
+    tenths = F.call_function("div", F.abs(part.cast("bigint")) * 2000 + F.abs(n), twice)
+    ratio = F.signum(part) * F.signum(n) * tenths / F.lit(10.0)
     return ratio if empty is None else F.coalesce(ratio, F.lit(float(empty)))
 
 

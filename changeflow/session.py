@@ -43,6 +43,7 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8, **conf: s
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", "8g")
     )
     for name, value in conf.items():

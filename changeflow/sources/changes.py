@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..specs import META_STORED, SEQ_WIRE, TableSpec
+from ..specs import SEQ_WIRE, TableSpec
 
 MESSAGE_SCHEMA = T.StructType(
     [T.StructField("value", T.StringType()), T.StructField("seq", T.LongType())]
@@ -93,14 +93,12 @@ def backfill_csv(spark: SparkSession, spec: TableSpec, path: str, **options: str
         .options(header="true", mode="FAILFAST", emptyValue="", nullValue="\\N", **options)
         .csv(path)
     )
-    zero = {f.stored: F.lit(f.kind.zero).cast(f.kind.wire) for f in spec.stored_fields}
-    stored = [
-        F.coalesce(F.col(f.stored), f.kind.decode(zero[f.stored])).alias(f.stored)
-        for f in spec.stored_fields
-    ]
-    default = {"_op": "r", "_ts_ms": 0, "_source_ts_ms": 0, "_is_deleted": 0, "_seq": 0}
-    meta = [
-        F.coalesce(F.col(m.name), F.lit(default[m.name]).cast(m.dataType)).alias(m.name)
-        for m in META_STORED
-    ]
-    return rows.select(*stored, *meta)
+    zeros = {
+        **{f.stored: f.kind.stored_expr(None) for f in spec.stored_fields},
+        "_op": "'r'",
+        "_ts_ms": "0L",
+        "_source_ts_ms": "0L",
+        "_is_deleted": "0",
+        "_seq": "0L",
+    }
+    return rows.selectExpr(*(f"coalesce(`{c}`, {zero}) AS `{c}`" for c, zero in zeros.items()))

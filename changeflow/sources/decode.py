@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..specs import META_WIRE, SEQ_WIRE, TableSpec
+from ..specs import SEQ_WIRE, TableSpec
 
 CORRUPT = "_corrupt_record"
 PARSE_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
@@ -25,36 +27,32 @@ def drop_tombstones(messages: DataFrame) -> DataFrame:
 
 
 def _parse(messages: DataFrame, schema: T.StructType) -> DataFrame:
+    """Adds one column per JSON field, parsing each message exactly once.
+
+    Parsing inside a generator keeps the optimizer from copying ``from_json``
+    into every filter and projection that uses a field.
+    """
     with_corrupt = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     parsed = F.from_json("value", with_corrupt, PARSE_OPTIONS)
-    return messages.withColumn("event", parsed)
-
-
-def _key_missing(spec: TableSpec) -> Column:
-    required = [*spec.wire_key, "__ts_ms"]
-    missing = F.lit(False)
-    for name in required:
-        missing = missing | F.col(f"event.{name}").isNull()
-    return missing
+    return messages.select("value", "seq", F.inline_outer(F.array(parsed)))
 
 
 def _reason(spec: TableSpec) -> Column:
-    return F.when(F.col(f"event.{CORRUPT}").isNotNull(), F.lit("malformed")).when(
-        _key_missing(spec), F.lit("no key or version")
+    unusable = reduce(or_, (F.col(n).isNull() for n in (*spec.wire_key, "__ts_ms")))
+    return F.when(F.col(CORRUPT).isNotNull(), F.lit("malformed")).when(
+        unusable, F.lit("no key or version")
     )
 
 
 def checked_rows(messages: DataFrame, spec: TableSpec) -> DataFrame:
-    """Parse every message once: ``value, seq, event, reason`` (NULL = good)."""
+    """``value, seq``, the wire columns, and ``reason`` (NULL: a good message)."""
     parsed = _parse(drop_tombstones(messages), spec.wire_schema())
-    return parsed.withColumn("reason", _reason(spec))
+    return parsed.withColumn("reason", _reason(spec)).drop(CORRUPT)
 
 
 def good_rows(checked: DataFrame, spec: TableSpec) -> DataFrame:
-    names = [f.name for f in spec.wire_schema().fields]
-    return checked.where(F.col("reason").isNull()).select(
-        *(F.col(f"event.{n}").alias(n) for n in names), F.col("seq").alias(SEQ_WIRE)
-    )
+    good = checked.where(F.col("reason").isNull())
+    return good.select(*spec.wire_schema().names, F.col("seq").alias(SEQ_WIRE))
 
 
 def bad_rows(checked: DataFrame) -> DataFrame:
@@ -90,38 +88,27 @@ def unwrap_envelope(messages: DataFrame, spec: TableSpec) -> DataFrame:
         ]
     )
     parsed = _parse(messages, envelope)
-    deleted = F.col("event.op") == "d"
-    row = F.coalesce(
-        F.when(~deleted, F.col("event.after")), F.col("event.before"), F.col("event.after")
-    )
-    meta = dict(
-        zip(
-            (m.name for m in META_WIRE),
-            (
-                F.col("event.op"),
-                F.col("event.ts_ms"),
-                F.col("event.source.ts_ms"),
-                F.when(deleted, F.lit("true")).otherwise(F.lit("false")),
-            ),
-        )
-    )
+    deleted = F.col("op") == "d"
+
+    def image(name: str) -> Column:
+        return F.when(deleted, F.col(f"before.`{name}`")).otherwise(F.col(f"after.`{name}`"))
+
     flat = F.to_json(
         F.struct(
-            *(F.col(f"row.`{f.wire}`").alias(f.wire) for f in spec.fields),
-            *(col.alias(name) for name, col in meta.items()),
+            *(image(f.wire).alias(f.wire) for f in spec.fields),
+            F.col("op").alias("__op"),
+            F.col("ts_ms").alias("__ts_ms"),
+            F.col("source.ts_ms").alias("__source_ts_ms"),
+            F.when(deleted, F.lit("true")).otherwise(F.lit("false")).alias("__deleted"),
         )
     )
-    usable = F.col(f"event.{CORRUPT}").isNull() & F.col("event.op").isNotNull()
-    return parsed.withColumn("row", row).select(
-        F.when(usable, flat).otherwise(F.col("value")).alias("value"), "seq"
-    )
+    usable = F.col(CORRUPT).isNull() & F.col("op").isNotNull()
+    return parsed.select(F.when(usable, flat).otherwise(F.col("value")).alias("value"), "seq")
 
 
-def delete_flag(col: Column | str = "__deleted") -> Column:
-    """'true' -> 1, anything else -> 0."""
-    return F.when(F.col(col) == "true", 1).otherwise(0) if isinstance(col, str) else (
-        F.when(col == "true", 1).otherwise(0)
-    )
+def delete_flag(deleted: str) -> str:
+    """SQL: 'true' -> 1, anything else -> 0."""
+    return f"CASE WHEN {deleted} = 'true' THEN 1 ELSE 0 END"
 
 
 def ingest_project(changes: DataFrame, spec: TableSpec) -> DataFrame:
@@ -132,17 +119,20 @@ def ingest_project(changes: DataFrame, spec: TableSpec) -> DataFrame:
     """
     present = set(changes.columns)
 
-    def wire(name: str, dtype: T.DataType) -> Column:
-        return F.col(f"`{name}`").cast(dtype) if name in present else F.lit(None).cast(dtype)
-
-    ts_ms = wire("__ts_ms", T.LongType())
-    return changes.select(
-        *(f.kind.decode(wire(f.wire, f.kind.wire)).alias(f.stored) for f in spec.stored_fields),
-        F.coalesce(wire("__op", T.StringType()), F.lit("")).alias("_op"),
-        ts_ms.alias("_ts_ms"),
-        F.coalesce(wire("__source_ts_ms", T.LongType()), F.lit(0)).alias("_source_ts_ms"),
-        delete_flag(wire("__deleted", T.StringType())).alias("_is_deleted"),
-        F.coalesce(wire(SEQ_WIRE, T.LongType()), F.lit(0)).alias("_seq"),
+    def meta(name: str, kind: str) -> str:
+        return name if name in present else f"cast(NULL AS {kind})"
+
+    stored = (
+        f"{f.kind.stored_expr(f.wire if f.wire in present else None)} AS {f.stored}"
+        for f in spec.stored_fields
+    )
+    return changes.selectExpr(
+        *stored,
+        f"coalesce({meta('__op', 'string')}, '') AS _op",
+        f"{meta('__ts_ms', 'bigint')} AS _ts_ms",
+        f"coalesce({meta('__source_ts_ms', 'bigint')}, 0L) AS _source_ts_ms",
+        f"{delete_flag(meta('__deleted', 'string'))} AS _is_deleted",
+        f"coalesce({meta(SEQ_WIRE, 'bigint')}, 0L) AS _seq",
     )
 
 

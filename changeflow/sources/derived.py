@@ -8,7 +8,6 @@ Rows are projected one by one, without shuffle.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..specs import SEQ_WIRE, SPECS, TableSpec
 from .decode import ingest_project
@@ -19,6 +18,16 @@ AS_OF_ORDERS = "2001-11-05 00:00:00"
 
 EVENTS, LINEITEM, ORDERS = "events", "lineitem", "orders"
 
+# The columns used here; with a given schema no job is needed to infer one.
+_INPUT = {
+    EVENTS: "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double",
+    LINEITEM: "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+    "l_quantity double, l_extendedprice double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    ORDERS: "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+}
+
 _MS = {
     EVENTS: "unix_millis(cast(ts as timestamp))",
     LINEITEM: "unix_millis(cast(l_shipdate as timestamp))",
@@ -197,20 +206,15 @@ _RULES: dict[str, tuple[str, str, str, str, dict[str, str]]] = {
 def derived_changes(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Flat change rows of one captured table, in wire encoding."""
     source, where, deleted, seq, columns = _RULES[name]
-    rows = spark.read.parquet(f"{sf_dir}/{source}.parquet").where(where)
-    rows = rows.withColumn("ms", F.expr(_MS[source]))
-    wire_type = {f.wire: f.kind.wire for f in SPECS[name].fields}
-    is_deleted = F.expr(deleted)
-    return rows.select(
-        *(F.expr(e).cast(wire_type[c]).alias(c) for c, e in columns.items()),
-        F.when(is_deleted, F.lit("d"))
-        .when(F.expr(seq) % 2 == 0, F.lit("c"))
-        .otherwise(F.lit("u"))
-        .alias("__op"),
-        F.col("ms").alias("__ts_ms"),
-        (F.col("ms") - F.lit(5)).alias("__source_ts_ms"),
-        F.when(is_deleted, F.lit("true")).otherwise(F.lit("false")).alias("__deleted"),
-        F.expr(seq).cast("long").alias(SEQ_WIRE),
+    wire_type = {f.wire: f.kind.wire.simpleString() for f in SPECS[name].fields}
+    rows = spark.read.schema(_INPUT[source]).parquet(f"{sf_dir}/{source}.parquet").where(where)
+    return rows.selectExpr("*", f"{_MS[source]} AS ms").selectExpr(
+        *(f"cast({e} AS {wire_type[c]}) AS `{c}`" for c, e in columns.items()),
+        f"CASE WHEN {deleted} THEN 'd' WHEN ({seq}) % 2 = 0 THEN 'c' ELSE 'u' END AS __op",
+        "ms AS __ts_ms",
+        "ms - 5 AS __source_ts_ms",
+        f"CASE WHEN {deleted} THEN 'true' ELSE 'false' END AS __deleted",
+        f"cast({seq} AS bigint) AS {SEQ_WIRE}",
     )
 
 

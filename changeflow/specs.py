@@ -8,8 +8,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass, replace
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -17,24 +15,23 @@ from pyspark.sql import types as T
 class Kind:
     wire: T.DataType
     stored: T.DataType
-    zero: object  # wire value that stands in for NULL
-
-    def decode(self, col: Column) -> Column:
-        filled = F.coalesce(col, F.lit(self.zero).cast(self.wire))
-        if isinstance(self.stored, T.DateType):
-            return F.date_from_unix_date(filled)
-        if isinstance(self.stored, T.TimestampType):
-            return F.timestamp_millis(filled)
-        return filled.cast(self.stored)
-
-
-TEXT = Kind(T.StringType(), T.StringType(), "")
-INT = Kind(T.IntegerType(), T.IntegerType(), 0)
-LONG = Kind(T.LongType(), T.LongType(), 0)
-FLAG = Kind(T.ByteType(), T.IntegerType(), 0)
-MONEY = Kind(T.DoubleType(), T.DoubleType(), 0.0)
-DAY = Kind(T.IntegerType(), T.DateType(), 0)  # days since 1970-01-01
-INSTANT = Kind(T.LongType(), T.TimestampType(), 0)  # ms since 1970-01-01 UTC
+    decode: str  # SQL: wire column {c} -> stored value, never NULL
+
+    def stored_expr(self, column: str | None) -> str:
+        """SQL of the stored value; ``None`` for a column that is not there."""
+        wire = self.wire.simpleString()
+        return self.decode.format(c=f"`{column}`" if column else f"cast(NULL AS {wire})")
+
+
+TEXT = Kind(T.StringType(), T.StringType(), "coalesce({c}, '')")
+INT = Kind(T.IntegerType(), T.IntegerType(), "coalesce({c}, 0)")
+LONG = Kind(T.LongType(), T.LongType(), "coalesce({c}, 0L)")
+FLAG = Kind(T.ByteType(), T.IntegerType(), "coalesce(cast({c} AS int), 0)")
+MONEY = Kind(T.DoubleType(), T.DoubleType(), "coalesce({c}, 0D)")
+# days since 1970-01-01
+DAY = Kind(T.IntegerType(), T.DateType(), "date_from_unix_date(coalesce({c}, 0))")
+# ms since 1970-01-01 UTC
+INSTANT = Kind(T.LongType(), T.TimestampType(), "timestamp_millis(coalesce({c}, 0L))")
 TIME_OF_DAY = INT  # ms since midnight
 
 

@@ -158,7 +158,8 @@ def _round(x: str, digits: int) -> str:
 
 
 def _pct(part: str, whole: str) -> str:
-    return _round(f"100.0::DOUBLE * ({part}) / CAST(nullif({whole}, 0) AS DOUBLE)", 1)
+    p, w = f"CAST({part} AS BIGINT)", f"CAST(nullif({whole}, 0) AS BIGINT)"
+    return f"(sign({p}) * sign({w}) * ((abs({p}) * 2000 + abs({w})) // (abs({w}) * 2)) / 10.0::DOUBLE)"
 
 
 def _mio(x: str) -> str:
