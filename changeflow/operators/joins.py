@@ -6,6 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def has_hot_key(df: DataFrame, key: str, hot_rows: int) -> bool:
+    """Whether some key has more than ``hot_rows`` rows.  Runs one small job,
+    which reads the key column only and counts before the shuffle."""
+    counted = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+    return not counted.where(F.col("_rows") > hot_rows).isEmpty()
+
+
 def spread_left_join(
     left: DataFrame,
     right: DataFrame,

@@ -30,12 +30,15 @@ def quantiles_exact(df: DataFrame, column: str, levels: Sequence[float]) -> Data
     )
     blocks = counts.groupBy("_high").agg(F.sum("_n").alias("_block_n"))
     offsets = blocks.select(
-        "_high",
+        F.col("_high").alias("_block"),
         (F.sum("_block_n").over(Window.orderBy("_high")) - F.col("_block_n")).alias("_before"),
         F.sum("_block_n").over(Window.partitionBy()).alias("_total"),
     )
     in_block = Window.partitionBy("_high").orderBy("_value")
-    ranked = counts.join(F.broadcast(offsets), "_high").withColumn(
+    # A null-safe join adds no filter to one of the two uses of the counts, so
+    # that they stay equal and are computed once.
+    same_block = F.col("_high").eqNullSafe(F.col("_block"))
+    ranked = counts.join(F.broadcast(offsets), same_block).withColumn(
         "_upto", F.col("_before") + F.sum("_n").over(in_block)
     )
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import AsOf, aging_bucket, as_of_ts, rate_pct_positive
-from ..operators.joins import spread_left_join
+from ..operators.joins import has_hot_key, spread_left_join
 from ..operators.state import latest_per_key, scan_state
 from ..specs import (
     AGENT_LOGIN_STATUS,
@@ -36,13 +36,19 @@ def v_agent_login_status(agents: DataFrame, as_of: AsOf = None) -> DataFrame:
 
 
 def join_calls_results(
-    calls: DataFrame, results: DataFrame, mode: str = "literal", **spread: int
+    calls: DataFrame,
+    results: DataFrame,
+    mode: str = "literal",
+    hot_rows: int = 1_000_000,
+    salts: int = 64,
 ) -> DataFrame:
     """Current calls LEFT JOIN collection results on the call id.
 
     ``literal`` filters deleted results after the join, so a call whose only
     result is deleted disappears; ``clean`` filters them before, so that call
-    stays without result.
+    stays without result.  If a call id has more than ``hot_rows`` result
+    versions, the join is spread over ``salts`` tasks per hot id; a count of the
+    ids, done first, decides.
     """
     if mode not in ("literal", "clean"):
         raise ValueError(f"mode must be 'literal' or 'clean', not {mode!r}")
@@ -56,9 +62,13 @@ def join_calls_results(
     )
     if mode == "clean":
         newest = newest.where(F.col("result_deleted") == 0)
-    joined = spread_left_join(
-        scan_state(calls, CDR), newest, "uniqueid", "call_id", "result_id", **spread
-    )
+    current = scan_state(calls, CDR)
+    if has_hot_key(results, "call_id", hot_rows):
+        joined = spread_left_join(
+            current, newest, "uniqueid", "call_id", "result_id", hot_rows, salts
+        )
+    else:
+        joined = current.join(newest, F.col("uniqueid") == F.col("call_id"), "left")
     return joined.where((F.col("result_deleted") == 0) | F.col("result_deleted").isNull())
 
 

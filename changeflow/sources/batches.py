@@ -2,15 +2,15 @@
 
 Layout, all plain Parquet::
 
-    <path>/batches/batch_id=<n>/...   one folder per micro-batch
-    <path>/loads/load=<name>/...      one folder per bulk load
-    <path>/bases/<through>-<id>/...   batches <= through, merged
-    <path>/base_log/*.parquet         one row per finished base
+    <path>/batches/batch_id=<n>/...      one folder per micro-batch
+    <path>/loads/load=<name>/...         one folder per bulk load
+    <path>/segments/<through>-<id>/...   several batches rewritten into large files
+    <path>/segment_log/*.parquet         one row per finished segment
 
 A batch replaces its own folder, so a batch that is run again after a failure
-leaves one copy.  Compaction writes a new base beside the old one and then
-appends one row to the log; readers take the newest base of the log plus the
-batches after it, so they never see half of a compaction.
+leaves one copy.  Compaction writes a new segment beside the batches and then
+appends one row to the log; readers take the segments of the log plus the
+batches after them, so they never see half of a compaction.
 """
 
 from __future__ import annotations
@@ -25,7 +25,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 Fold = Callable[[DataFrame], DataFrame]
-BASE_LOG = T.StructType([T.StructField("through", T.LongType()), T.StructField("path", T.StringType())])
+SEGMENT_LOG = T.StructType(
+    [
+        T.StructField("after", T.LongType()),  # NULL: from the first batch on
+        T.StructField("through", T.LongType()),
+        T.StructField("path", T.StringType()),
+    ]
+)
 
 
 class BatchTable:
@@ -76,64 +82,70 @@ class BatchTable:
 
     def rows(self) -> DataFrame:
         """All stored rows, not merged."""
-        base = self._newest_base()
-        parts = [self._batches(after=base[0] if base else None)]
-        if base:
-            parts.append(self._read(base[1]))
-        loads = self._read(f"{self.path}/loads")
-        if loads.inputFiles():
-            parts.append(loads)
+        segments = self._segments()
+        folders = [path for _, _, path in segments] + [f"{self.path}/loads"]
+        parts = [self._batches(after=segments[-1][1] if segments else None)]
+        parts += [part for part in map(self._read, folders) if part is not None]
         return reduce(DataFrame.unionAll, parts)
 
     def merged(self) -> DataFrame:
         rows = self.rows()
         return self.fold(rows) if self.fold else rows
 
-    def _read(self, folder: str, *extra: T.StructField) -> DataFrame:
-        schema = T.StructType([*self.schema.fields, *extra])
-        return _read_parquet(self.spark, folder, schema).select(
-            *self.schema.names, *(f.name for f in extra)
-        )
+    def _read(self, folder: str) -> DataFrame | None:
+        found = _read_parquet(self.spark, folder, self.schema)
+        return None if found is None else found.select(*self.schema.names)
 
     def _batches(self, after: int | None, through: int | None = None) -> DataFrame:
-        out = self._read(f"{self.path}/batches", T.StructField("batch_id", T.LongType()))
+        numbered = T.StructType([*self.schema.fields, T.StructField("batch_id", T.LongType())])
+        out = _read_parquet(self.spark, f"{self.path}/batches", numbered)
+        if out is None:
+            return self.spark.createDataFrame([], self.schema)
         if after is not None:
             out = out.where(F.col("batch_id") > after)
         if through is not None:
             out = out.where(F.col("batch_id") <= through)
-        return out.drop("batch_id")
+        return out.select(*self.schema.names)
 
-    def _newest_base(self) -> tuple[int, str] | None:
-        log = _read_parquet(self.spark, f"{self.path}/base_log", BASE_LOG)
-        newest = log.agg(F.max("through"), F.max_by("path", "through")).first()
-        return None if newest[0] is None else (newest[0], newest[1])
+    def _segments(self) -> list[tuple[int | None, int, str]]:
+        """The segments to read, in batch order: the newest one that starts at
+        the first batch and those after it.  The log has one row per compaction."""
+        log = _read_parquet(self.spark, f"{self.path}/segment_log", SEGMENT_LOG)
+        entries = [] if log is None else [tuple(row) for row in log.collect()]
+        entries.sort(key=lambda e: (e[1], e[0] is None))
+        whole = max((i for i, e in enumerate(entries) if e[0] is None), default=0)
+        return entries[whole:]
 
     # -- compaction --------------------------------------------------------
 
-    def compact(self, through: int) -> None:
-        """Merge all batches up to ``through`` into one set of large files.
+    def compact(self, through: int, whole: bool | None = None) -> None:
+        """Rewrite the batches up to ``through`` into a segment of large files.
 
         ``through`` must be a batch that cannot be run again: for a stream, one
-        before the newest.  Old files stay for readers that still use them.
+        before the newest.  ``whole`` merges all earlier segments into the new
+        one; that is the default for tables with a ``fold``, which shrinks them.
+        Without it only batches not yet compacted are rewritten, so appending to
+        a large history stays cheap.  Old files stay for readers that use them.
         """
-        base = self._newest_base()
-        if base is not None and base[0] >= through:
+        segments = self._segments()
+        last = segments[-1][1] if segments else None
+        if last is not None and last >= through:
             return
-        rows = self._batches(after=base[0] if base else None, through=through)
-        if base is not None:
-            rows = rows.unionAll(self._read(base[1]))
-        target = f"{self.path}/bases/{int(through)}-{uuid.uuid4().hex}"
+        whole = (self.fold is not None if whole is None else whole) or last is None
+        rows = self._batches(after=last, through=through)
+        if whole:
+            old = [self._read(path) for _, _, path in segments]
+            rows = reduce(DataFrame.unionAll, [rows, *(df for df in old if df is not None)])
+        target = f"{self.path}/segments/{int(through)}-{uuid.uuid4().hex}"
         self._write(self._arranged(self.fold(rows) if self.fold else rows), target)
-        entry = self.spark.range(1).select(
-            F.lit(through).cast("long").alias("through"), F.lit(target).alias("path")
-        )
-        entry.coalesce(1).write.mode("append").parquet(f"{self.path}/base_log")
+        entry = self.spark.createDataFrame([(None if whole else last, through, target)], SEGMENT_LOG)
+        entry.coalesce(1).write.mode("append").parquet(f"{self.path}/segment_log")
 
 
-def _read_parquet(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
+def _read_parquet(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame | None:
     try:
         return spark.read.schema(schema).parquet(folder)
-    except AnalysisException as missing:  # nothing written there yet
+    except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], schema)
+        return None  # nothing written there yet

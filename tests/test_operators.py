@@ -64,6 +64,8 @@ def test_quantiles_reuse_the_counts(spark):
     df = spark.range(1000).select((F.col("id") % 77).cast("int").alias("v"))
     result = quantiles_exact(df, "v", (0.5,))
     result.collect()
+    final = result._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert final.count("Range (0, 1000") == 1 and "ReusedExchange" in final
     with pytest.raises(TypeError):
         quantiles_exact(spark.range(3), "id", (0.5,))
 
@@ -129,6 +131,12 @@ def test_batch_table(spark):
     table.write_load(one, "history")
     table.write_batch(one, 4)
     assert sorted(rows(table.merged())) == [("a", 6), ("b", 12)]
+    table.compact(3, whole=False)  # batch 3 alone
+    assert [e[:2] for e in table._segments()] == [(None, 2), (2, 3)]
+    assert sorted(rows(table.merged())) == [("a", 6), ("b", 12)]
+    table.compact(4)
+    assert [e[:2] for e in table._segments()] == [(None, 4)]
+    assert sorted(rows(table.merged())) == [("a", 6), ("b", 12)]
 
 
 def test_rounding(spark):
