@@ -240,7 +240,10 @@ def _stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _stream_state(spark: SparkSession, sf: str) -> DataFrame:
-    return _ingested(spark, _messages(spark, sf, CUSTOMER_ID), CUSTOMER_ID).current_rows()
+    """The first batches are compacted, the last one is merged on read."""
+    sinks = _ingested(spark, _messages(spark, sf, CUSTOMER_ID), CUSTOMER_ID)
+    sinks.compact(through=MESSAGE_SLICES - 2)
+    return sinks.current_rows()
 
 
 def _preagg_stream(

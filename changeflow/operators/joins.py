@@ -19,7 +19,7 @@ def spread_left_join(
     left_key: str,
     right_key: str,
     right_id: str,
-    hot_rows: int = 1_000_000,
+    hot_rows: int = 10_000_000,
     salts: int = 64,
 ) -> DataFrame:
     """``left LEFT JOIN right`` where one key may own most rows of ``right``.

@@ -1,4 +1,9 @@
-"""From history to current state and to the state of a past day."""
+"""From history to current state and to the state of a past day.
+
+Functions that need the current state take a history (all versions, with
+``_ts_ms``) or stored state rows (one per key, with ``_version``), which pass
+through unchanged.
+"""
 
 from __future__ import annotations
 
@@ -21,6 +26,8 @@ def latest_per_key(history: DataFrame, spec: TableSpec) -> DataFrame:
     Catalyst, and a filter on key columns is pushed below it.  Filters on other
     columns must come after it: before it they would revive old versions.
     """
+    if "_version" in history.columns:
+        return history
     newest = Window.partitionBy(*spec.key).orderBy(F.desc("_ts_ms"), F.desc("_seq"))
     return (
         history.withColumn("_rank", F.row_number().over(newest))
@@ -31,9 +38,9 @@ def latest_per_key(history: DataFrame, spec: TableSpec) -> DataFrame:
 
 def upsert_state(history: DataFrame, spec: TableSpec) -> DataFrame:
     """State rows as stored: one per key with version and delete marker."""
-    return latest_per_key(history, spec).select(
-        *spec.columns, F.col("_ts_ms").alias("_version"), "_is_deleted"
-    )
+    rows = latest_per_key(history, spec)
+    version = "_version" if "_version" in rows.columns else "_ts_ms AS _version"
+    return rows.selectExpr(*spec.columns, version, "_is_deleted")
 
 
 def scan_state(history: DataFrame, spec: TableSpec) -> DataFrame:
@@ -41,6 +48,24 @@ def scan_state(history: DataFrame, spec: TableSpec) -> DataFrame:
     return upsert_state(history, spec).where(F.col("_is_deleted") == 0)
 
 
+def merge_newer(
+    settled: DataFrame, newer: DataFrame, spec: TableSpec, max_keys: int = 1_000_000
+) -> DataFrame:
+    """``latest_per_key(settled + newer)`` where ``settled`` has one row per key.
+
+    Only keys that occur in ``newer`` can change.  If there are at most
+    ``max_keys`` of them (counted first), they are broadcast: all other settled
+    rows pass without a shuffle.  Otherwise everything is folded.
+    """
+    key = list(spec.key)
+    touched = newer.select(*key).distinct()
+    if touched.limit(max_keys + 1).count() > max_keys:
+        return latest_per_key(settled.unionByName(newer), spec)
+    untouched = settled.join(F.broadcast(touched), key, "left_anti")
+    changed = settled.join(F.broadcast(touched), key, "left_semi").unionByName(newer)
+    return untouched.unionByName(latest_per_key(changed, spec))
+
+
 def lookup_state(
     history: DataFrame, spec: TableSpec, where: Column, max_keys: int = 1_000_000
 ) -> DataFrame:

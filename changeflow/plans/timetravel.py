@@ -12,7 +12,7 @@ from ..operators.state import arg_max, asof_state, before_cut, lookup_state, sca
 from ..specs import CDR, CUSTOMER_ID, SPECS
 from .views import v_agent_login_status, v_customer_queue
 
-# The attributes the reference result is grouped by in "versions" mode.
+# What makes two versions of a queue entry different in "versions" mode.
 QUEUE_ATTRIBUTES = [
     "id",
     "no_kontrak",

@@ -39,7 +39,7 @@ def join_calls_results(
     calls: DataFrame,
     results: DataFrame,
     mode: str = "literal",
-    hot_rows: int = 1_000_000,
+    hot_rows: int = 10_000_000,
     salts: int = 64,
 ) -> DataFrame:
     """Current calls LEFT JOIN collection results on the call id.

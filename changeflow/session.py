@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from functools import cache
@@ -32,7 +34,9 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
 
 @cache
 def _local_root() -> str:
-    return tempfile.mkdtemp(prefix="changeflow-")
+    root = tempfile.mkdtemp(prefix="changeflow-")
+    atexit.register(shutil.rmtree, root, ignore_errors=True)
+    return root
 
 
 def local_session(cores: str | int = "*", shuffle_partitions: int = 8, **conf: str) -> SparkSession:

@@ -82,11 +82,18 @@ class BatchTable:
 
     def rows(self) -> DataFrame:
         """All stored rows, not merged."""
+        settled, newer = self.settled_and_newer()
+        return newer if settled is None else settled.unionAll(newer)
+
+    def settled_and_newer(self) -> tuple[DataFrame | None, DataFrame]:
+        """The segment that starts at the first batch, merged in itself, and all
+        rows that came after it or beside it."""
         segments = self._segments()
-        folders = [path for _, _, path in segments] + [f"{self.path}/loads"]
-        parts = [self._batches(after=segments[-1][1] if segments else None)]
-        parts += [part for part in map(self._read, folders) if part is not None]
-        return reduce(DataFrame.unionAll, parts)
+        settled = self._read(segments[0][2]) if segments else None
+        newer = [self._batches(after=segments[-1][1] if segments else None)]
+        folders = [path for _, _, path in segments[1:]] + [f"{self.path}/loads"]
+        newer += [part for part in map(self._read, folders) if part is not None]
+        return settled, reduce(DataFrame.unionAll, newer)
 
     def merged(self) -> DataFrame:
         rows = self.rows()

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.preagg import PREAGGS, Preagg, preaggs_of
-from ..operators.state import latest_per_key, upsert_state
+from ..operators.state import latest_per_key, merge_newer, upsert_state
 from ..sources.batches import BatchTable
 from ..sources.decode import bad_rows, checked_rows, good_rows, ingest_project
 from ..sources.history import append_history, history_table, load_history
@@ -51,9 +51,19 @@ class Sinks:
     quarantine: BatchTable
     preaggs: dict[str, BatchTable]
 
+    def state_rows(self) -> DataFrame:
+        """Newest version per key, deletes included, from the stored state.
+
+        Views and queries take these rows in place of a history.
+        """
+        settled, newer = self.state.settled_and_newer()
+        if settled is None:
+            return upsert_state(newer, self.spec)
+        merged = merge_newer(settled, newer, self.spec)
+        return merged.selectExpr(*self.spec.columns, "_ts_ms AS _version", "_is_deleted")
+
     def current_rows(self) -> DataFrame:
-        """Current rows, from the stored state rather than the history."""
-        return upsert_state(self.state.rows(), self.spec).where(F.col("_is_deleted") == 0)
+        return self.state_rows().where(F.col("_is_deleted") == 0)
 
     def write_batch(self, messages: DataFrame, batch_id: int) -> None:
         checked = checked_rows(messages, self.spec).persist()
@@ -100,7 +110,6 @@ def stream_ingest(
     return (
         messages.writeStream.foreachBatch(lambda df, n: sinks.write_batch(df, n))
         .option("checkpointLocation", checkpoint)
-        .queryName(f"ingest-{sinks.spec.name}")
         .trigger(**(trigger or {"availableNow": True}))
         .start()
     )
@@ -121,7 +130,6 @@ def stream_preagg(
     return (
         rows.writeStream.foreachBatch(lambda df, n: store.write_batch(preagg.partial(df), n))
         .option("checkpointLocation", checkpoint)
-        .queryName(f"preagg-{preagg.name}")
         .trigger(**(trigger or {"availableNow": True}))
         .start()
     )
@@ -178,7 +186,6 @@ def stream_minutes(
         minutes.writeStream.outputMode("update")
         .foreachBatch(lambda df, n: store.write_batch(df.withColumn("_batch", F.lit(n)), n))
         .option("checkpointLocation", checkpoint)
-        .queryName("minutes")
         .trigger(**(trigger or {"availableNow": True}))
         .start()
     )

@@ -7,12 +7,12 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from changeflow.operators.preagg import COLLECTION_DAILY, PREAGGS
-from changeflow.operators.state import asof_state, lookup_state, scan_state
+from changeflow.operators.state import asof_state, latest_per_key, lookup_state, merge_newer, scan_state
 from changeflow.plans import timetravel as tt
 from changeflow.plans import views
 from changeflow.session import scratch_dir
 from changeflow.sources.changes import snapshot_to_changes, src_changes
-from changeflow.sources.decode import ingest_project, route_bad_records, unwrap_envelope
+from changeflow.sources.decode import decode_json_rows, ingest_project, route_bad_records, unwrap_envelope
 from changeflow.specs import CDR, COLLECTION_RESULT, CUSTOMER_ID, SPECS, USER_LOGS
 from changeflow.streaming import ingest as stream
 
@@ -232,10 +232,36 @@ def test_every_table_streams(spark, messages, history):
         ingest(spark, sinks, root)
         expected = history(spec, EVENTS[name])
         assert plain(sinks.history.rows().select(*expected.columns)) == plain(expected)
+        state = scan_state(expected, spec)
+        assert plain(sinks.current_rows()) == plain(state) == plain(scan_state(sinks.state_rows(), spec))
         for preagg, store in sinks.preaggs.items():
             assert plain(store.merged()) == plain(PREAGGS[preagg].build(expected))
 
 
+@pytest.mark.parametrize("max_keys", [0, 3, 1000])
+def test_merge_newer(history, max_keys):
+    settled = latest_per_key(history(CUSTOMER_ID, SCENARIO), CUSTOMER_ID)
+    newer = history(CUSTOMER_ID, [change(1, 9, "d"), change(2, 9, callStatus="back"), change(5, 1, callStatus="old")])
+    merged = merge_newer(settled, newer, CUSTOMER_ID, max_keys)
+    assert plain(merged) == plain(latest_per_key(settled.unionByName(newer), CUSTOMER_ID))
+
+
+def test_watermark_drops_only_what_it_says(spark, messages):
+    """Partials keep an event that is days late; a watermarked stream drops it."""
+    root = scratch_dir(spark, "late")
+    store = stream.minutes_table(spark, root)
+    calls = [change(None, 1, "c", uniqueid=str(i), calldate=DAY1 + i * 86_400_000) for i in range(3)]
+    late = change(None, 1, "c", uniqueid="late", calldate=DAY1)
+    for part, events in enumerate([calls, [late], [late]]):
+        deliver(messages, root, f"p{part}", events, 0)
+        source = src_changes(spark, CDR, {"format": "json", "path": f"{root}/inbox/*"})
+        typed = ingest_project(decode_json_rows(source, CDR), CDR)
+        minutes = stream.tumbling_minute(typed, "1 hour")
+        stream.stream_minutes(minutes, store, f"{root}/checkpoint").awaitTermination()
+    totals = {r.minute.day: r.total_calls for r in store.merged().collect()}
+    assert sorted(totals.values()) == [1, 1, 1]
+
+
 def test_history_is_pruned_by_month(spark, messages):
     root = scratch_dir(spark, "months")
     sinks = stream.open_sinks(spark, CUSTOMER_ID, root)
