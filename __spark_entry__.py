@@ -407,7 +407,7 @@ def _filter_recent(calls: DataFrame) -> DataFrame:
     return calls.agg(
         F.count_if(fn.recent("calldate", AS_OF_EVENTS, 60, "MINUTE")).alias("last_hour"),
         F.count_if(fn.recent("calldate", AS_OF_EVENTS, 7, "DAY")).alias("last_week"),
-        F.count_if(fn.recent_day(F.to_date("calldate"), AS_OF_EVENTS, 30)).alias("last_month"),
+        F.count_if(fn.since_day("calldate", AS_OF_EVENTS, 30)).alias("last_month"),
     )
 
 

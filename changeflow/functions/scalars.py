@@ -30,19 +30,24 @@ def as_of_ts(as_of: AsOf = None) -> Column:
 
 
 def recent(col: Column | str, as_of: AsOf, amount: int, unit: str) -> Column:
-    """``col >= as_of - INTERVAL``; there is no upper bound.
-
-    A DATE column is compared with the day of that instant.
-    """
+    """``col >= as_of - INTERVAL``; there is no upper bound."""
     start = as_of_ts(as_of) - F.expr(f"INTERVAL {int(amount)} {unit}")
     return (F.col(col) if isinstance(col, str) else col) >= start
 
 
 def recent_day(col: Column | str, as_of: AsOf, days: int) -> Column:
+    """A DATE column from the day of ``as_of - days`` on."""
     start = F.to_date(as_of_ts(as_of) - F.expr(f"INTERVAL {int(days)} DAY"))
     return (F.col(col) if isinstance(col, str) else col) >= start
 
 
+def since_day(ts: Column | str, as_of: AsOf, days: int) -> Column:
+    """The same for the day of a timestamp, written as a bare comparison with
+    midnight: that form is pushed down to the files, ``to_date(ts) >= ...`` is not."""
+    start = F.date_trunc("day", as_of_ts(as_of) - F.expr(f"INTERVAL {int(days)} DAY"))
+    return (F.col(ts) if isinstance(ts, str) else ts) >= start
+
+
 def asof_cut_ms(day: dt.date | str) -> Column:
     """The last instant of a day that an as-of query sees: 23:59:59.000 UTC."""
     text = day.isoformat() if isinstance(day, dt.date) else day

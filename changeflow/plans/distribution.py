@@ -11,8 +11,8 @@ from ..functions.scalars import (
     millions,
     rate_pct,
     recent,
-    recent_day,
     round_half_up,
+    since_day,
 )
 from ..operators.quantiles import quantiles_exact
 from ..operators.sets import total
@@ -26,7 +26,7 @@ LEVELS = (0.5, 0.75, 0.9, 0.95, 0.99)
 def answered_calls(calls: DataFrame, as_of: AsOf = None) -> DataFrame:
     """Answered calls of the last 30 days."""
     return scan_state(calls, CDR).where(
-        (F.col("disposition") == "ANSWERED") & recent_day(F.to_date("calldate"), as_of, 30)
+        (F.col("disposition") == "ANSWERED") & since_day("calldate", as_of, 30)
     )
 
 
@@ -43,7 +43,7 @@ def talk_quantiles(calls: DataFrame, as_of: AsOf = None) -> DataFrame:
 
 def disposition_share(calls: DataFrame, as_of: AsOf = None) -> DataFrame:
     """Count and share per disposition, last 30 days."""
-    recent_calls = scan_state(calls, CDR).where(recent_day(F.to_date("calldate"), as_of, 30))
+    recent_calls = scan_state(calls, CDR).where(since_day("calldate", as_of, 30))
     counted = recent_calls.groupBy("disposition").agg(F.count(F.lit(1)).alias("total"))
     return counted.select(
         "disposition", "total", rate_pct(F.col("total"), total("total")).alias("pct")
@@ -91,7 +91,7 @@ def results_daily(results: DataFrame, as_of: AsOf = None) -> DataFrame:
     day = F.to_date("created_ts")
     return (
         scan_state(results, COLLECTION_RESULT)
-        .where(recent_day(day, as_of, 30))
+        .where(since_day("created_ts", as_of, 30))
         .groupBy(day.alias("date"), "classification")
         .agg(
             F.count(F.lit(1)).alias("result_count"),

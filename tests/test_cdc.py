@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from changeflow.operators.preagg import COLLECTION_DAILY, PREAGGS
 from changeflow.operators.state import asof_state, latest_per_key, lookup_state, merge_newer, scan_state
+from changeflow.plans import distribution as dist
 from changeflow.plans import timetravel as tt
 from changeflow.plans import views
 from changeflow.session import scratch_dir
@@ -271,3 +272,16 @@ def test_history_is_pruned_by_month(spark, messages):
     assert [r.id for r in seen.collect()] == [1]
     plan = seen._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(_month" in plan
+
+
+def test_filters_reach_the_files(spark, messages):
+    from seed import AS_OF, EVENTS
+
+    root = scratch_dir(spark, "push")
+    sinks = stream.open_sinks(spark, CDR, root)
+    deliver(messages, root, "a", EVENTS["cdr"], 0)
+    ingest(spark, sinks, root)
+    share = dist.disposition_share(sinks.history.rows(), AS_OF)
+    plan = share._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(calldate,2024-05-16 00:00:00" in plan
+    assert "billsec" not in plan and "WindowGroupLimit" in plan
