@@ -72,6 +72,7 @@ from changeflow.streaming import ingest as stream  # noqa: E402
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUEUE_DAY = oracle_module.ASOF_DAY
+ORDERS_DAY = oracle_module.ASOF_DAY_ORDERS
 CONTRACT = oracle_module.AUDIT_CONTRACT
 MESSAGE_SLICES = 3
 
@@ -631,8 +632,10 @@ def _registry() -> dict[str, Query]:
 
     # 2.11 time travel, audit, checks
     for name, spec in SPECS.items():
-        if spec not in (COLLECTIONS, USER_RELEASES):  # their changes are decades older
-            q[f"asof_state_{name}"] = _on(spec, lambda h, spec=spec: asof_state(h, spec, QUEUE_DAY))
+        day = ORDERS_DAY if spec in (COLLECTIONS, USER_RELEASES) else QUEUE_DAY
+        q[f"asof_state_{name}"] = _on(
+            spec, lambda h, spec=spec, day=day: asof_state(h, spec, day)
+        )
     q["audit_trail"] = _on(CUSTOMER_ID, lambda h: tt.audit_trail(h, CONTRACT))
     q["latest_versions"] = _on(CDR, lambda h: tt.latest_versions(h, CONTRACT))
     q["state_row_counts"] = lambda s, sf: tt.state_row_counts(_histories(s, sf))

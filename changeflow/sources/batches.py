@@ -15,6 +15,7 @@ batches after them, so they never see half of a compaction.
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Callable, Sequence
 from functools import reduce
@@ -148,6 +149,36 @@ class BatchTable:
         entry = self.spark.createDataFrame([(None if whole else last, through, target)], SEGMENT_LOG)
         entry.coalesce(1).write.mode("append").parquet(f"{self.path}/segment_log")
 
+    def vacuum(self) -> list[str]:
+        """Delete what no new reader uses: batches that are in a segment, and
+        segments that a later one replaced.  Returns the deleted folders.
+
+        Without this the folder listing grows with every batch.  Run it when
+        readers that started before the last compaction are done.
+        """
+        segments = self._segments()
+        if not segments:
+            return []
+        through, kept = segments[-1][1], {path for _, _, path in segments}
+        hadoop = self.spark._jvm.org.apache.hadoop.fs
+        root = hadoop.Path(self.path)
+        fs = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+        def folders(name: str) -> list[str]:
+            parent = hadoop.Path(root, name)
+            found = fs.listStatus(parent) if fs.exists(parent) else []
+            return [f"{self.path}/{name}/{f.getPath().getName()}" for f in found if f.isDirectory()]
+
+        numbered = re.compile(r"/batch_id=(-?\d+)$")
+        old = [f for f in folders("batches") if (m := numbered.search(f)) and int(m[1]) <= through]
+        # A segment that is not in the log yet belongs to a running compaction.
+        logged = _read_parquet(self.spark, f"{self.path}/segment_log", SEGMENT_LOG)
+        replaced = {row.path for row in logged.collect()} - kept
+        old += [f for f in folders("segments") if f in replaced]
+        for folder in old:
+            fs.delete(hadoop.Path(folder), True)
+        return old
+
 
 def _read_parquet(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame | None:
     try:

@@ -84,10 +84,17 @@ class Sinks:
         for preagg, store in self.preaggs.items():
             store.write_load(PREAGGS[preagg].partial(rows), name)
 
+    def tables(self) -> list[BatchTable]:
+        return [self.history, self.state, self.quarantine, *self.preaggs.values()]
+
     def compact(self, through: int) -> None:
-        for table in (self.history, self.state, self.quarantine, *self.preaggs.values()):
+        for table in self.tables():
             table.compact(through)
 
+    def vacuum(self) -> None:
+        for table in self.tables():
+            table.vacuum()
+
 
 def open_sinks(spark: SparkSession, spec: TableSpec, root: str) -> Sinks:
     return Sinks(

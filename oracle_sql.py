@@ -268,13 +268,15 @@ FROM levels GROUP BY level"""
 # --------------------------------------------------------------------------
 
 ASOF_DAY = "2024-01-20"
+ASOF_DAY_ORDERS = "1998-06-15"
 _CUT = f"(epoch_us(TIMESTAMP '{ASOF_DAY} 23:59:59') // 1000)"
 
 
-def _asof(n: str) -> str:
+def _asof(n: str, day: str = ASOF_DAY) -> str:
+    cut = f"(epoch_us(TIMESTAMP '{day} 23:59:59') // 1000)"
     return (
         f"{n}_asof AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY {KEY[n]} "
-        f"ORDER BY _ts_ms DESC, _seq DESC) AS rn FROM {n}_history WHERE _ts_ms <= {_CUT}) "
+        f"ORDER BY _ts_ms DESC, _seq DESC) AS rn FROM {n}_history WHERE _ts_ms <= {cut}) "
         "WHERE rn = 1 AND _is_deleted = 0)"
     )
 
@@ -647,8 +649,8 @@ FROM customer_id""",
 
     # 2.11 time travel, audit, checks
     for n in KEY:
-        if n not in ("collections", "user_releases"):
-            sql[f"asof_state_{n}"] = _q(n, f"SELECT {_state_cols(n)} FROM {n}_asof", _asof(n))
+        day = ASOF_DAY_ORDERS if n in ("collections", "user_releases") else ASOF_DAY
+        sql[f"asof_state_{n}"] = _q(n, f"SELECT {_state_cols(n)} FROM {n}_asof", _asof(n, day))
     sql["audit_trail"] = _q(
         "customer_id",
         f"SELECT _ts_ms, _op, call_status, overdue, is_paid, marked_by FROM customer_id_history WHERE no_kontrak = '{AUDIT_CONTRACT}'",

@@ -137,6 +137,15 @@ def test_batch_table(spark):
     table.compact(4)
     assert [e[:2] for e in table._segments()] == [(None, 4)]
     assert sorted(rows(table.merged())) == [("a", 6), ("b", 12)]
+    table.write_batch(one, 5)
+    gone = [folder.split("/")[-2:] for folder in table.vacuum()]
+    assert sorted(f[1] for f in gone if f[0] == "batches") == [f"batch_id={n}" for n in range(5)]
+    assert sum(f[0] == "segments" for f in gone) == 3  # all but the newest
+    assert table.vacuum() == []
+    assert sorted(rows(table.merged())) == [("a", 7), ("b", 14)]
+    table.compact(5)
+    table.vacuum()
+    assert sorted(rows(table.merged())) == [("a", 7), ("b", 14)]
 
 
 def test_rounding(spark):
