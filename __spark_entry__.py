@@ -69,6 +69,12 @@ from changeflow.specs import (  # noqa: E402
 )
 from changeflow.streaming import ingest as stream  # noqa: E402
 
+try:
+    import corpus_pipeline
+    from changeflow.llm import queries as llm
+except ImportError:
+    corpus_pipeline = llm = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUEUE_DAY = oracle_module.ASOF_DAY
@@ -703,8 +709,16 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {name: _entry_query(name) for name in oracle_sql()}
+    found = {name: _entry_query(name) for name in oracle_module.oracle()}
+    if llm:
+        found |= llm.QUERIES | {"pipeline": corpus_pipeline.run}
+    return found
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle_module.oracle()
+    found = oracle_module.oracle()
+    if llm:
+        found |= llm.ORACLE_SQL
+        if corpus_pipeline.ORACLE_SQL:
+            found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found
