@@ -4,15 +4,36 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeflow.llm import exact, simhash
+from changeflow.llm import exact, packing, simhash, tokens
 from changeflow.llm.common import ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    placed = packing.pack_documents(table(spark, sf_dir, "documents"), path, with_ids=False)
+    return placed.withColumnRenamed("id", "doc_id")
+
+
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    counts = tokens.token_counts(table(spark, sf_dir, "documents"), path)
+    return counts.select(
+        F.col("id").alias("doc_id"), "n_bytes", "n_tokens", (F.col("n_tokens") > 512).alias("over_limit")
+    )
+
+
+def op3_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    done = tokens.encoded_texts(table(spark, sf_dir, "documents"), path, full=False)
+    return done.withColumnRenamed("id", "doc_id")
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = exact.exact_groups(table(spark, sf_dir, "documents"), largest=True)
     return groups.select(
@@ -36,6 +57,9 @@ def _shipped(query: Query) -> Query:
 QUERIES: dict[str, Query] = {
     query.__name__: _shipped(query)
     for query in (
+        op1_best_fit_packing,
+        op2_token_counts,
+        op3_bpe_codec,
         op9_exact_dedup,
         op10_simhash,
     )
