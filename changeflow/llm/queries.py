@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeflow.llm import exact, packing, simhash, tokens
+from changeflow.llm import exact, packing, simhash, tokens, toxicity
 from changeflow.llm.common import ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +34,14 @@ def op3_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.withColumnRenamed("id", "doc_id")
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    scored = toxicity.toxicity(table(spark, sf_dir, "documents"), labels, ~toxicity.held_out(F.col("id")))
+    return scored.select(
+        F.col("id").alias("doc_id"), toxicity.held_out(F.col("id")).alias("held_out"), "score", "predicted"
+    )
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = exact.exact_groups(table(spark, sf_dir, "documents"), largest=True)
     return groups.select(
@@ -60,6 +68,7 @@ QUERIES: dict[str, Query] = {
         op1_best_fit_packing,
         op2_token_counts,
         op3_bpe_codec,
+        op8_toxicity,
         op9_exact_dedup,
         op10_simhash,
     )
