@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeflow.llm import exact, packing, simhash, tokens, toxicity
+from changeflow.llm import exact, packing, pii, simhash, tokens, toxicity
 from changeflow.llm.common import ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +34,21 @@ def op3_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.withColumnRenamed("id", "doc_id")
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_pii(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["base"])
+
+    def count(kind: str):
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        F.col("id").alias("doc_id"),
+        *(count(kind) for kind in pii.KINDS),
+        F.sha2(pii.listed(base), 256).alias("base_sha256"),
+        pii.listed(F.col("spans")).alias("spans"),
+    )
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
     scored = toxicity.toxicity(table(spark, sf_dir, "documents"), labels, ~toxicity.held_out(F.col("id")))
@@ -68,6 +83,7 @@ QUERIES: dict[str, Query] = {
         op1_best_fit_packing,
         op2_token_counts,
         op3_bpe_codec,
+        op5_pii,
         op8_toxicity,
         op9_exact_dedup,
         op10_simhash,
