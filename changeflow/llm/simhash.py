@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -120,6 +121,202 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     )
 
 
+# -- near copies by similarity ---------------------------------------------------------
+
+#: Bits of a wide fingerprint, and how far the share of differing bits may lie above what
+#: the similarity leads to expect (about three standard deviations).
+WIDE_BITS = 512
+SLACK = 0.05
+#: Share of pairs at the similarity that no segment may bring together.
+MISSED = 0.03
+
+
+def shingle_hashes(text: str | None, words_in_shingle: int = 5) -> np.ndarray:
+    """The distinct hashes of a text's shingles, ascending.  Shingles as in ``fingerprint``."""
+    words = (text or "").encode().lower().split()
+    if not words:
+        return np.zeros(0, dtype="<u8")
+    if len(words) < words_in_shingle:
+        shingles = {b" ".join(words)}
+    else:
+        shingles = set(map(b" ".join, zip(*(words[k:] for k in range(words_in_shingle)))))
+    digest = xxhash.xxh64_intdigest
+    return np.unique(np.array([digest(s, SEED) for s in shingles], dtype="<u8"))
+
+
+def wide_fingerprint(hashes: np.ndarray) -> bytes:
+    """SimHash of WIDE_BITS bits; each hash is stretched by mixing it with the number of
+    the word.  No hashes: zero."""
+    step = np.arange(1, WIDE_BITS // 64 + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    total = np.zeros(WIDE_BITS, dtype=np.int64)
+    for at in range(0, len(hashes), 1 << 12):
+        mixed = hashes[at : at + (1 << 12), None] + step
+        mixed = (mixed ^ (mixed >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        mixed = (mixed ^ (mixed >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        mixed ^= mixed >> np.uint64(31)
+        bits = np.unpackbits(np.ascontiguousarray(mixed).view(np.uint8), axis=1, bitorder="little")
+        total += bits.sum(axis=0, dtype=np.int64)
+    return np.packbits(2 * total > len(hashes), bitorder="little").tobytes()
+
+
+def expected_share(similarity: float) -> float:
+    """Share of differing bits of two equally large shingle sets of this Jaccard similarity."""
+    return math.acos(2 * similarity / (1 + similarity)) / math.pi
+
+
+def segments_for(codes: int, similarity: float) -> tuple[int, int]:
+    """Bits of a segment and how many segments: buckets as many as codes, and enough of
+    them that few pairs at the similarity differ in two bits or more of each."""
+    width = max(12, math.ceil(math.log2(max(codes, 2))))
+    far = expected_share(similarity)
+    meet = (1 - far) ** width + width * far * (1 - far) ** (width - 1)
+    return width, min(math.ceil(math.log(MISSED) / math.log(1 - meet)), WIDE_BITS // width)
+
+
+def _keys(width: int, count: int, ball: bool):
+    """The segments' keys of a code; with ``ball``, of even segments also those one bit away."""
+
+    @F.arrow_udf(T.ArrayType(T.LongType()))
+    def keys(codes: pa.Array) -> pa.Array:
+        rows = np.frombuffer(b"".join(codes.to_pylist()), dtype=np.uint8).reshape(-1, WIDE_BITS // 8)
+        bits = np.unpackbits(rows, axis=1, bitorder="little")[:, : width * count].reshape(len(rows), count, width)
+        value = bits.astype(np.int64) @ (1 << np.arange(width))
+        number = np.arange(count, dtype=np.int64) << width
+        if not ball:
+            return pa.array(list(value | number), type=pa.list_(pa.int64()))
+        flipped = value[:, :, None] ^ (1 << np.arange(width))
+        even = bits.sum(axis=2) % 2 == 0
+        out = [
+            np.concatenate([v | number, (f[e] | number[e, None]).ravel()])
+            for v, f, e in zip(value, flipped, even, strict=True)
+        ]
+        return pa.array(out, type=pa.list_(pa.int64()))
+
+    return keys
+
+
+@F.arrow_udf(T.LongType())
+def _first_word(codes: pa.Array) -> pa.Array:
+    return pa.array([int.from_bytes(c[:8], "little", signed=True) for c in codes.to_pylist()], type=pa.int64())
+
+
+@F.arrow_udf(T.IntegerType())
+def _distance(a: pa.Array, b: pa.Array) -> pa.Array:
+    x, y = (np.frombuffer(b"".join(c.to_pylist()), dtype="<u8").reshape(-1, WIDE_BITS // 64) for c in (a, b))
+    return pa.array(np.bitwise_count(x ^ y).sum(axis=1).astype(np.int32))
+
+
+@F.arrow_udf(T.DoubleType())
+def _jaccard(a: pa.Array, b: pa.Array) -> pa.Array:
+    out = []
+    for x, y in zip(a, b, strict=True):
+        x, y = x.values.to_numpy(), y.values.to_numpy()
+        common = len(np.intersect1d(x, y, assume_unique=True))
+        out.append(common / max(1, len(x) + len(y) - common))
+    return pa.array(out, type=pa.float64())
+
+
+def similar_links(codes: DataFrame, texts: DataFrame, similarity: float, words_in_shingle: int) -> DataFrame:
+    """Pairs (a, b) of nodes that connect all texts of at least this Jaccard similarity.
+    ``codes`` has ``node, code``, each once, ``texts`` a text for each code.
+
+    Candidates that pass the distance on all bits are verified on their shingle sets.
+    First each code is compared with the smallest node of its buckets, which joins most of
+    a large group along stars.  Then the balls are looked up, and pairs that the stars have
+    not joined are compared.  So a dense group is not written out as all its pairs.
+    """
+    width, count = segments_for(codes.count(), similarity)
+    far = expected_share(similarity) + SLACK
+    # three standard deviations of a distance on 64 bits above the share
+    rough = int(64 * far + 3 * math.sqrt(64 * far * (1 - far)))
+    sketched = settled(codes.withColumn("word", _first_word("code")), "sketched")
+
+    @F.arrow_udf(T.ArrayType(T.LongType()))
+    def shingles(found: pa.Array) -> pa.Array:
+        return pa.array(
+            [shingle_hashes(t, words_in_shingle).view("<i8") for t in found.to_pylist()], type=pa.list_(pa.int64())
+        )
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        a = sketched.select(F.col("node").alias("a"), F.col("code").alias("code_a"))
+        b = sketched.select(F.col("node").alias("b"), F.col("code").alias("code_b"))
+        near = pairs.distinct().join(a, "a").join(b, "b")
+        near = settled(near.where(_distance("code_a", "code_b") <= int(WIDE_BITS * far)), "near")
+        asked = settled(
+            near.select(F.col("a").alias("node"), F.col("code_a").alias("code"))
+            .unionByName(near.select(F.col("b").alias("node"), F.col("code_b").alias("code"))).distinct(),
+            "asked",
+        )
+        sets = texts.join(asked, "code").dropDuplicates(["code"]).select("node", shingles("text").alias("set"))
+        sets = settled(sets, "sets")
+        both = near.join(sets.select(F.col("node").alias("a"), F.col("set").alias("set_a")), "a").join(
+            sets.select(F.col("node").alias("b"), F.col("set").alias("set_b")), "b"
+        )
+        return settled(both.where(_jaccard("set_a", "set_b") >= similarity).select("a", "b"), "links")
+
+    placed = settled(
+        sketched.select("node", "word", F.explode(_keys(width, count, False)("code")).alias("key")), "placed"
+    )
+    lead = settled(
+        placed.groupBy("key").agg(F.min(F.struct("node", "word")).alias("lead"), F.count("*").alias("n"))
+        .where("n > 1").select("key", F.col("lead.node").alias("b"), F.col("lead.word").alias("word_b")),
+        "lead",
+    )
+    stars = verified(
+        placed.join(lead, "key").where(f"node != b AND bit_count(word ^ word_b) <= {rough}").select(F.col("node").alias("a"), "b")
+    )
+    roots = components(stars).select("node", "root")
+
+    def rooted(rows: DataFrame) -> DataFrame:
+        return rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+
+    known = settled(rooted(placed), "known").select("key", F.col("node").alias("b"), F.col("word").alias("word_b"), F.col("root").alias("root_b"))
+    asked = rooted(sketched).select(
+        F.col("node").alias("a"), "word", "root", F.explode(_keys(width, count, True)("code")).alias("key")
+    )
+    balls = verified(
+        asked.join(known, "key")
+        .where(f"a != b AND root != root_b AND bit_count(word ^ word_b) <= {rough}")
+        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    )
+    return stars.unionByName(balls)
+
+
+def near_dedup(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words_in_shingle: int = 5, similarity: float = 0.8
+) -> DataFrame:
+    """The input rows, all columns, of which one for each group of near copies stays: the
+    one with the smallest id.
+
+    Near copies have shingle sets of this Jaccard similarity or more, found by their wide
+    fingerprints; groups are connected by such pairs.  NULL and empty texts are copies of
+    each other.  A group without ids keeps one row.
+    """
+    rows = whole_rows(docs, id=F.col(f"`{id_col}`"), text=F.col(f"`{text_col}`").cast("string"))
+
+    @F.arrow_udf(T.BinaryType())
+    def code(texts: pa.Array) -> pa.Array:
+        return pa.array([wide_fingerprint(shingle_hashes(t, words_in_shingle)) for t in texts.to_pylist()], type=pa.binary())
+
+    marked = settled(rows.select("row", "id", code("text").alias("code")), "marked")
+    codes = settled(
+        marked.groupBy("code").agg(F.min("id").alias("low")).withColumn("node", F.monotonically_increasing_id()), "codes"
+    )
+    roots = components(
+        similar_links(
+            codes.select("node", "code"), marked.select("code", F.col("row")[text_col].alias("text")), similarity, words_in_shingle
+        )
+    )
+    rooted = settled(
+        codes.join(roots, "node", "left").select("code", "low", F.coalesce("root", "node").alias("root")), "roots"
+    )
+    # One code a group: the one with the smallest id.
+    first = rooted.groupBy("root").agg(F.min(F.struct(F.col("low").isNull().alias("none"), "low", "code")).alias("first"))
+    stays = settled(first.select(F.col("first.code").alias("code"), F.col("first.low").alias("low")), "stays")
+    kept = marked.join(stays, "code").where(F.col("id").eqNullSafe(F.col("low")))
+    return kept.dropDuplicates(["code"]).select("row.*")
+
+
 def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words_in_shingle: int = 3) -> DataFrame:
     """The input rows, all columns, of which one for each component stays: the one with
     the smallest id (of rows that repeat id and text, one)."""

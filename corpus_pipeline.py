@@ -26,10 +26,10 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of near copies, the one with the smallest doc_id; five-word
-    shingles."""
+    """One row of each group of near copies, the one with the smallest doc_id: five-word
+    shingles, similarity of 0.8 or more."""
     ship(spark)
-    return simhash.simhash_dedup(docs, words_in_shingle=5)
+    return simhash.near_dedup(docs, words_in_shingle=5, similarity=0.8)
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
