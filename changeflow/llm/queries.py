@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeflow.llm import exact, packing, pii, simhash, tokens, toxicity
-from changeflow.llm.common import ship, table
+from changeflow.llm import exact, packing, pii, simhash, tokens, toxicity, warc
+from changeflow.llm.common import ship, table, workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -34,6 +34,18 @@ def op3_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.withColumnRenamed("id", "doc_id")
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = workspace(spark, "archives")
+    warc.write_archives(table(spark, sf_dir, "pages"), folder)
+    return warc.read_archives(spark, folder).select(
+        F.col("id").cast("long").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        F.col("type").alias("record_type"),
+        F.col("refers_to").cast("long").alias("refers_to"),
+    )
+
+
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find_pii(table(spark, sf_dir, "documents"))
     base = F.filter("spans", lambda s: s["base"])
@@ -83,6 +95,7 @@ QUERIES: dict[str, Query] = {
         op1_best_fit_packing,
         op2_token_counts,
         op3_bpe_codec,
+        op4_warc,
         op5_pii,
         op8_toxicity,
         op9_exact_dedup,
@@ -91,6 +104,19 @@ QUERIES: dict[str, Query] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op4_warc": """
+        WITH sized AS (
+            SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+                   sha256(coalesce(html, '')) AS payload_digest
+            FROM pages
+        ), firsts AS (
+            SELECT payload_digest AS d, min(page_id) AS first_id FROM sized WHERE payload_bytes >= 100 GROUP BY 1
+        )
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+        FROM sized LEFT JOIN firsts ON payload_digest = d AND payload_bytes >= 100
+    """,
     "op9_exact_dedup": """
         SELECT doc_id,
                max(doc_id) OVER same AS keep_id,
