@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeflow.llm import exact, packing, pii, simhash, tokens, toxicity, warc
+from changeflow.llm import exact, neighbours, packing, pii, simhash, tokens, toxicity, warc
 from changeflow.llm.common import ship, table, workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,6 +61,10 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.near_vectors(table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
     scored = toxicity.toxicity(table(spark, sf_dir, "documents"), labels, ~toxicity.held_out(F.col("id")))
@@ -97,6 +101,7 @@ QUERIES: dict[str, Query] = {
         op3_bpe_codec,
         op4_warc,
         op5_pii,
+        op6_nn_descent,
         op8_toxicity,
         op9_exact_dedup,
         op10_simhash,
