@@ -23,6 +23,9 @@ EXAMPLES = 4000
 TERMS = 1024
 LEAST_CHI2 = 20.0
 LEAST_EXAMPLES = 3
+#: How many times as frequent a term must be among toxic examples as among clean ones; the
+#: more examples there are, the fainter the associations that chi-square alone lets pass.
+LEAST_LIFT = 5.0
 #: Lengths of the word beginnings that are terms beside the whole words.
 BEGINNINGS = (4, 5, 6, 7, 8)
 #: Mark of the term that stands for a second occurrence: repetition tells more than presence.
@@ -131,7 +134,7 @@ def _select_terms(taught: DataFrame, n_toxic: int, n_clean: int) -> list[str]:
     total = float(n_toxic + n_clean)
     a, b = F.col("a"), F.col("b")
     c, d = F.lit(float(n_toxic)) - a, F.lit(float(n_clean)) - b
-    scored = held.where((a >= LEAST_EXAMPLES) & (a * n_clean > b * n_toxic)).select(
+    scored = held.where((a >= LEAST_EXAMPLES) & (a * n_clean >= LEAST_LIFT * b * n_toxic)).select(
         "term", (F.lit(total) * (a * d - b * c) ** 2 / F.nullif((a + b) * (c + d) * n_toxic * n_clean, F.lit(0.0))).alias("chi2")
     )
     best = scored.where(F.col("chi2") >= LEAST_CHI2).orderBy(F.desc("chi2"), "term").limit(TERMS)
