@@ -181,17 +181,21 @@ class Model:
     def nearest(self, ids: np.ndarray, weights: np.ndarray, leave: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """The most similar vectors and their cosines, exactly; ties go to the smaller position.
 
-        Blocks come in the order of the most they can reach; the search ends when that
-        is less than what the last neighbour has.
+        The blocks that can reach most are read first.  What the last of their neighbours has
+        decides which of the other blocks are read at all.
         """
         blocks = np.unique(np.concatenate([self.postings[t] for t in ids])) if len(ids) else np.zeros(0, dtype=np.int64)
         bound = self.block_max[np.ix_(blocks, ids)] @ weights
         order = np.argsort(-bound, kind="stable")
         at, found = np.zeros(0, dtype=np.int64), np.zeros(0)
-        for k in order:
-            if len(at) >= NEIGHBOURS and bound[k] < found[-1] - 1e-12:
-                break
-            rows = np.arange(blocks[k] * BLOCK, min((blocks[k] + 1) * BLOCK, len(self.vectors)))
+        first = -(-NEIGHBOURS // BLOCK) + 1
+        for step in (order[:first], order[first:]):
+            if len(at) >= NEIGHBOURS:
+                step = step[bound[step] >= found[-1] - 1e-12]
+            if not len(step):
+                continue
+            rows = (blocks[step, None] * BLOCK + np.arange(BLOCK)).ravel()
+            rows = rows[rows < len(self.vectors)]
             sims = self.vectors[np.ix_(rows, ids)] @ weights
             use = (sims > 0) & (rows != leave)
             at, found = np.concatenate([at, rows[use]]), np.concatenate([found, sims[use]])
