@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeflow.llm import exact, neighbours, packing, pii, simhash, tokens, toxicity, warc
+from changeflow.llm import exact, neighbours, packing, pii, repeats, simhash, tokens, toxicity, warc
 from changeflow.llm.common import ship, table, workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,6 +65,11 @@ def op6_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.near_vectors(table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
 
 
+def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = repeats.without_repeats(table(spark, sf_dir, "documents"))
+    return done.withColumnRenamed("id", "doc_id")
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
     scored = toxicity.toxicity(table(spark, sf_dir, "documents"), labels, ~toxicity.held_out(F.col("id")))
@@ -102,6 +107,7 @@ QUERIES: dict[str, Query] = {
         op4_warc,
         op5_pii,
         op6_nn_descent,
+        op7_suffix_array_dedup,
         op8_toxicity,
         op9_exact_dedup,
         op10_simhash,
