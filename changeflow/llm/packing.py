@@ -203,47 +203,64 @@ def plan(counts: np.ndarray, capacity: int = CAPACITY, rounds: int = ROUNDS) ->
 
     The configuration program asks for numbers x of patterns with, for each length, at
     least its count covered.  Multiplicative weights: each round prices the lengths by
-    their weight, finds the best pattern, uses it until it has covered an even share of
-    some length and lowers the weights of what it covers.  The numbers are scaled to
-    what is needed, rounded down, and best-fit decreasing packs what is left.
+    their weights, finds the best pattern, uses it for a share of what its scarcest length
+    still needs, and lowers the weights of what it covers.  The numbers are rounded down
+    and best-fit decreasing packs what is left; patterns that leave room are rounded too
+    if they leave little.  How little is tried out, down to using none.
     """
     counts = counts.astype(np.int64)
-    tokens = int((np.arange(capacity + 1) * counts).sum())
-    bound = -(-tokens // capacity)
+    full = np.arange(capacity + 1)
+    bound = -(-int((full * counts).sum()) // capacity)
+    used = _fractional(counts, capacity, rounds)
+    tried = [_rounded(counts, capacity, used, waste) for waste in (-1, *(int(capacity * w) for w in (0.0, 0.005, 0.02, 0.05)))]
+    best = min(tried, key=lambda t: sum(t[1]))
+    return Plan(*best, bound)
+
+
+def _fractional(counts: np.ndarray, capacity: int, rounds: int) -> list[tuple[np.ndarray, float]]:
+    """Patterns and how often each is used, not yet whole numbers; those used most first."""
     present = counts > 0
-    share = np.where(present, np.maximum(counts, 1), 1).astype(float)
-    weight = np.where(present, np.arange(capacity + 1) / share, 0.0)
+    if not present.any():
+        return []
+    full = np.arange(capacity + 1)
+    need = np.maximum(counts, 1).astype(float)
+    # Long pieces fit in fewer places: a little dearer by the token.
+    weight = np.where(present, full * (1 + 0.2 * full / capacity), 0.0)
     used: dict[bytes, float] = {}
     covered = np.zeros(capacity + 1)
-    for _ in range(rounds if present.any() else 0):
-        # Lengths that have been covered in full ask for no more.
-        pattern = _best_pattern(np.where(covered < counts, weight * share, 0.0), counts, capacity)
+    for _ in range(rounds):
+        # A length that has been covered in full asks for no more.
+        pattern = _best_pattern(np.where(covered < counts, weight, 0.0), counts, capacity)
         if not pattern.any():
             break
         at = pattern > 0
-        step = float((share[at] / pattern[at]).min()) * 0.5
+        step = 0.5 * float((np.maximum(need - covered, 1.0)[at] / pattern[at]).min())
         used[pattern.tobytes()] = used.get(pattern.tobytes(), 0.0) + step
         covered += pattern * step
-        weight[at] *= np.exp(-0.5 * pattern[at] * step / share[at])
-    left = counts.copy()
-    patterns, times = [], []
+        weight[at] *= np.exp(-0.1 * pattern[at] * step / need[at])
+    return sorted(((np.frombuffer(k, dtype=np.int64), x) for k, x in used.items()), key=lambda e: (-e[1], e[0].tobytes()))
+
+
+def _rounded(counts: np.ndarray, capacity: int, used: list, waste: int) -> tuple[list[tuple[int, ...]], list[int]]:
+    """Patterns and numbers for all pieces; of ``used`` those that leave ``waste`` free at most."""
+    left, full = counts.copy(), np.arange(capacity + 1)
+    patterns: list[tuple[int, ...]] = []
+    times: list[int] = []
 
     def put(lengths: tuple[int, ...], n: int) -> None:
         patterns.append(lengths)
         times.append(n)
 
-    full = np.arange(capacity + 1)
-    for key, x in sorted(used.items(), key=lambda e: (-int(full @ np.frombuffer(e[0], dtype=np.int64)), -e[1], e[0])):
-        pattern = np.frombuffer(key, dtype=np.int64)
-        if int(full @ pattern) < capacity:
-            continue  # rounding leaves room: best fit does better on these
+    for pattern, x in used:
+        if capacity - int(full @ pattern) > waste:
+            continue
         at = pattern > 0
         n = min(int(x), int((left[at] // pattern[at]).min()))
         if n:
             left -= n * pattern
             put(tuple(int(k) for k in np.repeat(full[at], pattern[at])[::-1]), n)
     _best_fit(left, capacity, put)
-    return Plan(patterns, times, bound)
+    return patterns, times
 
 
 def _slots(made: Plan, capacity: int) -> list[tuple[np.ndarray, ...]]:
