@@ -49,7 +49,7 @@ from changeflow.sources.decode import (  # noqa: E402
     unwrap_envelope,
     version_col,
 )
-from changeflow.sources.derived import (  # noqa: E402
+from fixtures import (  # noqa: E402
     AS_OF_EVENTS,
     AS_OF_ORDERS,
     derived_changes,
@@ -221,9 +221,12 @@ def _snapshot(spark: SparkSession, sf: str) -> DataFrame:
 def _backfill_csv(spark: SparkSession, sf: str) -> DataFrame:
     root = scratch_dir(spark, "backfill")
     exported = _history(spark, sf, USER_LOGS)
-    exported.write.option("header", "true").option("emptyValue", "").csv(f"{root}/export")
+    # In another order than the table's: columns are found by name.
+    turned = exported.select(*reversed(exported.columns))
+    turned.write.option("header", "true").option("emptyValue", "").csv(f"{root}/export")
     sinks = stream.open_sinks(spark, USER_LOGS, root)
-    sinks.write_load(backfill_csv(spark, USER_LOGS, f"{root}/export"), "backfill")
+    read = backfill_csv(spark, USER_LOGS, f"{root}/export", multi_line=False)
+    sinks.write_load(read.good, "backfill")
     return sinks.history.rows().select(*USER_LOGS.history_schema().names)
 
 
@@ -249,7 +252,7 @@ def _stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
 def _stream_state(spark: SparkSession, sf: str) -> DataFrame:
     """The first batches are compacted, the last one is merged on read."""
     sinks = _ingested(spark, _messages(spark, sf, CUSTOMER_ID), CUSTOMER_ID)
-    sinks.compact(through=MESSAGE_SLICES - 2)
+    sinks.compact()
     return sinks.current_rows()
 
 
@@ -258,11 +261,12 @@ def _preagg_stream(
 ) -> stream.BatchTable:
     root = scratch_dir(spark, preagg.name)
     store = preagg.store(spark, root)
+    quarantine = stream.quarantine_table(spark, preagg.table, root)
     _arrivals(
         messages,
         f"{root}/inbox",
         lambda: stream.stream_preagg(
-            _stream_of(spark, preagg.table, f"{root}/inbox"), preagg, store, f"{root}/checkpoint"
+            _stream_of(spark, preagg.table, f"{root}/inbox"), preagg, store, quarantine, f"{root}/checkpoint"
         ),
     )
     return store
@@ -280,24 +284,22 @@ def _late_data(spark: SparkSession, sf: str) -> DataFrame:
 
 def _compact_partials(spark: SparkSession, sf: str) -> DataFrame:
     store = _preagg_stream(spark, _messages(spark, sf, CDR), pre.DISPOSITION_SUMMARY)
-    store.compact(through=MESSAGE_SLICES - 2)
+    store.compact()
     return store.merged()
 
 
 def _stream_minutes(spark: SparkSession, sf: str) -> DataFrame:
-    """Streaming tumbling windows; the watermark is wide enough to keep all."""
+    """Streaming tumbling windows; every slice adds to minutes of the slices before."""
     root = scratch_dir(spark, "minutes")
     store = stream.minutes_table(spark, root)
 
     def start():
         messages = _stream_of(spark, CDR, f"{root}/inbox")
         calls = ingest_project(decode_json_rows(messages, CDR), CDR)
-        return stream.stream_minutes(
-            stream.tumbling_minute(calls, "400 days"), store, f"{root}/checkpoint"
-        )
+        return stream.stream_minutes(calls, store, f"{root}/checkpoint")
 
     _arrivals(_messages(spark, sf, CDR), f"{root}/inbox", start)
-    return store.merged().drop("_batch")
+    return store.merged()
 
 
 def _delete_handling(history: DataFrame) -> DataFrame:
@@ -330,10 +332,8 @@ def _calls_results(spark: SparkSession, sf: str) -> list[DataFrame]:
     return [_history(spark, sf, CDR), _history(spark, sf, COLLECTION_RESULT)]
 
 
-def _joined(mode: str, **spread: int) -> Query:
-    return lambda spark, sf: views.join_calls_results(
-        *_calls_results(spark, sf), mode, **spread
-    ).select("uniqueid", "calldate", "result_id", "classification")
+def _joined(mode: str) -> Query:
+    return lambda spark, sf: views.join_calls_results(*_calls_results(spark, sf), mode).select("uniqueid", "calldate", "result_id", "classification")
 
 
 def _histories(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
@@ -399,7 +399,7 @@ def _scalar_functions(queue: DataFrame) -> DataFrame:
         F.to_date(marked).alias("marked_day"),
         F.unix_seconds(marked).alias("marked_s"),
         F.unix_millis(marked).alias("marked_ms"),
-        fn.month_key(marked).alias("marked_month"),
+        fn.month_key(F.unix_millis(marked)).alias("marked_month"),
         F.date_trunc("minute", marked).alias("marked_minute"),
         F.date_format(marked, "yyyy-MM-dd HH:mm").alias("marked_text"),
         (F.unix_seconds(fn.as_of_ts(AS_OF_EVENTS)) - F.unix_seconds(marked)).alias("age_s"),
@@ -503,7 +503,7 @@ def _registry() -> dict[str, Query]:
     # 2.3 joins
     q["join_calls_results"] = _joined("literal")
     q["join_calls_results_clean"] = _joined("clean")
-    q["join_calls_results_spread"] = _joined("literal", hot_rows=1, salts=4)
+    q["join_calls_results_spread"] = _joined("literal")  # an older name of the same
     q["cross_scalar"] = _on(CUSTOMER_ID, _cross_scalar)
     q["scalar_subquery"] = _on_state(COLLECTION_TASK, _per_contract)
 

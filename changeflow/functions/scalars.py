@@ -5,9 +5,11 @@ from __future__ import annotations
 import datetime as dt
 import re
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import require_utc
+
 AsOf = dt.datetime | str | Column | None
 
 # Aging bucket labels with their inclusive upper bounds in days.
@@ -21,6 +23,9 @@ FUNNEL_STAGES = ("Task Created", "Called", "Answered", "PTP", "Paid")
 
 def as_of_ts(as_of: AsOf = None) -> Column:
     """Reference time of relative windows; the current time if not given."""
+    spark = SparkSession.getActiveSession()
+    if spark is not None:
+        require_utc(spark)
     if as_of is None:
         return F.current_timestamp()
     if isinstance(as_of, Column):
@@ -48,13 +53,17 @@ def since_day(ts: Column | str, as_of: AsOf, days: int) -> Column:
     return (F.col(ts) if isinstance(ts, str) else ts) >= start
 
 
-def asof_cut_ms(day: dt.date | str) -> Column:
-    """The last instant of a day that an as-of query sees: 23:59:59.000 UTC."""
+def asof_cut(day: dt.date | str) -> int:
+    """The last instant of a day that an as-of query sees, in milliseconds: 23:59:59.000
+    UTC, whatever the session's zone."""
     text = day.isoformat() if isinstance(day, dt.date) else day
     if not re.fullmatch(r"\d{4}-\d{2}-\d{2}", text):
         raise ValueError(f"not a YYYY-MM-DD date: {text!r}")
-    dt.date.fromisoformat(text)
-    return F.unix_millis(F.lit(f"{text} 23:59:59").cast("timestamp"))
+    return ((dt.date.fromisoformat(text) - dt.date(1970, 1, 1)).days + 1) * 86_400_000 - 1000
+
+
+def asof_cut_ms(day: dt.date | str) -> Column:
+    return F.lit(asof_cut(day)).cast("bigint")
 
 
 def round_half_up(x: Column, digits: int) -> Column:
@@ -115,9 +124,11 @@ def stage_label(level: Column) -> Column:
     return F.when(level == 0, F.lit("Start")).otherwise(F.try_element_at(names, level))
 
 
-def month_key(ts: Column) -> Column:
-    """yyyyMM as an integer, e.g. 202401."""
-    return F.date_format(ts, "yyyyMM").cast("int")
+def month_key(ms: Column) -> Column:
+    """yyyyMM in UTC as an integer, e.g. 202401, of milliseconds; independent of the
+    session's zone."""
+    day = F.date_from_unix_date(F.floor(ms / F.lit(86_400_000)).cast("int"))
+    return (F.year(day) * 100 + F.month(day)).cast("int")
 
 
 def row_hash(*cols: Column) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import require_utc
 from ..sources.batches import BatchTable
 from ..specs import CDR, COLLECTION_RESULT, USER_RELEASES, TableSpec
 from .state import scan_state
@@ -74,6 +75,7 @@ class Preagg:
 
     def partial(self, rows: DataFrame) -> DataFrame:
         """Partial aggregate of any set of history or state rows."""
+        require_utc(rows.sparkSession)
         dims = [F.expr(e).cast(t).alias(n) for n, e, t in self.dims]
         parts = [c for m in self.measures for c in m.partial()]
         return rows.where(self.where).groupBy(*dims).agg(*parts).select(*self.schema().names)

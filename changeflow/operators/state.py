@@ -12,7 +12,8 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.scalars import asof_cut_ms, month_key
+from ..functions.scalars import asof_cut, month_key
+from ..session import require_utc
 from ..specs import TableSpec
 
 
@@ -26,6 +27,7 @@ def latest_per_key(history: DataFrame, spec: TableSpec) -> DataFrame:
     Catalyst, and a filter on key columns is pushed below it.  Filters on other
     columns must come after it: before it they would revive old versions.
     """
+    require_utc(history.sparkSession)
     if "_version" in history.columns:
         return history
     newest = Window.partitionBy(*spec.key).orderBy(F.desc("_ts_ms"), F.desc("_seq"))
@@ -48,38 +50,14 @@ def scan_state(history: DataFrame, spec: TableSpec) -> DataFrame:
     return upsert_state(history, spec).where(F.col("_is_deleted") == 0)
 
 
-def merge_newer(
-    settled: DataFrame, newer: DataFrame, spec: TableSpec, max_keys: int = 1_000_000
-) -> DataFrame:
-    """``latest_per_key(settled + newer)`` where ``settled`` has one row per key.
-
-    Only keys that occur in ``newer`` can change.  If there are at most
-    ``max_keys`` of them (counted first), they are broadcast: all other settled
-    rows pass without a shuffle.  Otherwise everything is folded.
-    """
-    key = list(spec.key)
-    touched = newer.select(*key).distinct()
-    if touched.limit(max_keys + 1).count() > max_keys:
-        return latest_per_key(settled.unionByName(newer), spec)
-    untouched = settled.join(F.broadcast(touched), key, "left_anti")
-    changed = settled.join(F.broadcast(touched), key, "left_semi").unionByName(newer)
-    return untouched.unionByName(latest_per_key(changed, spec))
-
-
-def lookup_state(
-    history: DataFrame, spec: TableSpec, where: Column, max_keys: int = 1_000_000
-) -> DataFrame:
+def lookup_state(history: DataFrame, spec: TableSpec, where: Column) -> DataFrame:
     """``scan_state`` filtered by a selective condition on any column.
 
     A current row that matches has a version that matches, so only keys with a
-    matching version need to be folded.  If there are at most ``max_keys`` of
-    them (counted first), they are broadcast and the rest of the history is
-    dropped before the shuffle; otherwise the whole state is computed.
+    matching version need to be folded.
     """
     keys = history.where(where).select(*spec.key).distinct()
-    if keys.limit(max_keys + 1).count() <= max_keys:
-        history = history.join(F.broadcast(keys), list(spec.key), "left_semi")
-    return scan_state(history, spec).where(where)
+    return scan_state(history.join(keys, list(spec.key), "left_semi"), spec).where(where)
 
 
 def before_cut(history: DataFrame, day: dt.date | str) -> DataFrame:
@@ -88,10 +66,10 @@ def before_cut(history: DataFrame, day: dt.date | str) -> DataFrame:
     Stored history also gets the partition predicate, which a filter on the
     change time alone would not give.
     """
-    cut = asof_cut_ms(day)
+    cut = F.lit(asof_cut(day))
     seen = history.where(F.col("_ts_ms") <= cut)
     if "_month" in history.columns:
-        seen = seen.where(F.col("_month") <= month_key(F.timestamp_millis(cut)))
+        seen = seen.where(F.col("_month") <= month_key(cut))
     return seen
 
 

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import AsOf, aging_bucket, as_of_ts, rate_pct_positive
-from ..operators.joins import has_hot_key, spread_left_join
 from ..operators.state import latest_per_key, scan_state
 from ..specs import (
     AGENT_LOGIN_STATUS,
@@ -35,20 +34,16 @@ def v_agent_login_status(agents: DataFrame, as_of: AsOf = None) -> DataFrame:
     )
 
 
-def join_calls_results(
-    calls: DataFrame,
-    results: DataFrame,
-    mode: str = "literal",
-    hot_rows: int = 10_000_000,
-    salts: int = 64,
-) -> DataFrame:
+def join_calls_results(calls: DataFrame, results: DataFrame, mode: str = "literal") -> DataFrame:
     """Current calls LEFT JOIN collection results on the call id.
 
     ``literal`` filters deleted results after the join, so a call whose only
     result is deleted disappears; ``clean`` filters them before, so that call
-    stays without result.  If a call id has more than ``hot_rows`` result
-    versions, the join is spread over ``salts`` tasks per hot id; a count of the
-    ids, done first, decides.
+    stays without result.
+
+    Written as an inner join and the calls without partner: adaptive execution
+    splits a skewed key on either side of an inner join, but only on the left of
+    a left join; the ids of the second part are made distinct before they meet.
     """
     if mode not in ("literal", "clean"):
         raise ValueError(f"mode must be 'literal' or 'clean', not {mode!r}")
@@ -60,22 +55,18 @@ def join_calls_results(
         F.col("ptp_date").alias("result_date"),
         F.col("_is_deleted").alias("result_deleted"),
     )
-    if mode == "clean":
-        newest = newest.where(F.col("result_deleted") == 0)
+    live = newest.where(F.col("result_deleted") == 0)
+    partners = newest if mode == "literal" else live
     current = scan_state(calls, CDR)
-    if has_hot_key(results, "call_id", hot_rows):
-        joined = spread_left_join(
-            current, newest, "uniqueid", "call_id", "result_id", hot_rows, salts
-        )
-    else:
-        joined = current.join(newest, F.col("uniqueid") == F.col("call_id"), "left")
-    return joined.where((F.col("result_deleted") == 0) | F.col("result_deleted").isNull())
+    met = current.join(live, F.col("uniqueid") == F.col("call_id"))
+    ids = partners.select(F.col("call_id").alias("_met")).distinct()
+    alone = current.join(ids, F.col("uniqueid") == F.col("_met"), "left_anti")
+    missing = (F.lit(None).cast(f.dataType).alias(f.name) for f in newest.schema.fields)
+    return met.unionByName(alone.select(*current.columns, *missing))
 
 
-def v_cdr(
-    calls: DataFrame, results: DataFrame, mode: str = "literal", **spread: int
-) -> DataFrame:
-    return join_calls_results(calls, results, mode, **spread).select(
+def v_cdr(calls: DataFrame, results: DataFrame, mode: str = "literal") -> DataFrame:
+    return join_calls_results(calls, results, mode).select(
         "uniqueid",
         "calldate",
         F.col("src").alias("source_number"),

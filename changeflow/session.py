@@ -2,11 +2,7 @@
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
 import uuid
-from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -18,25 +14,23 @@ def pin_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def require_utc(spark: SparkSession) -> None:
+    """Days and minutes are cut in UTC; another zone would move them without a word."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    if zone not in ("UTC", "Etc/UTC", "Z", "GMT", "+00:00"):
+        raise ValueError(f"the session time zone is {zone}; set it to UTC (session.pin_utc)")
+
+
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder that every executor can reach.
+    """A fresh folder that every executor can reach, deleted when the session ends.
 
-    Lies under ``spark.checkpoint.dir`` as set by the cluster.  Only a local
-    session without that setting gets a temporary folder of its own.
+    Lies under ``spark.checkpoint.dir`` as set by the cluster, or in the warehouse.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        root = _local_root()
-    return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
-
-
-@cache
-def _local_root() -> str:
-    root = tempfile.mkdtemp(prefix="changeflow-")
-    atexit.register(shutil.rmtree, root, ignore_errors=True)
-    return root
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    folder = f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return folder
 
 
 def local_session(cores: str | int = "*", shuffle_partitions: int = 8, **conf: str) -> SparkSession:

@@ -1,43 +1,54 @@
 """Tables written one batch at a time, merged on read.
 
-Layout, all plain Parquet::
+Layout, all plain Parquet and one log::
 
-    <path>/batches/batch_id=<n>/...      one folder per micro-batch
-    <path>/loads/load=<name>/...         one folder per bulk load
-    <path>/segments/<through>-<id>/...   several batches rewritten into large files
-    <path>/segment_log/*.parquet         one row per finished segment
+    <path>/data/_write=<id>/...       one folder per write
+    <path>/log/w~<run>~<n>~<at>~<id>  an empty file: batch n of a run is complete
+    <path>/log/f~<at>~<id>            JSON: what the last compaction left
 
-A batch replaces its own folder, so a batch that is run again after a failure
-leaves one copy.  Compaction writes a new segment beside the batches and then
-appends one row to the log; readers take the segments of the log plus the
-batches after them, so they never see half of a compaction.
+Readers take what the log lists and nothing else, so they never see half of a write.
+A batch is known by the run that wrote it (one for each checkpoint, one for each bulk
+load) and its number in that run: a new checkpoint starts a new run and hides nothing.
+A batch that is written again after a failure replaces its first copy when it is
+complete.  A batch that a compaction has taken in is settled and cannot be written again.
 """
 
 from __future__ import annotations
 
-import re
+import json
+import time
 import uuid
 from collections.abc import Callable, Sequence
-from functools import reduce
+from dataclasses import dataclass, field
+from urllib.parse import quote, unquote
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 Fold = Callable[[DataFrame], DataFrame]
-SEGMENT_LOG = T.StructType(
-    [
-        T.StructField("after", T.LongType()),  # NULL: from the first batch on
-        T.StructField("through", T.LongType()),
-        T.StructField("path", T.StringType()),
-    ]
-)
+BUCKET, WRITE = "_bucket", "_write"
+LOAD = "load:"
+
+
+@dataclass
+class _Log:
+    """``base``: folders of the last compaction with their bucket; ``through``: the last
+    settled number of each run; ``newer``: complete writes since, newest copy of each."""
+
+    base: list[tuple[int | None, str]] = field(default_factory=list)
+    through: dict[str, int] = field(default_factory=dict)
+    newer: dict[tuple[str, int], str] = field(default_factory=dict)
+    files: list[str] = field(default_factory=list)
 
 
 class BatchTable:
-    """``fold`` merges rows of several batches; it must not care how they were
-    grouped or ordered (sums of partial aggregates, newest row per key)."""
+    """``fold`` merges rows of several batches; it must not care how they were grouped or
+    ordered (sums of partial aggregates, newest row per key).
+
+    With ``buckets``, rows are kept by a hash of ``bucket_by``, which must be what ``fold``
+    groups by.  A compaction then rewrites, and a read folds, only buckets with new rows.
+    """
 
     def __init__(
         self,
@@ -47,6 +58,8 @@ class BatchTable:
         fold: Fold | None = None,
         partition_by: Sequence[str] = (),
         sort_by: Sequence[str] = (),
+        buckets: int = 0,
+        bucket_by: Sequence[str] = (),
     ):
         self.spark = spark
         self.path = path.rstrip("/")
@@ -54,21 +67,31 @@ class BatchTable:
         self.fold = fold
         self.partition_by = list(partition_by)
         self.sort_by = list(sort_by)
+        self.buckets = buckets
+        self.bucket_by = list(bucket_by)
 
     # -- writing -----------------------------------------------------------
 
-    def write_batch(self, rows: DataFrame, batch_id: int) -> None:
-        self._write(rows, f"{self.path}/batches/batch_id={int(batch_id)}")
+    def write_batch(self, rows: DataFrame, batch_id: int, run: str = "stream") -> None:
+        through = self._log().through.get(run)
+        if through is not None and batch_id <= through:
+            raise ValueError(f"batch {batch_id} of run {run!r} is settled in {self.path}")
+        folder = self._write(rows)
+        self._mark(f"w~{quote(run, safe='')}~{int(batch_id)}~{time.time_ns()}~{folder}")
 
     def write_load(self, rows: DataFrame, name: str) -> None:
-        """A bulk load beside the stream; loading the same name replaces it."""
-        self._write(self._arranged(rows), f"{self.path}/loads/load={name}")
-
-    def _write(self, rows: DataFrame, folder: str) -> None:
-        writer = rows.select(*self.schema.names).write.mode("overwrite")
-        if self.partition_by:
-            writer = writer.partitionBy(*self.partition_by)
-        writer.parquet(folder)
+        """A bulk load; the same name replaces it until a compaction has taken it in."""
+        self.write_batch(self._arranged(rows), 0, LOAD + name)
+
+    def _write(self, rows: DataFrame) -> str:
+        folder = f"{WRITE}=w{uuid.uuid4().hex}"
+        rows, parts = rows.select(*self.schema.names), self.partition_by
+        if self.buckets:
+            bucket = F.pmod(F.xxhash64(*self.bucket_by), F.lit(self.buckets)).cast("int")
+            rows, parts = rows.withColumn(BUCKET, bucket).hint("rebalance", BUCKET), [BUCKET, *parts]
+        writer = rows.write.partitionBy(*parts) if parts else rows.write
+        writer.parquet(f"{self.path}/data/{folder}")
+        return folder
 
     def _arranged(self, rows: DataFrame) -> DataFrame:
         """Few files per partition value.
@@ -82,108 +105,128 @@ class BatchTable:
     # -- reading -----------------------------------------------------------
 
     def rows(self) -> DataFrame:
-        """All stored rows, not merged."""
-        settled, newer = self.settled_and_newer()
-        return newer if settled is None else settled.unionAll(newer)
-
-    def settled_and_newer(self) -> tuple[DataFrame | None, DataFrame]:
-        """The segment that starts at the first batch, merged in itself, and all
-        rows that came after it or beside it."""
-        segments = self._segments()
-        settled = self._read(segments[0][2]) if segments else None
-        newer = [self._batches(after=segments[-1][1] if segments else None)]
-        folders = [path for _, _, path in segments[1:]] + [f"{self.path}/loads"]
-        newer += [part for part in map(self._read, folders) if part is not None]
-        return settled, reduce(DataFrame.unionAll, newer)
+        """All stored rows, not merged, in one scan."""
+        log = self._log()
+        return self._read([f for _, f in log.base] + list(log.newer.values()))
 
     def merged(self) -> DataFrame:
-        rows = self.rows()
-        return self.fold(rows) if self.fold else rows
+        """Stored rows, folded.  What the last compaction left, and nothing has come to
+        since, passes as it is, without a shuffle."""
+        log = self._log()
+        if self.fold is None:
+            return self.rows()
+        if not log.newer:
+            return self._read([f for _, f in log.base])
+        touched = self._touched(log)
+        old = [f for b, f in log.base if b in touched]
+        folded = self.fold(self._read(old + list(log.newer.values())))
+        settled = [f for b, f in log.base if b not in touched]
+        return self._read(settled).unionByName(folded) if settled else folded
+
+    def _read(self, folders: list[str]) -> DataFrame:
+        if not folders:
+            return self.spark.createDataFrame([], self.schema)
+        paths = [f"{self.path}/data/{f}" for f in folders]
+        # All folders are one table, partitioned by write, bucket and the table's own columns.
+        reader = self.spark.read.schema(self.schema).option("basePath", f"{self.path}/data")
+        return reader.parquet(*paths).select(*self.schema.names)
 
-    def _read(self, folder: str) -> DataFrame | None:
-        found = _read_parquet(self.spark, folder, self.schema)
-        return None if found is None else found.select(*self.schema.names)
+    def _touched(self, log: _Log) -> set[int | None]:
+        """Buckets with new rows, from folder names; without buckets there is one."""
+        if not self.buckets:
+            return {None}
+        return {b for folder in log.newer.values() for b in self._buckets_in(folder)}
 
-    def _batches(self, after: int | None, through: int | None = None) -> DataFrame:
-        numbered = T.StructType([*self.schema.fields, T.StructField("batch_id", T.LongType())])
-        out = _read_parquet(self.spark, f"{self.path}/batches", numbered)
-        if out is None:
-            return self.spark.createDataFrame([], self.schema)
-        if after is not None:
-            out = out.where(F.col("batch_id") > after)
-        if through is not None:
-            out = out.where(F.col("batch_id") <= through)
-        return out.select(*self.schema.names)
-
-    def _segments(self) -> list[tuple[int | None, int, str]]:
-        """The segments to read, in batch order: the newest one that starts at
-        the first batch and those after it.  The log has one row per compaction."""
-        log = _read_parquet(self.spark, f"{self.path}/segment_log", SEGMENT_LOG)
-        entries = [] if log is None else [tuple(row) for row in log.collect()]
-        entries.sort(key=lambda e: (e[1], e[0] is None))
-        whole = max((i for i, e in enumerate(entries) if e[0] is None), default=0)
-        return entries[whole:]
+    def _buckets_in(self, folder: str) -> list[int]:
+        names = self._list(f"{self.path}/data/{folder}")
+        return [int(n.removeprefix(f"{BUCKET}=")) for n in names if n.startswith(f"{BUCKET}=")]
 
     # -- compaction --------------------------------------------------------
 
-    def compact(self, through: int, whole: bool | None = None) -> None:
-        """Rewrite the batches up to ``through`` into a segment of large files.
+    def compact(self) -> None:
+        """Rewrite new batches and loads into large files; the last batch of a stream's run,
+        which may have to be written again, stays as it is.
 
-        ``through`` must be a batch that cannot be run again: for a stream, one
-        before the newest.  ``whole`` merges all earlier segments into the new
-        one; that is the default for tables with a ``fold``, which shrinks them.
-        Without it only batches not yet compacted are rewritten, so appending to
-        a large history stays cheap.  Old files stay for readers that use them.
+        A table with a ``fold`` folds them into the buckets they touch; a table without one
+        gets a further folder, so appending to a large history stays cheap.  One compaction
+        at a time; old data folders stay for readers that use them.
         """
-        segments = self._segments()
-        last = segments[-1][1] if segments else None
-        if last is not None and last >= through:
+        log = self._log()
+        last: dict[str, int] = {}
+        for run, n in log.newer:
+            last[run] = max(n, last.get(run, n))
+        taken = {k: f for k, f in log.newer.items() if k[0].startswith(LOAD) or k[1] < last[k[0]]}
+        if not taken:
             return
-        whole = (self.fold is not None if whole is None else whole) or last is None
-        rows = self._batches(after=last, through=through)
-        if whole:
-            old = [self._read(path) for _, _, path in segments]
-            rows = reduce(DataFrame.unionAll, [rows, *(df for df in old if df is not None)])
-        target = f"{self.path}/segments/{int(through)}-{uuid.uuid4().hex}"
-        self._write(self._arranged(self.fold(rows) if self.fold else rows), target)
-        entry = self.spark.createDataFrame([(None if whole else last, through, target)], SEGMENT_LOG)
-        entry.coalesce(1).write.mode("append").parquet(f"{self.path}/segment_log")
-
-    def vacuum(self) -> list[str]:
-        """Delete what no new reader uses: batches that are in a segment, and
-        segments that a later one replaced.  Returns the deleted folders.
-
-        Without this the folder listing grows with every batch.  Run it when
-        readers that started before the last compaction are done.
-        """
-        segments = self._segments()
-        if not segments:
-            return []
-        through, kept = segments[-1][1], {path for _, _, path in segments}
-        hadoop = self.spark._jvm.org.apache.hadoop.fs
-        root = hadoop.Path(self.path)
-        fs = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
-
-        def folders(name: str) -> list[str]:
-            parent = hadoop.Path(root, name)
-            found = fs.listStatus(parent) if fs.exists(parent) else []
-            return [f"{self.path}/{name}/{f.getPath().getName()}" for f in found if f.isDirectory()]
-
-        numbered = re.compile(r"/batch_id=(-?\d+)$")
-        old = [f for f in folders("batches") if (m := numbered.search(f)) and int(m[1]) <= through]
-        # A segment that is not in the log yet belongs to a running compaction.
-        logged = _read_parquet(self.spark, f"{self.path}/segment_log", SEGMENT_LOG)
-        replaced = {row.path for row in logged.collect()} - kept
-        old += [f for f in folders("segments") if f in replaced]
-        for folder in old:
-            fs.delete(hadoop.Path(folder), True)
-        return old
-
-
-def _read_parquet(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame | None:
-    try:
-        return spark.read.schema(schema).parquet(folder)
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None  # nothing written there yet
+        chosen = _Log(newer=taken)
+        touched = self._touched(chosen) if self.fold else set()
+        old = [f for b, f in log.base if self.fold and b in touched]
+        rows = self._read(old + list(taken.values()))
+        folder = self._write(self._arranged(self.fold(rows) if self.fold else rows))
+        kept = [(b, f) for b, f in log.base if not (self.fold and b in touched)]
+        if self.buckets:
+            new = [(b, f"{folder}/{BUCKET}={b}") for b in self._buckets_in(folder)]
+        else:
+            new = [(None, folder)]
+        through = dict(log.through)
+        for run, n in taken:
+            through[run] = max(n, through.get(run, n))
+        left = json.dumps({"base": kept + new, "through": through, "covers": sorted(taken.values())})
+        self._mark(f"f~{time.time_ns()}~{folder}", left)
+        # The new entry holds all that these said.
+        done = set(taken.values())
+        for name in log.files:
+            if name.startswith("f~") or name.split("~")[4] in done:
+                self._fs().delete(self._file(f"{self.path}/log/{name}"), False)
+
+    # -- the log -----------------------------------------------------------------
+
+    def _log(self) -> _Log:
+        names = sorted(self._list(f"{self.path}/log"))
+        out = _Log(files=names)
+        covers: set[str] = set()
+        folds = [n for n in names if n.startswith("f~")]
+        if folds:
+            newest = max(folds, key=lambda n: int(n.split("~")[1]))
+            left = json.loads(self._text(f"{self.path}/log/{newest}"))
+            out.base = [(b, f) for b, f in left["base"]]
+            out.through = left["through"]
+            covers = set(left["covers"])
+        writes = [n.split("~") for n in names if n.startswith("w~")]
+        for _, run, n, _, folder in sorted(writes, key=lambda w: int(w[3])):
+            key = unquote(run), int(n)
+            if folder not in covers and key[1] > out.through.get(key[0], -1):
+                out.newer[key] = folder
+        return out
+
+    def _file(self, path: str):
+        return self.spark._jvm.org.apache.hadoop.fs.Path(path)
+
+    def _fs(self):
+        return self._file(self.path).getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def _list(self, folder: str) -> list[str]:
+        parent = self._file(folder)
+        found = self._fs().listStatus(parent) if self._fs().exists(parent) else []
+        return [f.getPath().getName() for f in found]
+
+    def _mark(self, name: str, text: str = "") -> None:
+        """Creates the file under a name of its own first: it appears whole."""
+        temporary = self._file(f"{self.path}/log/.{uuid.uuid4().hex}")
+        out = self._fs().create(temporary)
+        out.write(bytearray(text.encode()))
+        out.close()
+        if not self._fs().rename(temporary, self._file(f"{self.path}/log/{name}")):
+            raise OSError(f"cannot write {name} in {self.path}/log")
+
+    def _text(self, path: str) -> str:
+        return "\n".join(r.value for r in self.spark.read.text(path, wholetext=True).collect())
+
+
+def run_id(spark: SparkSession, checkpoint: str) -> str:
+    """The name of the run that a checkpoint belongs to, kept inside it."""
+    file = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint.rstrip('/')}/run")
+    fs = file.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(file):
+        spark.createDataFrame([(uuid.uuid4().hex,)], "value string").coalesce(1).write.text(str(file))
+    return spark.read.text(str(file)).first()[0]

@@ -6,6 +6,8 @@ text, NULL for a tombstone) and ``seq`` (arrival order within the source).
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -82,15 +84,32 @@ def snapshot_to_changes(rows: DataFrame, spec: TableSpec, snapshot_ts_ms: int |
     )
 
 
-def backfill_csv(spark: SparkSession, spec: TableSpec, path: str, **options: str) -> DataFrame:
+class Backfill(NamedTuple):
+    good: DataFrame  # history rows
+    bad: DataFrame  # value, seq, reason, as the quarantine has them
+
+
+def backfill_csv(spark: SparkSession, spec: TableSpec, path: str, multi_line: bool = True, **options: str) -> Backfill:
     """Historical rows exported as CSV, already in stored form, with a header.
 
-    The export holds the stored columns plus whatever metadata it has: rows
-    without an operation count as snapshot rows.
+    Columns are taken by name, in any order, the same in all files.  Missing metadata and
+    payload columns get their stored defaults (rows without an operation count as snapshot
+    rows); a missing key column or one that the table does not have is an error.  Lines
+    that do not fit the types go to ``bad``.  Texts may hold line breaks; files without
+    them are read in parallel parts with ``multi_line=False``.
     """
+    options = {"header": "true", "emptyValue": "", "nullValue": "\\N", "multiLine": str(multi_line)} | options
+    names = spark.read.options(**options).csv(path).columns
+    known = {f.name: f for f in spec.history_schema().fields}
+    if unknown := sorted(set(names) - set(known)):
+        raise ValueError(f"{spec.name} has no columns {unknown}")
+    if missing := sorted(set(spec.key) - set(names)):
+        raise ValueError(f"key columns {missing} of {spec.name} are not in the file")
+    broken = "_broken"
+    schema = T.StructType([*(known[n] for n in names), T.StructField(broken, T.StringType())])
     rows = (
-        spark.read.schema(spec.history_schema())
-        .options(header="true", mode="FAILFAST", emptyValue="", nullValue="\\N", **options)
+        spark.read.schema(schema)
+        .options(mode="PERMISSIVE", columnNameOfCorruptRecord=broken, enforceSchema="false", **options)
         .csv(path)
     )
     zeros = {
@@ -101,4 +120,14 @@ def backfill_csv(spark: SparkSession, spec: TableSpec, path: str, **options: str
         "_is_deleted": "0",
         "_seq": "0L",
     }
-    return rows.selectExpr(*(f"coalesce(`{c}`, {zero}) AS `{c}`" for c, zero in zeros.items()))
+    good = rows.where(F.col(broken).isNull()).selectExpr(
+        *(f"coalesce(`{c}`, {zero}) AS `{c}`" if c in names else f"{zero} AS `{c}`" for c, zero in zeros.items())
+    )
+    # Only columns that are used are parsed and so checked: both parts use all of them.
+    parsed = F.to_json(F.struct(*(F.col(f"`{n}`") for n in names)))
+    bad = rows.where(F.col(broken).isNotNull()).select(
+        F.col(broken).alias("value"),
+        F.lit(None).cast("bigint").alias("seq"),
+        F.concat(F.lit("unreadable line, read as "), parsed).alias("reason"),
+    )
+    return Backfill(good, bad)

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.scalars import month_key
 from ..specs import SEQ_WIRE, TableSpec
 
 CORRUPT = "_corrupt_record"
@@ -38,7 +39,7 @@ def _parse(messages: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 def _reason(spec: TableSpec) -> Column:
-    unusable = reduce(or_, (F.col(n).isNull() for n in (*spec.wire_key, "__ts_ms")))
+    unusable = reduce(or_, (F.col(n).isNull() for n in (*spec.needed_key, "__ts_ms")))
     return F.when(F.col(CORRUPT).isNotNull(), F.lit("malformed")).when(
         unusable, F.lit("no key or version")
     )
@@ -142,6 +143,5 @@ def version_col() -> Column:
 
 
 def with_month(history: DataFrame) -> DataFrame:
-    """Adds the storage partition ``_month`` (yyyyMM of the change time)."""
-    month = F.date_format(F.timestamp_millis("_ts_ms"), "yyyyMM").cast("int")
-    return history.withColumn("_month", month)
+    """Adds the storage partition ``_month`` (yyyyMM of the change time, in UTC)."""
+    return history.withColumn("_month", month_key(F.col("_ts_ms")))

@@ -31,9 +31,9 @@ def _stamped(history: DataFrame) -> DataFrame:
     return with_month(history).withColumn("_ingested_at", F.current_timestamp())
 
 
-def append_history(table: BatchTable, history: DataFrame, batch_id: int) -> None:
+def append_history(table: BatchTable, history: DataFrame, batch_id: int, run: str = "stream") -> None:
     """Append one batch of versions; writing the same batch again replaces it."""
-    table.write_batch(_stamped(history), batch_id)
+    table.write_batch(_stamped(history), batch_id, run)
 
 
 def load_history(table: BatchTable, history: DataFrame, name: str) -> None:

@@ -68,6 +68,7 @@ class TableSpec:
     key: tuple[str, ...]  # stored names; one current row per key
     event_time: str  # stored name of the business time column
     block_rows: int  # upper bound of events per micro-batch and trigger
+    nullable_key: tuple[str, ...] = ()  # key fields that may be NULL at the source
 
     @property
     def stored_fields(self) -> tuple[Field, ...]:
@@ -81,6 +82,11 @@ class TableSpec:
     def wire_key(self) -> list[str]:
         return [f.wire for f in self.fields if f.stored in self.key]
 
+    @property
+    def needed_key(self) -> list[str]:
+        """Key fields without which a message is unusable; the others get their default."""
+        return [f.wire for f in self.fields if f.stored in self.key and f.stored not in self.nullable_key]
+
     def payload_schema(self) -> T.StructType:
         return T.StructType([T.StructField(f.wire, f.kind.wire) for f in self.fields])
 
@@ -149,6 +155,7 @@ CDR = TableSpec(
     key=("uniqueid", "calldate"),
     event_time="calldate",
     block_rows=5000,
+    nullable_key=("calldate",),
 )
 
 COLLECTION_RESULT = TableSpec(

@@ -1,26 +1,30 @@
 """Structured Streaming: change messages -> history, state, aggregates.
 
 Per micro-batch one parse feeds every sink.  Each sink keeps its rows under the
-batch number and replaces them when the batch is run again, so the result does
-not change when a job fails half-way and restarts from its checkpoint.
+checkpoint's run and the batch number and replaces them when the batch is run again, so
+the result does not change when a job fails half-way and restarts from its checkpoint.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.preagg import PREAGGS, Preagg, preaggs_of
-from ..operators.state import latest_per_key, merge_newer, upsert_state
-from ..sources.batches import BatchTable
+from ..operators.state import latest_per_key
+from ..session import require_utc
+from ..sources.batches import BatchTable, run_id
 from ..sources.decode import bad_rows, checked_rows, good_rows, ingest_project
 from ..sources.history import append_history, history_table, load_history
 from ..specs import TableSpec
 
 QUARANTINE = "value string, seq bigint, reason string"
+#: Parts of a stored state; a compaction rewrites those that got new rows.
+STATE_BUCKETS = 16
 
 
 def state_table(spark: SparkSession, spec: TableSpec, root: str) -> BatchTable:
@@ -34,6 +38,8 @@ def state_table(spark: SparkSession, spec: TableSpec, root: str) -> BatchTable:
         spec.history_schema(),
         fold=lambda rows: latest_per_key(rows, spec),
         sort_by=spec.key,
+        buckets=STATE_BUCKETS,
+        bucket_by=spec.key,
     )
 
 
@@ -56,24 +62,20 @@ class Sinks:
 
         Views and queries take these rows in place of a history.
         """
-        settled, newer = self.state.settled_and_newer()
-        if settled is None:
-            return upsert_state(newer, self.spec)
-        merged = merge_newer(settled, newer, self.spec)
-        return merged.selectExpr(*self.spec.columns, "_ts_ms AS _version", "_is_deleted")
+        return self.state.merged().selectExpr(*self.spec.columns, "_ts_ms AS _version", "_is_deleted")
 
     def current_rows(self) -> DataFrame:
         return self.state_rows().where(F.col("_is_deleted") == 0)
 
-    def write_batch(self, messages: DataFrame, batch_id: int) -> None:
+    def write_batch(self, messages: DataFrame, batch_id: int, run: str = "stream") -> None:
         checked = checked_rows(messages, self.spec).persist()
         try:
             rows = ingest_project(good_rows(checked, self.spec), self.spec)
-            append_history(self.history, rows, batch_id)
-            self.quarantine.write_batch(bad_rows(checked), batch_id)
-            self.state.write_batch(latest_per_key(rows, self.spec), batch_id)
+            append_history(self.history, rows, batch_id, run)
+            self.quarantine.write_batch(bad_rows(checked), batch_id, run)
+            self.state.write_batch(latest_per_key(rows, self.spec), batch_id, run)
             for name, store in self.preaggs.items():
-                store.write_batch(PREAGGS[name].partial(rows), batch_id)
+                store.write_batch(PREAGGS[name].partial(rows), batch_id, run)
         finally:
             checked.unpersist()
 
@@ -87,13 +89,9 @@ class Sinks:
     def tables(self) -> list[BatchTable]:
         return [self.history, self.state, self.quarantine, *self.preaggs.values()]
 
-    def compact(self, through: int) -> None:
+    def compact(self) -> None:
         for table in self.tables():
-            table.compact(through)
-
-    def vacuum(self) -> None:
-        for table in self.tables():
-            table.vacuum()
+            table.compact()
 
 
 def open_sinks(spark: SparkSession, spec: TableSpec, root: str) -> Sinks:
@@ -114,8 +112,13 @@ def stream_ingest(
     ``trigger`` defaults to taking what is there and stopping; pass
     ``{"processingTime": "10 seconds"}`` to keep running.
     """
+    run = run_id(messages.sparkSession, checkpoint)
+    return _started(messages, lambda df, n: sinks.write_batch(df, n, run), checkpoint, trigger)
+
+
+def _started(stream: DataFrame, write: Callable, checkpoint: str, trigger: dict | None) -> StreamingQuery:
     return (
-        messages.writeStream.foreachBatch(lambda df, n: sinks.write_batch(df, n))
+        stream.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
         .start()
@@ -126,30 +129,32 @@ def stream_preagg(
     messages: DataFrame,
     preagg: Preagg,
     store: BatchTable,
+    quarantine: BatchTable,
     checkpoint: str,
     trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Feed one aggregate on its own: each micro-batch adds its partial rows.
+    """Feed one aggregate on its own: each micro-batch adds its partial rows, and bad
+    messages go to the quarantine.
 
     Without a watermark: a late event always reaches its minute or day.
     """
-    rows = ingest_project(good_rows(checked_rows(messages, preagg.table), preagg.table), preagg.table)
-    return (
-        rows.writeStream.foreachBatch(lambda df, n: store.write_batch(preagg.partial(df), n))
-        .option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or {"availableNow": True}))
-        .start()
-    )
+    run = run_id(messages.sparkSession, checkpoint)
 
+    def write(df: DataFrame, n: int) -> None:
+        checked = checked_rows(df, preagg.table).persist()
+        try:
+            rows = ingest_project(good_rows(checked, preagg.table), preagg.table)
+            quarantine.write_batch(bad_rows(checked), n, run)
+            store.write_batch(preagg.partial(rows), n, run)
+        finally:
+            checked.unpersist()
 
-def tumbling_minute(calls: DataFrame, watermark: str | None = None) -> DataFrame:
-    """Calls in 1-minute tumbling windows of the call time, batch or stream.
+    return _started(messages, write, checkpoint, trigger)
 
-    With a ``watermark`` (a stream only), minutes older than it are closed and
-    their late events are dropped; the partial aggregates keep those.
-    """
-    if watermark:
-        calls = calls.withWatermark("calldate", watermark)
+
+def tumbling_minute(calls: DataFrame) -> DataFrame:
+    """Calls in 1-minute tumbling windows of the call time."""
+    require_utc(calls.sparkSession)
     return (
         calls.where(F.col("_is_deleted") == 0)
         .groupBy(F.window("calldate", "1 minute"), F.col("kode_cabang").alias("branch_code"))
@@ -172,27 +177,25 @@ def tumbling_minute(calls: DataFrame, watermark: str | None = None) -> DataFrame
 
 MINUTES = (
     "minute timestamp, branch_code string, total_calls bigint, answered_calls bigint, "
-    "total_duration bigint, total_billsec bigint, _batch bigint"
+    "total_duration bigint, total_billsec bigint"
 )
 
 
-def _newest_totals(rows: DataFrame) -> DataFrame:
-    newest = Window.partitionBy("minute", "branch_code").orderBy(F.desc("_batch"))
-    return rows.withColumn("_rank", F.row_number().over(newest)).where("_rank = 1").drop("_rank")
+def _summed(rows: DataFrame) -> DataFrame:
+    sums = [F.sum(c).alias(c) for c in ("total_calls", "answered_calls", "total_duration", "total_billsec")]
+    return rows.groupBy("minute", "branch_code").agg(*sums)
 
 
 def minutes_table(spark: SparkSession, root: str) -> BatchTable:
-    return BatchTable(spark, f"{root.rstrip('/')}/minutes", MINUTES, fold=_newest_totals)
+    return BatchTable(spark, f"{root.rstrip('/')}/minutes", MINUTES, fold=_summed)
 
 
 def stream_minutes(
-    minutes: DataFrame, store: BatchTable, checkpoint: str, trigger: dict | None = None
+    calls: DataFrame, store: BatchTable, checkpoint: str, trigger: dict | None = None
 ) -> StreamingQuery:
-    """Running totals of ``tumbling_minute``: each batch writes changed minutes."""
-    return (
-        minutes.writeStream.outputMode("update")
-        .foreachBatch(lambda df, n: store.write_batch(df.withColumn("_batch", F.lit(n)), n))
-        .option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or {"availableNow": True}))
-        .start()
-    )
+    """Each micro-batch adds its own ``tumbling_minute`` rows; reads sum them.
+
+    No watermark and no state: a late call always reaches its minute.
+    """
+    run = run_id(calls.sparkSession, checkpoint)
+    return _started(calls, lambda df, n: store.write_batch(tumbling_minute(df), n, run), checkpoint, trigger)

@@ -9,8 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..specs import SEQ_WIRE, SPECS, TableSpec
-from .decode import ingest_project
+from changeflow.specs import SEQ_WIRE, SPECS, TableSpec
+from changeflow.sources.decode import ingest_project
 
 # Reference times just after the last row of the inputs.
 AS_OF_EVENTS = "2024-01-31 00:00:00"

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from changeflow.sources.derived import AS_OF_EVENTS, AS_OF_ORDERS
+from fixtures import AS_OF_EVENTS, AS_OF_ORDERS
 
 _EV = f"TIMESTAMP '{AS_OF_EVENTS}'"
 _OR = f"TIMESTAMP '{AS_OF_ORDERS}'"

@@ -7,14 +7,14 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from changeflow.operators.preagg import COLLECTION_DAILY, PREAGGS
-from changeflow.operators.state import asof_state, latest_per_key, lookup_state, merge_newer, scan_state
+from changeflow.operators.state import asof_state, latest_per_key, lookup_state, scan_state
 from changeflow.plans import distribution as dist
 from changeflow.plans import timetravel as tt
 from changeflow.plans import views
 from changeflow.session import scratch_dir
-from changeflow.sources.changes import snapshot_to_changes, src_changes
+from changeflow.sources.changes import backfill_csv, snapshot_to_changes, src_changes
 from changeflow.sources.decode import decode_json_rows, ingest_project, route_bad_records, unwrap_envelope
-from changeflow.specs import CDR, COLLECTION_RESULT, CUSTOMER_ID, SPECS, USER_LOGS
+from changeflow.specs import AGENT_LOGIN_STATUS, CDR, COLLECTION_RESULT, CUSTOMER_ID, SPECS, USER_LOGS
 from changeflow.streaming import ingest as stream
 
 DAY1 = 1_700_000_000_000 // 86_400_000 * 86_400_000  # a midnight
@@ -98,7 +98,6 @@ def test_audit_and_lookup(history):
     wanted = F.col("no_kontrak") == "K1"
     expected = set(rows(scan_state(df, CUSTOMER_ID).where(wanted)))
     assert set(rows(lookup_state(df, CUSTOMER_ID, wanted))) == expected
-    assert set(rows(lookup_state(df, CUSTOMER_ID, wanted, max_keys=1))) == expected
 
 
 def test_logout(history):
@@ -126,8 +125,7 @@ def test_pre_aggregate_modes(history):
         COLLECTION_DAILY.build(df, "other")
 
 
-@pytest.mark.parametrize("spread", [{}, {"hot_rows": 1, "salts": 3}])
-def test_call_whose_only_result_is_deleted(history, spread):
+def test_call_whose_only_result_is_deleted(history):
     calls = history(CDR, [change(None, 1, "c", uniqueid=c, calldate=DAY1) for c in "abc"])
     results = history(COLLECTION_RESULT, [
         *(result(i, 1, "c", "a", classification=f"R{i}") for i in range(8)),
@@ -136,7 +134,7 @@ def test_call_whose_only_result_is_deleted(history, spread):
     ])
     many = [("a", f"R{i}") for i in range(8)]
     found = {m: sorted((r.uniqueid, r.result_classification)
-                       for r in views.v_cdr(calls, results, m, **spread).collect())
+                       for r in views.v_cdr(calls, results, m).collect())
              for m in ("literal", "clean")}
     assert found["literal"] == many + [("c", "NO_RESULT")]
     assert found["clean"] == many + [("b", "NO_RESULT"), ("c", "NO_RESULT")]
@@ -195,10 +193,10 @@ def test_stream_equals_batch_and_survives_a_crash(spark, messages, history, monk
     deliver(messages, root, "b", SCENARIO[9:], 9)
     whole = stream.BatchTable.write_batch
 
-    def dies(table, df, batch_id):
+    def dies(table, df, batch_id, run):
         if "/state/" in table.path:
             raise RuntimeError("lost")
-        whole(table, df, batch_id)
+        whole(table, df, batch_id, run)
 
     monkeypatch.setattr(stream.BatchTable, "write_batch", dies)
     with pytest.raises(Exception, match="lost"):
@@ -212,7 +210,7 @@ def test_stream_equals_batch_and_survives_a_crash(spark, messages, history, monk
     assert {r.id: r.call_status for r in sinks.current_rows().collect()} == CURRENT
     assert sinks.quarantine.rows().count() == 3
 
-    sinks.compact(through=0)
+    sinks.compact()
     assert plain(sinks.history.rows().select(*expected.columns)) == plain(expected)
     assert {r.id: r.call_status for r in sinks.current_rows().collect()} == CURRENT
 
@@ -222,6 +220,62 @@ def test_stream_equals_batch_and_survives_a_crash(spark, messages, history, monk
     assert state == CURRENT | {20: "Z"}
 
 
+def table(spark, name, **options):
+    return stream.BatchTable(spark, scratch_dir(spark, name), "k int, v bigint", **options)
+
+
+def numbers(spark, *values):
+    return spark.createDataFrame([(v, v) for v in values], "k int, v bigint")
+
+
+def test_a_new_checkpoint_hides_nothing(spark):
+    t = table(spark, "runs")
+    for n in range(4):
+        t.write_batch(numbers(spark, n), n, "first")
+    t.compact()
+    for n in (0, 1, 3):
+        t.write_batch(numbers(spark, 10 + n), n, "second")
+    assert sorted(r.k for r in t.rows().collect()) == [0, 1, 2, 3, 10, 11, 13]
+    t.compact()
+    assert sorted(r.k for r in t.rows().collect()) == [0, 1, 2, 3, 10, 11, 13]
+    with pytest.raises(ValueError, match="settled"):
+        t.write_batch(numbers(spark, 99), 2, "first")
+
+
+def test_readers_see_whole_batches_only(spark, monkeypatch):
+    t = table(spark, "retry")
+    t.write_batch(numbers(spark, 1, 2), 0)
+    monkeypatch.setattr(t, "_mark", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+    with pytest.raises(RuntimeError):
+        t.write_batch(numbers(spark, 1, 2, 3), 0)  # data is there, the mark is not
+    assert sorted(r.k for r in t.rows().collect()) == [1, 2]
+    monkeypatch.undo()
+    t.write_batch(numbers(spark, 1, 2, 3), 0)
+    assert sorted(r.k for r in t.rows().collect()) == [1, 2, 3]
+
+
+def test_compaction_folds_loads_and_touched_buckets_only(spark):
+    def newest(rows):
+        return rows.groupBy("k").agg(F.max("v").alias("v"))
+
+    t = table(spark, "fold", fold=newest, buckets=4, bucket_by=["k"])
+    t.write_load(numbers(spark, *range(40)), "first")
+    t.compact()
+    settled = t.merged()
+    assert "Exchange" not in settled._jdf.queryExecution().executedPlan().toString()
+    before = dict(t._log().base)
+    t.write_batch(spark.createDataFrame([(3, 99)], "k int, v bigint"), 0)
+    t.write_batch(spark.createDataFrame([(3, 50)], "k int, v bigint"), 1)
+    assert {r.k: r.v for r in t.merged().collect()} == {k: k for k in range(40)} | {3: 99}
+    t.compact()
+    after = dict(t._log().base)
+    assert set(after) == set(before) and sum(after[b] != before[b] for b in before) == 1
+    assert {r.k: r.v for r in t.merged().collect()} == {k: k for k in range(40)} | {3: 99}
+    assert t.rows()._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    with pytest.raises(ValueError, match="settled"):
+        t.write_load(numbers(spark, 1), "first")
+
+
 def test_every_table_streams(spark, messages, history):
     from seed import EVENTS
 
@@ -239,16 +293,7 @@ def test_every_table_streams(spark, messages, history):
             assert plain(store.merged()) == plain(PREAGGS[preagg].build(expected))
 
 
-@pytest.mark.parametrize("max_keys", [0, 3, 1000])
-def test_merge_newer(history, max_keys):
-    settled = latest_per_key(history(CUSTOMER_ID, SCENARIO), CUSTOMER_ID)
-    newer = history(CUSTOMER_ID, [change(1, 9, "d"), change(2, 9, callStatus="back"), change(5, 1, callStatus="old")])
-    merged = merge_newer(settled, newer, CUSTOMER_ID, max_keys)
-    assert plain(merged) == plain(latest_per_key(settled.unionByName(newer), CUSTOMER_ID))
-
-
-def test_watermark_drops_only_what_it_says(spark, messages):
-    """Partials keep an event that is days late; a watermarked stream drops it."""
+def test_late_calls_reach_their_minute(spark, messages):
     root = scratch_dir(spark, "late")
     store = stream.minutes_table(spark, root)
     calls = [change(None, 1, "c", uniqueid=str(i), calldate=DAY1 + i * 86_400_000) for i in range(3)]
@@ -257,10 +302,80 @@ def test_watermark_drops_only_what_it_says(spark, messages):
         deliver(messages, root, f"p{part}", events, 0)
         source = src_changes(spark, CDR, {"format": "json", "path": f"{root}/inbox/*"})
         typed = ingest_project(decode_json_rows(source, CDR), CDR)
-        minutes = stream.tumbling_minute(typed, "1 hour")
-        stream.stream_minutes(minutes, store, f"{root}/checkpoint").awaitTermination()
-    totals = {r.minute.day: r.total_calls for r in store.merged().collect()}
-    assert sorted(totals.values()) == [1, 1, 1]
+        stream.stream_minutes(typed, store, f"{root}/checkpoint").awaitTermination()
+    totals = [r.total_calls for r in store.merged().orderBy("minute").collect()]
+    assert totals == [3, 1, 1]
+
+
+def test_call_without_time_is_kept(history, messages):
+    events = [change(None, 1, "c", uniqueid="x", calldate=None), change(None, 1, "c", uniqueid=None, calldate=DAY1)]
+    good, bad = route_bad_records(messages(events), CDR)
+    assert (good.count(), bad.count()) == (1, 1)
+    row = scan_state(history(CDR, events), CDR).first()
+    assert (row.uniqueid, row.calldate) == ("x", dt.datetime(1970, 1, 1))
+
+
+def test_stand_alone_aggregate_keeps_bad_messages(spark, messages):
+    root = scratch_dir(spark, "bad")
+    preagg = PREAGGS["agg_cdr_minutely"]
+    store, quarantine = preagg.store(spark, root), stream.quarantine_table(spark, CDR, root)
+    deliver(messages, root, "a", [change(None, 1, "c", uniqueid="x", calldate=DAY1), "{broken"], 0)
+    source = src_changes(spark, CDR, {"format": "json", "path": f"{root}/inbox/*"})
+    stream.stream_preagg(source, preagg, store, quarantine, f"{root}/checkpoint").awaitTermination()
+    assert [r.total_calls for r in store.merged().collect()] == [1]
+    assert [r.value for r in quarantine.rows().collect()] == ["{broken"]
+
+
+def test_hot_call_id(spark, history):
+    """A third of all results belong to no call; no job runs before the query itself."""
+    calls = history(CDR, [change(None, 1, "c", uniqueid=c, calldate=DAY1) for c in ("", "a", "b")])
+    results = history(COLLECTION_RESULT, [result(i, 1, "c", "" if i % 3 else "a", classification="R") for i in range(60)])
+    tracker = spark.sparkContext.statusTracker()
+    before = tracker.getJobIdsForGroup(None)
+    joined = views.v_cdr(calls, results)
+    assert set(tracker.getJobIdsForGroup(None)) == set(before)
+    found = joined.groupBy("uniqueid").count()
+    assert dict(rows(found)) == {"": 40, "a": 20, "b": 1}
+
+
+def test_other_time_zone(spark, history):
+    df = history(CUSTOMER_ID, [change(1, 86_398_000, "c", callStatus="A")]).cache()
+    df.count()
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Jakarta")
+    try:
+        from changeflow.functions.scalars import asof_cut
+        from changeflow.operators.state import before_cut
+        from changeflow.sources.decode import with_month
+
+        assert asof_cut("2024-01-20") == 1705795199000
+        assert before_cut(df, DAY_TEXT).count() == 1
+        assert with_month(df).first()._month == int(DAY_TEXT[:7].replace("-", ""))
+        for call in (
+            lambda: scan_state(df, CUSTOMER_ID), lambda: dist.disposition_share(df, "2024-01-01 00:00:00"),
+            lambda: COLLECTION_DAILY.build(df), lambda: stream.tumbling_minute(df),
+        ):
+            with pytest.raises(ValueError, match="time zone"):
+                call()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        df.unpersist()
+
+
+def test_back_fill_by_column_name(spark, tmp_path):
+    def read(text, **options):
+        file = tmp_path / f"{len(list(tmp_path.iterdir()))}.csv"
+        file.write_text(text)
+        return backfill_csv(spark, AGENT_LOGIN_STATUS, str(file), **options)
+
+    good, bad = read('state,marked_by,login_time\n1,ina,5\n"two\nlines",ben,7\n3,cho,noon\n')
+    found = {r.marked_by: (r.state, r.login_time, r._op, r._ts_ms) for r in good.collect()}
+    assert found == {"ina": ("1", 5, "r", 0), "ben": ("two\nlines", 7, "r", 0)}
+    assert [r.value for r in bad.collect()] == ["3,cho,noon"]
+    assert bad.columns == ["value", "seq", "reason"]
+    with pytest.raises(ValueError, match="no columns"):
+        read("marked_by,colour\nina,red\n")
+    with pytest.raises(ValueError, match="key columns"):
+        read("state\n1\n")
 
 
 def test_history_is_pruned_by_month(spark, messages):
@@ -283,5 +398,5 @@ def test_filters_reach_the_files(spark, messages):
     ingest(spark, sinks, root)
     share = dist.disposition_share(sinks.history.rows(), AS_OF)
     plan = share._jdf.queryExecution().executedPlan().toString()
-    assert "GreaterThanOrEqual(calldate,2024-05-16 00:00:00" in plan
+    assert "GreaterThanOrEqual(calldate,2025-02-08 00:00:00" in plan
     assert "billsec" not in plan and "WindowGroupLimit" in plan

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from changeflow.functions.scalars import rate_pct, round_half_up, stage_label
 from changeflow.operators.funnel import window_funnel
-from changeflow.operators.joins import spread_left_join
 from changeflow.operators.preagg import CDR_MINUTELY, DISPOSITION_SUMMARY
 from changeflow.operators.quantiles import quantiles_exact
 from changeflow.session import scratch_dir
@@ -70,23 +69,6 @@ def test_quantiles_reuse_the_counts(spark):
         quantiles_exact(spark.range(3), "id", (0.5,))
 
 
-@pytest.mark.parametrize("hot_rows", [2, 1_000_000])
-def test_spread_left_join(spark, hot_rows):
-    rnd = random.Random(3)
-    left = [(i, rnd.choice("abcdef")) for i in range(40)]
-    right = [(100 + i, "a" if i % 3 else rnd.choice("bcxyz")) for i in range(60)]
-    found = spread_left_join(
-        spark.createDataFrame(left, "i int, k string"),
-        spark.createDataFrame(right, "rid int, rk string"),
-        "k", "rk", "rid", hot_rows=hot_rows, salts=5,
-    )
-    expected = []
-    for i, k in left:
-        partners = [r for r in right if r[1] == k] or [(None, None)]
-        expected += [(i, k, *p) for p in partners]
-    assert sorted(rows(found), key=str) == sorted(expected, key=str)
-
-
 def test_merge_is_independent_of_batches(spark, history):
     from changeflow.specs import CDR
 
@@ -116,36 +98,29 @@ def test_batch_table(spark):
 
     table = BatchTable(spark, scratch_dir(spark, "table"), "k string, n bigint", fold=fold)
     one = spark.createDataFrame([("a", 1), ("b", 2)], "k string, n bigint")
-    table.compact(5)  # nothing to do is fine
+    table.compact()  # nothing to do is fine
     assert rows(table.merged()) == []
-    table = BatchTable(spark, scratch_dir(spark, "table"), "k string, n bigint", fold=fold)
     for batch in (0, 1, 1, 2, 3):  # batch 1 is run again
         table.write_batch(one, batch)
     assert sorted(rows(table.merged())) == [("a", 4), ("b", 8)]
-    table.compact(1)
-    assert table.rows().count() == 2 + 4
-    table.compact(2)
-    table.compact(1)  # older than the base
+    table.compact()  # all but the last
+    assert table.rows().count() == 2 + 2
+    table.compact()
     assert sorted(rows(table.merged())) == [("a", 4), ("b", 8)]
     table.write_load(one, "history")
     table.write_load(one, "history")
     table.write_batch(one, 4)
     assert sorted(rows(table.merged())) == [("a", 6), ("b", 12)]
-    table.compact(3, whole=False)  # batch 3 alone
-    assert [e[:2] for e in table._segments()] == [(None, 2), (2, 3)]
-    assert sorted(rows(table.merged())) == [("a", 6), ("b", 12)]
-    table.compact(4)
-    assert [e[:2] for e in table._segments()] == [(None, 4)]
+    table.compact()
     assert sorted(rows(table.merged())) == [("a", 6), ("b", 12)]
-    table.write_batch(one, 5)
-    gone = [folder.split("/")[-2:] for folder in table.vacuum()]
-    assert sorted(f[1] for f in gone if f[0] == "batches") == [f"batch_id={n}" for n in range(5)]
-    assert sum(f[0] == "segments" for f in gone) == 3  # all but the newest
-    assert table.vacuum() == []
-    assert sorted(rows(table.merged())) == [("a", 7), ("b", 14)]
-    table.compact(5)
-    table.vacuum()
-    assert sorted(rows(table.merged())) == [("a", 7), ("b", 14)]
+    with pytest.raises(ValueError, match="settled"):
+        table.write_batch(one, 3)
+    plain = BatchTable(spark, scratch_dir(spark, "plain"), "k string, n bigint")
+    for batch in range(4):
+        plain.write_batch(one, batch)
+        plain.compact()  # each one adds a folder; one scan reads them all
+    assert plain.rows().count() == 8
+    assert plain.rows()._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
 
 
 def test_rounding(spark):

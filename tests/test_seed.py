@@ -30,46 +30,53 @@ def h(spark):
 
 
 def test_disposition_share(h):
+    # nine calls of the last 30 days; the tenth is older
     assert rows(dist.disposition_share(h["cdr"], AS_OF)) == [
-        ("ANSWERED", 9, 60.0),
-        ("NO ANSWER", 4, 26.7),
-        ("BUSY", 1, 6.7),
-        ("FAILED", 1, 6.7),
+        ("ANSWERED", 5, 55.6),
+        ("NO ANSWER", 2, 22.2),
+        ("BUSY", 1, 11.1),
+        ("FAILED", 1, 11.1),
     ]
 
 
 def test_talk_quantiles(h):
+    # 33, 40, 61, 95, 200: positions 2, 3, 4, 4, 4; the sum is 429
     assert rows(dist.talk_quantiles(h["cdr"], AS_OF)) == [
-        ("talk_duration", [78, 112, 185, 185, 185], 94.7, 185, 42)
+        ("talk_duration", [61, 95, 200, 200, 200], 85.8, 200, 33)
     ]
 
 
 def test_aging(h):
-    expected = [("1-30", 4, 17.0, 23.2), ("31-60", 3, 45.0, 28.5), ("61-90", 3, 75.0, 45.0), ("90+", 2, 107.5, 45.0)]
-    assert rows(dist.aging_total(h["collection_task"])) == expected
-    by_branch = rows(dist.aging_by_branch(h["collection_task"]))
-    assert [(r[0], *r[2:]) for r in by_branch] == expected
+    assert rows(dist.aging_total(h["collection_task"])) == [
+        ("1-30", 2, 17.5, 2.0), ("31-60", 1, 31.0, 2.0), ("61-90", 2, 77.0, 1.0), ("90+", 2, 145.5, 4.0),
+    ]
+    assert rows(dist.aging_by_branch(h["collection_task"])) == [
+        ("1-30", "north", 2, 17.5, 2.0),
+        ("31-60", "south", 1, 31.0, 2.0),
+        ("61-90", "north", 1, 64.0, 0.5),
+        ("61-90", "south", 1, 90.0, 0.5),
+        ("90+", "north", 2, 145.5, 4.0),
+    ]
 
 
 def test_funnel(h):
+    # no task: C5, C7, C8 and the paid Q5; no call: C10, C11; no answer: C2, C4
     inputs = [h[n] for n in ("collection_task", "cdr", "collection_result", "customer_id")]
     funnel = collection_funnel(*inputs, as_of=AS_OF, labels=True)
     assert rows(funnel) == [
-        (2, 5, 41.7, "Called"),
-        (3, 4, 33.3, "Answered"),
-        (4, 3, 25.0, "PTP"),
+        (0, 4, 57.1, "Start"),
+        (1, 2, 28.6, "Task Created"),
+        (2, 2, 28.6, "Called"),
+        (4, 3, 42.9, "PTP"),
     ]
 
 
 def test_results(h):
     results = h["collection_result"]
-    assert rows(dist.ptp_by_agent(results, AS_OF)) == [
-        ("agent05", 1, 1, 0, 100.0),
-        ("agent02", 2, 1, 0, 50.0),
-        ("agent01", 4, 1, 3, 25.0),
-    ]
-    day = dt.date(2024, 6, 15)
-    daily = [(day, "PTP", 3, 1.5), (day, "RPC", 3, 0.0), (day, "SKIP", 1, 0.0)]
+    assert rows(dist.ptp_by_agent(results, AS_OF)) == [("ben", 1, 1, 0, 100.0), ("ina", 3, 2, 1, 66.7), ("cho", 1, 0, 0, 0.0)]
+    # 120.55 + 80.45 + 999,799.00
+    day = dt.date(2025, 3, 10)
+    daily = [(day, "PTP", 3, 1.0), (day, "RPC", 1, 0.0), (day, "SKIP", 1, 0.0)]
     assert rows(dist.results_daily(results, AS_OF)) == daily
     assert rows(srv.collection_daily(COLLECTION_DAILY.build(results), AS_OF)) == daily
 
@@ -78,51 +85,47 @@ def test_productivity(h):
     part = AGENT_DAILY.build(h["user_releases"])
     found = [(r.agent_username, r.talk_minutes, r.connect_rate_pct, r.ptp_rate_pct)
              for r in srv.agent_productivity(part, AS_OF).collect()]
-    assert found == [
-        ("agent01", 75.0, 81.8, 33.3),
-        ("agent02", 53.3, 77.8, 28.6),
-        ("agent03", 46.7, 73.3, 27.3),
-    ]
-    assert [r[1:] for r in rows(srv.productivity_daily(part, AS_OF))] == [(63, 55, 43, 13, 175.0)]
+    assert found == [("ina", 90.5, 75.0, 37.5), ("ben", 45.0, 75.0, 66.7), ("ina", 10.0, 50.0, 25.0)]
+    assert [r[1:] for r in rows(srv.productivity_daily(part, AS_OF))] == [(56, 44, 33, 15, 136.0), (10, 8, 4, 1, 10.0)]
     top = [(r.agent_username, r.avg_talk_per_call) for r in srv.top_agents(part, AS_OF).collect()]
-    assert top == [("agent01", 204.5), ("agent02", 177.8), ("agent03", 186.7)]
+    assert top == [("ina", 150.8), ("ben", 225.0)]
 
 
 def test_live(h):
     part = CDR_MINUTELY.build(h["cdr"])
     minutes = rows(srv.live_minutes(part, AS_OF))
-    assert len(minutes) == 12
-    assert minutes[0] == ("2024-06-15 11:55", 1, 0, 0.0, 0.0, "SMG")
-    assert minutes[1] == ("2024-06-15 11:50", 1, 1, 100.0, 0.7, "SMG")
+    assert len(minutes) == 6
+    assert minutes[0] == ("2025-03-10 09:27", 2, 1, 50.0, 0.7, "north")
+    assert minutes[2] == ("2025-03-10 09:13", 1, 0, 0.0, 0.0, "south")
     assert len(rows(srv.live_minutes(part, AS_OF, limit=5))) == 5
-    assert rows(srv.live_metrics(part, AS_OF)) == [(12, 58.3, 56.0, 12)]
+    # rates 50, 100, 0, 100, 100, 0; talk 20, 95, 0, 61, 200, 0
+    assert rows(srv.live_metrics(part, AS_OF)) == [(6, 58.3, 63.0, 7)]
     assert rows(srv.live_metrics(part, "2030-01-01 00:00:00")) == [(0, 0.0, 0.0, 0)]
 
 
 def test_status(h):
-    assert [r.agent_id for r in tt.agent_status_now(h["agent_login_status"]).collect()] == [
-        "agent01", "agent02", "agent03", "agent05",
-    ]
-    assert rows(tt.queue_status_now(h["customer_id"])) == [(10, 2, 3, "SMG")]
+    assert [r.agent_id for r in tt.agent_status_now(h["agent_login_status"]).collect()] == ["ben", "ina"]
+    assert sorted(rows(tt.queue_status_now(h["customer_id"]))) == [(2, 1, 0, "south"), (4, 1, 2, "north")]
 
 
 def test_views(h):
     sessions = views.v_user_session(h["user_logs"]).groupBy("session_status").count()
-    assert dict(rows(sessions)) == {"ACTIVE": 4, "CLOSED": 4}
+    assert dict(rows(sessions)) == {"ACTIVE": 2, "CLOSED": 1}
     calls = views.v_cdr(h["cdr"], h["collection_result"]).collect()
-    assert len(calls) == 15
-    assert sum(r.result_classification == "NO_RESULT" for r in calls) == 8
-    login = views.v_agent_login_status(h["agent_login_status"], "2024-06-15 12:00:10").collect()
+    assert len(calls) == 11
+    assert {r.uniqueid for r in calls if r.result_classification == "NO_RESULT"} == set("bdghij")
+    login = views.v_agent_login_status(h["agent_login_status"], "2025-03-10 09:00:10").collect()
     assert {r.session_duration for r in login} == {10.0}
 
 
 def test_counts(h):
     counts = dict(rows(tt.state_row_counts(h)))
-    assert [counts[n] for n in SPECS] == [5, 15, 7, 4, 12, 12, 8, 6]
+    assert [counts[n] for n in SPECS] == [len(EVENTS[n]) for n in SPECS]
 
 
 def test_json_lines(h):
     lines = [r.value for r in tt.result_json_lines(tt.queue_status_now(h["customer_id"])).collect()]
-    assert lines == [
-        '{"total_in_queue":10,"currently_calling":2,"completed":3,"branch_code":"SMG"}'
+    assert sorted(lines) == [
+        '{"total_in_queue":2,"currently_calling":1,"completed":0,"branch_code":"south"}',
+        '{"total_in_queue":4,"currently_calling":1,"completed":2,"branch_code":"north"}',
     ]
