@@ -218,7 +218,7 @@ def _jaccard(a: pa.Array, b: pa.Array) -> pa.Array:
 
 def similar_links(codes: DataFrame, texts: DataFrame, similarity: float, words_in_shingle: int) -> DataFrame:
     """Pairs (a, b) of nodes that connect all texts of at least this Jaccard similarity.
-    ``codes`` has ``node, code``, each once, ``texts`` a text for each code.
+    ``codes`` has ``node, code``, each once, ``texts`` the text of each node.
 
     Candidates that pass the distance on all bits are verified on their shingle sets.
     First each code is compared with the smallest node of its buckets, which joins most of
@@ -242,12 +242,9 @@ def similar_links(codes: DataFrame, texts: DataFrame, similarity: float, words_i
         b = sketched.select(F.col("node").alias("b"), F.col("code").alias("code_b"))
         near = pairs.distinct().join(a, "a").join(b, "b")
         near = settled(near.where(_distance("code_a", "code_b") <= int(WIDE_BITS * far)), "near")
-        asked = settled(
-            near.select(F.col("a").alias("node"), F.col("code_a").alias("code"))
-            .unionByName(near.select(F.col("b").alias("node"), F.col("code_b").alias("code"))).distinct(),
-            "asked",
-        )
-        sets = texts.join(asked, "code").dropDuplicates(["code"]).select("node", shingles("text").alias("set"))
+        # Their numbers alone: as long as there are few, Spark sends these to the texts.
+        asked = settled(near.select(F.col("a").alias("node")).union(near.select("b")).distinct(), "asked")
+        sets = texts.join(asked, "node").select("node", shingles("text").alias("set"))
         sets = settled(sets, "sets")
         both = near.join(sets.select(F.col("node").alias("a"), F.col("set").alias("set_a")), "a").join(
             sets.select(F.col("node").alias("b"), F.col("set").alias("set_b")), "b"
@@ -298,23 +295,20 @@ def near_dedup(
     def code(texts: pa.Array) -> pa.Array:
         return pa.array([wide_fingerprint(shingle_hashes(t, words_in_shingle)) for t in texts.to_pylist()], type=pa.binary())
 
-    marked = settled(rows.select("row", "id", code("text").alias("code")), "marked")
-    codes = settled(
-        marked.groupBy("code").agg(F.min("id").alias("low")).withColumn("node", F.monotonically_increasing_id()), "codes"
-    )
-    roots = components(
-        similar_links(
-            codes.select("node", "code"), marked.select("code", F.col("row")[text_col].alias("text")), similarity, words_in_shingle
-        )
+    # Numbered once and for all, as it is written.  From here on only numbers and codes move.
+    marked = settled(
+        rows.select("row", "id", code("text").alias("code"), F.monotonically_increasing_id().alias("uid")), "marked"
     )
-    rooted = settled(
-        codes.join(roots, "node", "left").select("code", "low", F.coalesce("root", "node").alias("root")), "roots"
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "uid"))
+    codes = settled(marked.groupBy("code").agg(first.alias("first")).select("code", "first", F.col("first.uid").alias("node")), "codes")
+    links = similar_links(
+        codes.select("node", "code"), marked.select(F.col("uid").alias("node"), F.col("row")[text_col].alias("text")),
+        similarity, words_in_shingle,
     )
-    # One code a group: the one with the smallest id.
-    first = rooted.groupBy("root").agg(F.min(F.struct(F.col("low").isNull().alias("none"), "low", "code")).alias("first"))
-    stays = settled(first.select(F.col("first.code").alias("code"), F.col("first.low").alias("low")), "stays")
-    kept = marked.join(stays, "code").where(F.col("id").eqNullSafe(F.col("low")))
-    return kept.dropDuplicates(["code"]).select("row.*")
+    rooted = codes.join(components(links), "node", "left").select(F.coalesce("root", "node").alias("root"), "first")
+    stays = settled(rooted.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.uid").alias("uid")), "stays")
+    goes = settled(marked.select("uid").join(stays, "uid", "left_anti"), "goes")
+    return marked.join(goes, "uid", "left_anti").select("row.*")
 
 
 def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words_in_shingle: int = 3) -> DataFrame:

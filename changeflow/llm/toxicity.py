@@ -251,7 +251,7 @@ def fit(rows: list, class_sizes: dict[int, int], vocabulary: list[str], df: np.n
     stands for, so that shares are shares of all labelled documents."""
     drawn = {c: max(1, sum(1 for r in rows if r["toxic"] == c)) for c in (0, 1)}
     per = {c: class_sizes.get(c, 0) / drawn[c] for c in (0, 1)}
-    prior = (class_sizes.get(1, 0) + 0.5) / (sum(class_sizes.values()) + 1.0)
+    prior = (class_sizes.get(1, 0) + 0.5) / (sum(class_sizes.values()) + 2.0)
     idf = np.log((1.0 + documents) / (1.0 + df)) + 1.0
     model = Model(vocabulary, idf, np.zeros((0, len(idf))), np.zeros((0, 2)), np.zeros(0, dtype=np.int64), prior, prior)
     bare = [r for r in rows if not r["ids"]]
@@ -296,9 +296,7 @@ def toxicity(
     learned from.  Examples are a bounded sample; document frequencies cover all rows.
     ``evidence`` lists an example id, its cosine and share of toxic votes for each
     neighbour.  NULL counts as empty text.  A text without any term gets the share of
-    toxic ones among such examples; without labels all scores are one half of nothing
-    known, 0.5 down-weighted to the prior of an empty sample, and nothing is rejected
-    unless the score reaches 0.5.
+    toxic ones among such examples, and without labels every text 0.25.
     """
     taught = settled(examples(docs, labels, id_col, text_col, usable, per_class), "examples")
     drawn = {r["toxic"]: r["n"] for r in taught.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
@@ -311,9 +309,7 @@ def toxicity(
     vocabulary = _select_terms(taught, drawn[1], drawn[0]) if len(drawn) == 2 else []
 
     rows = whole_rows(docs, id=F.col(f"`{id_col}`"), text=F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")))
-    counted = settled(
-        rows.select(*(["row"] if carry else []), "id", _term_counts(F.col("text"), vocabulary).alias("terms")), "terms"
-    )
+    counted = settled(rows.select("id", _term_counts(F.col("text"), vocabulary).alias("terms")), "terms")
     df = np.zeros(len(vocabulary))
     for r in counted.select(F.explode("terms.ids").alias("t")).groupBy("t").count().collect():
         df[r["t"]] = r["count"]
@@ -358,6 +354,9 @@ def toxicity(
             [pa.array(scores, type=pa.float64()), pa.array(evidence, type=pa.list_(member))], ["score", "evidence"]
         )
 
+    if carry:
+        # Whole rows are not written: their terms are counted once more.
+        counted = rows.select("row", "id", _term_counts(F.col("text"), vocabulary).alias("terms"))
     done = counted.withColumn("found", scored("terms.ids", "terms.counts"))
     return done.select(
         *(["row"] if carry else []),
