@@ -20,8 +20,9 @@ import oracle_sql as oracle_module  # noqa: E402
 from changeflow.functions import scalars as fn  # noqa: E402
 from changeflow.operators import preagg as pre  # noqa: E402
 from changeflow.operators.quantiles import quantiles_exact  # noqa: E402
-from changeflow.operators.sets import total, union_counts  # noqa: E402
+from changeflow.operators.sets import per_contract, total, union_counts  # noqa: E402
 from changeflow.operators.state import (  # noqa: E402
+    age_at_cut,
     arg_max,
     asof_state,
     before_cut,
@@ -230,15 +231,19 @@ def _backfill_csv(spark: SparkSession, sf: str) -> DataFrame:
     return sinks.history.rows().select(*USER_LOGS.history_schema().names)
 
 
-def _append_history(spark: SparkSession, sf: str) -> DataFrame:
+def _append_history(spec: TableSpec) -> Query:
     """Two batches, the second written twice as after a failure."""
-    history = _history(spark, sf, CDR)
-    table = stream.history_table(spark, CDR, scratch_dir(spark, "append"))
-    even = F.pmod("_seq", F.lit(2)) == 0
-    stream.append_history(table, history.where(even), 0)
-    for _ in range(2):
-        stream.append_history(table, history.where(~even), 1)
-    return table.rows().select(*CDR.history_schema().names)
+
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        history = _history(spark, sf, spec)
+        table = stream.history_table(spark, spec, scratch_dir(spark, f"append-{spec.name}"))
+        even = F.pmod("_seq", F.lit(2)) == 0
+        stream.append_history(table, history.where(even), 0)
+        for _ in range(2):
+            stream.append_history(table, history.where(~even), 1)
+        return table.rows().select(*spec.history_schema().names)
+
+    return run
 
 
 # -- streaming ----------------------------------------------------------------
@@ -302,15 +307,6 @@ def _stream_minutes(spark: SparkSession, sf: str) -> DataFrame:
     return store.merged()
 
 
-def _delete_handling(history: DataFrame) -> DataFrame:
-    """Deleted rows leave the state and keep their versions in the history."""
-    versions = history.groupBy(*CDR.key).agg(
-        F.count(F.lit(1)).alias("versions"),
-        F.max_by("_is_deleted", F.struct("_ts_ms", "_seq")).alias("gone"),
-    )
-    return versions.select(*CDR.key, "versions", (F.col("gone") == 0).alias("in_state"))
-
-
 # -- compositions over several tables -----------------------------------------
 
 
@@ -344,34 +340,6 @@ def _states(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     return {name: scan_state(df, SPECS[name]) for name, df in _histories(spark, sf).items()}
 
 
-def _per_contract(tasks: DataFrame) -> DataFrame:
-    """A share whose denominator is a scalar over the same rows."""
-    contracts = tasks.agg(F.count_distinct("no_kontrak").alias("contracts"))
-    by_status = tasks.groupBy("status").agg(F.count(F.lit(1)).alias("n"))
-    return by_status.crossJoin(F.broadcast(contracts)).select(
-        "status", "n", fn.rate_pct(F.col("n"), F.col("contracts")).alias("per_contract")
-    )
-
-
-def _cross_scalar(history: DataFrame) -> DataFrame:
-    cut = history.sparkSession.range(1).select(fn.asof_cut_ms(QUEUE_DAY).alias("cut_ms"))
-    return (
-        history.crossJoin(F.broadcast(cut))
-        .where(F.col("_ts_ms") <= F.col("cut_ms"))
-        .select("id", "_ts_ms", (F.col("cut_ms") - F.col("_ts_ms")).alias("age_ms"))
-    )
-
-
-def _agg_avg(calls: DataFrame) -> DataFrame:
-    def mean_of(disposition: str):
-        mean = F.avg(F.when(F.col("disposition") == disposition, F.col("billsec")))
-        return fn.round_half_up(fn.finite_or(mean, 0), 3)
-
-    return calls.groupBy("kode_cabang").agg(
-        mean_of("ANSWERED").alias("avg_talk"), mean_of("NONE SUCH").alias("avg_none")
-    )
-
-
 def _wide_quantiles(calls: DataFrame) -> DataFrame:
     levels = (0.0, 0.25, 0.5, 0.75, 0.9, 0.95, 0.99)
     return _spread_array(quantiles_exact(calls, "duration", levels), levels)
@@ -438,7 +406,9 @@ def _registry() -> dict[str, Query]:
     q["unwrap_envelope"] = _unwrap_envelope
     q["snapshot_to_changes"] = _snapshot
     q["backfill_csv"] = _backfill_csv
-    q["append_history"] = _append_history
+    q["append_history"] = _append_history(CDR)
+    for name, spec in SPECS.items():
+        q[f"append_history_{name}"] = _append_history(spec)
     for name, spec in SPECS.items():
         q[f"ingest_project_{name}"] = lambda s, sf, spec=spec: ingest_project(
             decode_json_rows(_messages(s, sf, spec), spec), spec
@@ -504,8 +474,8 @@ def _registry() -> dict[str, Query]:
     q["join_calls_results"] = _joined("literal")
     q["join_calls_results_clean"] = _joined("clean")
     q["join_calls_results_spread"] = _joined("literal")  # an older name of the same
-    q["cross_scalar"] = _on(CUSTOMER_ID, _cross_scalar)
-    q["scalar_subquery"] = _on_state(COLLECTION_TASK, _per_contract)
+    q["cross_scalar"] = _on(CUSTOMER_ID, lambda h: age_at_cut(h, QUEUE_DAY))
+    q["scalar_subquery"] = _on_state(COLLECTION_TASK, per_contract)
 
     # 2.4 aggregations
     q["agg_count"] = _on_state(COLLECTION_RESULT, lambda r: r.groupBy("kode_cabang").agg(n_rows))
@@ -526,7 +496,7 @@ def _registry() -> dict[str, Query]:
         COLLECTION_RESULT,
         lambda r: r.groupBy("kode_cabang").agg(_sum_where("ptp_amount", is_ptp).alias("promised")),
     )
-    q["agg_avg"] = _on_state(CDR, _agg_avg)
+    q["agg_avg"] = _on_state(CDR, dist.mean_talk)
     q["agg_min_max"] = _on_state(
         CDR,
         lambda c: c.groupBy("disposition").agg(
@@ -633,7 +603,7 @@ def _registry() -> dict[str, Query]:
     q["tumbling_minute"] = _on(CDR, stream.tumbling_minute)
     q["stream_minutes"] = _stream_minutes
     q["late_data"] = _late_data
-    q["delete_handling"] = _on(CDR, _delete_handling)
+    q["delete_handling"] = _on(CDR, tt.version_counts)
     q["compact_partials"] = _compact_partials
 
     # 2.11 time travel, audit, checks
@@ -645,6 +615,7 @@ def _registry() -> dict[str, Query]:
     q["audit_trail"] = _on(CUSTOMER_ID, lambda h: tt.audit_trail(h, CONTRACT))
     q["latest_versions"] = _on(CDR, lambda h: tt.latest_versions(h, CONTRACT))
     q["state_row_counts"] = lambda s, sf: tt.state_row_counts(_histories(s, sf))
+    q["stored_row_counts"] = lambda s, sf: tt.stored_row_counts(_histories(s, sf))
     q["history_row_counts"] = lambda s, sf: tt.history_row_counts(_histories(s, sf))
 
     # 2.13 end-user queries

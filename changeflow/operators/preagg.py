@@ -109,6 +109,8 @@ class Preagg:
         return BatchTable(spark, path, self.schema(), fold=self.fold, sort_by=self.dim_names[:1])
 
 
+# Names and columns of the aggregates.
+
 AGENT_DAILY = Preagg(
     "agg_agent_daily",
     USER_RELEASES,

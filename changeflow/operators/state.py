@@ -73,6 +73,12 @@ def before_cut(history: DataFrame, day: dt.date | str) -> DataFrame:
     return seen
 
 
+def age_at_cut(history: DataFrame, day: dt.date | str) -> DataFrame:
+    """How old each version was at the end of ``day``; later ones are left out."""
+    age = F.lit(asof_cut(day)) - F.col("_ts_ms")
+    return before_cut(history, day).select("id", "_ts_ms", age.alias("age_ms"))
+
+
 def asof_state(history: DataFrame, spec: TableSpec, day: dt.date | str) -> DataFrame:
     """State of a table at the end of ``day``; keys deleted by then are hidden."""
     return scan_state(before_cut(history, day), spec)

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import (
     AsOf,
     aging_rank,
+    finite_or,
     millions,
     rate_pct,
     recent,
@@ -108,3 +109,15 @@ def rollup_disposition(calls: DataFrame) -> DataFrame:
         .groupBy("disposition")
         .agg(F.count(F.lit(1)).alias("cnt"), F.sum("billsec").alias("talk_sec"))
     )
+
+
+def mean_talk(calls: DataFrame) -> DataFrame:
+    """Mean talk time of answered calls per branch, 0 where there are none."""
+
+    def mean_of(disposition: str) -> Column:
+        mean = F.avg(F.when(F.col("disposition") == disposition, F.col("billsec")))
+        return round_half_up(finite_or(mean, 0), 3)
+
+    return calls.groupBy("kode_cabang").agg(
+        mean_of("ANSWERED").alias("avg_talk"), mean_of("NONE SUCH").alias("avg_none")
+    )

@@ -19,6 +19,8 @@ from ..specs import (
 
 DAY_MS = 86_400_000
 
+# The output columns of the views below are the contract of their users.
+
 
 def v_agent_login_status(agents: DataFrame, as_of: AsOf = None) -> DataFrame:
     """Agents with the seconds since they logged in."""

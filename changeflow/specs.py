@@ -107,6 +107,8 @@ def _fields(*triples: tuple) -> tuple[Field, ...]:
     return tuple(Field(wire, kind, stored) for wire, kind, stored in triples)
 
 
+# Names of the tables, of the fields on the wire and of the stored columns.
+
 AGENT_LOGIN_STATUS = TableSpec(
     "agent_login_status",
     "tblAgentLoginStatus",

@@ -1,4 +1,8 @@
-"""The registered queries as DuckDB SQL over the given tables."""
+"""The registered queries as DuckDB SQL over the given tables.
+
+Fixed values: output names, filter values, day ranges and the funnel steps are the contract
+of each query.
+"""
 
 from __future__ import annotations
 
@@ -442,6 +446,8 @@ def oracle() -> dict[str, str]:
     sql["snapshot_to_changes"] = _SNAPSHOT
     sql["backfill_csv"] = _q("user_logs", "SELECT * FROM user_logs_history")
     sql["append_history"] = _q("cdr", "SELECT * FROM cdr_history")
+    for n in KEY:
+        sql[f"append_history_{n}"] = _q(n, f"SELECT * FROM {n}_history")
     for n in KEY:
         sql[f"ingest_project_{n}"] = _q(n, f"SELECT * FROM {n}_history")
         sql[f"upsert_state_{n}"] = _q(n, f"SELECT {_state_cols(n)} FROM {n}_newest")
@@ -661,6 +667,9 @@ FROM customer_id""",
 WHERE contract_no = '{AUDIT_CONTRACT}' ORDER BY _version DESC, uniqueid, calldate LIMIT 5""",
     )
     sql["state_row_counts"] = _q(_ALL, _counts("{}"))
+    stored = [f"SELECT '{n}_{kind}' AS t, count(*) AS n FROM {n}_{rows}" for n in KEY for kind, rows in (("history", "history"), ("state", "newest"))]
+    stored += [f"SELECT '{name}' AS t, count(*) AS n FROM ({_agg(name)})" for name in _PREAGG]
+    sql["stored_row_counts"] = _q(_ALL, " UNION ALL ".join(stored))
     sql["history_row_counts"] = _q(_ALL, _counts("{}_history"))
 
     # 2.13 end-user queries
