@@ -128,6 +128,24 @@ ORACLE_SQL: dict[str, str] = {
                CASE WHEN page_id <> first_id THEN first_id END AS refers_to
         FROM sized LEFT JOIN firsts ON payload_digest = d AND payload_bytes >= 100
     """,
+    # All pairs, as the definition has it; the operator's search is approximate.
+    "op6_nn_descent": """
+        WITH RECURSIVE usable AS (
+            SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+            WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+              AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+        ), links AS (
+            SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b
+              ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.9
+        ), reached AS (
+            SELECT vec_id, vec_id AS root FROM embeddings
+            UNION
+            SELECT b, root FROM reached JOIN links ON a = vec_id
+        ), lowest AS (SELECT vec_id, min(root) AS component_id FROM reached GROUP BY 1),
+        degree AS (SELECT a, count(*) AS n FROM links GROUP BY 1)
+        SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+        FROM lowest LEFT JOIN degree ON a = vec_id
+    """,
     "op9_exact_dedup": """
         SELECT doc_id,
                max(doc_id) OVER same AS keep_id,
