@@ -16,6 +16,7 @@ from functools import cache
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -65,7 +66,8 @@ def _window_min(values: np.ndarray, width: int) -> np.ndarray:
 def neighbourhoods(data: np.ndarray, least: int = LEAST) -> tuple[np.ndarray, ...]:
     """``first, last`` window of each neighbourhood, the anchor's hash and the hash of all
     bytes from the first window's start to the last one's end."""
-    gram = min(GRAM, least)
+    # At most 256 windows share an anchor, so that a place needs one byte for how many.
+    gram = min(max(GRAM, least - 255), least)
     n = len(data)
     if n < least:
         none = np.zeros(0, dtype=np.int64)
@@ -168,90 +170,100 @@ class SuffixArray:
 
 
 def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``doc, data``: a 64-bit digest of id and text stands for a row.  Rows that repeat both
+    have the same passages."""
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
-    # Rows that repeat both id and text have the same passages; the pair stands for them.
-    return docs.select(
-        F.struct(F.col(f"`{id_col}`").alias("id"), F.xxhash64(text).alias("digest")).alias("doc"), text.cast("binary").alias("data")
-    )
+    return docs.select(F.xxhash64(F.col(f"`{id_col}`"), text).alias("doc"), text.cast("binary").alias("data"), F.col(f"`{id_col}`").alias("id"))
 
 
-def _struct(schema: T.StructType, *fields: tuple[str, T.DataType]) -> T.StructType:
-    return T.StructType([schema["doc"], *(T.StructField(n, t) for n, t in fields)])
+@F.arrow_udf(T.BinaryType())
+def _packed(data: pa.Array) -> pa.Array:
+    """Texts compressed for the way to another task."""
+    packer = zstandard.ZstdCompressor(level=3)
+    return pa.array([packer.compress(d.as_buffer()) for d in data], type=pa.binary())
 
 
-def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST) -> DataFrame:
-    """Maximal repeats: a row ``group, doc, start, length`` for each occurrence.  ``doc`` is a
-    struct of the id and a digest of the text; places are bytes.
+def _unpacked(data: pa.Array) -> Iterator[bytes]:
+    unpacker = zstandard.ZstdDecompressor()
+    for d in data:
+        yield unpacker.decompress(d.as_buffer())
 
-    A repeat that goes on over several neighbourhoods comes as overlapping parts.
-    """
-    rows = _rows(docs, id_col, text_col)
-    anchor_schema = _struct(rows.schema, ("lo", T.IntegerType()), ("hi", T.IntegerType()), ("h", T.LongType()), ("u", T.LongType()))
+
+def _long(*names: str) -> T.StructType:
+    return T.StructType([T.StructField(n, T.LongType()) for n in names])
+
+
+def _anchors(rows: DataFrame, least: int) -> DataFrame:
+    """``h, u, doc, place`` of every neighbourhood: the hashes of its anchor and of all its
+    bytes; ``place`` is its first window times 256, and how many more it has."""
+    schema = _long("h", "u", "doc", "place")
 
     def anchored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [neighbourhoods(np.frombuffer(v.as_buffer(), dtype=np.uint8), least) for v in batch.column("data")]
-            sizes = [len(f[0]) for f in found]
-            row = pa.array(np.repeat(np.arange(len(sizes)), sizes))
-            lo, hi, h, u = (np.concatenate(c) if found else np.zeros(0, dtype=np.int64) for c in zip(*found, strict=True))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc").take(row), pa.array(lo.astype(np.int32)), pa.array(hi.astype(np.int32)), pa.array(h), pa.array(u)],
-                names=anchor_schema.fieldNames(),
-            )
+            if found:
+                first, last, h, u = (np.concatenate(c) for c in zip(*found, strict=True))
+                doc = np.repeat(batch.column("doc").to_numpy(), [len(f[0]) for f in found])
+                columns = (h, u, doc, first * 256 + (last - first))
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=schema.fieldNames())
 
-    anchors = settled(rows.mapInArrow(anchored, anchor_schema), "anchors")
+    return rows.select("doc", "data").mapInArrow(anchored, schema)
+
+
+def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST) -> DataFrame:
+    """Maximal repeats: a row ``group, doc, start, length`` for each occurrence.  ``doc`` is
+    a digest of id and text; places are bytes.
+
+    A repeat that goes on over several neighbourhoods comes as overlapping parts.
+    """
+    rows = _rows(docs, id_col, text_col)
+    # Anchors are worked out twice, which is cheaper than to keep those that occur once.
+    shared = settled(_anchors(rows, least).groupBy("h").count().where("count > 1").select("h"), "shared")
+    kept = settled(_anchors(rows, least).join(shared, "h"), "kept")
     kinds = settled(
-        anchors.groupBy("h", "u").agg(F.count("*").alias("n"), F.min(F.struct("doc", "lo")).alias("first")), "kinds"
+        kept.groupBy("h", "u").agg(F.count("*").alias("n"), F.min(F.struct("doc", "place")).alias("first")), "kinds"
     )
-    shared = settled(
-        kinds.groupBy("h")
-        .agg(F.sum("n").alias("all"), F.count("*").alias("kinds"), F.sum((F.col("n") == 1).cast("int")).alias("single"))
-        .where("all > 1").drop("all"),
-        "shared",
+    start = F.shiftright("place", 8)
+    equal = kept.join(kinds.where("n > 1").select("h", "u"), ["h", "u"]).select(
+        F.xxhash64("h", "u").alias("group"), "doc", start.alias("start"),
+        (F.col("place").bitwiseAND(F.lit(255)) + least).cast("long").alias("length"),
     )
-    live = settled(kinds.join(shared, "h"), "live")
-    marked = settled(
-        anchors.join(live, ["h", "u"]).select(
-            "doc", "lo", "hi", "h", "u", "n", "kinds",
-            # One of each kind meets the others, where some kind has no equal.
-            ((F.col("kinds") > 1) & (F.col("single") > 0) & (F.struct("doc", "lo") == F.col("first"))).alias("meets"),
-        ),
-        "marked",
+    # Where some kind has no equal, one of each kind meets the others.
+    mixed = settled(
+        kinds.groupBy("h").agg(F.count("*").alias("kinds"), F.sum((F.col("n") == 1).cast("int")).alias("single"))
+        .where("kinds > 1 AND single > 0").select("h", (F.col("kinds") > TOGETHER).alias("crowded")),
+        "mixed",
     )
-    equal = marked.where("n > 1").select(
-        F.xxhash64("h", "u").alias("group"), "doc", F.col("lo").cast("long").alias("start"),
-        (F.col("hi") - F.col("lo") + least).cast("long").alias("length"),
+    asked = kinds.join(mixed, "h").groupBy(F.col("first.doc").alias("doc")).agg(
+        F.collect_list(F.struct(F.col("first.place").alias("place"), "h", "crowded")).alias("asked")
     )
-    asked = marked.where("meets").groupBy("doc").agg(
-        F.collect_list(F.struct("lo", "hi", "h", (F.col("kinds") > TOGETHER).alias("crowded"))).alias("asked")
-    )
-    segment_schema = _struct(
-        rows.schema, ("lo", T.LongType()), ("h", T.LongType()), ("crowded", T.BooleanType()), ("bytes", T.BinaryType())
+    segment_schema = T.StructType(
+        [*_long("doc", "lo", "h").fields, T.StructField("crowded", T.BooleanType()), T.StructField("bytes", T.BinaryType())]
     )
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            row, lo, h, crowded, parts = [], [], [], [], []
-            for k, (data, wanted) in enumerate(zip(batch.column("data"), batch.column("asked").to_pylist(), strict=True)):
-                data = data.as_py()
+            doc, lo, h, crowded, parts = [], [], [], [], []
+            wanted_of = zip(batch.column("doc").to_pylist(), _unpacked(batch.column("data")), batch.column("asked").to_pylist(), strict=True)
+            for key, data, wanted in wanted_of:
                 for a in wanted:
-                    row.append(k)
-                    lo.append(a["lo"])
+                    first, more = divmod(a["place"], 256)
+                    doc.append(key)
+                    lo.append(first)
                     h.append(a["h"])
                     crowded.append(a["crowded"])
-                    parts.append(data[a["lo"] : a["hi"] + least])
+                    parts.append(data[first : first + more + least])
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("doc").take(pa.array(row, type=pa.int64())), pa.array(lo, type=pa.int64()),
-                    pa.array(h, type=pa.int64()), pa.array(crowded, type=pa.bool_()), pa.array(parts, type=pa.binary()),
+                    *(pa.array(c, type=pa.int64()) for c in (doc, lo, h)),
+                    pa.array(crowded, type=pa.bool_()), pa.array(parts, type=pa.binary()),
                 ],
                 names=segment_schema.fieldNames(),
             )
 
-    segments = settled(rows.join(asked, "doc").select("doc", "data", "asked").mapInArrow(cut, segment_schema), "segments")
-    span_schema = T.StructType(
-        [T.StructField("group", T.LongType()), rows.schema["doc"], T.StructField("start", T.LongType()), T.StructField("length", T.LongType())]
-    )
+    moved = rows.select("doc", _packed("data").alias("data"))
+    segments = settled(moved.join(asked, "doc").select("doc", "data", "asked").mapInArrow(cut, segment_schema), "segments")
+    span_schema = _long("group", "doc", "start", "length")
 
     def scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in _grouped(batches, "h"):
@@ -267,7 +279,7 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lea
     def _spans(part: pa.Table) -> Iterator[pa.RecordBatch]:
         lo = part["lo"].to_numpy()
         array = SuffixArray(part["bytes"].to_pylist(), least)
-        doc = part["doc"].combine_chunks()
+        doc = part["doc"].to_numpy()
         group, at, start, length = [], [], [], []
         for size, where in array.maximal_repeats():
             segment, place = array.places(where)
@@ -277,10 +289,10 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lea
             start.append(lo[segment] + place)
             length.append(np.full(len(where), size))
         if group:
-            taken = doc.take(pa.array(np.concatenate(at)))
+            taken = doc[np.concatenate(at)]
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(np.concatenate(group).astype(np.int64)), taken,
+                    pa.array(np.concatenate(group).astype(np.int64)), pa.array(taken),
                     pa.array(np.concatenate(start)), pa.array(np.concatenate(length)),
                 ],
                 names=span_schema.fieldNames(),
@@ -288,25 +300,23 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lea
 
     narrow = segments.where("NOT crowded").repartition("h").sortWithinPartitions("h")
     found = equal.unionByName(narrow.mapInArrow(scanned, span_schema))
-    if shared.where((F.col("kinds") > TOGETHER) & (F.col("single") > 0)).isEmpty():
+    if mixed.where("crowded").isEmpty():
         return found
 
-    window_schema = _struct(rows.schema, ("h", T.LongType()), ("w", T.LongType()), ("start", T.LongType()))
+    window_schema = _long("doc", "h", "w", "start")
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            row, h, w, start = [], [], [], []
-            for k, (data, lo, own) in enumerate(
-                zip(batch.column("bytes").to_pylist(), batch.column("lo").to_pylist(), batch.column("h").to_pylist(), strict=True)
-            ):
+            doc, h, w, start = [], [], [], []
+            columns = (batch.column(c).to_pylist() for c in ("doc", "bytes", "lo", "h"))
+            for key, data, lo, own in zip(*columns, strict=True):
                 for at in range(len(data) - least + 1):
-                    row.append(k)
+                    doc.append(key)
                     h.append(own)
                     w.append(xxhash.xxh3_64_intdigest(data[at : at + least]) - (1 << 63))
                     start.append(lo + at)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc").take(pa.array(row, type=pa.int64())), *(pa.array(c, type=pa.int64()) for c in (h, w, start))],
-                names=window_schema.fieldNames(),
+                [pa.array(c, type=pa.int64()) for c in (doc, h, w, start)], names=window_schema.fieldNames()
             )
 
     single = settled(segments.where("crowded").mapInArrow(windows, window_schema), "windows")
@@ -331,7 +341,8 @@ def without_repeats(
     spans = repeats(docs, id_col, text_col, least).groupBy("doc").agg(
         F.collect_set(F.struct("start", "length")).alias("spans")
     )
-    rows = _rows(docs, id_col, text_col).join(spans, "doc", "left")
+    moved = _rows(docs, id_col, text_col).select("id", "doc", _packed("data").alias("data"))
+    rows = moved.join(spans, "doc", "left")
     fields = [
         T.StructField("id", docs.schema[id_col].dataType),
         T.StructField("n_bytes", T.LongType()),
@@ -346,8 +357,8 @@ def without_repeats(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             columns: list[list] = [[] for _ in fields[1:]]
-            for data, found in zip(batch.column("data"), batch.column("spans"), strict=True):
-                data, found = data.as_py(), found.as_py() or []
+            for data, found in zip(_unpacked(batch.column("data")), batch.column("spans"), strict=True):
+                found = found.as_py() or []
                 runs: list[list[int]] = []
                 for s in sorted((s["start"], s["start"] + s["length"]) for s in found):
                     if runs and s[0] <= runs[-1][1]:
@@ -363,9 +374,8 @@ def without_repeats(
                 for column, value in zip(columns, row, strict=False):
                     column.append(value)
             types = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()]
-            ids = batch.column("doc").field("id")
             yield pa.RecordBatch.from_arrays(
-                [ids, *(pa.array(c, type=t) for c, t in zip(columns, types, strict=False))], names=schema.fieldNames()
+                [batch.column("id"), *(pa.array(c, type=t) for c, t in zip(columns, types, strict=False))], names=schema.fieldNames()
             )
 
-    return rows.select("doc", "data", "spans").mapInArrow(run, schema)
+    return rows.select("id", "data", "spans").mapInArrow(run, schema)
