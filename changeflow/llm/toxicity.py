@@ -336,12 +336,11 @@ def toxicity(
     )
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.arrow_udf(kind)
-    def scored(ids: pa.Array, counts: pa.Array) -> pa.Array:
+    def results(ids: list, counts: list) -> pa.Array:
         known = shared.value
         scores, evidence = [], []
         for i, n in zip(ids, counts, strict=True):
-            s, at, sims = known.score(np.array(i.as_py(), dtype=np.int64), np.array(n.as_py(), dtype=np.int64))
+            s, at, sims = known.score(np.asarray(i, dtype=np.int64), np.asarray(n, dtype=np.int64))
             scores.append(s)
             evidence.append(
                 [
@@ -354,10 +353,22 @@ def toxicity(
             [pa.array(scores, type=pa.float64()), pa.array(evidence, type=pa.list_(member))], ["score", "evidence"]
         )
 
+    @F.arrow_udf(kind)
+    def scored(ids: pa.Array, counts: pa.Array) -> pa.Array:
+        return results(ids.to_pylist(), counts.to_pylist())
+
+    position, remembered_ = {t: k for k, t in enumerate(vocabulary)}, Remembered()
+
+    @F.arrow_udf(kind)
+    def scored_text(texts: pa.Array) -> pa.Array:
+        return results(*_counted(texts.to_pylist(), position, remembered_))
+
     if carry:
-        # Whole rows are not written: their terms are counted once more.
-        counted = rows.select("row", "id", _term_counts(F.col("text"), vocabulary).alias("terms"))
-    done = counted.withColumn("found", scored("terms.ids", "terms.counts"))
+        # Whole rows are not written with their terms: those are counted once more, in the
+        # same Python worker that scores them.
+        done = rows.withColumn("found", scored_text("text"))
+    else:
+        done = counted.withColumn("found", scored("terms.ids", "terms.counts"))
     return done.select(
         *(["row"] if carry else []),
         "id",
