@@ -19,7 +19,7 @@ OTHER, LETTER, NUMBER, SPACE, END, UNKNOWN = range(6)
 #: Code points with the White_Space property.
 WHITE_SPACE = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 #: Characters cut at once; a longer text makes a chunk of its own.
-CHUNK = 6 << 20
+CHUNK = 3 << 20
 
 
 @cache
