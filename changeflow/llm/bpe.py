@@ -14,7 +14,7 @@ from changeflow.llm.pretokens import unknown_points
 
 #: Longest word that a per-process table remembers, and how many words it holds.
 REMEMBERED_CHARS = 48
-REMEMBERED = 400_000
+REMEMBERED = 300_000
 
 
 @cache

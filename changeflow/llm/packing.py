@@ -49,7 +49,7 @@ def encode_texts(path: str, texts: list[str]) -> Iterator[np.ndarray]:
     its words in a row; words met before are not encoded again.
     """
     library = _library(path)
-    parts, words = remembered("pieces", path), remembered("words", path)
+    words = remembered("words", path)
 
     def model(word: str) -> bytes:
         signs = word.encode().decode("latin-1").translate(_signs())
@@ -64,7 +64,7 @@ def encode_texts(path: str, texts: list[str]) -> Iterator[np.ndarray]:
 
     for chunk in chunked(texts):
         cut = cut_blanks(texts[chunk])
-        found = parts.of(cut.words, encoded)
+        found = [encoded(part) for part in cut.words]
         flat = np.frombuffer(b"".join(found), dtype="<u4")
         lengths = np.fromiter(map(len, found), dtype=np.int64, count=len(found)) // 4
         used = lengths[cut.codes]
