@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -123,6 +124,42 @@ def _headers(part: bytes) -> tuple[dict[bytes, bytes], int] | None:
     return fields, end + 4
 
 
+def _unfinished(part: bytes) -> bool:
+    """Whether ``part`` may be headers that a magic cut before their end: all whole lines fit."""
+    first, *lines = part.split(b"\r\n")
+    return bool(lines) and b"\r\n\r\n" not in part and first.isdigit() and all(b":" in line for line in lines[:-1])
+
+
+def _reaches(parts: list[bytes], opens: list[bool]) -> list[int | None]:
+    """For pieces in a row, of which only the last has a blank line: where the successor of
+    each that opens headers begins, from its magic on; None if these are no headers.
+
+    The lines are read once, from the last to the first, for all openings together.
+    """
+    text = MAGIC.join(parts)
+    end = text.find(b"\r\n\r\n", len(text) - len(parts[-1]))
+    starts, fits, at = [], [], end
+    good, kind, length = True, False, None
+    while (cut := text.rfind(b"\r\n", 0, at)) >= 0:
+        name, sign, value = text[cut + 2 : at].partition(b":")
+        name = name.strip().lower()
+        good, kind = good and bool(sign), kind or name == b"warc-type"
+        if name == b"content-length" and length is None:
+            length = value.strip()
+        starts.append(cut)
+        fits.append(int(length) if good and kind and length is not None and length.isdigit() else None)
+        at = cut
+    starts.reverse()
+    fits.reverse()
+    out, place = [], 0
+    for part, asks in zip(parts, opens, strict=True):
+        line = bisect_right(starts, place)
+        size = fits[line] if asks and line < len(starts) else None
+        out.append(None if size is None else len(MAGIC) + end + 4 - place + size + len(RECORD_END))
+        place += len(part) + len(MAGIC)
+    return out
+
+
 def _record(part: bytes, with_payload: bool) -> tuple:
     """What a complete record says; its payload is measured and digested."""
     fields, begin = _headers(part)
@@ -151,7 +188,8 @@ def _fragments(spark: SparkSession, folder: str, with_payload: bool) -> DataFram
     """The archives cut at every magic, also at those inside payloads, one row a piece:
     ``file, block, rel`` (bytes since the block's first piece), ``size`` (with the magic that
     ends it), ``head`` (no magic before it), ``reach`` (bytes from the magic to the
-    successor, if these are headers), the record if all of it is here, else ``raw``.
+    successor, if these are headers), ``opens`` (headers that go on in the next piece),
+    ``blank`` (has a blank line), the record if all of it is here, else ``raw``.
 
     Long files are read in blocks.  Pieces come in order, so their places within a block
     are sums; the blocks' own places follow from the sums of the blocks.
@@ -169,11 +207,13 @@ def _fragments(spark: SparkSession, folder: str, with_payload: bool) -> DataFram
             T.StructField("size", T.LongType()),
             T.StructField("head", T.BooleanType()),
             T.StructField("reach", T.LongType()),
+            T.StructField("opens", T.BooleanType()),
+            T.StructField("blank", T.BooleanType()),
             T.StructField("raw", T.BinaryType()),
             *_RECORD,
         ]
     )
-    types = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.binary(), *_RECORD_TYPES]
+    types = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.bool_(), pa.bool_(), pa.binary(), *_RECORD_TYPES]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         here, rel = None, 0
@@ -195,7 +235,9 @@ def _fragments(spark: SparkSession, folder: str, with_payload: bool) -> DataFram
                     record = _record(value, with_payload)
                 else:
                     raw = value
-                rows.append((file, block, rel, len(value) + len(MAGIC), head, reach, raw, *record))
+                opens = not head and not found and _unfinished(value)
+                blank = bool(found) or b"\r\n\r\n" in value
+                rows.append((file, block, rel, len(value) + len(MAGIC), head, reach, opens, blank, raw, *record))
                 rel += len(value) + len(MAGIC)
             columns = zip(*rows, strict=True) if rows else [[] for _ in types]
             yield pa.RecordBatch.from_arrays(
@@ -205,6 +247,33 @@ def _fragments(spark: SparkSession, folder: str, with_payload: bool) -> DataFram
     return lines.mapInArrow(run, schema)
 
 
+def _stitched(spark: SparkSession, folder: str, placed: DataFrame, blocks: DataFrame) -> DataFrame:
+    """``file, start, late`` of pieces whose headers hold a magic: ``late`` is their reach, read
+    from the piece and those after it up to the first blank line, also in later blocks."""
+    # From the end of the file on: the next piece with a blank line.
+    after = Window.partitionBy("file").orderBy(F.desc("start")).rowsBetween(Window.unboundedPreceding, 0)
+    runs = placed.where("NOT head").select(
+        "file", "start", "opens", F.last(F.when(F.col("blank"), F.col("start")), ignorenulls=True).over(after).alias("run")
+    )
+    runs = settled(runs.where("run IS NOT NULL"), "runs")
+    asked = runs.where("opens").groupBy("file", "run").agg(F.min("start").alias("since"))
+    members = runs.join(asked, ["file", "run"]).where("start >= since").drop("since")
+
+    @F.arrow_udf(T.ArrayType(T.LongType()))
+    def reaches(runs_: pa.Array) -> pa.Array:
+        return pa.array(
+            [_reaches([p["value"] for p in parts], [p["opens"] for p in parts]) for parts in runs_.to_pylist()],
+            type=pa.list_(pa.int64()),
+        )
+
+    grouped = members.join(_placed_bytes(spark, folder, blocks), ["file", "start"]).groupBy("file", "run").agg(
+        F.sort_array(F.collect_list(F.struct("start", "opens", "value"))).alias("parts")
+    )
+    found = grouped.select("file", F.col("parts.start").alias("start"), reaches("parts").alias("late"))
+    each = found.select("file", F.explode(F.arrays_zip("start", "late")).alias("p")).select("file", "p.start", "p.late")
+    return settled(each.where("late IS NOT NULL"), "stitched")
+
+
 def _reachable(candidates: DataFrame) -> DataFrame:
     """The candidates (file, start, next) on the chain from the start of their file.
 
@@ -235,8 +304,8 @@ def read_archives(spark: SparkSession, folder: str, with_payload: bool = False)
 
     A piece of text that looks like a record inside a payload is never returned: only
     records on the chain of lengths from the start of their file are.  A file whose chain
-    breaks yields the records before the break.  The digest is worked out from the bytes
-    of a response and taken from the header of a revisit.  No archives, no rows.
+    breaks before its end raises ValueError.  The digest is worked out from the bytes of a
+    response and taken from the header of a revisit.  No archives, no rows.
     """
     pieces = settled(_fragments(spark, folder, with_payload), "pieces")
     order = Window.partitionBy("file").orderBy("block")
@@ -246,8 +315,17 @@ def read_archives(spark: SparkSession, folder: str, with_payload: bool = False)
     )
     # Blocks are as many as read tasks.
     placed = pieces.join(blocks, ["file", "block"]).withColumn("start", F.col("base") + F.col("rel") - len(MAGIC))
+    if not placed.where("opens").isEmpty():
+        late = _stitched(spark, folder, placed, blocks)
+        placed = placed.join(late, ["file", "start"], "left").withColumn("reach", F.coalesce("reach", "late")).drop("late")
     candidates = placed.where("reach IS NOT NULL").select("file", "start", (F.col("start") + F.col("reach")).alias("next"))
     good = _reachable(candidates)
+    # The last piece has no magic behind it, the one before the first magic is empty.
+    lengths = pieces.groupBy("file").agg((F.sum("size") - len(MAGIC)).alias("bytes"))
+    ends = candidates.join(good, ["file", "start"]).groupBy("file").agg(F.max("next").alias("end"))
+    broken = lengths.join(ends, "file", "left").where("NOT end <=> bytes").select("file", "end", "bytes").limit(3).collect()
+    if broken:
+        raise ValueError("archives that are not whole: " + "; ".join(f"{r.file} ends at {r.end} of {r.bytes}" for r in broken))
     names = [f.name for f in _RECORD if with_payload or f.name != "payload"]
     whole = placed.where("raw IS NULL AND NOT head").join(good, ["file", "start"]).select("file", "start", *names)
 
@@ -271,9 +349,7 @@ def read_archives(spark: SparkSession, folder: str, with_payload: bool = False)
         .where("start < until")
     )
     # Complete look-alikes inside a payload have no raw bytes; those are read again.
-    bytes_ = _fragment_bytes(spark, folder).join(blocks, ["file", "block"]).select(
-        "file", (F.col("base") + F.col("rel") - len(MAGIC)).alias("start"), "value"
-    )
+    bytes_ = _placed_bytes(spark, folder, blocks)
     kind = T.StructType(_RECORD)
 
     @F.arrow_udf(kind)
@@ -292,6 +368,13 @@ def read_archives(spark: SparkSession, folder: str, with_payload: bool = False)
     return whole.unionByName(joined.select("file", "start", *(F.col(f"r.{n}").alias(n) for n in names)))
 
 
+def _placed_bytes(spark: SparkSession, folder: str, blocks: DataFrame) -> DataFrame:
+    """``file, start, value`` of every piece."""
+    return _fragment_bytes(spark, folder).join(blocks, ["file", "block"]).select(
+        "file", (F.col("base") + F.col("rel") - len(MAGIC)).alias("start"), "value"
+    )
+
+
 def _fragment_bytes(spark: SparkSession, folder: str) -> DataFrame:
     """``file, block, rel, value`` of every piece."""
     lines = spark.read.option("lineSep", MAGIC.decode()).text(folder).select(

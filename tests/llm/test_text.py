@@ -157,6 +157,41 @@ def test_archives(spark, tmp_path, block):
     assert sorted(got, key=str) == sorted(expected, key=str)
 
 
+@pytest.mark.parametrize("block", ["128m", "300"])
+def test_archives_with_the_magic_in_urls(spark, tmp_path, block):
+    urls = ["u", "http://x/WARC/1.", "http://x/WARC/1.0", "WARC/1.a:WARC/1.0 " * 20, "WARC/1.", f"u {FAKE}", "é", None]
+    rows = [(k, urls[k % len(urls)], f"{k} {FAKE if k % 3 else 'WARC/1.0'} {'y' * (k * 7 % 200)}") for k in range(64)]
+    rows += [(100 + k, "a WARC/1.0", "z" * 150) for k in range(3)]
+    folder = str(tmp_path / "archives")
+    warc.write_archives(spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1), folder)
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", block)
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        found = warc.read_archives(spark, folder, with_payload=True).collect()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    got = {int(r.id): (r.target, None if r.payload is None else bytes(r.payload).decode()) for r in found}
+    assert len(found) == len(rows)
+    assert got == {
+        i: (re.sub(r"[\r\n]+", " ", u).strip() if u else None, h if i < 101 else None) for i, u, h in rows
+    }
+
+
+def test_archives_cut_short_are_refused(spark, tmp_path):
+    folder = tmp_path / "archives"
+    rows = [(k, "u", f"page {k}") for k in range(5)]
+    warc.write_archives(spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1), str(folder))
+    part = next(folder.glob("part-*"))
+    whole = part.read_bytes()
+    (tmp_path / "cut").mkdir()
+    (tmp_path / "cut" / "part-0.txt").write_bytes(whole[:-30])
+    with pytest.raises(ValueError, match="not whole"):
+        warc.read_archives(spark, str(tmp_path / "cut"))
+    assert warc.read_archives(spark, str(folder)).count() == 5
+
+
 PATTERNS = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
     "ip": r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)",
