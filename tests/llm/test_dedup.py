@@ -163,3 +163,34 @@ def test_near_vectors(spark):
     right = sum(found[i] == expected[i] for i in expected)
     assert len(found) == len(rows) and right >= 0.98 * len(rows)
     assert neighbours.near_vectors(table.where("false")).count() == 0
+
+
+def test_near_vectors_links_crowds_that_fill_their_lists(spark):
+    rng = np.random.default_rng(8)
+    # Three crowds in a chain: 0.92 between neighbours, so the outer two do not link.
+    turn = np.arccos(0.92)
+    rows = [(k, rng.standard_normal(32).astype(np.float32).tolist()) for k in range(1000, 1200)]
+    for c in range(3):
+        centre = np.zeros(32)
+        centre[:2] = np.cos(c * turn), np.sin(c * turn)
+        rows += [(100 * c + k, (centre + 0.005 * rng.standard_normal(32)).astype(np.float32).tolist()) for k in range(50)]
+    links = cosine_links(rows)
+    degree = {i: 0 for i, _ in rows}
+    for a, b in links:
+        degree[rows[a][0]] += 1
+        degree[rows[b][0]] += 1
+    assert degree[0] == 99 and degree[100] == 149
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(3)
+    found = {r.id: (r.n_links, r.component_id) for r in neighbours.near_vectors(table).collect()}
+    assert found == {i: (degree[i], 0 if i < 1000 else i) for i, _ in rows}
+
+
+def test_audit_counts_links_and_not_roots(spark):
+    # Of a vector's links those in the table count, though all its neighbours share a root.
+    rows = [(k, [1.0, k / 1000]) for k in range(40)]
+    vectors = neighbours.distinct_vectors(spark.createDataFrame(rows, "id long, vector array<float>"))
+    nodes = [r.node for r in vectors.orderBy("low").collect()]
+    links = spark.createDataFrame([(min(p), max(p)) for p in zip(nodes, nodes[1:])], "a long, b long")
+    roots = spark.createDataFrame([(n, min(nodes)) for n in nodes], "node long, root long")
+    lists = spark.createDataFrame([], neighbours._edges_schema())
+    assert neighbours.audit(vectors, lists, links, roots, 0.9, 12) < 0.06
