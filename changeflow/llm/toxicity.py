@@ -18,14 +18,10 @@ from changeflow.llm.pretokens import chunked, cut_blanks
 
 #: Labelled rows of each class that may serve as examples: those of smallest hashed id.
 EXAMPLES = 4000
-#: Terms of the vectors at most, and the least association with the label (chi-square,
-#: one degree of freedom) and number of examples that a term must have.
-TERMS = 1024
+#: The least association with the label (chi-square, one degree of freedom) and number of
+#: examples that a term must have.
 LEAST_CHI2 = 20.0
 LEAST_EXAMPLES = 3
-#: How many times as frequent a term must be among toxic examples as among clean ones; the
-#: more examples there are, the fainter the associations that chi-square alone lets pass.
-LEAST_LIFT = 5.0
 #: Lengths of the word beginnings that are terms beside the whole words.
 BEGINNINGS = (4, 5, 6, 7, 8)
 #: Mark of the term that stands for a second occurrence: repetition tells more than presence.
@@ -113,7 +109,7 @@ def examples(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, usa
 
 
 def _select_terms(taught: DataFrame, n_toxic: int, n_clean: int) -> list[str]:
-    """Terms that toxic examples have more often than clean ones, by chi-square."""
+    """All terms that toxic examples have more often than clean ones, by chi-square."""
     kinds = T.ArrayType(T.StringType())
 
     @F.arrow_udf(kinds)
@@ -134,23 +130,46 @@ def _select_terms(taught: DataFrame, n_toxic: int, n_clean: int) -> list[str]:
     total = float(n_toxic + n_clean)
     a, b = F.col("a"), F.col("b")
     c, d = F.lit(float(n_toxic)) - a, F.lit(float(n_clean)) - b
-    scored = held.where((a >= LEAST_EXAMPLES) & (a * n_clean >= LEAST_LIFT * b * n_toxic)).select(
+    scored = held.where((a >= LEAST_EXAMPLES) & (a * n_clean > b * n_toxic)).select(
         "term", (F.lit(total) * (a * d - b * c) ** 2 / F.nullif((a + b) * (c + d) * n_toxic * n_clean, F.lit(0.0))).alias("chi2")
     )
-    best = scored.where(F.col("chi2") >= LEAST_CHI2).orderBy(F.desc("chi2"), "term").limit(TERMS)
+    best = scored.where(F.col("chi2") >= LEAST_CHI2).orderBy(F.desc("chi2"), "term")
     return [r["term"] for r in best.collect()]
 
 
 # -- the model ------------------------------------------------------------------------------
 
 
+class Rows:
+    """Sparse rows, none of them empty: the terms and weights of each."""
+
+    def __init__(self, ids: list[np.ndarray], weights: list[np.ndarray], width: int):
+        self.starts = np.concatenate([[0], np.cumsum([len(i) for i in ids], dtype=np.int64)]).astype(np.int64)
+        self.ids = np.concatenate([np.zeros(0, dtype=np.int64), *ids]).astype(np.int64)
+        self.weights = np.concatenate([np.zeros(0), *weights])
+        self.width = width
+
+    def __len__(self) -> int:
+        return len(self.starts) - 1
+
+    def __matmul__(self, other: np.ndarray) -> np.ndarray:
+        return self.times(other, 0, len(self))
+
+    def times(self, other: np.ndarray, first: int, last: int) -> np.ndarray:
+        """The products of rows ``first`` to ``last`` with a dense vector."""
+        at = self.starts[first : last + 1]
+        if last <= first:
+            return np.zeros(0)
+        return np.add.reduceat(self.weights[at[0] : at[-1]] * other[self.ids[at[0] : at[-1]]], at[:-1] - at[0])
+
+
 @dataclass
 class Model:
     """Example vectors with their votes, in blocks; all of bounded size."""
 
     vocabulary: list[str]
     idf: np.ndarray
-    vectors: np.ndarray  # distinct unit vectors, a row each
+    vectors: Rows  # distinct unit vectors
     votes: np.ndarray  # weight of toxic and of clean examples of each vector
     ids: np.ndarray  # an example of each vector
     prior: float
@@ -163,15 +182,33 @@ class Model:
         return {k: v for k, v in self.__dict__.items() if k not in ("block_max", "postings", "_memo")} | {"_memo": {}}
 
     @cached_property
-    def block_max(self) -> np.ndarray:
-        """The greatest weight of each term (column) in each block of vectors."""
-        starts = np.arange(0, len(self.vectors), BLOCK)
-        return np.maximum.reduceat(self.vectors, starts, axis=0) if len(starts) else np.zeros((0, len(self.idf)))
+    def postings(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Rows and weights by term, and where each term begins."""
+        rows = np.repeat(np.arange(len(self.vectors)), np.diff(self.vectors.starts))
+        order = np.argsort(self.vectors.ids, kind="stable")
+        begins = np.searchsorted(self.vectors.ids[order], np.arange(len(self.idf) + 1))
+        return rows[order], self.vectors.weights[order], begins
 
     @cached_property
-    def postings(self) -> list[np.ndarray]:
-        """The blocks in which each term occurs."""
-        return [np.flatnonzero(self.block_max[:, t]) for t in range(len(self.idf))]
+    def block_max(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Blocks and the greatest weight in each by term, and where each term begins."""
+        rows, weights, begins = self.postings
+        key = np.repeat(np.arange(len(self.idf)), np.diff(begins)) * (len(self.vectors) // BLOCK + 1) + rows // BLOCK
+        cut = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, dtype=np.int64)
+        most = np.maximum.reduceat(weights, cut) if len(cut) else np.zeros(0)
+        return rows[cut] // BLOCK, most, np.searchsorted(cut, begins)
+
+    @staticmethod
+    def _added(listed: tuple[np.ndarray, np.ndarray, np.ndarray], ids: np.ndarray, weights: np.ndarray, size: int) -> np.ndarray:
+        """For each place in the lists of the terms, the sum of its weights times theirs."""
+        places, values, begins = listed
+        parts = [slice(begins[t], begins[t + 1]) for t in ids]
+        if not parts:
+            return np.zeros(size)
+        return np.bincount(
+            np.concatenate([places[p] for p in parts]),
+            np.concatenate([values[p] * w for p, w in zip(parts, weights, strict=True)]), size,
+        )
 
     def unit(self, ids: np.ndarray, counts: np.ndarray) -> np.ndarray:
         weights = (1.0 + np.log(counts)) * self.idf[ids]
@@ -184,21 +221,32 @@ class Model:
         The blocks that can reach most are read first.  What the last of their neighbours has
         decides which of the other blocks are read at all.
         """
-        blocks = np.unique(np.concatenate([self.postings[t] for t in ids])) if len(ids) else np.zeros(0, dtype=np.int64)
-        bound = self.block_max[np.ix_(blocks, ids)] @ weights
+        size = len(self.vectors)
+        bound = self._added(self.block_max, ids, weights, -(-size // BLOCK))
         order = np.argsort(-bound, kind="stable")
+        order = order[bound[order] > 0]
         at, found = np.zeros(0, dtype=np.int64), np.zeros(0)
         first = -(-NEIGHBOURS // BLOCK) + 1
         for step in (order[:first], order[first:]):
             if len(at) >= NEIGHBOURS:
-                step = step[bound[step] >= found[-1] - 1e-12]
+                step = step[bound[step] >= found[-1] - 1e-11]
             if not len(step):
                 continue
-            rows = (blocks[step, None] * BLOCK + np.arange(BLOCK)).ravel()
-            rows = rows[rows < len(self.vectors)]
-            sims = self.vectors[np.ix_(rows, ids)] @ weights
+            rows = (step[:, None] * BLOCK + np.arange(BLOCK)).ravel()
+            rows = rows[rows < size]
+            starts, begins = self.vectors.starts, self.postings[2]
+            held = sum(starts[min((k + 1) * BLOCK, size)] - starts[k * BLOCK] for k in step)
+            if held < (begins[ids + 1] - begins[ids]).sum():
+                asked = np.zeros(len(self.idf))
+                asked[ids] = weights
+                sims = np.concatenate([self.vectors.times(asked, k * BLOCK, min((k + 1) * BLOCK, size)) for k in step])
+            else:
+                sims = self._added(self.postings, ids, weights, size)[rows]
             use = (sims > 0) & (rows != leave)
             at, found = np.concatenate([at, rows[use]]), np.concatenate([found, sims[use]])
+            if len(found) > NEIGHBOURS:
+                use = found >= np.partition(found, -NEIGHBOURS)[-NEIGHBOURS] - 1e-11
+                at, found = at[use], found[use]
             best = np.lexsort((at, -np.round(found, 12)))[:NEIGHBOURS]
             at, found = at[best], found[best]
         return at, found
@@ -253,21 +301,20 @@ def fit(rows: list, class_sizes: dict[int, int], vocabulary: list[str], df: np.n
     per = {c: class_sizes.get(c, 0) / drawn[c] for c in (0, 1)}
     prior = (class_sizes.get(1, 0) + 0.5) / (sum(class_sizes.values()) + 2.0)
     idf = np.log((1.0 + documents) / (1.0 + df)) + 1.0
-    model = Model(vocabulary, idf, np.zeros((0, len(idf))), np.zeros((0, 2)), np.zeros(0, dtype=np.int64), prior, prior)
+    model = Model(vocabulary, idf, Rows([], [], len(idf)), np.zeros((0, 2)), np.zeros(0, dtype=np.int64), prior, prior)
     bare = [r for r in rows if not r["ids"]]
     held = sum(per[r["toxic"]] for r in bare)
     model.bare = (sum(per[1] for r in bare if r["toxic"]) + prior) / (held + 1.0)
     merged: dict[bytes, list] = {}
     for r in sorted((r for r in rows if r["ids"]), key=lambda r: (r["ids"], r["counts"], r["id"])):
         ids, counts = np.array(r["ids"]), np.array(r["counts"])
-        dense = np.zeros(len(idf))
-        dense[ids] = model.unit(ids, counts)
-        own = merged.setdefault(dense.tobytes(), [dense, 0.0, 0.0, r["id"], ids, counts, 0, 0])
+        weights = model.unit(ids, counts)
+        own = merged.setdefault(ids.tobytes() + weights.tobytes(), [weights, 0.0, 0.0, r["id"], ids, counts, 0, 0])
         own[1 if r["toxic"] else 2] += per[r["toxic"]]
         own[6 if r["toxic"] else 7] += 1
     entries = list(merged.values())
     if entries:
-        model.vectors = np.array([e[0] for e in entries])
+        model.vectors = Rows([e[4] for e in entries], [e[0] for e in entries], len(idf))
         model.votes = np.array([[e[1], e[2]] for e in entries])
         model.ids = np.array([e[3] for e in entries])
         shares = np.array([model.vote(e[4], e[5], leave=k)[0] for k, e in enumerate(entries)])

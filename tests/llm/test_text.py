@@ -311,6 +311,22 @@ def test_toxicity_learns_from_usable_labels_only(spark, docs):
     assert toxicity.toxicity(docs(rows).where("false"), marked, usable).count() == 0
 
 
+def test_toxicity_keeps_faint_and_many_terms(spark, docs):
+    # "drat" is twice as frequent in toxic examples, and 1300 other words tell as well.
+    many = " ".join(f"a{k}" for k in range(100, 1400))
+    rows = [(f"{many if k < 60 else ''} {'drat' if k % 2 else ''}", 1) for k in range(400)]
+    rows += [("drat" if k % 4 == 0 else "other", 0) for k in range(400)]
+    found = toxicity._select_terms(spark.createDataFrame(rows, "text string, toxic int"), 400, 400)
+    assert {"drat", *many.split()} <= set(found)
+    # Equal texts are one example.
+    texts = [(k, f"{'drat' if k % 3 else 'fine'} {k}", int(k % 3 > 0)) for k in range(150)]
+    texts += [(k, f"drat fine {k}", 0) for k in range(150, 180)]
+    labels = spark.createDataFrame([(i, t) for i, _, t in texts], "doc_id long, toxic int")
+    scored = toxicity.toxicity(docs([(i, t) for i, t, _ in texts]), labels, F.lit(True)).collect()
+    score = {r.id: (r.score, len(r.evidence)) for r in scored}
+    assert score[1][1] > 0 and score[1][0] > score[0][0]
+
+
 def removed_by_brute_force(rows, least=200):
     starts = collections.Counter()
     for _, t in rows:
