@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeflow.llm import exact, neighbours, packing, pii, repeats, simhash, tokens, toxicity, warc
+from changeflow.llm import alignment, exact, neighbours, packing, pii, pow2, repeats, simhash, tokens, toxicity, warc, whitening
 from changeflow.llm.common import ship, table, workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -90,6 +90,21 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select(F.col("id").alias("doc_id"), "fingerprint", "component_id")
 
 
+def op11_spectral_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
+def op12_pow2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    pieces = pow2.decomposed(table(spark, sf_dir, "documents"), path, with_ids=False)
+    return pieces.drop("bucket").withColumnRenamed("id", "doc_id")
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = (public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return alignment.align(table(spark, sf_dir, "documents"), *paths).withColumnRenamed("id", "doc_id")
+
+
 def _shipped(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship(spark)
@@ -111,6 +126,9 @@ QUERIES: dict[str, Query] = {
         op8_toxicity,
         op9_exact_dedup,
         op10_simhash,
+        op11_spectral_whitening,
+        op12_pow2_packing,
+        op13_token_alignment,
     )
 }
 
