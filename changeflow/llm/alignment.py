@@ -1,10 +1,4 @@
-"""Two tokenizers' ids of one text, aligned where tokens of both end at one byte.
-
-A text is cut at single spaces between other signs.  Both tokenizers treat such a part with
-its space alone: the byte-level rule starts a pre-token there, and no piece of the other
-vocabulary holds a space after another sign, which is checked when the vocabulary is read.
-So the ends of a text's parts are common ends, and a part met before is not aligned again.
-"""
+"""Two tokenizers' ids of one text, aligned where tokens of both end at one byte."""
 
 from __future__ import annotations
 
@@ -13,9 +7,12 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache, cached_property
+from operator import itemgetter
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,108 +20,87 @@ from pyspark.sql import types as T
 from sentencepiece import SentencePieceProcessor
 from tokenizers import Tokenizer
 
-from changeflow.llm.bpe import REMEMBERED_CHARS, byte_bpe
+from changeflow.llm.bpe import byte_bpe
 from changeflow.llm.common import settled
-from changeflow.llm.pretokens import gathered
+from changeflow.llm.pretokens import gathered, unknown_points
 
-_BLANK = "▁"
-_SEAM = re.compile(r"(?<=\S) (?=\S)")
 _BYTE = re.compile("<0x([0-9A-F]{2})>")
-#: Parts that a Python worker remembers, and characters of a chunk of documents.
-REMEMBERED = 150_000
+#: Characters of a chunk of documents; a longer text makes a chunk of its own.
 CHUNK = 1 << 20
 #: Bits of the second id in the number of a pair of ids, and of a chunk's number in its task.
 _B_BITS, _CHUNK_BITS = 32, 32
 
 
-def common_slices(ends_a: list[int], ends_b: list[int]) -> list[tuple[int, int]]:
-    """Where two lists of cumulative ends, each strictly rising, agree: for every common
-    end, in order, how many tokens of each side lie before it."""
-    index_a = {end: k for k, end in enumerate(ends_a, 1)}
-    index_b = {end: k for k, end in enumerate(ends_b, 1)}
-    return [(index_a[end], index_b[end]) for end in sorted(index_a.keys() & index_b.keys())]
-
+def common_slices(ends_a: list[int], ends_b: list[int]) -> tuple[list[int], list[int]]:
+    """Where two lists of cumulative ends, each strictly rising, agree: for every common end,
+    in order, how many tokens of each side lie before it."""
+    index_a = dict(zip(ends_a, range(1, len(ends_a) + 1)))
+    index_b = dict(zip(ends_b, range(1, len(ends_b) + 1)))
+    common = sorted(index_a.keys() & index_b.keys())
+    if len(common) < 2:
+        return [index_a[e] for e in common], [index_b[e] for e in common]
+    pick = itemgetter(*common)
+    return list(pick(index_a)), list(pick(index_b))
 
-def slice_links(ends_a: list[int], ends_b: list[int], i: int, i_end: int, j: int, j_end: int) -> Iterator[tuple[int, int]]:
-    """Positions of all pairs of tokens in one slice whose byte ranges overlap."""
-    while i < i_end and j < j_end:
-        yield i, j
-        a, b = ends_a[i], ends_b[j]
-        i, j = i + (a <= b), j + (b <= a)
 
+class Vocabulary:
+    """The bytes of all tokens in a row, and the start and length of each."""
 
-@dataclass
-class Part:
-    """Two tokenizers' ids of one part of a text, aligned."""
-
-    n_a: int
-    n_b: int
-    n_groups: int
-    text: str  # the groups
-    pairs: bytes  # of linked ids, a long for each link
+    def __init__(self, tokens: list[bytes]):
+        self.lengths = np.array([len(t) for t in tokens], dtype=np.int64)
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.data = np.frombuffer(b"".join(tokens), dtype=np.uint8)
 
-
-def aligned(a: list[int], sizes_a: list[int], b: list[int], sizes_b: list[int]) -> Part:
-    """Groups and links of two id lists whose tokens have these numbers of bytes, each at
-    least one and the same in all."""
-    ends_a, ends_b = np.cumsum(sizes_a).tolist(), np.cumsum(sizes_b).tolist()
-    groups, pairs, i, j = [], [], 0, 0
-    for i_end, j_end in common_slices(ends_a, ends_b):
-        groups.append(",".join(map(str, a[i:i_end])) + "|" + ",".join(map(str, b[j:j_end])))
-        pairs += [a[k] << _B_BITS | b[m] for k, m in slice_links(ends_a, ends_b, i, i_end, j, j_end)]
-        i, j = i_end, j_end
-    return Part(len(a), len(b), len(groups), ";".join(groups), np.array(pairs, dtype=np.int64).tobytes())
+    def joined(self, ids: np.ndarray) -> bytes:
+        return self.data[gathered(self.starts[ids], self.lengths[ids])].tobytes()
 
 
 class Aligner:
     """Tables of one byte-level vocabulary (A) and one piece vocabulary (B)."""
 
     def __init__(self, path_a: str, path_b: str):
-        self.a = Tokenizer.from_file(path_a)
-        self.a.encode_special_tokens = True
-        self.bytes_a = byte_bpe(path_a).token
-        self.b = SentencePieceProcessor(model_file=path_b)
-        self.known: dict[str, Part | None] = {}
+        self.path_a = path_a
+        self.library = Tokenizer.from_file(path_a)
+        self.library.encode_special_tokens = True
+        self.pieces = SentencePieceProcessor(model_file=path_b)
+
+    @cached_property
+    def a(self) -> Vocabulary:
+        return Vocabulary(byte_bpe(self.path_a).token)
 
     @cached_property
-    def bytes_b(self) -> list[bytes]:
-        out = []
-        for i in range(self.b.get_piece_size()):
-            piece = self.b.id_to_piece(i)
-            if self.b.is_byte(i):
-                out.append(bytes([int(_BYTE.fullmatch(piece).group(1), 16)]))
-            else:
-                out.append(piece.replace(_BLANK, " ").encode())
-        return out
+    def b(self) -> Vocabulary:
+        pieces = self.pieces
+        names = [pieces.id_to_piece(i) for i in range(pieces.get_piece_size())]
+        return Vocabulary(
+            [
+                bytes([int(_BYTE.fullmatch(n).group(1), 16)]) if pieces.is_byte(i) else n.replace("▁", " ").encode()
+                for i, n in enumerate(names)
+            ]
+        )
 
     @cached_property
-    def separable(self) -> bool:
-        """No piece of B holds a space after another sign, and B reads texts as they are."""
-        inner = any(_BLANK in self.b.id_to_piece(i).lstrip(_BLANK) for i in range(self.b.get_piece_size()))
-        return not inner and self.b.normalize(" a  ﬁ ") == "▁▁a▁▁ﬁ▁"
-
-    def parts_of(self, text: str) -> list[str]:
-        return _SEAM.split(text) if self.separable else [text]
-
-    def part(self, text: str) -> Part | None:
-        """None if either side's bytes are not those of a space and the text."""
-        a = self.a.encode(f" {text}", add_special_tokens=False).ids
-        b = self.b.encode(text)
-        data_a, data_b = [self.bytes_a[i] for i in a], [self.bytes_b[i] for i in b]
-        whole = f" {text}".encode()
-        if b"".join(data_a) != whole or b"".join(data_b) != whole:
+    def by_rank(self) -> tiktoken.Encoding | None:
+        """The same encoder for vocabularies whose merged tokens are numbered in the order of
+        their merges: there the id is the rank.  None for others."""
+        model = byte_bpe(self.path_a)
+        merged = sorted((rank, made) for rank, made in model.merges.values())
+        if [made for _, made in merged] != sorted({made for _, made in merged}):
             return None
-        return aligned(a, [len(d) for d in data_a], b, [len(d) for d in data_b])
+        return tiktoken.Encoding(
+            "ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=model.id_of, special_tokens={}
+        )
 
-    def remembered(self, text: str) -> Part | None:
-        if text in self.known:
-            return self.known[text]
-        found = self.part(text)
-        if len(text) <= REMEMBERED_CHARS:
-            if len(self.known) >= REMEMBERED:
-                self.known.clear()
-            self.known[text] = found
-        return found
+    def ids_a(self, text: str) -> np.ndarray:
+        if self.by_rank is None or unknown_points(text):  # its tables may know other letters
+            return np.array(self.library.encode(text, add_special_tokens=False).ids, dtype=np.int64)
+        return self.by_rank.encode_to_numpy(text, disallowed_special=()).astype(np.int64)
+
+    @cached_property
+    def decimals(self) -> list[str]:
+        """Each id with what follows it in the listed groups: a comma, a bar or a semicolon."""
+        top = max(len(self.a.lengths), len(self.b.lengths))
+        return [f"{i}{sign}" for i in range(top) for sign in ",|;"]
 
 
 @cache
@@ -132,14 +108,67 @@ def aligner(path_a: str, path_b: str) -> Aligner:
     return Aligner(path_a, path_b)
 
 
+@dataclass
+class Aligned:
+    """One text: the ids of both, tokens of each up to each group's end, and the ids of each
+    pair of tokens whose bytes overlap."""
+
+    a: np.ndarray
+    b: np.ndarray
+    upto_a: np.ndarray
+    upto_b: np.ndarray
+    pairs: np.ndarray
+
+    @property
+    def figures(self) -> tuple[int, int, int, int]:
+        return len(self.a), len(self.b), len(self.upto_a), len(self.pairs)
+
+
+_NONE = np.zeros(0, dtype=np.int64)
+
+
+def align_text(tables: Aligner, text: str | None) -> Aligned:
+    """Groups and links of a text; none if either side's bytes are not a space and the text."""
+    nothing = Aligned(_NONE, _NONE, _NONE, _NONE, _NONE)
+    if not text:
+        return nothing
+    a = tables.ids_a(f" {text}")
+    b = np.array(tables.pieces.encode(text), dtype=np.int64)
+    whole = f" {text}".encode()
+    if tables.a.joined(a) != whole or tables.b.joined(b) != whole:
+        return nothing
+    ends_a, ends_b = np.cumsum(tables.a.lengths[a]), np.cumsum(tables.b.lengths[b])
+    upto_a, upto_b = (np.array(u, dtype=np.int64) for u in common_slices(ends_a.tolist(), ends_b.tolist()))
+    # Within a slice no inner ends agree, so each end of either side closes one more link:
+    # that of the tokens which hold the byte before it.
+    ends = np.sort(np.concatenate([ends_a, np.delete(ends_b, upto_b - 1)]))
+    pairs = a[np.searchsorted(ends_a, ends)] << _B_BITS | b[np.searchsorted(ends_b, ends)]
+    return Aligned(a, b, upto_a, upto_b, pairs)
+
+
+def listed(tables: Aligner, done: Aligned) -> str:
+    """The groups as text: ids of A by commas, a bar, ids of B; groups by semicolons."""
+    n = len(done.a) + len(done.b)
+    if not n:
+        return ""
+    before_a, before_b = (np.concatenate([[0], u[:-1]]) for u in (done.upto_a, done.upto_b))
+    codes = np.empty(n, dtype=np.int64)
+    group_a = np.repeat(before_b, done.upto_a - before_a)
+    codes[np.arange(len(done.a)) + group_a] = 3 * done.a
+    codes[np.arange(len(done.b)) + np.repeat(done.upto_a, done.upto_b - before_b)] = 3 * done.b
+    codes[done.upto_a + before_b - 1] += 1
+    codes[done.upto_a + done.upto_b - 1] += 2
+    sign = tables.decimals
+    return "".join([sign[c] for c in codes.tolist()])[:-1]
+
+
 @dataclass
 class Chunk:
-    """Some documents aligned: figures and groups of each; the distinct ``pairs`` of all with
-    the number of documents that hold each; for each document the places of its distinct
-    pairs in ``pairs`` and how often it has each."""
+    """Some documents aligned: the distinct ``pairs`` of all with the number of documents that
+    hold each; for each document the places of its distinct pairs in ``pairs`` and how often
+    it has each."""
 
-    figures: list[tuple[int, int, int, int]]
-    groups: list[str]
+    texts: list[Aligned]
     pairs: np.ndarray
     holding: np.ndarray
     places: list[np.ndarray]
@@ -147,43 +176,15 @@ class Chunk:
 
 
 def align_texts(tables: Aligner, texts: list[str | None]) -> Chunk:
-    """Every distinct part is aligned once; documents add up their parts."""
-    number: dict[str, int] = {}
-    parts: list[Part | None] = []
-    used: list[np.ndarray] = []
-    for text in texts:
-        codes = []
-        for part in tables.parts_of(text) if text else ():
-            code = number.get(part)
-            if code is None:
-                code = number[part] = len(parts)
-                parts.append(tables.remembered(part))
-            codes.append(code)
-        if any(parts[c] is None for c in codes):
-            codes = []
-        used.append(np.array(codes, dtype=np.int64))
-    sound = [p if p is not None else Part(0, 0, 0, "", b"") for p in parts]
-    figures = np.array([(p.n_a, p.n_b, p.n_groups, len(p.pairs) // 8) for p in sound], dtype=np.int64).reshape(-1, 4)
-    pairs, flat = np.unique(np.frombuffer(b"".join(p.pairs for p in sound), dtype=np.int64), return_inverse=True)
-    flat = flat.astype(np.int32)
-    lengths = figures[:, 3]
-    starts = np.cumsum(lengths) - lengths
-    holding = np.zeros(len(pairs), dtype=np.int64)
-    out = Chunk([], [], pairs, holding, [], [])
-    for codes in used:
-        out.figures.append(tuple(figures[codes].sum(axis=0).tolist()))
-        out.groups.append(";".join([sound[c].text for c in codes.tolist()]))
-        distinct, often = np.unique(codes, return_counts=True)
-        n = lengths[distinct]
-        links = flat[gathered(starts[distinct], n)]
-        weight = np.repeat(often, n)
-        order = np.argsort(links, kind="stable")
-        links, weight = links[order], weight[order]
-        first = np.flatnonzero(np.diff(links, prepend=-1))
-        out.places.append(links[first])
-        out.times.append(np.add.reduceat(weight, first) if len(first) else weight)
-        holding[links[first]] += 1
-    return out
+    done = [align_text(tables, t) for t in texts]
+    links = [d.pairs for d in done]
+    pairs, at = np.unique(np.concatenate([*links, _NONE]), return_inverse=True)
+    document = np.repeat(np.arange(len(done)), [len(p) for p in links])
+    keys, times = np.unique(document * max(1, len(pairs)) + at, return_counts=True)
+    document, place = np.divmod(keys, max(1, len(pairs)))
+    cuts = np.searchsorted(document, np.arange(1, len(done)))
+    holding = np.bincount(place, minlength=len(pairs))
+    return Chunk(done, pairs, holding, np.split(place, cuts), np.split(times, cuts))
 
 
 def _chunks(texts: list[str | None]) -> Iterator[slice]:
@@ -235,19 +236,21 @@ def align(
             texts = batch.column("text").to_pylist()
             for part in _chunks(texts):
                 done = align_texts(tables, texts[part])
+                groups = [listed(tables, d) for d in done.texts]
+                figures = [d.figures for d in done.texts]
                 n = part.stop - part.start
                 columns = {
                     "chunk": pa.array([number] * (n + 1), pa.int64()),
                     "id": pa.concat_arrays([pa.nulls(1, batch.column("id").type), batch.column("id").slice(part.start, n)]),
-                    **{c: pa.array([None, *(f[k] for f in done.figures)], pa.int64()) for k, c in enumerate(long_names)},
-                    "groups_sha256": pa.array([None, *(hashlib.sha256(g.encode()).hexdigest() if g else "" for g in done.groups)], pa.string()),
+                    **{c: pa.array([None, *(f[k] for f in figures)], pa.int64()) for k, c in enumerate(long_names)},
+                    "groups_sha256": pa.array([None, *(hashlib.sha256(g.encode()).hexdigest() if g else "" for g in groups)], pa.string()),
                     "places": pa.array([None, *(p.astype("<i4").tobytes() for p in done.places)], pa.binary()),
                     "times": pa.array([None, *(t.astype("<i4").tobytes() for t in done.times)], pa.binary()),
                     "pairs": pa.array([done.pairs, *[None] * n], pa.list_(pa.int64())),
                     "holding": pa.array([done.holding, *[None] * n], pa.list_(pa.int64())),
                 }
                 if with_groups:
-                    columns["groups"] = pa.array([None, *done.groups], pa.string())
+                    columns["groups"] = pa.array([None, *groups], pa.string())
                 yield pa.RecordBatch.from_arrays([columns[f.name] for f in schema.fields], names=schema.fieldNames())
                 number += 1
 

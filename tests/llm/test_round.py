@@ -236,8 +236,8 @@ def test_counts_meet_across_chunks(docs, monkeypatch):
     tables, texts = alignment.aligner(BYTE, PIECE), [t for _, t in rows]
     monkeypatch.setattr(alignment, "CHUNK", 100)
     assert len(list(alignment._chunks(texts))) > 20
-    whole = [alignment.align_texts(tables, [t]).figures[0] for t in texts]
-    assert whole == alignment.align_texts(tables, texts).figures
+    whole = [alignment.align_text(tables, t).figures for t in texts]
+    assert whole == [d.figures for d in alignment.align_texts(tables, texts).texts]
     assert as_rows(alignment.align(docs(rows).repartition(40), BYTE, PIECE)) == brute_alignment(rows)
 
 
