@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+import re
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,10 +19,14 @@ from pyspark.sql import functions as F
 def workspace(spark: SparkSession, purpose: str) -> str:
     """A fresh folder that the driver and all executors reach.
 
-    It lies in the folder the cluster names in ``spark.checkpoint.dir``, or in the
-    warehouse where that is unset, and is deleted when the session's JVM ends.
+    It lies in the folder the cluster names in ``spark.checkpoint.dir`` and is deleted when
+    the session's JVM ends.  Only a session on one machine may do without that setting, and
+    uses its warehouse.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root and not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors reach")
+    root = root or spark.conf.get("spark.sql.warehouse.dir")
     folder = f"{root.rstrip('/')}/llm-{purpose}-{uuid.uuid4().hex}"
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
@@ -49,6 +58,21 @@ def ship(spark: SparkSession) -> None:
     context._changeflow_shipped = True
 
 
+def handed_back(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A function over batches after which the Python worker gives memory back: workers
+    outlive their tasks, and what one has freed it would else keep beside the next one."""
+
+    def whole(batches: Iterator) -> Iterator:
+        yield from run(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim:
+            trim(0)
+
+    return whole
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from changeflow.llm.common import settled
+from changeflow.llm.common import handed_back, settled
 from changeflow.llm.neighbours import _bounds, _grouped
 
 LEAST = 200
@@ -64,14 +64,13 @@ def _window_min(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def neighbourhoods(data: np.ndarray, least: int = LEAST) -> tuple[np.ndarray, ...]:
-    """``first, last`` window of each neighbourhood, the anchor's hash and the hash of all
-    bytes from the first window's start to the last one's end."""
+    """``first, last`` window of each neighbourhood and the hash of its anchor."""
     # At most 256 windows share an anchor, so that a place needs one byte for how many.
     gram = min(max(GRAM, least - 255), least)
     n = len(data)
     if n < least:
         none = np.zeros(0, dtype=np.int64)
-        return none, none, none, none
+        return none, none, none
     # Hash of data[a:b] is (sums[b] - sums[a]) / base**a, modulo 2**64.
     sums = np.zeros(n + 1, dtype=np.uint64)
     np.cumsum(_byte_values()[data] * _powers(_MULTIPLIER, n), out=sums[1:])
@@ -84,8 +83,15 @@ def neighbourhoods(data: np.ndarray, least: int = LEAST) -> tuple[np.ndarray, ..
     new[1:] = (least_of[1:] != least_of[:-1]) | (grams[: len(least_of) - 1] == least_of[:-1])
     first = np.flatnonzero(new)
     last = np.append(first[1:], len(least_of)) - 1
-    whole = _mixed((sums[last + least] - sums[first]) * inverse[first]) ^ _mixed((last - first).astype(np.uint64))
-    return first, last, least_of[first].view(np.int64), whole.view(np.int64)
+    return first, last, least_of[first].view(np.int64)
+
+
+def digests(data: bytes, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Two longs, 128 bits of a cryptographic digest, that stand for the bytes of each range:
+    no input makes different bytes equal."""
+    whole, new = memoryview(data), hashlib.blake2b
+    found = [new(whole[a:b], digest_size=16).digest() for a, b in zip(begins.tolist(), ends.tolist(), strict=True)]
+    return np.frombuffer(b"".join(found), dtype="<i8").reshape(-1, 2)
 
 
 # -- suffix arrays ----------------------------------------------------------------------
@@ -136,29 +142,60 @@ class SuffixArray:
             out += same.astype(np.int64) << k
         return out
 
-    def maximal_repeats(self) -> Iterator[tuple[int, np.ndarray]]:
-        """Length and all positions of each maximal repeat of ``least`` bytes or more.
+    def tree(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The maximal repeats as a tree of intervals of ``order``: length and parent (-1: none)
+        of each, the places in ``order`` that lie in one, and the deepest one of each.
 
-        The intervals of the common-prefix tree come from one scan with a stack.  An
-        interval is a maximal repeat if its occurrences do not all follow the same byte;
-        otherwise the repeat one byte further left has it covered.  Parts of the array
-        without such a difference are passed over.
+        One scan with a stack closes the intervals of the common-prefix tree, inner ones
+        first.  An interval is a maximal repeat if its occurrences do not all follow the
+        same byte; otherwise the repeat one byte further left has it covered, and its places go to
+        the interval around it.  Its occurrences are the places in it and in all below it, so
+        the tree holds them once each.  Parts of the array without such a difference are
+        passed over.
         """
         long = self.shared >= self.least
         edge = np.flatnonzero(np.diff(np.concatenate([[False], long, [False]]).astype(np.int8)))
         differing = np.concatenate([[0], np.cumsum(self.differs)])
+        lengths: list[int] = []
+        parents: list[int] = []
+        places: list[int] = []
+        groups: list[int] = []
         for begin, end in zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True):
             if differing[end] == differing[begin]:
                 continue
-            stack: list[tuple[int, int]] = []
+            stack: list[list] = []  # length, first place, places and repeats not yet in one
             for k, shared in enumerate([*self.shared[begin:end].tolist(), 0], start=begin):
-                left = k
+                left, loose, below = k, [k], []
                 while stack and stack[-1][0] > shared:
-                    length, left = stack.pop()
+                    length, left, own, inner = stack.pop()
+                    loose, below = _joined(own, loose), _joined(inner, below)
                     if differing[k] > differing[left]:
-                        yield length, self.order[left : k + 1]
-                if shared and (not stack or stack[-1][0] < shared):
-                    stack.append((shared, left))
+                        group = len(lengths)
+                        lengths.append(length)
+                        parents.append(-1)
+                        for g in below:
+                            parents[g] = group
+                        places += loose
+                        groups += [group] * len(loose)
+                        loose, below = [], [group]
+                if not shared:
+                    continue
+                if stack and stack[-1][0] == shared:
+                    stack[-1][2], stack[-1][3] = _joined(stack[-1][2], loose), _joined(stack[-1][3], below)
+                else:
+                    stack.append([shared, left, loose, below])
+        return tuple(np.array(x, dtype=np.int64) for x in (lengths, parents, places, groups))
+
+    def maximal_repeats(self) -> Iterator[tuple[int, np.ndarray]]:
+        """Length and all positions of each maximal repeat of ``least`` bytes or more."""
+        lengths, parents, places, groups = self.tree()
+        inside: list[list[int]] = [[] for _ in lengths]
+        for place, group in zip(places.tolist(), groups.tolist(), strict=True):
+            while group >= 0:
+                inside[group].append(place)
+                group = int(parents[group])
+        for length, own in zip(lengths.tolist(), inside, strict=True):
+            yield length, self.order[np.sort(np.array(own, dtype=np.int64))]
 
     def places(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Segment and place in it of positions."""
@@ -166,6 +203,14 @@ class SuffixArray:
         return segment, at - self.begin[segment]
 
 
+def _joined(a: list, b: list) -> list:
+    """Both lists in one, the shorter moved."""
+    if len(a) < len(b):
+        a, b = b, a
+    a.extend(b)
+    return a
+
+
 # -- the operator -------------------------------------------------------------------------
 
 
@@ -193,39 +238,50 @@ def _long(*names: str) -> T.StructType:
     return T.StructType([T.StructField(n, T.LongType()) for n in names])
 
 
-def _anchors(rows: DataFrame, least: int) -> DataFrame:
-    """``h, u, doc, place`` of every neighbourhood: the hashes of its anchor and of all its
-    bytes; ``place`` is its first window times 256, and how many more it has."""
-    schema = _long("h", "u", "doc", "place")
+def _anchors(rows: DataFrame, least: int, whole: bool) -> DataFrame:
+    """``h`` of every neighbourhood, the hash of its anchor, and with ``whole`` also ``u, v,
+    doc, place``: the digest of all its bytes and its first window times 256, and how many more
+    it has."""
+    schema = _long("h", "u", "v", "doc", "place") if whole else _long("h")
 
     def anchored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [neighbourhoods(np.frombuffer(v.as_buffer(), dtype=np.uint8), least) for v in batch.column("data")]
-            if found:
-                first, last, h, u = (np.concatenate(c) for c in zip(*found, strict=True))
-                doc = np.repeat(batch.column("doc").to_numpy(), [len(f[0]) for f in found])
-                columns = (h, u, doc, first * 256 + (last - first))
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=schema.fieldNames())
-
-    return rows.select("doc", "data").mapInArrow(anchored, schema)
+            columns: list[list[np.ndarray]] = [[] for _ in schema.fields]
+            for doc, value in zip(batch.column("doc").to_numpy().tolist(), batch.column("data"), strict=True):
+                data = value.as_buffer()
+                first, last, h = neighbourhoods(np.frombuffer(data, dtype=np.uint8), least)
+                own = [h]
+                if whole:
+                    uv = digests(data, first, last + least)
+                    own += [uv[:, 0], uv[:, 1], np.full(len(h), doc), first * 256 + (last - first)]
+                for column, values in zip(columns, own, strict=True):
+                    column.append(values)
+            if columns[0]:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in columns], names=schema.fieldNames())
+
+    return rows.select("doc", "data").mapInArrow(handed_back(anchored), schema)
 
 
 def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST) -> DataFrame:
-    """Maximal repeats: a row ``group, doc, start, length`` for each occurrence.  ``doc`` is
-    a digest of id and text; places are bytes.
+    """Maximal repeats, each occurrence once: ``group, parent, doc, start, length``.
 
-    A repeat that goes on over several neighbourhoods comes as overlapping parts.
+    Rows with ``doc`` say that a repeat starts there, the longest of those that do; ``doc`` is a
+    digest of id and text, places are bytes.  Rows without ``doc`` say that whatever lies in
+    ``group`` also lies in the shorter repeat ``parent``, of this ``length``;
+    ``all_occurrences`` follows them.  A repeat that goes on over several neighbourhoods comes as
+    overlapping parts; of neighbourhoods that are equal as a whole one takes part in the tree.
     """
     rows = _rows(docs, id_col, text_col)
+    nobody = F.lit(None).cast("long")
     # Anchors are worked out twice, which is cheaper than to keep those that occur once.
-    shared = settled(_anchors(rows, least).groupBy("h").count().where("count > 1").select("h"), "shared")
-    kept = settled(_anchors(rows, least).join(shared, "h"), "kept")
+    shared = settled(_anchors(rows, least, False).groupBy("h").count().where("count > 1").select("h"), "shared")
+    kept = settled(_anchors(rows, least, True).join(shared, "h"), "kept")
     kinds = settled(
-        kept.groupBy("h", "u").agg(F.count("*").alias("n"), F.min(F.struct("doc", "place")).alias("first")), "kinds"
+        kept.groupBy("h", "u", "v").agg(F.count("*").alias("n"), F.min(F.struct("doc", "place")).alias("first")), "kinds"
     )
     start = F.shiftright("place", 8)
-    equal = kept.join(kinds.where("n > 1").select("h", "u"), ["h", "u"]).select(
-        F.xxhash64("h", "u").alias("group"), "doc", start.alias("start"),
+    equal = kept.join(kinds.where("n > 1").select("h", "u", "v"), ["h", "u", "v"]).select(
+        F.xxhash64("h", "u", "v").alias("group"), nobody.alias("parent"), "doc", start.alias("start"),
         (F.col("place").bitwiseAND(F.lit(255)) + least).cast("long").alias("length"),
     )
     # Where some kind has no equal, one of each kind meets the others.
@@ -263,7 +319,7 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lea
 
     moved = rows.select("doc", _packed("data").alias("data"))
     segments = settled(moved.join(asked, "doc").select("doc", "data", "asked").mapInArrow(cut, segment_schema), "segments")
-    span_schema = _long("group", "doc", "start", "length")
+    span_schema = _long("group", "parent", "doc", "start", "length")
 
     def scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in _grouped(batches, "h"):
@@ -280,54 +336,84 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lea
         lo = part["lo"].to_numpy()
         array = SuffixArray(part["bytes"].to_pylist(), least)
         doc = part["doc"].to_numpy()
-        group, at, start, length = [], [], [], []
-        for size, where in array.maximal_repeats():
-            segment, place = array.places(where)
-            name = xxhash.xxh3_64_intdigest(array.sign[where[0] : where[0] + size].tobytes()) - (1 << 63)
-            group.append(np.full(len(where), name))
-            at.append(segment)
-            start.append(lo[segment] + place)
-            length.append(np.full(len(where), size))
-        if group:
-            taken = doc[np.concatenate(at)]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.concatenate(group).astype(np.int64)), pa.array(taken),
-                    pa.array(np.concatenate(start)), pa.array(np.concatenate(length)),
-                ],
-                names=span_schema.fieldNames(),
-            )
+        lengths, parents, places, groups = array.tree()
+        if not len(lengths):
+            return
+        where = array.order[places]
+        # A repeat is named by its bytes, read at any of its occurrences.
+        at = np.zeros(len(lengths), dtype=np.int64)
+        at[groups] = where
+        for k, parent in enumerate(parents.tolist()):  # inner ones come first
+            if parent >= 0:
+                at[parent] = at[k]
+        names = np.array(
+            [
+                xxhash.xxh3_64_intdigest(array.sign[p : p + n].tobytes()) - (1 << 63)
+                for p, n in zip(at.tolist(), lengths.tolist(), strict=True)
+            ],
+            dtype=np.int64,
+        )
+        segment, place = array.places(where)
+        n, inner = len(where), np.flatnonzero(parents >= 0)
+        none = pa.nulls(n, pa.int64())
+        missing = pa.nulls(len(inner), pa.int64())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(names[groups]), none, pa.array(doc[segment]), pa.array(lo[segment] + place), pa.array(lengths[groups])],
+            names=span_schema.fieldNames(),
+        )
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(names[inner]), pa.array(names[parents[inner]]), missing, missing, pa.array(lengths[parents[inner]])],
+            names=span_schema.fieldNames(),
+        )
 
     narrow = segments.where("NOT crowded").repartition("h").sortWithinPartitions("h")
     found = equal.unionByName(narrow.mapInArrow(scanned, span_schema))
     if mixed.where("crowded").isEmpty():
         return found
 
-    window_schema = _long("doc", "h", "w", "start")
+    window_schema = _long("doc", "h", "u", "v", "start")
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            doc, h, w, start = [], [], [], []
             columns = (batch.column(c).to_pylist() for c in ("doc", "bytes", "lo", "h"))
-            for key, data, lo, own in zip(*columns, strict=True):
-                for at in range(len(data) - least + 1):
-                    doc.append(key)
-                    h.append(own)
-                    w.append(xxhash.xxh3_64_intdigest(data[at : at + least]) - (1 << 63))
-                    start.append(lo + at)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, type=pa.int64()) for c in (doc, h, w, start)], names=window_schema.fieldNames()
-            )
+            parts = [
+                (key, own, digests(data, np.arange(n), np.arange(n) + least), lo + np.arange(n))
+                for key, data, lo, own in zip(*columns, strict=True)
+                for n in (len(data) - least + 1,)
+            ]
+            if not parts:
+                continue
+            sizes = [len(p[3]) for p in parts]
+            uv = np.concatenate([p[2] for p in parts])
+            out = [
+                np.repeat([p[0] for p in parts], sizes), np.repeat([p[1] for p in parts], sizes),
+                uv[:, 0], uv[:, 1], np.concatenate([p[3] for p in parts]),
+            ]
+            yield pa.RecordBatch.from_arrays([pa.array(c, type=pa.int64()) for c in out], names=window_schema.fieldNames())
 
     single = settled(segments.where("crowded").mapInArrow(windows, window_schema), "windows")
-    often = settled(single.groupBy("h", "w").count().where("count > 1").drop("count"), "often")
+    often = settled(single.groupBy("h", "u", "v").count().where("count > 1").drop("count"), "often")
     return found.unionByName(
-        single.join(often, ["h", "w"]).select(
-            F.xxhash64("h", "w").alias("group"), "doc", "start", F.lit(least).cast("long").alias("length")
+        single.join(often, ["h", "u", "v"]).select(
+            F.xxhash64("h", "u", "v").alias("group"), nobody.alias("parent"), "doc", "start",
+            F.lit(least).cast("long").alias("length"),
         )
     )
 
 
+def all_occurrences(found: DataFrame) -> DataFrame:
+    """``group, doc, start, length`` for every occurrence of every repeat in the result of
+    ``repeats``: nested repeats list theirs again, so this can be much longer."""
+    rows = settled(found.where("doc IS NOT NULL").select("group", "doc", "start", "length"), "deepest")
+    parents = settled(found.where("doc IS NULL").select("group", "parent", F.col("length").alias("shorter")).distinct(), "parents")
+    out = level = rows
+    while not level.isEmpty():
+        up = level.join(parents, "group").select(F.col("parent").alias("group"), "doc", "start", F.col("shorter").alias("length"))
+        level = settled(up.distinct(), "level")
+        out = out.unionByName(level)
+    return out.distinct()
+
+
 def without_repeats(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST, with_kept: bool = False
 ) -> DataFrame:
@@ -338,7 +424,7 @@ def without_repeats(
     the input, the same text included; overlaps count, and so do equal rows.  Matches do
     not cross texts.  NULL counts as empty text.  A text shorter than ``least`` bytes stays.
     """
-    spans = repeats(docs, id_col, text_col, least).groupBy("doc").agg(
+    spans = repeats(docs, id_col, text_col, least).where("doc IS NOT NULL").groupBy("doc").agg(
         F.collect_set(F.struct("start", "length")).alias("spans")
     )
     moved = _rows(docs, id_col, text_col).select("id", "doc", _packed("data").alias("data"))

@@ -378,3 +378,48 @@ def test_suffix_array_lists_all_occurrences():
     assert found[230] == [(0, 1), (1, 1), (2, 1)]
     assert found[245] == [(0, 6), (1, 6), (3, 0)]
     assert found[225] == [(0, 6), (1, 6), (2, 6), (3, 0)]
+
+
+def test_texts_that_a_plain_hash_takes_for_equal(docs):
+    """Two words alternated as in a Thue-Morse sequence: polynomial hashes modulo 2**64 agree."""
+    random.seed(8)
+    start = "".join(random.choice("abcdefgh ") for _ in range(348))
+    order = [bin(k).count("1") % 2 for k in range(2048)]
+    words = ("CpGn", "ODpu")
+    rows = [(k, start + "".join(words[o ^ k] for o in order[:138])) for k in (0, 1)]
+    rows += [(2 + k, start[:40] + "".join(words[o ^ k] for o in order)) for k in (0, 1)]
+    found = repeats.without_repeats(docs(rows))
+    assert sorted(map(tuple, found.collect()), key=str) == removed_by_brute_force(rows)
+
+
+def test_many_equal_pages_and_one_that_ends_otherwise(docs):
+    random.seed(9)
+    page = "".join(random.choice("abcdefgh ") for _ in range(900))
+    rows = [(k, page) for k in range(300)] + [(300, page[:700] + "another end" * 30)]
+    found = repeats.without_repeats(docs(rows))
+    assert sorted(map(tuple, found.collect()), key=str) == removed_by_brute_force(rows)
+
+
+def test_the_tree_holds_each_place_once(docs):
+    """Nested repeats: as many rows as places, and all occurrences when asked for."""
+    random.seed(10)
+    long = [bytes(random.Random(k).choices(b"abcdefgh ", k=320)).decode() for k in range(3)]
+    texts_ = [f"{k}{long[k % 3][: 210 + 3 * k]}{chr(65 + k)}" for k in range(30)]
+    table = docs(list(enumerate(texts_)))
+    found = repeats.repeats(table)
+    members = found.where("doc IS NOT NULL")
+    keys = {r.doc: r.doc_id for r in table.select("doc_id", F.xxhash64("doc_id", "text").alias("doc")).collect()}
+    array = repeats.SuffixArray([t.encode() for t in texts_])
+    assert len(array.tree()[2]) == len(set(array.tree()[2].tolist()))
+    starts = collections.defaultdict(set)
+    for k, t in enumerate(texts_):
+        for n in {r.length for r in found.collect()}:
+            for at in range(len(t) - n + 1):
+                starts[t[at : at + n]].add((k, at))
+    groups = collections.defaultdict(set)
+    for r in repeats.all_occurrences(found).collect():
+        k = keys[r.doc]
+        groups[texts_[k][r.start : r.start + r.length]].add((k, r.start))
+    assert groups and all(starts[t] == found_ for t, found_ in groups.items())
+    # A start may come once for each neighbourhood it lies in, but not for every nested repeat.
+    assert members.count() < sum(map(len, groups.values())) / 2
