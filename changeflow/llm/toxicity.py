@@ -3,17 +3,19 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from changeflow.llm.bpe import Remembered
-from changeflow.llm.common import settled, whole_rows
+from changeflow.llm.common import handed_back, settled, shuffle_width, whole_rows
 from changeflow.llm.pretokens import chunked, cut_blanks
 
 #: Labelled rows of each class that may serve as examples: those of smallest hashed id.
@@ -84,6 +86,20 @@ def _term_counts(text: Column, vocabulary: list[str]) -> Column:
     return counted(text)
 
 
+def _frequencies(ids: DataFrame, n: int) -> DataFrame:
+    """``t, n``: how many rows hold each of ``n`` terms.  A task adds up one array and sends
+    its terms once."""
+
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(n, dtype=np.int64)
+        for batch in batches:
+            total += np.bincount(batch.column("ids").flatten().to_numpy(), minlength=n)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], names=["t", "n"])
+
+    return ids.mapInArrow(added, "t int, n long").groupBy("t").agg(F.sum("n").alias("n"))
+
+
 # -- examples and terms ----------------------------------------------------------------
 
 
@@ -261,12 +277,13 @@ class Model:
         anchor = max(0.05, 1.0 - 2.0 * near) if len(sims) else 1.0
         return (toxic + anchor * self.prior) / (toxic + clean + anchor), at, sims
 
-    def score(self, ids: np.ndarray, counts: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+    def score(self, ids: np.ndarray, counts: np.ndarray, with_evidence: bool = True) -> tuple:
+        """Score, and with evidence the neighbours and their cosines."""
         key = ids.tobytes() + counts.tobytes()
         found = self._memo.get(key)
         if found is None:
             share, at, sims = self.vote(ids, counts)
-            found = (self.calibrated(share) if len(ids) else share, at, sims)
+            found = (self.calibrated(share) if len(ids) else share, *((at, sims) if with_evidence else (None, None)))
             if len(self._memo) < 50_000:
                 self._memo[key] = found
         return found
@@ -335,9 +352,10 @@ def toxicity(
     text_col: str = "text",
     carry: bool = False,
     per_class: int = EXAMPLES,
+    with_evidence: bool = True,
 ) -> DataFrame:
-    """One row per input row: ``id, score, predicted, evidence`` and, with ``carry``, the
-    input row as ``row``.
+    """One row per input row: ``id, score, predicted``, ``with_evidence`` also ``evidence``
+    and, with ``carry``, the input row as ``row``.
 
     ``labels`` has ``doc_id, toxic``; ``usable`` says, of its column ``id``, which may be
     learned from.  Examples are a bounded sample; document frequencies cover all rows.
@@ -358,71 +376,63 @@ def toxicity(
     rows = whole_rows(docs, id=F.col(f"`{id_col}`"), text=F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")))
     counted = settled(rows.select("id", _term_counts(F.col("text"), vocabulary).alias("terms")), "terms")
     df = np.zeros(len(vocabulary))
-    for r in counted.select(F.explode("terms.ids").alias("t")).groupBy("t").count().collect():
-        df[r["t"]] = r["count"]
+    for r in _frequencies(counted.select("terms.ids"), len(vocabulary)).collect():
+        df[r["t"]] = r["n"]
     learned = taught.select("id", "toxic", _term_counts(F.col("text"), vocabulary).alias("terms"))
     model = fit(
         learned.select("id", "toxic", "terms.ids", "terms.counts").collect(), sizes, vocabulary, df, counted.count()
     )
-    kind = T.StructType(
-        [
-            T.StructField("score", T.DoubleType()),
-            T.StructField(
-                "evidence",
-                T.ArrayType(
-                    T.StructType(
-                        [
-                            T.StructField("id", T.LongType()),
-                            T.StructField("cosine", T.DoubleType()),
-                            T.StructField("toxic", T.DoubleType()),
-                        ]
-                    )
-                ),
-            ),
-        ]
+    neighbour = T.StructType(
+        [T.StructField("id", T.LongType()), T.StructField("cosine", T.DoubleType()), T.StructField("toxic", T.DoubleType())]
     )
     shared = docs.sparkSession.sparkContext.broadcast(model)
-
-    def results(ids: list, counts: list) -> pa.Array:
+    # Whole rows are not written with their terms: those are counted once more, in the same
+    # Python worker that scores them.  Terms alone are little, and spread over all tasks.
+    source = rows if carry else counted.repartition(shuffle_width(docs.sparkSession))
+    kept = [f for f in rows.schema.fields if f.name == "id" or (carry and f.name == "row")]
+    fields = [*kept, T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())]
+    if with_evidence:
+        fields.append(T.StructField("evidence", T.ArrayType(neighbour)))
+    schema = T.StructType(fields)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
-        scores, evidence = [], []
-        for i, n in zip(ids, counts, strict=True):
-            s, at, sims = known.score(np.asarray(i, dtype=np.int64), np.asarray(n, dtype=np.int64))
-            scores.append(s)
-            evidence.append(
-                [
-                    {"id": int(known.ids[k]), "cosine": float(c), "toxic": float(known.votes[k, 0] / known.votes[k].sum())}
-                    for k, c in zip(at, sims, strict=True)
-                ]
-            )
+        position, words = {t: k for k, t in enumerate(known.vocabulary)}, Remembered()
         member = pa.struct([("id", pa.int64()), ("cosine", pa.float64()), ("toxic", pa.float64())])
-        return pa.StructArray.from_arrays(
-            [pa.array(scores, type=pa.float64()), pa.array(evidence, type=pa.list_(member))], ["score", "evidence"]
-        )
-
-    @F.arrow_udf(kind)
-    def scored(ids: pa.Array, counts: pa.Array) -> pa.Array:
-        return results(ids.to_pylist(), counts.to_pylist())
-
-    position, remembered_ = {t: k for k, t in enumerate(vocabulary)}, Remembered()
-
-    @F.arrow_udf(kind)
-    def scored_text(texts: pa.Array) -> pa.Array:
-        return results(*_counted(texts.to_pylist(), position, remembered_))
-
-    if carry:
-        # Whole rows are not written with their terms: those are counted once more, in the
-        # same Python worker that scores them.
-        done = rows.withColumn("found", scored_text("text"))
-    else:
-        done = counted.withColumn("found", scored("terms.ids", "terms.counts"))
-    return done.select(
-        *(["row"] if carry else []),
-        "id",
-        F.col("found.score").alias("score"),
-        (F.col("found.score") >= 0.5).cast("int").alias("predicted"),
-        F.col("found.evidence").alias("evidence"),
-    )
+        for batch in batches:
+            if carry:
+                texts = pc.struct_field(batch.column("row"), text_col) if inside else batch.column("text")
+                found = zip(*_counted([t or "" for t in texts.to_pylist()], position, words), strict=True)
+            else:
+                ids, counts = (_split(batch.column("terms").field(k)) for k in (0, 1))
+                found = zip(ids, counts, strict=True)
+            scores, evidence = [], []
+            for own, often in found:
+                score, at, sims = known.score(own.astype(np.int64), often.astype(np.int64), with_evidence)
+                scores.append(score)
+                if with_evidence:
+                    evidence.append(
+                        [
+                            {"id": int(known.ids[k]), "cosine": float(c), "toxic": float(known.votes[k, 0] / known.votes[k].sum())}
+                            for k, c in zip(at, sims, strict=True)
+                        ]
+                    )
+            columns = [*(batch.column(f.name) for f in kept), pa.array(scores, pa.float64())]
+            columns.append(pa.array([int(x >= 0.5) for x in scores], pa.int32()))
+            if with_evidence:
+                columns.append(pa.array(evidence, type=pa.list_(member)))
+            yield pa.RecordBatch.from_arrays(columns, names=schema.fieldNames())
+
+    # The row has the text already.
+    inside = carry and isinstance(docs.schema[text_col].dataType, T.StringType)
+    wanted = [f.name for f in kept] + ([] if inside else ["text"] if carry else ["terms"])
+    done = source.select(*wanted).mapInArrow(handed_back(run), schema)
+    order = [*(["row"] if carry else []), "id", "score", "predicted", *(["evidence"] if with_evidence else [])]
+    return done.select(*order)
+
+
+def _split(lists: pa.Array) -> list[np.ndarray]:
+    return [np.asarray(x) for x in np.split(lists.flatten().to_numpy(), np.cumsum(lists.value_lengths().to_numpy())[:-1])]
 
 
 def held_out(id_: Column, folds: int = 5) -> Column:
