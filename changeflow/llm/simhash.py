@@ -8,11 +8,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from changeflow.llm.common import components, settled, whole_rows
+from changeflow.llm.common import components, handed_back, settled, whole_rows
 
 SEED = 42
 
@@ -123,12 +123,13 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 # -- near copies by similarity ---------------------------------------------------------
 
-#: Bits of a wide fingerprint, and how far the share of differing bits may lie above what
-#: the similarity leads to expect (about three standard deviations).
+#: Fewest bits of a wide fingerprint; more where the number of texts asks for more segments.
 WIDE_BITS = 512
-SLACK = 0.05
-#: Share of pairs at the similarity that no segment may bring together.
-MISSED = 0.03
+#: Standard deviations by which the number of differing bits may exceed what the similarity
+#: leads to expect.
+DEVIATIONS = 4
+#: Share of pairs at the similarity that no segment may bring together, at any number of texts.
+MISSED = 0.01
 
 
 def shingle_hashes(text: str | None, words_in_shingle: int = 5) -> np.ndarray:
@@ -144,18 +145,18 @@ def shingle_hashes(text: str | None, words_in_shingle: int = 5) -> np.ndarray:
     return np.unique(np.array([digest(s, SEED) for s in shingles], dtype="<u8"))
 
 
-def wide_fingerprint(hashes: np.ndarray) -> bytes:
-    """SimHash of WIDE_BITS bits; each hash is stretched by mixing it with the number of
-    the word.  No hashes: zero."""
-    step = np.arange(1, WIDE_BITS // 64 + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    total = np.zeros(WIDE_BITS, dtype=np.int64)
+def wide_fingerprint(hashes: np.ndarray, bits: int = WIDE_BITS) -> bytes:
+    """SimHash of this many bits, a multiple of 64; each hash is stretched by mixing it with
+    the number of the word.  No hashes: zero."""
+    step = np.arange(1, bits // 64 + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    total = np.zeros(bits, dtype=np.int64)
     for at in range(0, len(hashes), 1 << 12):
         mixed = hashes[at : at + (1 << 12), None] + step
         mixed = (mixed ^ (mixed >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
         mixed = (mixed ^ (mixed >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
         mixed ^= mixed >> np.uint64(31)
-        bits = np.unpackbits(np.ascontiguousarray(mixed).view(np.uint8), axis=1, bitorder="little")
-        total += bits.sum(axis=0, dtype=np.int64)
+        ones = np.unpackbits(np.ascontiguousarray(mixed).view(np.uint8), axis=1, bitorder="little")
+        total += ones.sum(axis=0, dtype=np.int64)
     return np.packbits(2 * total > len(hashes), bitorder="little").tobytes()
 
 
@@ -170,22 +171,34 @@ def segments_for(codes: int, similarity: float) -> tuple[int, int]:
     width = max(12, math.ceil(math.log2(max(codes, 2))))
     far = expected_share(similarity)
     meet = (1 - far) ** width + width * far * (1 - far) ** (width - 1)
-    return width, min(math.ceil(math.log(MISSED) / math.log(1 - meet)), WIDE_BITS // width)
+    return width, math.ceil(math.log(MISSED) / math.log(1 - meet))
 
 
-def _keys(width: int, count: int, ball: bool):
+def bits_for(codes: int, similarity: float) -> int:
+    """Bits of the wide fingerprint that have room for the segments."""
+    width, count = segments_for(codes, similarity)
+    return max(WIDE_BITS, -(-width * count // 64) * 64)
+
+
+def _farthest(bits: int, similarity: float) -> int:
+    """Differing bits that a pair of the similarity has at most, but for chance."""
+    far = expected_share(similarity)
+    return int(bits * far + DEVIATIONS * math.sqrt(bits * far * (1 - far)))
+
+
+def _keys(width: int, count: int, bits: int, ball: bool):
     """The segments' keys of a code; with ``ball``, of even segments also those one bit away."""
 
     @F.arrow_udf(T.ArrayType(T.LongType()))
     def keys(codes: pa.Array) -> pa.Array:
-        rows = np.frombuffer(b"".join(codes.to_pylist()), dtype=np.uint8).reshape(-1, WIDE_BITS // 8)
-        bits = np.unpackbits(rows, axis=1, bitorder="little")[:, : width * count].reshape(len(rows), count, width)
-        value = bits.astype(np.int64) @ (1 << np.arange(width))
+        rows = np.frombuffer(b"".join(codes.to_pylist()), dtype=np.uint8).reshape(-1, bits // 8)
+        ones = np.unpackbits(rows, axis=1, bitorder="little")[:, : width * count].reshape(len(rows), count, width)
+        value = ones.astype(np.int64) @ (1 << np.arange(width))
         number = np.arange(count, dtype=np.int64) << width
         if not ball:
             return pa.array(list(value | number), type=pa.list_(pa.int64()))
         flipped = value[:, :, None] ^ (1 << np.arange(width))
-        even = bits.sum(axis=2) % 2 == 0
+        even = ones.sum(axis=2) % 2 == 0
         out = [
             np.concatenate([v | number, (f[e] | number[e, None]).ravel()])
             for v, f, e in zip(value, flipped, even, strict=True)
@@ -200,48 +213,50 @@ def _first_word(codes: pa.Array) -> pa.Array:
     return pa.array([int.from_bytes(c[:8], "little", signed=True) for c in codes.to_pylist()], type=pa.int64())
 
 
-@F.arrow_udf(T.IntegerType())
-def _distance(a: pa.Array, b: pa.Array) -> pa.Array:
-    x, y = (np.frombuffer(b"".join(c.to_pylist()), dtype="<u8").reshape(-1, WIDE_BITS // 64) for c in (a, b))
-    return pa.array(np.bitwise_count(x ^ y).sum(axis=1).astype(np.int32))
+def _distance(bits: int):
+    @F.arrow_udf(T.IntegerType())
+    def distance(a: pa.Array, b: pa.Array) -> pa.Array:
+        x, y = (np.frombuffer(b"".join(c.to_pylist()), dtype="<u8").reshape(-1, bits // 64) for c in (a, b))
+        return pa.array(np.bitwise_count(x ^ y).sum(axis=1).astype(np.int32))
 
+    return distance
 
-@F.arrow_udf(T.DoubleType())
-def _jaccard(a: pa.Array, b: pa.Array) -> pa.Array:
-    out = []
-    for x, y in zip(a, b, strict=True):
-        x, y = x.values.to_numpy(), y.values.to_numpy()
-        common = len(np.intersect1d(x, y, assume_unique=True))
-        out.append(common / max(1, len(x) + len(y) - common))
-    return pa.array(out, type=pa.float64())
 
+def _jaccard(a: str, b: str) -> Column:
+    """Of two columns with distinct hashes."""
+    common = F.size(F.array_intersect(a, b))
+    return common / F.greatest(F.size(a) + F.size(b) - common, F.lit(1))
 
-def similar_links(codes: DataFrame, texts: DataFrame, similarity: float, words_in_shingle: int) -> DataFrame:
+
+def similar_links(codes: DataFrame, texts: DataFrame, similarity: float, words_in_shingle: int, rows: int, bits: int) -> DataFrame:
     """Pairs (a, b) of nodes that connect all texts of at least this Jaccard similarity.
-    ``codes`` has ``node, code``, each once, ``texts`` the text of each node.
+    ``codes`` has ``node, code``, each once, ``texts`` the text of each node, ``rows`` of them;
+    ``bits`` is the width of the codes.
 
     Candidates that pass the distance on all bits are verified on their shingle sets.
     First each code is compared with the smallest node of its buckets, which joins most of
     a large group along stars.  Then the balls are looked up, and pairs that the stars have
     not joined are compared.  So a dense group is not written out as all its pairs.
     """
-    width, count = segments_for(codes.count(), similarity)
-    far = expected_share(similarity) + SLACK
-    # three standard deviations of a distance on 64 bits above the share
-    rough = int(64 * far + 3 * math.sqrt(64 * far * (1 - far)))
+    width, count = segments_for(rows, similarity)
+    rough = _farthest(64, similarity)
     sketched = settled(codes.withColumn("word", _first_word("code")), "sketched")
 
     @F.arrow_udf(T.ArrayType(T.LongType()))
-    def shingles(found: pa.Array) -> pa.Array:
-        return pa.array(
-            [shingle_hashes(t, words_in_shingle).view("<i8") for t in found.to_pylist()], type=pa.list_(pa.int64())
-        )
+    def shingles(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        def listed(found: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            for texts in found:
+                yield pa.array(
+                    [shingle_hashes(t.as_py(), words_in_shingle).view("<i8") for t in texts], type=pa.list_(pa.int64())
+                )
+
+        yield from handed_back(listed)(batches)
 
     def verified(pairs: DataFrame) -> DataFrame:
         a = sketched.select(F.col("node").alias("a"), F.col("code").alias("code_a"))
         b = sketched.select(F.col("node").alias("b"), F.col("code").alias("code_b"))
         near = pairs.distinct().join(a, "a").join(b, "b")
-        near = settled(near.where(_distance("code_a", "code_b") <= int(WIDE_BITS * far)), "near")
+        near = settled(near.where(_distance(bits)("code_a", "code_b") <= _farthest(bits, similarity)), "near")
         # Their numbers alone: as long as there are few, Spark sends these to the texts.
         asked = settled(near.select(F.col("a").alias("node")).union(near.select("b")).distinct(), "asked")
         sets = texts.join(asked, "node").select("node", shingles("text").alias("set"))
@@ -252,7 +267,7 @@ def similar_links(codes: DataFrame, texts: DataFrame, similarity: float, words_i
         return settled(both.where(_jaccard("set_a", "set_b") >= similarity).select("a", "b"), "links")
 
     placed = settled(
-        sketched.select("node", "word", F.explode(_keys(width, count, False)("code")).alias("key")), "placed"
+        sketched.select("node", "word", F.explode(_keys(width, count, bits, False)("code")).alias("key")), "placed"
     )
     lead = settled(
         placed.groupBy("key").agg(F.min(F.struct("node", "word")).alias("lead"), F.count("*").alias("n"))
@@ -269,7 +284,7 @@ def similar_links(codes: DataFrame, texts: DataFrame, similarity: float, words_i
 
     known = settled(rooted(placed), "known").select("key", F.col("node").alias("b"), F.col("word").alias("word_b"), F.col("root").alias("root_b"))
     asked = rooted(sketched).select(
-        F.col("node").alias("a"), "word", "root", F.explode(_keys(width, count, True)("code")).alias("key")
+        F.col("node").alias("a"), "word", "root", F.explode(_keys(width, count, bits, True)("code")).alias("key")
     )
     balls = verified(
         asked.join(known, "key")
@@ -291,9 +306,18 @@ def near_dedup(
     """
     rows = whole_rows(docs, id=F.col(f"`{id_col}`"), text=F.col(f"`{text_col}`").cast("string"))
 
+    n = docs.count()
+    bits = bits_for(n, similarity)
+
     @F.arrow_udf(T.BinaryType())
-    def code(texts: pa.Array) -> pa.Array:
-        return pa.array([wide_fingerprint(shingle_hashes(t, words_in_shingle)) for t in texts.to_pylist()], type=pa.binary())
+    def code(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        def coded(found: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            for texts in found:
+                yield pa.array(
+                    [wide_fingerprint(shingle_hashes(t.as_py(), words_in_shingle), bits) for t in texts], type=pa.binary()
+                )
+
+        yield from handed_back(coded)(batches)
 
     # Numbered once and for all, as it is written.  From here on only numbers and codes move.
     marked = settled(
@@ -303,7 +327,7 @@ def near_dedup(
     codes = settled(marked.groupBy("code").agg(first.alias("first")).select("code", "first", F.col("first.uid").alias("node")), "codes")
     links = similar_links(
         codes.select("node", "code"), marked.select(F.col("uid").alias("node"), F.col("row")[text_col].alias("text")),
-        similarity, words_in_shingle,
+        similarity, words_in_shingle, n, bits,
     )
     rooted = codes.join(components(links), "node", "left").select(F.coalesce("root", "node").alias("root"), "first")
     stays = settled(rooted.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.uid").alias("uid")), "stays")
