@@ -206,13 +206,14 @@ def plan(counts: np.ndarray, capacity: int = CAPACITY, rounds: int = ROUNDS) ->
     their weights, finds the best pattern, uses it for a share of what its scarcest length
     still needs, and lowers the weights of what it covers.  The numbers are rounded down
     and best-fit decreasing packs what is left; patterns that leave room are rounded too
-    if they leave little.  How little is tried out, down to using none.
+    if they leave little.  How little is tried out; none at all counts only where that needs
+    strictly fewer sequences.
     """
     counts = counts.astype(np.int64)
     full = np.arange(capacity + 1)
     bound = -(-int((full * counts).sum()) // capacity)
     used = _fractional(counts, capacity, rounds)
-    tried = [_rounded(counts, capacity, used, waste) for waste in (-1, *(int(capacity * w) for w in (0.0, 0.005, 0.02, 0.05)))]
+    tried = [_rounded(counts, capacity, used, waste) for waste in (*(int(capacity * w) for w in (0.0, 0.005, 0.02, 0.05)), -1)]
     best = min(tried, key=lambda t: sum(t[1]))
     return Plan(*best, bound)
 
