@@ -15,7 +15,7 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """Documents that score below 0.5; the labels of the held-out fifth are not learned."""
     ship(spark)
     labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
-    scored = toxicity.toxicity(docs, labels, ~toxicity.held_out(F.col("id")), carry=True)
+    scored = toxicity.toxicity(docs, labels, ~toxicity.held_out(F.col("id")), carry=True, with_evidence=False)
     return scored.where("predicted = 0").select("row.*")
 
 
