@@ -19,7 +19,7 @@ from pyspark.sql import types as T  # noqa: E402
 import oracle_sql as oracle_module  # noqa: E402
 from changeflow.functions import scalars as fn  # noqa: E402
 from changeflow.operators import preagg as pre  # noqa: E402
-from changeflow.operators.quantiles import quantiles_exact  # noqa: E402
+from changeflow.operators.quantiles import quantiles_exact, quantiles_radix  # noqa: E402
 from changeflow.operators.sets import per_contract, total, union_counts  # noqa: E402
 from changeflow.operators.state import (  # noqa: E402
     age_at_cut,
@@ -37,19 +37,23 @@ from changeflow.plans import timetravel as tt  # noqa: E402
 from changeflow.plans import views  # noqa: E402
 from changeflow.session import pin_utc, scratch_dir  # noqa: E402
 from changeflow.sources.changes import (  # noqa: E402
+    ARRIVAL_SCHEMA,
     backfill_csv,
     changes_to_messages,
     snapshot_to_changes,
     src_changes,
+    topic,
 )
 from changeflow.sources.decode import (  # noqa: E402
     decode_json_rows,
     drop_tombstones,
     ingest_project,
     route_bad_records,
-    unwrap_envelope,
+    route_envelopes,
     version_col,
 )
+from changeflow.sources.history import History  # noqa: E402
+from changeflow.sources.tables import make_folder  # noqa: E402
 from fixtures import (  # noqa: E402
     AS_OF_EVENTS,
     AS_OF_ORDERS,
@@ -134,16 +138,12 @@ def _arrivals(messages: DataFrame, inbox: str, start: Callable[[], object]) -> N
         query.awaitTermination()
 
 
-def _ingested(spark: SparkSession, messages: DataFrame, spec: TableSpec) -> stream.Sinks:
-    root = scratch_dir(spark, f"ingest-{spec.name}")
-    sinks = stream.open_sinks(spark, spec, root)
-    _arrivals(
-        messages,
-        f"{root}/inbox",
-        lambda: stream.stream_ingest(
-            _stream_of(spark, spec, f"{root}/inbox"), sinks, f"{root}/checkpoint"
-        ),
-    )
+def _ingested(spark: SparkSession, messages: DataFrame, spec: TableSpec, job=None) -> stream.Sinks:
+    """Messages that arrive in slices, through one job of the table."""
+    sinks = stream.open_sinks(spark, spec, scratch_dir(spark, f"ingest-{spec.name}"))
+    inbox = f"{sinks.root}/inbox"
+    start = job or stream.stream_ingest
+    _arrivals(messages, inbox, lambda: start(_stream_of(spark, spec, inbox), sinks))
     return sinks
 
 
@@ -179,6 +179,18 @@ def _damaged(messages: DataFrame) -> DataFrame:
     )
 
 
+def _placed(messages: DataFrame, spec: TableSpec) -> DataFrame:
+    """As they lie in a topic of four partitions."""
+    return messages.withColumns(
+        {
+            "topic": F.lit(topic(spec, "cdc")),
+            "partition": F.pmod("seq", F.lit(4)).cast("int"),
+            "offset": F.floor(F.col("seq") / 4),
+            "time": F.timestamp_millis(F.lit(oracle_module.SNAPSHOT_MS) + F.col("seq")),
+        }
+    )
+
+
 def _envelopes(changes: DataFrame, spec: TableSpec) -> DataFrame:
     row = F.struct(*(f.wire for f in spec.fields if f.wire in changes.columns))
     deleted = F.col("__op") == "d"
@@ -197,8 +209,10 @@ def _envelopes(changes: DataFrame, spec: TableSpec) -> DataFrame:
 
 
 def _unwrap_envelope(spark: SparkSession, sf: str) -> DataFrame:
-    envelopes = _envelopes(derived_changes(spark, sf, "cdr"), CDR)
-    return ingest_project(decode_json_rows(unwrap_envelope(envelopes, CDR), CDR), CDR)
+    root = scratch_dir(spark, "envelopes")
+    _envelopes(derived_changes(spark, sf, "cdr"), CDR).write.json(root)
+    envelopes = spark.read.schema(ARRIVAL_SCHEMA).json(root)
+    return ingest_project(route_envelopes(envelopes, CDR).good, CDR)
 
 
 def _snapshot(spark: SparkSession, sf: str) -> DataFrame:
@@ -228,24 +242,61 @@ def _backfill_csv(spark: SparkSession, sf: str) -> DataFrame:
     sinks = stream.open_sinks(spark, USER_LOGS, root)
     read = backfill_csv(spark, USER_LOGS, f"{root}/export", multi_line=False)
     sinks.write_load(read.good, "backfill")
+    _run_dry(spark, sinks)
     return sinks.history.rows().select(*USER_LOGS.history_schema().names)
 
 
+def _run_dry(spark: SparkSession, sinks: stream.Sinks) -> None:
+    """Let the ingest job take loads; no messages are there."""
+    make_folder(spark, f"{sinks.root}/inbox/none")
+    stream.stream_ingest(_stream_of(spark, sinks.spec, f"{sinks.root}/inbox"), sinks).awaitTermination()
+
+
 def _append_history(spec: TableSpec) -> Query:
     """Two batches, the second written twice as after a failure."""
 
     def run(spark: SparkSession, sf: str) -> DataFrame:
         history = _history(spark, sf, spec)
-        table = stream.history_table(spark, spec, scratch_dir(spark, f"append-{spec.name}"))
+        table = History(spark, spec, scratch_dir(spark, f"append-{spec.name}"))
         even = F.pmod("_seq", F.lit(2)) == 0
-        stream.append_history(table, history.where(even), 0)
+        table.append(history.where(even), "run", 0)
         for _ in range(2):
-            stream.append_history(table, history.where(~even), 1)
-        return table.rows().select(*spec.history_schema().names)
+            table.append(history.where(~even), "run", 1)
+        return table.all_rows().select(*spec.history_schema().names)
 
     return run
 
 
+def _append_history_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Loads and messages of one table through the ingest job."""
+    sinks = stream.open_sinks(spark, CDR, scratch_dir(spark, "append"))
+    even = F.pmod("_seq", F.lit(2)) == 0
+    sinks.write_load(_history(spark, sf, CDR).where(even), "first")
+    rest = _messages(spark, sf, CDR).where(F.pmod("seq", F.lit(2)) == 1)
+    rest.write.json(f"{sinks.root}/inbox/part0")
+    stream.stream_ingest(_stream_of(spark, CDR, f"{sinks.root}/inbox"), sinks).awaitTermination()
+    return sinks.history.rows().select(*CDR.history_schema().names)
+
+
+#: Histories that this session has stored, with month ends: by application, tables and name.
+_STORED: dict[tuple[str, str, str], History] = {}
+
+
+def _stored(spark: SparkSession, sf: str, spec: TableSpec, day: str) -> History:
+    """The history as the ingest job stores it, with a month end a year and one a month before
+    ``day``.  Stored once a session; queries then read the tables."""
+    key = (spark.sparkContext.applicationId, sf, spec.name)
+    if key not in _STORED:
+        sinks = stream.open_sinks(spark, spec, scratch_dir(spark, f"stored-{spec.name}"))
+        sinks.write_load(_history(spark, sf, spec), "all")
+        _run_dry(spark, sinks)
+        year, month = int(day[:4]), int(day[5:7])
+        sinks.history.keep_month_end((year - 1) * 100 + month)
+        sinks.history.keep_month_end(year * 100 + month - 1 if month > 1 else (year - 1) * 100 + 12)
+        _STORED[key] = sinks.history
+    return _STORED[key]
+
+
 # -- streaming ----------------------------------------------------------------
 
 
@@ -255,56 +306,43 @@ def _stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _stream_state(spark: SparkSession, sf: str) -> DataFrame:
-    """The first batches are compacted, the last one is merged on read."""
-    sinks = _ingested(spark, _messages(spark, sf, CUSTOMER_ID), CUSTOMER_ID)
-    sinks.compact()
-    return sinks.current_rows()
-
-
-def _preagg_stream(
-    spark: SparkSession, messages: DataFrame, preagg: pre.Preagg
-) -> stream.BatchTable:
-    root = scratch_dir(spark, preagg.name)
-    store = preagg.store(spark, root)
-    quarantine = stream.quarantine_table(spark, preagg.table, root)
-    _arrivals(
-        messages,
-        f"{root}/inbox",
-        lambda: stream.stream_preagg(
-            _stream_of(spark, preagg.table, f"{root}/inbox"), preagg, store, quarantine, f"{root}/checkpoint"
-        ),
-    )
-    return store
+    """Read from the state store of the query that keeps it."""
+    messages = _messages(spark, sf, CUSTOMER_ID)
+    return _ingested(spark, messages, CUSTOMER_ID, stream.stream_state).current_rows()
+
+
+def _preagg_stream(spark: SparkSession, messages: DataFrame, preagg: pre.Preagg) -> stream.Sinks:
+    return _ingested(spark, messages, preagg.table, lambda m, sinks: stream.stream_preagg(m, sinks, preagg))
 
 
 def _stream_preagg(spark: SparkSession, sf: str) -> DataFrame:
-    return _preagg_stream(spark, _messages(spark, sf, CDR), pre.CDR_MINUTELY).merged()
+    return _preagg_stream(spark, _messages(spark, sf, CDR), pre.CDR_MINUTELY).preagg_rows(pre.CDR_MINUTELY)
 
 
 def _late_data(spark: SparkSession, sf: str) -> DataFrame:
     """Slices interleave all days, so every slice but the first is late."""
     messages = _messages(spark, sf, COLLECTION_RESULT)
-    return _preagg_stream(spark, messages, pre.COLLECTION_DAILY).merged()
+    return _preagg_stream(spark, messages, pre.COLLECTION_DAILY).preagg_rows(pre.COLLECTION_DAILY)
 
 
 def _compact_partials(spark: SparkSession, sf: str) -> DataFrame:
-    store = _preagg_stream(spark, _messages(spark, sf, CDR), pre.DISPOSITION_SUMMARY)
-    store.compact()
-    return store.merged()
+    """The aggregate's months rewritten as few sorted files."""
+    sinks = _preagg_stream(spark, _messages(spark, sf, CDR), pre.DISPOSITION_SUMMARY)
+    sinks.rewrite()
+    return sinks.preagg_rows(pre.DISPOSITION_SUMMARY)
 
 
 def _stream_minutes(spark: SparkSession, sf: str) -> DataFrame:
     """Streaming tumbling windows; every slice adds to minutes of the slices before."""
     root = scratch_dir(spark, "minutes")
-    store = stream.minutes_table(spark, root)
 
     def start():
         messages = _stream_of(spark, CDR, f"{root}/inbox")
         calls = ingest_project(decode_json_rows(messages, CDR), CDR)
-        return stream.stream_minutes(calls, store, f"{root}/checkpoint")
+        return stream.stream_minutes(calls, root)
 
     _arrivals(_messages(spark, sf, CDR), f"{root}/inbox", start)
-    return store.merged()
+    return stream.minute_rows(spark, root)
 
 
 # -- compositions over several tables -----------------------------------------
@@ -387,7 +425,27 @@ def _filter_recent(calls: DataFrame) -> DataFrame:
 
 
 def _sum_where(amount: str, condition):
-    return F.sum(F.when(condition, F.col(amount)).otherwise(F.lit(0.0)))
+    return fn.exact_sum(F.when(condition, F.col(amount)).otherwise(F.lit(0.0)))
+
+
+def _orders(body: Callable[[DataFrame], DataFrame]) -> Query:
+    """A query over amounts with cents."""
+    return lambda spark, sf: body(spark.read.parquet(f"{sf}/orders.parquet"))
+
+
+PRICE_LEVELS = (0.0, 0.1, 0.5, 0.9, 0.999, 1.0)
+
+
+def _price_quantiles(orders: DataFrame) -> DataFrame:
+    found = quantiles_radix(orders, "o_totalprice", PRICE_LEVELS)
+    return found.select(*(F.col("quantiles")[i].alias(f"q{i}") for i in range(len(PRICE_LEVELS))), "n")
+
+
+def _key_quantiles(orders: DataFrame) -> DataFrame:
+    """The same of a 64-bit integer that spreads over all of its range."""
+    spread = orders.select((F.col("o_orderkey") * F.lit(7_000_000_000_003) - F.lit(1 << 50)).alias("wide"))
+    found = quantiles_radix(spread, "wide", PRICE_LEVELS)
+    return found.select(*(F.col("quantiles")[i].alias(f"q{i}") for i in range(len(PRICE_LEVELS))), "n")
 
 
 def _registry() -> dict[str, Query]:
@@ -400,13 +458,13 @@ def _registry() -> dict[str, Query]:
     q["src_changes"] = _src_changes
     q["decode_json_rows"] = lambda s, sf: decode_json_rows(_messages(s, sf, USER_LOGS), USER_LOGS)
     q["route_bad_records"] = lambda s, sf: route_bad_records(
-        _damaged(_messages(s, sf, CDR)), CDR
+        _placed(_damaged(_messages(s, sf, CDR)), CDR), CDR
     ).bad
     q["drop_tombstones"] = lambda s, sf: drop_tombstones(_with_tombstones(_messages(s, sf, CDR)))
     q["unwrap_envelope"] = _unwrap_envelope
     q["snapshot_to_changes"] = _snapshot
     q["backfill_csv"] = _backfill_csv
-    q["append_history"] = _append_history(CDR)
+    q["append_history"] = _append_history_stream
     for name, spec in SPECS.items():
         q[f"append_history_{name}"] = _append_history(spec)
     for name, spec in SPECS.items():
@@ -488,14 +546,24 @@ def _registry() -> dict[str, Query]:
     q["agg_sum"] = _on_state(
         COLLECTION_TASK,
         lambda t: t.groupBy("kode_cabang").agg(
-            F.sum("out_std_pkk").alias("outstanding"),
-            fn.millions(F.sum("out_std_pkk")).alias("outstanding_mio"),
+            fn.exact_sum(F.col("out_std_pkk")).alias("outstanding"),
+            fn.millions(fn.exact_sum(F.col("out_std_pkk"))).alias("outstanding_mio"),
         ),
     )
     q["agg_sum_if"] = _on_state(
         COLLECTION_RESULT,
         lambda r: r.groupBy("kode_cabang").agg(_sum_where("ptp_amount", is_ptp).alias("promised")),
     )
+    q["agg_sum_cents"] = _orders(
+        lambda o: o.groupBy("o_orderpriority").agg(fn.exact_sum(F.col("o_totalprice")).alias("total"))
+    )
+    q["agg_sum_if_cents"] = _orders(
+        lambda o: o.groupBy("o_custkey").agg(
+            _sum_where("o_totalprice", F.col("o_orderstatus") == "F").alias("filled")
+        )
+    )
+    q["quantiles_radix_price"] = _orders(_price_quantiles)
+    q["quantiles_radix_key"] = _orders(_key_quantiles)
     q["agg_avg"] = _on_state(CDR, dist.mean_talk)
     q["agg_min_max"] = _on_state(
         CDR,
@@ -609,8 +677,8 @@ def _registry() -> dict[str, Query]:
     # 2.11 time travel, audit, checks
     for name, spec in SPECS.items():
         day = ORDERS_DAY if spec in (COLLECTIONS, USER_RELEASES) else QUEUE_DAY
-        q[f"asof_state_{name}"] = _on(
-            spec, lambda h, spec=spec, day=day: asof_state(h, spec, day)
+        q[f"asof_state_{name}"] = lambda s, sf, spec=spec, day=day: asof_state(
+            _stored(s, sf, spec, day).versions_asof(day), spec, day
         )
     q["audit_trail"] = _on(CUSTOMER_ID, lambda h: tt.audit_trail(h, CONTRACT))
     q["latest_versions"] = _on(CDR, lambda h: tt.latest_versions(h, CONTRACT))
@@ -652,12 +720,14 @@ def _registry() -> dict[str, Query]:
     q["top_agents"] = _on_partials(
         pre.AGENT_DAILY, lambda part: srv.top_agents(part, AS_OF_ORDERS)
     )
-    q["queue_asof"] = _on(CUSTOMER_ID, lambda h: tt.queue_asof(h, QUEUE_DAY))
+    q["queue_asof"] = lambda s, sf: tt.queue_asof(
+        _stored(s, sf, CUSTOMER_ID, QUEUE_DAY).versions_asof(QUEUE_DAY), QUEUE_DAY
+    )
     q["queue_asof_versions"] = _on(
         CUSTOMER_ID, lambda h: tt.queue_asof(h, QUEUE_DAY, mode="versions")
     )
-    q["queue_asof_top1000"] = _on(
-        CUSTOMER_ID, lambda h: tt.queue_asof(h, QUEUE_DAY, limit=1000)
+    q["queue_asof_top1000"] = lambda s, sf: tt.queue_asof(
+        _stored(s, sf, CUSTOMER_ID, QUEUE_DAY).versions_asof(QUEUE_DAY), QUEUE_DAY, limit=1000
     )
     return q
 

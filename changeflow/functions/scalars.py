@@ -94,6 +94,14 @@ def minutes(seconds: Column, digits: int = 1) -> Column:
     return round_half_up(seconds / F.lit(60.0), digits)
 
 
+def exact_sum(amount: Column, digits: int = 2) -> Column:
+    """Sum of amounts in minor units, the same in any order: each is rounded half up to
+    ``digits`` decimals first.  Amounts beyond 10**20 and sums beyond 10**36 raise in ANSI
+    mode; NaN and infinities have no decimal form and count as NULL."""
+    finite = F.when(~F.isnan(amount) & (F.abs(amount) != F.lit(float("inf"))), amount)
+    return F.sum(finite.cast(f"decimal({20 + digits},{digits})")).cast("double")
+
+
 def millions(amount: Column) -> Column:
     return round_half_up(amount / F.lit(1000000.0), 2)
 

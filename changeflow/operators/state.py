@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.scalars import asof_cut, month_key
 from ..session import require_utc
 from ..specs import TableSpec
+from .sets import union_all
 
 
 def latest_per_key(history: DataFrame, spec: TableSpec) -> DataFrame:
@@ -53,13 +54,39 @@ def scan_state(history: DataFrame, spec: TableSpec) -> DataFrame:
 def lookup_state(history: DataFrame, spec: TableSpec, where: Column) -> DataFrame:
     """``scan_state`` filtered by a selective condition on any column.
 
-    A current row that matches has a version that matches, so only keys with a
-    matching version need to be folded.
+    A current row that matches has a version that matches, so only keys with a matching version
+    need to be folded.  Finding them reads the key and the condition's columns; where
+    the keys turn out few, adaptive execution sends them to the scan, and else Spark
+    may filter it by a Bloom filter of them (``spark.sql.optimizer.runtime.bloomFilter``).
     """
-    keys = history.where(where).select(*spec.key).distinct()
+    if "_version" in history.columns:
+        return scan_state(history, spec).where(where)
+    keys = history.where(where & (F.col("_is_deleted") == 0)).select(*spec.key).distinct()
     return scan_state(history.join(keys, list(spec.key), "left_semi"), spec).where(where)
 
 
+def alive_counts(histories: dict[str, DataFrame], specs: dict[str, TableSpec]) -> DataFrame:
+    """Current rows per table, all tables in one pass: ``t, n``.
+
+    Every version becomes its table, key, place and delete marker, no more, and one
+    aggregation tells the newest marker of each key.  Its map side keeps one row per key.
+    """
+    def narrow(name: str, rows: DataFrame) -> DataFrame:
+        spec = specs[name]
+        key = F.array(*(F.col(c).cast("string") for c in spec.key))
+        place = F.struct("_ts_ms", "_seq") if "_ts_ms" in rows.columns else F.struct(F.col("_version").alias("_ts_ms"), F.lit(0).cast("long").alias("_seq"))
+        return rows.select(F.lit(name).alias("t"), key.alias("key"), place.alias("place"), "_is_deleted")
+
+    parts = [narrow(name, rows) for name, rows in histories.items()]
+    # A row without place for each table, so that empty ones are counted too.
+    kinds = {f.name: f.dataType for f in parts[0].schema.fields}
+    names = parts[0].sparkSession.createDataFrame([(n,) for n in histories], "t string")
+    nothing = (F.lit(None).cast(kinds[c]).alias(c) for c in ("key", "place", "_is_deleted"))
+    versions = union_all([*parts, names.select("t", *nothing)])
+    newest = versions.groupBy("t", "key").agg(F.max_by("_is_deleted", "place").alias("gone"))
+    return newest.groupBy("t").agg(F.count_if(F.col("gone") == 0).alias("n"))
+
+
 def before_cut(history: DataFrame, day: dt.date | str) -> DataFrame:
     """Versions an as-of query of ``day`` may see.
 

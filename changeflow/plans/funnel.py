@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.scalars import AsOf, rate_pct, recent, recent_day, stage_label
 from ..operators.funnel import window_funnel
 from ..operators.sets import total, union_all
-from ..operators.state import scan_state
+from ..operators.state import lookup_state
 from ..specs import CDR, COLLECTION_RESULT, COLLECTION_TASK, CUSTOMER_ID
 
 WINDOW_SECONDS = 7 * 86_400
@@ -23,6 +23,9 @@ def union_events(
     Steps 2 and 3 come from one read of the calls: an answered call gives both.
     Calls without contract number are left out; the other steps keep ''.
     A payment counts at midnight of its day.
+
+    A current row inside the 7 days has a version inside them, so only keys with such a
+    version are folded; the others are left out before the shuffle.
     """
 
     def step(df: DataFrame, key: str, ts, number) -> DataFrame:
@@ -30,14 +33,14 @@ def union_events(
 
     created = F.col("created_ts")
     task_steps = step(
-        scan_state(tasks, COLLECTION_TASK).where(recent("created_ts", as_of, 7, "DAY")),
+        lookup_state(tasks, COLLECTION_TASK, recent("created_ts", as_of, 7, "DAY")),
         "no_kontrak",
         created,
         F.lit(1),
     )
     call_steps = step(
-        scan_state(calls, CDR).where(
-            recent("calldate", as_of, 7, "DAY") & (F.col("contract_no") != "")
+        lookup_state(
+            calls, CDR, recent("calldate", as_of, 7, "DAY") & (F.col("contract_no") != "")
         ),
         "contract_no",
         F.col("calldate"),
@@ -48,16 +51,18 @@ def union_events(
         ),
     )
     promise_steps = step(
-        scan_state(results, COLLECTION_RESULT).where(
-            (F.col("classification") == "PTP") & recent("created_ts", as_of, 7, "DAY")
+        lookup_state(
+            results,
+            COLLECTION_RESULT,
+            (F.col("classification") == "PTP") & recent("created_ts", as_of, 7, "DAY"),
         ),
         "no_kontrak",
         created,
         F.lit(4),
     )
     paid_steps = step(
-        scan_state(queue, CUSTOMER_ID).where(
-            (F.col("is_paid") == 1) & recent_day("payment_date", as_of, 7)
+        lookup_state(
+            queue, CUSTOMER_ID, (F.col("is_paid") == 1) & recent_day("payment_date", as_of, 7)
         ),
         "no_kontrak",
         F.col("payment_date").cast("timestamp"),

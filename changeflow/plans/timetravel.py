@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..operators.preagg import PREAGGS
 from ..operators.sets import union_counts
-from ..operators.state import arg_max, asof_state, before_cut, latest_per_key, lookup_state, scan_state
+from ..operators.state import alive_counts, arg_max, asof_state, before_cut, latest_per_key, lookup_state
 from ..specs import CDR, CUSTOMER_ID, SPECS
 from .views import v_agent_login_status, v_customer_queue
 
@@ -87,7 +87,7 @@ def latest_versions(calls: DataFrame, contract: str, limit: int = 5) -> DataFram
 
 def state_row_counts(histories: dict[str, DataFrame]) -> DataFrame:
     """Current rows per table."""
-    return union_counts({name: scan_state(df, SPECS[name]) for name, df in histories.items()})
+    return alive_counts(histories, SPECS)
 
 
 def history_row_counts(tables: dict[str, DataFrame]) -> DataFrame:

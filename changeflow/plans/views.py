@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalars import AsOf, aging_bucket, as_of_ts, rate_pct_positive
+from ..functions.scalars import AsOf, aging_bucket, as_of_ts, exact_sum, rate_pct_positive
 from ..operators.state import latest_per_key, scan_state
 from ..specs import (
     AGENT_LOGIN_STATUS,
@@ -174,6 +174,6 @@ def v_collection_result_summary(results: DataFrame) -> DataFrame:
             F.col("classification").alias("result_type"),
             F.col("kode_cabang").alias("branch_code"),
         )
-        .agg(F.count(F.lit(1)).alias("count"), F.sum(promised).alias("ptp_total_amount"))
+        .agg(F.count(F.lit(1)).alias("count"), exact_sum(promised).alias("ptp_total_amount"))
         .select("event_date", "result_type", "count", "ptp_total_amount", "branch_code")
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import SparkSession
@@ -24,9 +25,13 @@ def require_utc(spark: SparkSession) -> None:
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder that every executor can reach, deleted when the session ends.
 
-    Lies under ``spark.checkpoint.dir`` as set by the cluster, or in the warehouse.
+    Lies under ``spark.checkpoint.dir`` as set by the cluster.  Only a session on one machine
+    may do without that setting, and uses its warehouse.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root and not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors reach")
+    root = root or spark.conf.get("spark.sql.warehouse.dir")
     folder = f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)

@@ -1,11 +1,14 @@
 """Where change events come from: topics, files, snapshots, CSV back-fills.
 
 Every reader returns one row per message with the columns ``value`` (the JSON
-text, NULL for a tombstone) and ``seq`` (arrival order within the source).
+text, NULL for a tombstone), ``seq`` (arrival order within the source) and where it
+came from: ``topic, partition, offset, time``.
 """
 
 from __future__ import annotations
 
+import json
+from collections.abc import Sequence
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,12 +16,58 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..specs import SEQ_WIRE, TableSpec
+from .decode import CONTEXT
 
 MESSAGE_SCHEMA = T.StructType(
     [T.StructField("value", T.StringType()), T.StructField("seq", T.LongType())]
 )
 
 
+#: Messages with their context.
+ARRIVAL_SCHEMA = T.StructType([*MESSAGE_SCHEMA.fields, *CONTEXT])
+
+#: Bits of an arrival number: offset, then partition, then epoch.
+_OFFSET_BITS, _PARTITION_BITS, _EPOCH_BITS = 43, 13, 7
+
+
+def arrival_number(epoch: Column, partition: Column, offset: Column) -> Column:
+    """One number that orders messages by epoch, partition and offset.
+
+    A key lies in one partition for as long as the topic has the same partitions, one epoch;
+    there its offsets order its events.  When partitions are added it may move to one with
+    smaller offsets, but in a later epoch.  Raises where a part does not fit.
+    """
+    parts = [(epoch, _EPOCH_BITS, "epoch"), (partition, _PARTITION_BITS, "partition"), (offset, _OFFSET_BITS, "offset")]
+    out = F.lit(0).cast("long")
+    for part, bits, name in parts:
+        fits = part.between(0, (1 << bits) - 1)
+        whole = F.when(fits, part.cast("long")).otherwise(
+            F.raise_error(F.concat(F.lit(f"{name} out of range: "), F.coalesce(part.cast("string"), F.lit("NULL")))).cast("long")
+        )
+        out = F.shiftleft(out, bits).bitwiseOR(whole)
+    return out
+
+
+def epoch_of(partition: Column, offset: Column, starts: Sequence[dict[int, int]]) -> Column:
+    """The epoch of a message.  ``starts[i]`` has, for the (i + 1)th time that partitions were
+    added, the first offset after it of every partition the topic then had."""
+    epoch = F.lit(0)
+    for number, first in enumerate(starts, start=1):
+        late = F.lit(False)
+        for p, o in first.items():
+            late = late | ((partition == p) & (offset >= o))
+        epoch = F.when(late, F.lit(number)).otherwise(epoch)
+    return epoch
+
+
+def with_context(messages: DataFrame) -> DataFrame:
+    """``ARRIVAL_SCHEMA``; context that the messages do not have is NULL."""
+    present = set(messages.columns)
+    return messages.select(
+        *((F.col(f.name) if f.name in present else F.lit(None)).cast(f.dataType).alias(f.name) for f in ARRIVAL_SCHEMA.fields)
+    )
+
+
 def topic(spec: TableSpec, prefix: str) -> str:
     """One topic per table: ``<prefix>.<source table>``."""
     return f"{prefix}.{spec.source}"
@@ -28,23 +77,33 @@ def src_changes(spark: SparkSession, spec: TableSpec, options: dict[str, str]) -
     """Stream of change messages of one table.
 
     ``options["format"]`` is ``kafka`` (default), or ``json`` / ``parquet`` for a
-    folder of files with the columns of ``MESSAGE_SCHEMA``.  ``topic_prefix``
+    folder of files with the columns of ``ARRIVAL_SCHEMA``; those it lacks are NULL.  ``topic_prefix``
     names the topic; all other options go to the Spark source.  The micro-batch
     size defaults to the table's block size times ``blocks_per_trigger``
     (1000): one block per trigger would spend all its time on scheduling.
+
+    ``epoch_starts`` tells when partitions were added, as JSON for ``epoch_of``:
+    ``[{"0": 120, "1": 80, "2": 0}]``.
     """
     opts = dict(options)
     fmt = opts.pop("format", "kafka")
     blocks = int(opts.pop("blocks_per_trigger", 1000))
+    starts = [{int(p): int(o) for p, o in first.items()} for first in json.loads(opts.pop("epoch_starts", "[]"))]
     if fmt == "kafka":
         opts.setdefault("subscribe", topic(spec, opts.pop("topic_prefix", "cdc")))
         opts.setdefault("startingOffsets", "earliest")
         opts.setdefault("maxOffsetsPerTrigger", str(spec.block_rows * blocks))
         messages = spark.readStream.format("kafka").options(**opts).load()
-        # A key always lands in one topic partition, so the offset orders its events.
-        return messages.select(F.col("value").cast("string"), F.col("offset").alias("seq"))
+        return numbered(messages.withColumnRenamed("timestamp", "time"), starts)
     path = opts.pop("path")
-    return spark.readStream.schema(MESSAGE_SCHEMA).format(fmt).options(**opts).load(path)
+    return spark.readStream.schema(ARRIVAL_SCHEMA).format(fmt).options(**opts).load(path)
+
+
+def numbered(messages: DataFrame, starts: Sequence[dict[int, int]] = ()) -> DataFrame:
+    """``value, topic, partition, offset, time`` with ``seq``, the arrival number."""
+    epoch = epoch_of(F.col("partition"), F.col("offset"), starts)
+    seq = arrival_number(epoch, F.col("partition"), F.col("offset"))
+    return messages.select(F.col("value").cast("string").alias("value"), seq.alias("seq"), "topic", "partition", "offset", "time")
 
 
 def changes_to_messages(changes: DataFrame, spec: TableSpec) -> DataFrame:
@@ -86,7 +145,7 @@ def snapshot_to_changes(rows: DataFrame, spec: TableSpec, snapshot_ts_ms: int |
 
 class Backfill(NamedTuple):
     good: DataFrame  # history rows
-    bad: DataFrame  # value, seq, reason, as the quarantine has them
+    bad: DataFrame  # value, seq, reason; a line of a file has no other context
 
 
 def backfill_csv(spark: SparkSession, spec: TableSpec, path: str, multi_line: bool = True, **options: str) -> Backfill:

@@ -17,9 +17,26 @@ CORRUPT = "_corrupt_record"
 PARSE_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
 
 
+#: Where a message came from; NULL where its source does not tell.
+CONTEXT = (
+    T.StructField("topic", T.StringType()),
+    T.StructField("partition", T.IntegerType()),
+    T.StructField("offset", T.LongType()),
+    T.StructField("time", T.TimestampType()),
+)
+QUARANTINE = T.StructType(
+    [
+        T.StructField("value", T.StringType()),
+        T.StructField("seq", T.LongType()),
+        T.StructField("reason", T.StringType()),
+        *CONTEXT,
+    ]
+)
+
+
 class Routed(NamedTuple):
     good: DataFrame  # flat change rows
-    bad: DataFrame  # value, seq, reason
+    bad: DataFrame  # the columns of QUARANTINE
 
 
 def drop_tombstones(messages: DataFrame) -> DataFrame:
@@ -35,7 +52,14 @@ def _parse(messages: DataFrame, schema: T.StructType) -> DataFrame:
     """
     with_corrupt = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     parsed = F.from_json("value", with_corrupt, PARSE_OPTIONS)
-    return messages.select("value", "seq", F.inline_outer(F.array(parsed)))
+    return messages.select("value", "seq", _context(messages), F.inline_outer(F.array(parsed)))
+
+
+def _context(messages: DataFrame) -> Column:
+    """One struct, so that no field of the payload can clash with it."""
+    present = set(messages.columns)
+    cells = ((F.col(f.name) if f.name in present else F.lit(None)).cast(f.dataType).alias(f.name) for f in CONTEXT)
+    return F.struct(*cells).alias("_message")
 
 
 def _reason(spec: TableSpec) -> Column:
@@ -46,7 +70,7 @@ def _reason(spec: TableSpec) -> Column:
 
 
 def checked_rows(messages: DataFrame, spec: TableSpec) -> DataFrame:
-    """``value, seq``, the wire columns, and ``reason`` (NULL: a good message)."""
+    """``value, seq, _message``, the wire columns, and ``reason`` (NULL: a good message)."""
     parsed = _parse(drop_tombstones(messages), spec.wire_schema())
     return parsed.withColumn("reason", _reason(spec)).drop(CORRUPT)
 
@@ -57,7 +81,8 @@ def good_rows(checked: DataFrame, spec: TableSpec) -> DataFrame:
 
 
 def bad_rows(checked: DataFrame) -> DataFrame:
-    return checked.where(F.col("reason").isNotNull()).select("value", "seq", "reason")
+    """Text and context of bad messages, with the reason."""
+    return checked.where(F.col("reason").isNotNull()).select("value", "seq", "reason", "_message.*")
 
 
 def route_bad_records(messages: DataFrame, spec: TableSpec) -> Routed:
@@ -71,13 +96,9 @@ def decode_json_rows(messages: DataFrame, spec: TableSpec) -> DataFrame:
     return route_bad_records(messages, spec).good
 
 
-def unwrap_envelope(messages: DataFrame, spec: TableSpec) -> DataFrame:
-    """Full change envelopes -> flat messages.
-
-    ``{before, after, op, ts_ms, source: {ts_ms}}`` becomes the new row image, or
-    for a delete the old image, with the metadata columns added.  Envelopes
-    that do not parse pass through unchanged, for ``route_bad_records`` to keep.
-    """
+def checked_envelopes(messages: DataFrame, spec: TableSpec) -> DataFrame:
+    """``checked_rows`` of full change envelopes ``{before, after, op, ts_ms, source: {ts_ms}}``:
+    the new row image, or for a delete the old one, typed as it is parsed."""
     payload = spec.payload_schema()
     envelope = T.StructType(
         [
@@ -88,23 +109,33 @@ def unwrap_envelope(messages: DataFrame, spec: TableSpec) -> DataFrame:
             T.StructField("source", T.StructType([T.StructField("ts_ms", T.LongType())])),
         ]
     )
-    parsed = _parse(messages, envelope)
-    deleted = F.col("op") == "d"
-
-    def image(name: str) -> Column:
-        return F.when(deleted, F.col(f"before.`{name}`")).otherwise(F.col(f"after.`{name}`"))
-
-    flat = F.to_json(
-        F.struct(
-            *(image(f.wire).alias(f.wire) for f in spec.fields),
-            F.col("op").alias("__op"),
-            F.col("ts_ms").alias("__ts_ms"),
-            F.col("source.ts_ms").alias("__source_ts_ms"),
+    with_corrupt = T.StructType([*envelope.fields, T.StructField(CORRUPT, T.StringType())])
+
+    def flat(e: Column) -> Column:
+        deleted = e["op"] == "d"
+        image = F.when(deleted, e["before"]).otherwise(e["after"])
+        return F.struct(
+            *(image[f.wire].alias(f.wire) for f in spec.fields),
+            e["op"].alias("__op"),
+            e["ts_ms"].alias("__ts_ms"),
+            e["source"]["ts_ms"].alias("__source_ts_ms"),
             F.when(deleted, F.lit("true")).otherwise(F.lit("false")).alias("__deleted"),
+            e[CORRUPT].alias(CORRUPT),
         )
-    )
-    usable = F.col(CORRUPT).isNull() & F.col("op").isNotNull()
-    return parsed.select(F.when(usable, flat).otherwise(F.col("value")).alias("value"), "seq")
+
+    # One generator from text to typed row: nothing is parsed twice or printed in between.
+    rows = F.transform(F.array(F.from_json("value", with_corrupt, PARSE_OPTIONS)), flat)
+    parsed = drop_tombstones(messages)
+    parsed = parsed.select("value", "seq", _context(parsed), F.inline_outer(rows))
+    unreadable = F.col(CORRUPT).isNull() & F.col("__op").isNull()
+    reason = F.when(unreadable, F.lit("no operation")).otherwise(_reason(spec))
+    return parsed.withColumn("reason", reason).drop(CORRUPT)
+
+
+def route_envelopes(messages: DataFrame, spec: TableSpec) -> Routed:
+    """Split envelopes into change rows and quarantined raw text."""
+    checked = checked_envelopes(messages, spec)
+    return Routed(good_rows(checked, spec), bad_rows(checked))
 
 
 def delete_flag(deleted: str) -> str:

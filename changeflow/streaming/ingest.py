@@ -1,155 +1,243 @@
 """Structured Streaming: change messages -> history, state, aggregates.
 
-Per micro-batch one parse feeds every sink.  Each sink keeps its rows under the
-checkpoint's run and the batch number and replaces them when the batch is run again, so
-the result does not change when a job fails half-way and restarts from its checkpoint.
+Each table has a job that writes history and quarantine batch by batch, one that keeps the
+newest version of every key in Spark's state store, and one for each aggregate.  All take
+the same arrivals, messages and bulk loads, and each has a checkpoint of its own.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.preagg import PREAGGS, Preagg, preaggs_of
-from ..operators.state import latest_per_key
+from ..operators.preagg import Preagg, preaggs_of
 from ..session import require_utc
-from ..sources.batches import BatchTable, run_id
-from ..sources.decode import bad_rows, checked_rows, good_rows, ingest_project
-from ..sources.history import append_history, history_table, load_history
+from ..sources.changes import with_context
+from ..sources.decode import QUARANTINE, bad_rows, checked_rows, good_rows, ingest_project
+from ..sources.history import History
+from ..sources.tables import (
+    BATCH,
+    RUN,
+    finished_batches,
+    make_folder,
+    published,
+    query_id,
+    replace_partitions,
+    rewrite_partitions,
+    rows_of,
+    upto,
+)
 from ..specs import TableSpec
 
-QUARANTINE = "value string, seq bigint, reason string"
-#: Parts of a stored state; a compaction rewrites those that got new rows.
-STATE_BUCKETS = 16
-
+LOADED = "_loaded"
+STATE_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_PROVIDER_KEY = "spark.sql.streaming.stateStore.providerClass"
 
-def state_table(spark: SparkSession, spec: TableSpec, root: str) -> BatchTable:
-    """Newest version per key and batch, folded to one per key on read.
 
-    Delete markers stay, so that a late older version cannot revive a row.
-    """
-    return BatchTable(
-        spark,
-        f"{root.rstrip('/')}/state/{spec.name}",
-        spec.history_schema(),
-        fold=lambda rows: latest_per_key(rows, spec),
-        sort_by=spec.key,
-        buckets=STATE_BUCKETS,
-        bucket_by=spec.key,
-    )
+@contextmanager
+def _in_rocksdb(spark: SparkSession):
+    """State that need not fit in memory; a query takes the setting when it starts."""
+    before = spark.conf.get(_PROVIDER_KEY)
+    spark.conf.set(_PROVIDER_KEY, STATE_PROVIDER)
+    try:
+        yield
+    finally:
+        spark.conf.set(_PROVIDER_KEY, before)
 
 
-def quarantine_table(spark: SparkSession, spec: TableSpec, root: str) -> BatchTable:
-    return BatchTable(spark, f"{root.rstrip('/')}/quarantine/{spec.name}", QUARANTINE)
+def _writer(stream: DataFrame, checkpoint: str, trigger: dict | None):
+    return stream.writeStream.option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True}))
 
 
 @dataclass(frozen=True)
 class Sinks:
     """Where the events of one table go."""
 
+    spark: SparkSession
     spec: TableSpec
-    history: BatchTable
-    state: BatchTable
-    quarantine: BatchTable
-    preaggs: dict[str, BatchTable]
+    root: str
 
-    def state_rows(self) -> DataFrame:
-        """Newest version per key, deletes included, from the stored state.
+    @property
+    def history(self) -> History:
+        return History(self.spark, self.spec, self.root)
+
+    @property
+    def quarantine_path(self) -> str:
+        return f"{self.root}/quarantine/{self.spec.name}"
 
-        Views and queries take these rows in place of a history.
-        """
-        return self.state.merged().selectExpr(*self.spec.columns, "_ts_ms AS _version", "_is_deleted")
+    @property
+    def loads_path(self) -> str:
+        return f"{self.root}/loads/{self.spec.name}"
+
+    def checkpoint(self, job: str) -> str:
+        return f"{self.root}/checkpoints/{self.spec.name}/{job}"
+
+    def quarantine(self) -> DataFrame:
+        """Bad messages of finished batches."""
+        schema = T.StructType([*QUARANTINE.fields, T.StructField(RUN, T.StringType()), T.StructField(BATCH, T.LongType())])
+        return rows_of(self.spark, self.quarantine_path, schema).where(upto(published(self.spark, self.history.checkpoints)))
+
+    def write_load(self, rows: DataFrame, name: str) -> None:
+        """Leave history rows (a snapshot, a CSV back-fill) for all jobs of this table, which
+        take them as they take messages.  A name is used once."""
+        rows.select(*self.spec.history_schema().names).write.parquet(f"{self.loads_path}/{name}")
+
+    def arrivals(self, messages: DataFrame) -> DataFrame:
+        """Messages and, in ``_loaded``, rows of loads."""
+        loads = self.spark.readStream.schema(self.spec.history_schema()).parquet(f"{self.loads_path}/*")
+        loaded = F.struct(*self.spec.history_schema().names)
+        messages = with_context(messages)
+        kind = self.spec.history_schema().simpleString()
+        nothing = (F.lit(None).cast(f.dataType).alias(f.name) for f in messages.schema.fields)
+        return messages.withColumn(LOADED, F.lit(None).cast(kind)).unionByName(loads.select(*nothing, loaded.alias(LOADED)))
+
+    def versions(self, messages: DataFrame) -> DataFrame:
+        """History rows of the good messages and of the loads, as a stream."""
+        arrived = self.arrivals(messages)
+        return _versions(checked_rows(arrived.where(F.col(LOADED).isNull()), self.spec), arrived, self.spec)
+
+    # -- stored state --------------------------------------------------------------
+
+    def state_rows(self) -> DataFrame:
+        """Newest version per key, deletes included, as Spark's state store has them after the
+        last finished batch.  Views and queries take these rows in place of a history."""
+        spec, checkpoint = self.spec, self.checkpoint("state")
+        if finished_batches(self.spark, checkpoint) is None:
+            empty = self.spark.createDataFrame([], spec.history_schema())
+            return empty.selectExpr(*spec.columns, "_ts_ms AS _version", "_is_deleted")
+        stored = self.spark.read.format("statestore").load(checkpoint)
+        flat = stored.select("key.*", "value.max.*")
+        return flat.selectExpr(*spec.columns, "_ts_ms AS _version", "_is_deleted")
 
     def current_rows(self) -> DataFrame:
         return self.state_rows().where(F.col("_is_deleted") == 0)
 
-    def write_batch(self, messages: DataFrame, batch_id: int, run: str = "stream") -> None:
-        checked = checked_rows(messages, self.spec).persist()
-        try:
-            rows = ingest_project(good_rows(checked, self.spec), self.spec)
-            append_history(self.history, rows, batch_id, run)
-            self.quarantine.write_batch(bad_rows(checked), batch_id, run)
-            self.state.write_batch(latest_per_key(rows, self.spec), batch_id, run)
-            for name, store in self.preaggs.items():
-                store.write_batch(PREAGGS[name].partial(rows), batch_id, run)
-        finally:
-            checked.unpersist()
+    # -- stored aggregates -----------------------------------------------------------
 
-    def write_load(self, rows: DataFrame, name: str) -> None:
-        """Bulk load history rows (a snapshot, a CSV back-fill) into all sinks."""
-        load_history(self.history, rows, name)
-        self.state.write_load(latest_per_key(rows, self.spec), name)
-        for preagg, store in self.preaggs.items():
-            store.write_load(PREAGGS[preagg].partial(rows), name)
+    def preagg_path(self, preagg: Preagg) -> str:
+        return f"{self.root}/preagg/{preagg.name}"
 
-    def tables(self) -> list[BatchTable]:
-        return [self.history, self.state, self.quarantine, *self.preaggs.values()]
+    def preagg_rows(self, preagg: Preagg) -> DataFrame:
+        """One partial row per group: ready to serve, nothing to fold."""
+        rows = rows_of(self.spark, self.preagg_path(preagg), stored_schema(preagg.schema()))
+        return rows.select(*preagg.schema().names)
 
-    def compact(self) -> None:
-        for table in self.tables():
-            table.compact()
+    def rewrite(self) -> None:
+        """Few sorted files per month in the aggregates, by an ordinary job."""
+        for preagg in preaggs_of(self.spec):
+            rewrite_partitions(self.spark, self.preagg_path(preagg), stored_schema(preagg.schema()), [PART], preagg.dim_names)
 
 
 def open_sinks(spark: SparkSession, spec: TableSpec, root: str) -> Sinks:
-    return Sinks(
-        spec,
-        history_table(spark, spec, root),
-        state_table(spark, spec, root),
-        quarantine_table(spark, spec, root),
-        {p.name: p.store(spark, root) for p in preaggs_of(spec)},
-    )
+    sinks = Sinks(spark, spec, root.rstrip("/"))
+    make_folder(spark, sinks.loads_path)
+    return sinks
 
 
-def stream_ingest(
-    messages: DataFrame, sinks: Sinks, checkpoint: str, trigger: dict | None = None
-) -> StreamingQuery:
-    """Continuously feed all sinks of one table.
+def _versions(checked: DataFrame, arrived: DataFrame, spec: TableSpec) -> DataFrame:
+    loaded = arrived.where(F.col(LOADED).isNotNull()).select(f"{LOADED}.*")
+    return ingest_project(good_rows(checked, spec), spec).unionByName(loaded)
+
+
+# -- the jobs of a table -----------------------------------------------------------
+
+
+def stream_ingest(messages: DataFrame, sinks: Sinks, trigger: dict | None = None, job: str = "main") -> StreamingQuery:
+    """History and quarantine, from one parse per batch.
+
+    Both sinks write the batch into partitions of its run and number, replaced if it is run
+    again; readers take a batch once Spark's commit log has it.  So a job that dies between
+    the two leaves nothing to see, and after its restart the same rows.
 
     ``trigger`` defaults to taking what is there and stopping; pass
     ``{"processingTime": "10 seconds"}`` to keep running.
     """
-    run = run_id(messages.sparkSession, checkpoint)
-    return _started(messages, lambda df, n: sinks.write_batch(df, n, run), checkpoint, trigger)
+    checkpoint = f"{sinks.history.checkpoints}/{job}"
+
+    def write(df: DataFrame, batch: int) -> None:
+        run = query_id(sinks.spark, checkpoint)
+        checked = checked_rows(df.where(F.col(LOADED).isNull()), sinks.spec).persist()
+        try:
+            sinks.history.append(_versions(checked, df, sinks.spec), run, batch)
+            bad = bad_rows(checked).withColumns({RUN: F.lit(run), BATCH: F.lit(batch).cast("long")})
+            replace_partitions(bad, sinks.quarantine_path, [RUN, BATCH])
+        finally:
+            checked.unpersist()
+
+    return _writer(sinks.arrivals(messages), checkpoint, trigger).foreachBatch(write).start()
+
+
+def stream_state(messages: DataFrame, sinks: Sinks, trigger: dict | None = None) -> StreamingQuery:
+    """The newest version of every key, in keyed state of the query itself.
+
+    The greatest of (time, arrival, row) wins, so order of arrival and repeats do not matter,
+    and delete markers stay, so a late older version cannot revive a row.  Nothing is
+    written but the state: ``Sinks.state_rows`` reads it.
+    """
+    spec = sinks.spec
+    rest = [n for n in spec.history_schema().names if n not in ("_ts_ms", "_seq", *spec.key)]
+    newest = sinks.versions(messages).groupBy(*spec.key).agg(F.max(F.struct("_ts_ms", "_seq", *rest)).alias("newest"))
+    with _in_rocksdb(sinks.spark):
+        return _writer(newest, sinks.checkpoint("state"), trigger).outputMode("update").format("noop").start()
 
 
-def _started(stream: DataFrame, write: Callable, checkpoint: str, trigger: dict | None) -> StreamingQuery:
-    return (
-        stream.writeStream.foreachBatch(write)
-        .option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or {"availableNow": True}))
-        .start()
-    )
+#: What a batch of an aggregate replaces, and readers of a time range skip.
+PART = "_month"
+
+
+def stored_schema(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField(PART, T.IntegerType())])
 
 
-def stream_preagg(
-    messages: DataFrame,
-    preagg: Preagg,
-    store: BatchTable,
-    quarantine: BatchTable,
-    checkpoint: str,
-    trigger: dict | None = None,
+def _start_groups(
+    groups: DataFrame, dims: Sequence[str], time: str, path: str, checkpoint: str, trigger: dict | None
 ) -> StreamingQuery:
-    """Feed one aggregate on its own: each micro-batch adds its partial rows, and bad
-    messages go to the quarantine.
+    """A streaming aggregation whose table has one row per group.
 
-    Without a watermark: a late event always reaches its minute or day.
+    A batch brings the new totals of the groups it changed.  They take the place of the old
+    ones, and the months they lie in are replaced.  A batch that is run again brings
+    the same totals.  Without a watermark: a late event always reaches its group.
     """
-    run = run_id(messages.sparkSession, checkpoint)
+    spark = groups.sparkSession
+    month: Column = (F.year(time) * 100 + F.month(time)).cast("int")
+    schema = stored_schema(groups.schema)
 
-    def write(df: DataFrame, n: int) -> None:
-        checked = checked_rows(df, preagg.table).persist()
+    def write(df: DataFrame, batch: int) -> None:
+        changed = df.withColumn(PART, month).persist()
         try:
-            rows = ingest_project(good_rows(checked, preagg.table), preagg.table)
-            quarantine.write_batch(bad_rows(checked), n, run)
-            store.write_batch(preagg.partial(rows), n, run)
+            # a row for each month touched, not for each group
+            months = [r[PART] for r in changed.select(PART).distinct().collect()]
+            stored = rows_of(spark, path, schema).where(F.col(PART).isin(months))
+            keys = changed.select(*(F.col(d).alias(f"_new_{d}") for d in dims))
+            same = [F.col(d).eqNullSafe(F.col(f"_new_{d}")) for d in dims]
+            rows = stored.join(keys, same, "left_anti").unionByName(changed)
+            replace_partitions(rows, path, [PART], list(dims))
         finally:
-            checked.unpersist()
+            changed.unpersist()
+
+    with _in_rocksdb(spark):
+        return _writer(groups, checkpoint, trigger).outputMode("update").foreachBatch(write).start()
+
+
+def stream_preagg(messages: DataFrame, sinks: Sinks, preagg: Preagg, trigger: dict | None = None) -> StreamingQuery:
+    """Keep one aggregate up to date; every version counts, as ``build(mode="ingest")``."""
+    groups = preagg.partial(sinks.versions(messages))
+    return _start_groups(groups, preagg.dim_names, preagg.dim_names[0], sinks.preagg_path(preagg), sinks.checkpoint(preagg.name), trigger)
+
+
+def stream_table(messages: DataFrame, sinks: Sinks, trigger: dict | None = None) -> list[StreamingQuery]:
+    """All jobs of a table."""
+    jobs = [stream_ingest(messages, sinks, trigger), stream_state(messages, sinks, trigger)]
+    return jobs + [stream_preagg(messages, sinks, p, trigger) for p in preaggs_of(sinks.spec)]
 
-    return _started(messages, write, checkpoint, trigger)
+
+# -- tumbling windows ------------------------------------------------------------
 
 
 def tumbling_minute(calls: DataFrame) -> DataFrame:
@@ -175,27 +263,19 @@ def tumbling_minute(calls: DataFrame) -> DataFrame:
     )
 
 
-MINUTES = (
-    "minute timestamp, branch_code string, total_calls bigint, answered_calls bigint, "
-    "total_duration bigint, total_billsec bigint"
+MINUTES = T.StructType(
+    [
+        T.StructField("minute", T.TimestampType()),
+        T.StructField("branch_code", T.StringType()),
+        *(T.StructField(n, T.LongType()) for n in ("total_calls", "answered_calls", "total_duration", "total_billsec")),
+    ]
 )
 
 
-def _summed(rows: DataFrame) -> DataFrame:
-    sums = [F.sum(c).alias(c) for c in ("total_calls", "answered_calls", "total_duration", "total_billsec")]
-    return rows.groupBy("minute", "branch_code").agg(*sums)
-
-
-def minutes_table(spark: SparkSession, root: str) -> BatchTable:
-    return BatchTable(spark, f"{root.rstrip('/')}/minutes", MINUTES, fold=_summed)
+def minute_rows(spark: SparkSession, root: str) -> DataFrame:
+    return rows_of(spark, f"{root}/minutes", stored_schema(MINUTES)).select(*MINUTES.names)
 
 
-def stream_minutes(
-    calls: DataFrame, store: BatchTable, checkpoint: str, trigger: dict | None = None
-) -> StreamingQuery:
-    """Each micro-batch adds its own ``tumbling_minute`` rows; reads sum them.
-
-    No watermark and no state: a late call always reaches its minute.
-    """
-    run = run_id(calls.sparkSession, checkpoint)
-    return _started(calls, lambda df, n: store.write_batch(tumbling_minute(df), n, run), checkpoint, trigger)
+def stream_minutes(calls: DataFrame, root: str, trigger: dict | None = None) -> StreamingQuery:
+    """``tumbling_minute`` kept up to date: a late call always reaches its minute."""
+    return _start_groups(tumbling_minute(calls), ["minute", "branch_code"], "minute", f"{root}/minutes", f"{root}/checkpoints/minutes", trigger)

@@ -411,8 +411,23 @@ _CDR_MESSAGES = f"""(SELECT event_id AS seq, CAST(CASE
   ELSE j END AS VARCHAR) AS value
   FROM (SELECT *, CAST({_CDR_JSON} AS VARCHAR) AS j FROM {_E}))"""
 
-# Damage done to the messages by the bad-record query.
-_BAD = f"""SELECT seq, reason, CASE WHEN seq % 50 = 7 THEN left(value, 40)
+SNAPSHOT_MS = 1004918400000  # 2001-11-05
+TOPIC = "cdc.tblCallDataRecords"
+
+
+
+def _positions(value: str) -> str:
+    """Quantiles by position in the sorted values."""
+    levels = (0.0, 0.1, 0.5, 0.9, 0.999, 1.0)
+    picked = ", ".join(
+        f"v[1 + CAST(least(floor(CAST({p} AS DOUBLE) * n), n - 1) AS BIGINT)] AS q{i}" for i, p in enumerate(levels)
+    )
+    return f"SELECT {picked}, n FROM (SELECT list_sort(list({value})) AS v, count(*) AS n FROM orders)"
+
+
+# Damage done to the messages by the bad-record query, and where they lie.
+_BAD = f"""SELECT seq, reason, '{TOPIC}' AS topic, CAST(seq % 4 AS INT) AS partition, seq // 4 AS "offset",
+  {_instant(f'{SNAPSHOT_MS} + seq')} AS time, CASE WHEN seq % 50 = 7 THEN left(value, 40)
   WHEN seq % 50 = 13 THEN replace(value, '"amaflags":3', '"amaflags":"three"') ELSE replace(value, '"__ts_ms"', '"ts"') END AS value
 FROM (SELECT *, CASE WHEN seq % 50 IN (7, 13) THEN 'malformed' WHEN seq % 50 = 21 THEN 'no key or version' END AS reason FROM {_CDR_MESSAGES})
 WHERE reason IS NOT NULL"""
@@ -425,8 +440,6 @@ _WIRE_LOGS = f"""SELECT event_id // 10 AS id, 'agent' || (user_id % 20) AS usern
   CASE WHEN event_id % 17 = 0 THEN 'true' ELSE 'false' END AS __deleted, event_id AS __seq
 FROM {_E} WHERE event_type = 'signup'"""
 
-SNAPSHOT_MS = 1004918400000  # 2001-11-05
-
 _SNAPSHOT = f"""SELECT o_orderkey AS collections_id, 'K' || o_custkey AS no_kontrak, '' AS agent_id,
   {_instant(_ms('o_orderdate'))} AS call_date, o_orderstatus AS classification, '' AS sub_classification,
   CAST(floor(o_totalprice) AS DOUBLE) AS ptp_amount, CAST(o_orderdate AS DATE) AS ptp_date, o_orderpriority AS call_status, '' AS notes,
@@ -552,6 +565,12 @@ FROM collection_task GROUP BY status""",
         "collection_result",
         "SELECT kode_cabang, sum(CASE WHEN classification = 'PTP' THEN ptp_amount ELSE 0.0 END) AS promised FROM collection_result GROUP BY 1",
     )
+    cents = "CAST(o_totalprice AS DECIMAL(22,2))"
+    sql["agg_sum_cents"] = f"SELECT o_orderpriority, CAST(sum({cents}) AS DOUBLE) AS total FROM orders GROUP BY 1"
+    sql["agg_sum_if_cents"] = f"""SELECT o_custkey,
+      CAST(sum(CASE WHEN o_orderstatus = 'F' THEN {cents} ELSE 0 END) AS DOUBLE) AS filled FROM orders GROUP BY 1"""
+    sql["quantiles_radix_price"] = _positions("o_totalprice")
+    sql["quantiles_radix_key"] = _positions(f"o_orderkey * 7000000000003 - {1 << 50}")
     sql["agg_avg"] = _q(
         "cdr",
         f"""SELECT kode_cabang, {_round("coalesce(avg(billsec) FILTER (disposition = 'ANSWERED'), 0)", 3)} AS avg_talk,

@@ -1,23 +1,27 @@
 """Edge cases of change capture, in batch and through the stream."""
 
 import datetime as dt
+import json
+from pathlib import Path
 
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from changeflow.operators.preagg import COLLECTION_DAILY, PREAGGS
+from changeflow.operators.preagg import COLLECTION_DAILY, PREAGGS, preaggs_of
 from changeflow.operators.state import asof_state, latest_per_key, lookup_state, scan_state
 from changeflow.plans import distribution as dist
 from changeflow.plans import timetravel as tt
 from changeflow.plans import views
 from changeflow.session import scratch_dir
-from changeflow.sources.changes import backfill_csv, snapshot_to_changes, src_changes
-from changeflow.sources.decode import decode_json_rows, ingest_project, route_bad_records, unwrap_envelope
+from changeflow.sources.changes import backfill_csv, numbered, snapshot_to_changes, src_changes
+from changeflow.sources.decode import decode_json_rows, ingest_project, route_bad_records, route_envelopes
+from changeflow.sources.history import History
 from changeflow.specs import AGENT_LOGIN_STATUS, CDR, COLLECTION_RESULT, CUSTOMER_ID, SPECS, USER_LOGS
 from changeflow.streaming import ingest as stream
 
 DAY1 = 1_700_000_000_000 // 86_400_000 * 86_400_000  # a midnight
+DAY_MS = 86_400_000
 DAY_TEXT = dt.datetime.fromtimestamp(DAY1 / 1000, dt.timezone.utc).date().isoformat()
 
 
@@ -149,11 +153,16 @@ def test_envelope(messages):
         None,
         "{broken",
     ]
-    good, bad = route_bad_records(unwrap_envelope(messages(envelope), CUSTOMER_ID), CUSTOMER_ID)
+    envelope.append({"before": None, "after": None, "op": "d", "ts_ms": 8, "source": None})
+    envelope.append({"before": None, "after": row, "ts_ms": 9})
+    good, bad = route_envelopes(messages(envelope), CUSTOMER_ID)
+    assert good._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1
+    assert "to_json" not in good._jdf.queryExecution().optimizedPlan().toString()
     found = rows(ingest_project(good, CUSTOMER_ID).orderBy("_ts_ms").select(
         "id", "call_status", "is_paid", "_op", "_ts_ms", "_source_ts_ms", "_is_deleted"))
     assert found == [(1, "A", 1, "c", 5, 4, 0), (1, "B", 1, "u", 6, 5, 0), (1, "B", 1, "d", 7, 6, 1)]
-    assert [r.value for r in bad.collect()] == ["{broken"]
+    assert [(r.seq, r.reason) for r in bad.orderBy("seq").collect()] == [
+        (4, "malformed"), (5, "no key or version"), (6, "no operation")]
 
 
 def test_snapshot_is_an_upsert(spark, history):
@@ -169,11 +178,13 @@ def test_snapshot_is_an_upsert(spark, history):
 # -- the same through the stream ------------------------------------------------
 
 
-def ingest(spark, sinks, root, **trigger):
-    source = src_changes(spark, sinks.spec, {
-        "format": "json", "path": f"{root}/inbox/*", "maxFilesPerTrigger": "1"})
-    query = stream.stream_ingest(source, sinks, f"{root}/checkpoint")
-    query.awaitTermination()
+def inbox(spark, sinks):
+    return src_changes(spark, sinks.spec, {
+        "format": "json", "path": f"{sinks.root}/inbox/*", "maxFilesPerTrigger": "1"})
+
+
+def ingest(spark, sinks, job=stream.stream_ingest):
+    job(inbox(spark, sinks), sinks).awaitTermination()
 
 
 def deliver(messages, root, name, events, start):
@@ -184,129 +195,205 @@ def plain(df):
     return sorted(map(str, rows(df)))
 
 
-def test_stream_equals_batch_and_survives_a_crash(spark, messages, history, monkeypatch):
-    root = scratch_dir(spark, "crash")
-    sinks = stream.open_sinks(spark, CUSTOMER_ID, root)
-    deliver(messages, root, "a", SCENARIO[:9], 0)
-    ingest(spark, sinks, root)
+def states(sinks):
+    return {r.id: r.call_status for r in sinks.current_rows().collect()}
+
+
+def test_a_crash_between_two_sinks(spark, messages, history, monkeypatch):
+    """The batch whose quarantine is lost is not seen, and is whole after the restart."""
+    sinks = stream.open_sinks(spark, CUSTOMER_ID, scratch_dir(spark, "crash"))
+    deliver(messages, sinks.root, "a", SCENARIO[:9], 0)
+    ingest(spark, sinks)
+    first = history(CUSTOMER_ID, SCENARIO[:9])
+    columns = first.columns
 
-    deliver(messages, root, "b", SCENARIO[9:], 9)
-    whole = stream.BatchTable.write_batch
+    deliver(messages, sinks.root, "b", SCENARIO[9:], 9)
+    whole = stream.replace_partitions
 
-    def dies(table, df, batch_id, run):
-        if "/state/" in table.path:
+    def dies(df, path, *rest):
+        if "/quarantine/" in path:
             raise RuntimeError("lost")
-        whole(table, df, batch_id, run)
+        whole(df, path, *rest)
 
-    monkeypatch.setattr(stream.BatchTable, "write_batch", dies)
+    monkeypatch.setattr(stream, "replace_partitions", dies)
     with pytest.raises(Exception, match="lost"):
-        ingest(spark, sinks, root)
+        ingest(spark, sinks)
     monkeypatch.undo()
-    ingest(spark, sinks, root)  # the same batch again
-
-    expected = history(CUSTOMER_ID, SCENARIO)
-    stored = sinks.history.rows().select(*expected.columns)
-    assert plain(stored) == plain(expected)
-    assert {r.id: r.call_status for r in sinks.current_rows().collect()} == CURRENT
-    assert sinks.quarantine.rows().count() == 3
-
-    sinks.compact()
-    assert plain(sinks.history.rows().select(*expected.columns)) == plain(expected)
-    assert {r.id: r.call_status for r in sinks.current_rows().collect()} == CURRENT
-
-    # A bulk load after a compaction is seen, and so is a late older version.
+    assert sinks.history.all_rows().count() > first.count()  # there, but not finished
+    assert plain(sinks.history.rows().select(*columns)) == plain(first)
+    assert sinks.quarantine().count() == 0
+
+    ingest(spark, sinks)  # the same batch again
+    assert plain(sinks.history.rows().select(*columns)) == plain(history(CUSTOMER_ID, SCENARIO))
+    assert sinks.history.all_rows().count() == sinks.history.rows().count()
+    assert sinks.quarantine().count() == 3
+
+
+def test_a_batch_written_again_replaces_itself(spark, history):
+    table = History(spark, CUSTOMER_ID, scratch_dir(spark, "again"))
+    assert table.rows().count() == table.all_rows().count() == 0
+    table.append(history(CUSTOMER_ID, [change(1, 1), change(2, 90 * DAY_MS)]), "run", 0)
+    table.append(history(CUSTOMER_ID, [change(3, 1)]), "run", 1)
+    table.append(history(CUSTOMER_ID, [change(1, 1), change(2, 90 * DAY_MS), change(4, 1)]), "run", 0)
+    assert sorted(r.id for r in table.all_rows().collect()) == [1, 2, 3, 4]
+    # A job that fails while it writes leaves what was there.
+    broken = history(CUSTOMER_ID, [change(9, 1)]).withColumn("id", F.raise_error(F.lit("lost")).cast("long"))
+    with pytest.raises(Exception, match="lost"):
+        table.append(broken, "run", 1)
+    assert sorted(r.id for r in table.all_rows().collect()) == [1, 2, 3, 4]
+
+
+def test_a_new_checkpoint_hides_nothing(spark, messages):
+    sinks = stream.open_sinks(spark, CUSTOMER_ID, scratch_dir(spark, "runs"))
+    deliver(messages, sinks.root, "a", [change(1, 1)], 0)
+    ingest(spark, sinks)
+    deliver(messages, sinks.root, "b", [change(2, 1)], 1)
+    stream.stream_ingest(inbox(spark, sinks), sinks, job="second").awaitTermination()
+    assert sorted(r.id for r in sinks.history.rows().collect()) == [1, 1, 2]
+
+
+def test_stored_state(spark, messages, history):
+    """Restarts, late and repeated versions and loads; what the query itself keeps is the state."""
+    sinks = stream.open_sinks(spark, CUSTOMER_ID, scratch_dir(spark, "state"))
+    assert sinks.state_rows().count() == 0
+    for name, events, start in (("a", SCENARIO[:9], 0), ("b", SCENARIO[9:], 9)):
+        deliver(messages, sinks.root, name, events, start)
+        ingest(spark, sinks, stream.stream_state)
+    assert states(sinks) == CURRENT
+    assert plain(sinks.current_rows()) == plain(scan_state(history(CUSTOMER_ID, SCENARIO), CUSTOMER_ID))
+    late = [change(2, 0, "r", callStatus="old"), change(3, 2, "d"), change(1, 2, callStatus="B")]
+    deliver(messages, sinks.root, "c", late, 0)
+    ingest(spark, sinks, stream.stream_state)
+    assert states(sinks) == CURRENT
     sinks.write_load(history(CUSTOMER_ID, [change(20, 1, "r", callStatus="Z"), change(2, 0, "r", callStatus="old")]), "csv")
-    state = {r.id: r.call_status for r in sinks.current_rows().collect()}
-    assert state == CURRENT | {20: "Z"}
-
-
-def table(spark, name, **options):
-    return stream.BatchTable(spark, scratch_dir(spark, name), "k int, v bigint", **options)
-
-
-def numbers(spark, *values):
-    return spark.createDataFrame([(v, v) for v in values], "k int, v bigint")
-
-
-def test_a_new_checkpoint_hides_nothing(spark):
-    t = table(spark, "runs")
-    for n in range(4):
-        t.write_batch(numbers(spark, n), n, "first")
-    t.compact()
-    for n in (0, 1, 3):
-        t.write_batch(numbers(spark, 10 + n), n, "second")
-    assert sorted(r.k for r in t.rows().collect()) == [0, 1, 2, 3, 10, 11, 13]
-    t.compact()
-    assert sorted(r.k for r in t.rows().collect()) == [0, 1, 2, 3, 10, 11, 13]
-    with pytest.raises(ValueError, match="settled"):
-        t.write_batch(numbers(spark, 99), 2, "first")
-
-
-def test_readers_see_whole_batches_only(spark, monkeypatch):
-    t = table(spark, "retry")
-    t.write_batch(numbers(spark, 1, 2), 0)
-    monkeypatch.setattr(t, "_mark", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
-    with pytest.raises(RuntimeError):
-        t.write_batch(numbers(spark, 1, 2, 3), 0)  # data is there, the mark is not
-    assert sorted(r.k for r in t.rows().collect()) == [1, 2]
-    monkeypatch.undo()
-    t.write_batch(numbers(spark, 1, 2, 3), 0)
-    assert sorted(r.k for r in t.rows().collect()) == [1, 2, 3]
-
-
-def test_compaction_folds_loads_and_touched_buckets_only(spark):
-    def newest(rows):
-        return rows.groupBy("k").agg(F.max("v").alias("v"))
-
-    t = table(spark, "fold", fold=newest, buckets=4, bucket_by=["k"])
-    t.write_load(numbers(spark, *range(40)), "first")
-    t.compact()
-    settled = t.merged()
-    assert "Exchange" not in settled._jdf.queryExecution().executedPlan().toString()
-    before = dict(t._log().base)
-    t.write_batch(spark.createDataFrame([(3, 99)], "k int, v bigint"), 0)
-    t.write_batch(spark.createDataFrame([(3, 50)], "k int, v bigint"), 1)
-    assert {r.k: r.v for r in t.merged().collect()} == {k: k for k in range(40)} | {3: 99}
-    t.compact()
-    after = dict(t._log().base)
-    assert set(after) == set(before) and sum(after[b] != before[b] for b in before) == 1
-    assert {r.k: r.v for r in t.merged().collect()} == {k: k for k in range(40)} | {3: 99}
-    assert t.rows()._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
-    with pytest.raises(ValueError, match="settled"):
-        t.write_load(numbers(spark, 1), "first")
+    ingest(spark, sinks, stream.stream_state)
+    assert states(sinks) == CURRENT | {20: "Z"}
+    assert sinks.state_rows().where("_is_deleted = 1").count() == 1
 
 
 def test_every_table_streams(spark, messages, history):
     from seed import EVENTS
 
     for name, spec in SPECS.items():
-        root = scratch_dir(spark, f"all-{name}")
-        sinks = stream.open_sinks(spark, spec, root)
+        sinks = stream.open_sinks(spark, spec, scratch_dir(spark, f"all-{name}"))
         assert sinks.history.rows().count() == 0  # nothing there yet
-        deliver(messages, root, "a", EVENTS[name], 0)
-        ingest(spark, sinks, root)
+        deliver(messages, sinks.root, "a", EVENTS[name], 0)
+        for query in stream.stream_table(inbox(spark, sinks), sinks):
+            query.awaitTermination()
         expected = history(spec, EVENTS[name])
         assert plain(sinks.history.rows().select(*expected.columns)) == plain(expected)
         state = scan_state(expected, spec)
         assert plain(sinks.current_rows()) == plain(state) == plain(scan_state(sinks.state_rows(), spec))
-        for preagg, store in sinks.preaggs.items():
-            assert plain(store.merged()) == plain(PREAGGS[preagg].build(expected))
+        for preagg in preaggs_of(spec):
+            assert plain(sinks.preagg_rows(preagg)) == plain(preagg.build(expected))
+
+
+def test_aggregates_replace_their_months(spark, messages, history, monkeypatch):
+    """One row per group after each batch; a batch that is run again changes nothing."""
+    sinks = stream.open_sinks(spark, COLLECTION_RESULT, scratch_dir(spark, "months"))
+    events = [result(i, i, "c", classification="AB"[i % 2], ptpAmount=1.5, kodeCabang=None if i % 3 else "x") for i in range(12)]
+    other = [e | {"createdTimeStamp": DAY1 + 70 * DAY_MS} for e in events[:4]]
+
+    def job(source, opened):
+        return stream.stream_preagg(source, opened, COLLECTION_DAILY)
+
+    whole, seen = stream.replace_partitions, []
+    monkeypatch.setattr(stream, "replace_partitions", lambda df, *rest: (seen.append({r[stream.PART] for r in df.select(stream.PART).collect()}), whole(df, *rest)))
+    for part, arrived in enumerate((events[:6] + other, events[6:], [])):
+        deliver(messages, sinks.root, f"p{part}", arrived, 0)
+        ingest(spark, sinks, job)
+    assert [len(m) for m in seen][:2] == [2, 1]  # the second batch leaves the other month alone
+    stored = sinks.preagg_rows(COLLECTION_DAILY)
+    expected = COLLECTION_DAILY.build(history(COLLECTION_RESULT, events + other))
+    assert plain(stored) == plain(expected)
+    assert "Exchange" not in stored._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.undo()
+
+    # The table is written, but the batch is not finished: it is run again.
+    deliver(messages, sinks.root, "again", events[:3], 0)
+
+    def dies(*args):
+        whole(*args)
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(stream, "replace_partitions", dies)
+    with pytest.raises(Exception, match="lost"):
+        ingest(spark, sinks, job)
+    monkeypatch.undo()
+    ingest(spark, sinks, job)
+    sinks.rewrite()
+    expected = COLLECTION_DAILY.build(history(COLLECTION_RESULT, events + other + events[:3]))
+    assert plain(sinks.preagg_rows(COLLECTION_DAILY)) == plain(expected)
 
 
 def test_late_calls_reach_their_minute(spark, messages):
     root = scratch_dir(spark, "late")
-    store = stream.minutes_table(spark, root)
-    calls = [change(None, 1, "c", uniqueid=str(i), calldate=DAY1 + i * 86_400_000) for i in range(3)]
+    calls = [change(None, 1, "c", uniqueid=str(i), calldate=DAY1 + i * DAY_MS) for i in range(3)]
     late = change(None, 1, "c", uniqueid="late", calldate=DAY1)
     for part, events in enumerate([calls, [late], [late]]):
         deliver(messages, root, f"p{part}", events, 0)
         source = src_changes(spark, CDR, {"format": "json", "path": f"{root}/inbox/*"})
         typed = ingest_project(decode_json_rows(source, CDR), CDR)
-        stream.stream_minutes(typed, store, f"{root}/checkpoint").awaitTermination()
-    totals = [r.total_calls for r in store.merged().orderBy("minute").collect()]
+        stream.stream_minutes(typed, root).awaitTermination()
+    totals = [r.total_calls for r in stream.minute_rows(spark, root).orderBy("minute").collect()]
     assert totals == [3, 1, 1]
 
 
+def spoil(path, month):
+    """Rubbish in place of a month's files: a query that opens them fails."""
+    files = list(Path(f"{path.removeprefix('file:')}/_month={month}").rglob("*.parquet"))
+    assert files
+    for file in files:
+        file.write_bytes(b"rubbish")
+        file.with_name(f".{file.name}.crc").unlink(missing_ok=True)
+
+
+# -- month ends ------------------------------------------------------------------
+
+
+def test_month_ends(spark, history, messages):
+    """As-of reads start from the month end before the day, take the months since and late
+    batches, and open no other folder."""
+    sinks = stream.open_sinks(spark, CUSTOMER_ID, scratch_dir(spark, "ends"))
+    month_ms = 31 * DAY_MS
+    events = [change(k % 5, m * month_ms + k, "d" if k == 3 else "u", callStatus=f"{m}-{k}") for m in range(6) for k in range(9)]
+    sinks.write_load(history(CUSTOMER_ID, events), "all")
+    deliver(messages, sinks.root, "none", [], 0)
+    ingest(spark, sinks)
+    stored = sinks.history
+    days = [dt.date.fromtimestamp((DAY1 + m * month_ms + d * DAY_MS) // 1000) for m in range(6) for d in (0, 20)]
+    expected = {d: plain(asof_state(history(CUSTOMER_ID, events), CUSTOMER_ID, d)) for d in days}
+
+    def found():
+        return {d: plain(asof_state(stored.versions_asof(d), CUSTOMER_ID, d)) for d in days}
+
+    months = sorted({int(d.strftime("%Y%m")) for d in days})
+    assert found() == expected
+    stored.keep_month_end(months[1])
+    assert found() == expected
+    stored.keep_month_end(months[3])  # from the one before
+    assert found() == expected
+
+    # Versions that arrive late, for a month before the month ends, in a batch of their own.
+    late = [change(1, month_ms + 100, callStatus="late"), change(77, 5, "c", callStatus="late key")]
+    deliver(messages, sinks.root, "late", late, 0)
+    ingest(spark, sinks)
+    expected = {d: plain(asof_state(history(CUSTOMER_ID, events + late), CUSTOMER_ID, d)) for d in days}
+    assert found() == expected
+    stored.keep_month_end(months[3])
+    stored.keep_month_end(months[1])
+    assert found() == expected
+
+    # Folders that must not be opened hold rubbish.
+    for month in months[:4]:
+        spoil(stored.path, month)
+    last = [d for d in days if int(d.strftime("%Y%m")) > months[3]]
+    assert {d: plain(asof_state(stored.versions_asof(d), CUSTOMER_ID, d)) for d in last} == {d: expected[d] for d in last}
+    assert tt.queue_asof(stored.versions_asof(last[-1]), last[-1]).count() == len(expected[last[-1]])
+    with pytest.raises(Exception):
+        stored.rows().select("id").collect()
+
+
 def test_call_without_time_is_kept(history, messages):
     events = [change(None, 1, "c", uniqueid="x", calldate=None), change(None, 1, "c", uniqueid=None, calldate=DAY1)]
     good, bad = route_bad_records(messages(events), CDR)
@@ -315,15 +402,45 @@ def test_call_without_time_is_kept(history, messages):
     assert (row.uniqueid, row.calldate) == ("x", dt.datetime(1970, 1, 1))
 
 
-def test_stand_alone_aggregate_keeps_bad_messages(spark, messages):
-    root = scratch_dir(spark, "bad")
-    preagg = PREAGGS["agg_cdr_minutely"]
-    store, quarantine = preagg.store(spark, root), stream.quarantine_table(spark, CDR, root)
-    deliver(messages, root, "a", [change(None, 1, "c", uniqueid="x", calldate=DAY1), "{broken"], 0)
-    source = src_changes(spark, CDR, {"format": "json", "path": f"{root}/inbox/*"})
-    stream.stream_preagg(source, preagg, store, quarantine, f"{root}/checkpoint").awaitTermination()
-    assert [r.total_calls for r in store.merged().collect()] == [1]
-    assert [r.value for r in quarantine.rows().collect()] == ["{broken"]
+def test_bad_messages_keep_their_context(spark, messages):
+    sinks = stream.open_sinks(spark, CDR, scratch_dir(spark, "bad"))
+    events = [change(None, 1, "c", uniqueid="x", calldate=DAY1), "{broken"]
+    placed = messages(events).selectExpr("*", "'cdc.cdr' AS topic", "3 AS partition", "seq + 40 AS offset", f"timestamp_millis({DAY1} + seq) AS time")
+    placed.coalesce(1).write.json(f"{sinks.root}/inbox/a")
+    ingest(spark, sinks)
+    ingest(spark, sinks, lambda source, opened: stream.stream_preagg(source, opened, PREAGGS["agg_cdr_minutely"]))
+    assert [r.total_calls for r in sinks.preagg_rows(PREAGGS["agg_cdr_minutely"]).collect()] == [1]
+    found = sinks.quarantine().select("value", "reason", "topic", "partition", "offset", F.unix_millis("time").alias("ms"))
+    assert rows(found) == [("{broken", "malformed", "cdc.cdr", 3, 41, DAY1 + 1)]
+    # Sources that do not tell leave it NULL.
+    bare = route_bad_records(messages(["{broken"]), CDR).bad.first()
+    assert (bare.value, bare.topic, bare.partition, bare.offset, bare.time) == ("{broken", None, None, None, None)
+
+
+def test_order_survives_new_partitions(spark, history):
+    """A key that moves to a new partition starts there with small offsets; with equal times
+    its later version still wins."""
+    def at(partition, offset, status, ts=5):
+        payload = json.dumps(change(1, ts, callStatus=status))
+        return payload, "cdc.customer", partition, offset, dt.datetime(2024, 1, 1)
+
+    schema = "value string, topic string, partition int, offset long, time timestamp"
+    arrived = [at(0, 900, "before"), at(2, 0, "after"), at(2, 1, "last"), at(0, 5000, "older", ts=4)]
+    moved = [{0: 1000, 1: 700, 2: 0}]
+
+    def newest(starts, placed=arrived):
+        numbered_ = numbered(spark.createDataFrame(placed, schema), starts)
+        return scan_state(ingest_project(decode_json_rows(numbered_, CUSTOMER_ID), CUSTOMER_ID), CUSTOMER_ID).first().call_status
+
+    assert newest(moved) == "last"
+    # back to the first partition with the next change of the topic
+    again = [*arrived, at(0, 2000, "home")]
+    assert newest([*moved, {0: 1500, 1: 1500, 2: 2, 3: 0}], again) == "home"
+    largest = numbered(spark.createDataFrame([at(8191, (1 << 43) - 1, "x")], schema), [{8191: 0}] * 127).first().seq
+    assert largest == (1 << 63) - 1
+    for bad in (at(8192, 0, "x"), at(0, 1 << 43, "x"), at(None, 0, "x")):
+        with pytest.raises(Exception, match="out of range"):
+            numbered(spark.createDataFrame([bad], schema)).collect()
 
 
 def test_hot_call_id(spark, history):
@@ -379,23 +496,25 @@ def test_back_fill_by_column_name(spark, tmp_path):
 
 
 def test_history_is_pruned_by_month(spark, messages):
-    root = scratch_dir(spark, "months")
-    sinks = stream.open_sinks(spark, CUSTOMER_ID, root)
-    deliver(messages, root, "a", [change(1, 0), change(2, 90 * 86_400_000)], 0)
-    ingest(spark, sinks, root)
+    sinks = stream.open_sinks(spark, CUSTOMER_ID, scratch_dir(spark, "pruned"))
+    deliver(messages, sinks.root, "a", [change(1, 0), change(2, 90 * DAY_MS)], 0)
+    ingest(spark, sinks)
     seen = asof_state(sinks.history.rows(), CUSTOMER_ID, DAY_TEXT)
     assert [r.id for r in seen.collect()] == [1]
-    plan = seen._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(_month" in plan
+    later = dt.datetime.fromtimestamp(DAY1 / 1000, dt.timezone.utc) + dt.timedelta(days=90)
+    spoil(sinks.history.path, int(later.strftime("%Y%m")))
+    again = asof_state(sinks.history.rows(), CUSTOMER_ID, DAY_TEXT)
+    assert [r.id for r in again.collect()] == [1]
+    with pytest.raises(Exception):
+        sinks.history.rows().select("id").collect()
 
 
 def test_filters_reach_the_files(spark, messages):
     from seed import AS_OF, EVENTS
 
-    root = scratch_dir(spark, "push")
-    sinks = stream.open_sinks(spark, CDR, root)
-    deliver(messages, root, "a", EVENTS["cdr"], 0)
-    ingest(spark, sinks, root)
+    sinks = stream.open_sinks(spark, CDR, scratch_dir(spark, "push"))
+    deliver(messages, sinks.root, "a", EVENTS["cdr"], 0)
+    ingest(spark, sinks)
     share = dist.disposition_share(sinks.history.rows(), AS_OF)
     plan = share._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(calldate,2025-02-08 00:00:00" in plan

@@ -1,5 +1,6 @@
 """Operators against brute force."""
 
+import math
 import random
 from collections import defaultdict
 
@@ -7,12 +8,13 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from changeflow.functions.scalars import rate_pct, round_half_up, stage_label
+from changeflow.functions.scalars import exact_sum, rate_pct, round_half_up, stage_label
 from changeflow.operators.funnel import window_funnel
 from changeflow.operators.preagg import CDR_MINUTELY, DISPOSITION_SUMMARY
-from changeflow.operators.quantiles import quantiles_exact
+from changeflow.operators.quantiles import quantiles_exact, quantiles_radix
 from changeflow.session import scratch_dir
-from changeflow.streaming.ingest import BatchTable, tumbling_minute
+from changeflow.sources.tables import replace_partitions, rewrite_partitions, rows_of
+from changeflow.streaming.ingest import tumbling_minute
 
 
 def funnel_level(events, window, steps):
@@ -92,35 +94,103 @@ def test_merge_is_independent_of_batches(spark, history):
     df.unpersist()
 
 
-def test_batch_table(spark):
-    def fold(df):
-        return df.groupBy("k").agg(F.sum("n").alias("n"))
-
-    table = BatchTable(spark, scratch_dir(spark, "table"), "k string, n bigint", fold=fold)
-    one = spark.createDataFrame([("a", 1), ("b", 2)], "k string, n bigint")
-    table.compact()  # nothing to do is fine
-    assert rows(table.merged()) == []
-    for batch in (0, 1, 1, 2, 3):  # batch 1 is run again
-        table.write_batch(one, batch)
-    assert sorted(rows(table.merged())) == [("a", 4), ("b", 8)]
-    table.compact()  # all but the last
-    assert table.rows().count() == 2 + 2
-    table.compact()
-    assert sorted(rows(table.merged())) == [("a", 4), ("b", 8)]
-    table.write_load(one, "history")
-    table.write_load(one, "history")
-    table.write_batch(one, 4)
-    assert sorted(rows(table.merged())) == [("a", 6), ("b", 12)]
-    table.compact()
-    assert sorted(rows(table.merged())) == [("a", 6), ("b", 12)]
-    with pytest.raises(ValueError, match="settled"):
-        table.write_batch(one, 3)
-    plain = BatchTable(spark, scratch_dir(spark, "plain"), "k string, n bigint")
-    for batch in range(4):
-        plain.write_batch(one, batch)
-        plain.compact()  # each one adds a folder; one scan reads them all
-    assert plain.rows().count() == 8
-    assert plain.rows()._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+def test_partitions_are_replaced(spark):
+    path = scratch_dir(spark, "table")
+    schema = spark.range(0).selectExpr("'' AS k", "0L AS n", "0 AS part").schema
+    assert rows(rows_of(spark, path, schema)) == []
+    rewrite_partitions(spark, path, schema, ["part"], ["k"])  # nothing to do is fine
+    one = spark.createDataFrame([("a", 1, 1), ("b", 2, 2)], schema)
+    for _ in range(2):
+        replace_partitions(one, path, ["part"])
+    assert sorted(rows(rows_of(spark, path, schema))) == [("a", 1, 1), ("b", 2, 2)]
+    replace_partitions(spark.createDataFrame([("c", 3, 2)], schema), path, ["part"])
+    assert sorted(rows(rows_of(spark, path, schema))) == [("a", 1, 1), ("c", 3, 2)]
+    replace_partitions(one.limit(0), path, ["part"])
+    # From the table itself.
+    own = rows_of(spark, path, schema)
+    replace_partitions(own.where("part = 1").unionAll(own).withColumn("n", F.col("n") + 10), path, ["part"])
+    rewrite_partitions(spark, path, schema, ["part"], ["k"])
+    assert sorted(rows(rows_of(spark, path, schema))) == [("a", 11, 1), ("a", 11, 1), ("c", 13, 2)]
+
+
+def ordered_value(v):
+    return (math.isnan(v), v) if isinstance(v, float) else (False, v)
+
+
+@pytest.mark.parametrize("kind", ["bigint", "double", "int", "float"])
+def test_radix_quantiles(spark, kind):
+    rnd = random.Random(3)
+    nan, inf = float("nan"), float("inf")
+    odd = {"bigint": [2**63 - 1, -(2**63), 0, -1, 2**48, -(2**48)], "int": [2**31 - 1, -(2**31), 0, -1], "double": [nan, inf, -inf, -0.0, 0.0, 5e-324, -5e-324, 1e300, 0.1], "float": [nan, inf, -inf, -0.0, 1.5]}[kind]
+    levels = (0.0, 0.001, 0.25, 0.5, 0.5, 0.99, 1.0)
+    for n in (1, 2, 7, 400):
+        near = [rnd.randint(-9, 9) if kind in ("bigint", "int") else rnd.randint(-99, 99) / 8 for _ in range(n)]
+        values = [rnd.choice([*odd, v, v, v]) for v in near]
+        df = spark.createDataFrame([(v,) for v in values] + [(None,)], f"`a b` {kind}").repartition(3)
+        found = quantiles_radix(df, "a b", levels).first()
+        expected = sorted((v + 0.0 if isinstance(v, float) else v for v in values), key=ordered_value)
+        assert found.n == n
+        assert [repr(v) for v in found.quantiles] == [repr(expected[min(int(p * n), n - 1)]) for p in levels]
+    assert tuple(quantiles_radix(df.where("false"), "a b", levels).first()) == (None, 0)
+    with pytest.raises(TypeError):
+        quantiles_radix(spark.sql("SELECT 'x' AS v"), "v", levels)
+
+
+def test_radix_quantiles_of_a_hot_value(spark):
+    df = spark.range(90_000).select(F.when(F.col("id") % 3 == 0, F.lit(0.25)).otherwise(F.rand(3)).alias("v"))
+    ordered = sorted(r.v for r in df.collect())
+    found = quantiles_radix(df, "v", (0.1, 0.4, 0.9)).first()
+    assert found.quantiles == [ordered[int(p * 90_000)] for p in (0.1, 0.4, 0.9)]
+
+
+def test_exact_sums(spark):
+    rnd = random.Random(4)
+    cents = [rnd.randint(-10**9, 10**13) for _ in range(3000)]
+    df = spark.createDataFrame([(c / 100,) for c in cents] + [(None,), (float("nan"),), (float("inf"),)], "x double")
+    sums = {df.repartition(k).agg(exact_sum(F.col("x")).alias("s")).first().s for k in (1, 3, 8)}
+    assert sums == {sum(cents) / 100}
+    assert spark.range(1).agg(exact_sum(F.lit(None).cast("double"))).first()[0] is None
+    with pytest.raises(Exception):
+        spark.range(1).agg(exact_sum(F.lit(1e25))).collect()
+
+
+def test_counts_of_all_tables(spark, history):
+    """One aggregation over narrow rows; ties of time go by arrival, empty tables count zero."""
+    from changeflow.operators.state import alive_counts, scan_state
+    from changeflow.specs import CDR, CUSTOMER_ID, SPECS
+
+    def change(key, ts, op):
+        return {"id": key, "uniqueid": str(key), "calldate": 0, "__op": op, "__ts_ms": ts, "__deleted": "true" if op == "d" else "false"}
+
+    events = [change(1, 1, "c"), change(1, 1, "d"), change(2, 2, "d"), change(2, 1, "c"), change(2, 3, "c"), change(3, 1, "c")]
+    tables = {"cdr": history(CDR, events), "customer_id": history(CUSTOMER_ID, events[:2])}
+    tables["user_logs"] = history(SPECS["user_logs"], [])
+    found = alive_counts(tables, SPECS)
+    assert dict(rows(found)) == {"cdr": 2, "customer_id": 0, "user_logs": 0}
+    plan = alive_counts(tables, SPECS)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window [" not in plan and "Join" not in plan and plan.count("Aggregate [") == 2
+    stored = {n: df.selectExpr("*", "_ts_ms AS _version").where("false") for n, df in tables.items()}
+    assert set(dict(rows(alive_counts(stored, SPECS))).values()) == {0}
+    assert scan_state(tables["cdr"], CDR).count() == 2
+
+
+def test_funnel_folds_only_candidates(spark):
+    """A version outside the days that is not followed by one inside never reaches the fold."""
+    from seed import AS_OF, EVENTS
+
+    from changeflow.plans import funnel
+    from changeflow.sources.decode import decode_json_rows, ingest_project
+    from changeflow.specs import CDR, COLLECTION_RESULT, COLLECTION_TASK, CUSTOMER_ID
+
+    import json
+
+    parts = []
+    for spec in (COLLECTION_TASK, CDR, COLLECTION_RESULT, CUSTOMER_ID):
+        texts = [(json.dumps(e), k) for k, e in enumerate(EVENTS[spec.name]) if isinstance(e, dict)]
+        messages = spark.createDataFrame(texts, "value string, seq bigint")
+        parts.append(ingest_project(decode_json_rows(messages, spec), spec))
+    events = funnel.union_events(*parts, as_of=AS_OF)
+    assert events._jdf.queryExecution().optimizedPlan().toString().count("Join LeftSemi") == 4
 
 
 def test_rounding(spark):
