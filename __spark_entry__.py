@@ -297,6 +297,27 @@ def _stored(spark: SparkSession, sf: str, spec: TableSpec, day: str) -> History:
     return _STORED[key]
 
 
+#: States that this session has stored, by application, tables and name.
+_STATES: dict[tuple[str, str, str], stream.Sinks] = {}
+
+
+def _state_of(spark: SparkSession, sf: str, spec: TableSpec) -> DataFrame:
+    """Newest versions as the state job keeps them.  Kept once a session; queries then read
+    the state store and fold nothing."""
+    key = (spark.sparkContext.applicationId, sf, spec.name)
+    if key not in _STATES:
+        sinks = stream.open_sinks(spark, spec, scratch_dir(spark, f"state-{spec.name}"))
+        sinks.write_load(_history(spark, sf, spec), "all")
+        make_folder(spark, f"{sinks.root}/inbox/none")
+        stream.stream_state(_stream_of(spark, spec, f"{sinks.root}/inbox"), sinks).awaitTermination()
+        _STATES[key] = sinks
+    return _STATES[key].state_rows()
+
+
+def _on_stored(spec: TableSpec, body: Callable[[DataFrame], DataFrame]) -> Query:
+    return lambda spark, sf: body(_state_of(spark, sf, spec))
+
+
 # -- streaming ----------------------------------------------------------------
 
 
@@ -596,7 +617,9 @@ def _registry() -> dict[str, Query]:
     for name, p in pre.PREAGGS.items():
         q[name] = _on_partials(p, lambda part: part)
         q[f"{name}_state"] = _on_partials(p, lambda part: part, mode="state")
-    q["partial_sum"] = _on_partials(pre.AGENT_DAILY, lambda part: part)
+    q["partial_sum"] = _on_partials(
+        pre.AGENT_DAILY, lambda part: part.select(*pre.AGENT_DAILY.dim_names, "tasks_assigned", "talk_time_seconds")
+    )
     q["partial_count"] = _on_partials(
         pre.COLLECTION_DAILY, lambda part: part.select(*pre.COLLECTION_DAILY.dim_names, "count")
     )
@@ -686,6 +709,16 @@ def _registry() -> dict[str, Query]:
     q["stored_row_counts"] = lambda s, sf: tt.stored_row_counts(_histories(s, sf))
     q["history_row_counts"] = lambda s, sf: tt.history_row_counts(_histories(s, sf))
 
+    # The same questions to stored state: nothing is rebuilt from a history.
+    q["stored_agent_status"] = _on_stored(AGENT_LOGIN_STATUS, tt.agent_status_now)
+    q["stored_queue_status"] = _on_stored(CUSTOMER_ID, tt.queue_status_now)
+    q["stored_aging_by_branch"] = _on_stored(COLLECTION_TASK, dist.aging_by_branch)
+    q["stored_disposition_share"] = _on_stored(CDR, lambda h: dist.disposition_share(h, AS_OF_EVENTS))
+    q["stored_ptp_by_agent"] = _on_stored(COLLECTION_RESULT, lambda h: dist.ptp_by_agent(h, AS_OF_EVENTS))
+    q["stored_v_cdr"] = lambda s, sf: views.v_cdr(
+        _state_of(s, sf, CDR), _state_of(s, sf, COLLECTION_RESULT), "literal"
+    )
+
     # 2.13 end-user queries
     q["live_minutes"] = _on_partials(
         pre.CDR_MINUTELY, lambda part: srv.live_minutes(part, AS_OF_EVENTS)

@@ -604,7 +604,9 @@ FROM collection_task GROUP BY status""",
     for name in _PREAGG:
         sql[name] = _on(name, f"SELECT * FROM {name}")
         sql[f"{name}_state"] = _on(name, f"SELECT * FROM {name}", mode="state")
-    sql["partial_sum"] = _on("agg_agent_daily", "SELECT * FROM agg_agent_daily")
+    sql["partial_sum"] = _on(
+        "agg_agent_daily", "SELECT work_date, agent_username, branch_code, tasks_assigned, talk_time_seconds FROM agg_agent_daily"
+    )
     sql["partial_count"] = _on("agg_collection_daily", "SELECT event_date, classification, branch_code, count FROM agg_collection_daily")
     sql["partial_count_if"] = _on("agg_cdr_minutely", "SELECT minute, branch_code, answered_calls FROM agg_cdr_minutely")
     sql["partial_avg"] = _on(
@@ -726,4 +728,8 @@ ORDER BY work_date DESC, talk_sec DESC, agent_username, branch_code LIMIT 100)""
         f"SELECT {_QUEUE_COLS} FROM (SELECT * FROM customer_id_asof ORDER BY priority, overdue DESC, id LIMIT 1000)",
         _asof("customer_id"),
     )
+    for name in ("agent_status", "queue_status"):
+        sql[f"stored_{name}"] = sql[f"{name}_now"]
+    for name in ("aging_by_branch", "disposition_share", "ptp_by_agent", "v_cdr"):
+        sql[f"stored_{name}"] = sql[name]
     return sql
