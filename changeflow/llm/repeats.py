@@ -26,8 +26,8 @@ from changeflow.llm.neighbours import _bounds, _grouped
 
 LEAST = 200
 GRAM = 48
-#: Different neighbourhoods of one anchor that share a suffix array; windows of anchors with
-#: more are counted one by one instead, which is exact for any number.
+#: Different neighbourhoods of one anchor that share a suffix array; those of anchors with more
+#: are compared by halves, which is exact for any number.
 TOGETHER = 1024
 #: Bytes in one suffix array.
 ARRAY_BYTES = 1 << 20
@@ -63,19 +63,28 @@ def _window_min(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(back[: n - width + 1], forth[width - 1 : n])
 
 
-def neighbourhoods(data: np.ndarray, least: int = LEAST) -> tuple[np.ndarray, ...]:
-    """``first, last`` window of each neighbourhood and the hash of its anchor."""
-    # At most 256 windows share an anchor, so that a place needs one byte for how many.
-    gram = min(max(GRAM, least - 255), least)
+def _gram(least: int) -> int:
+    """Bytes of an anchor.  At most 256 windows share one, so that a place needs one byte for
+    how many."""
+    return min(max(GRAM, least - 255), least)
+
+
+def _gram_hashes(data: np.ndarray, gram: int) -> np.ndarray:
+    """Of data[a:b] it is (sums[b] - sums[a]) / base**a, modulo 2**64."""
     n = len(data)
-    if n < least:
-        none = np.zeros(0, dtype=np.int64)
-        return none, none, none
-    # Hash of data[a:b] is (sums[b] - sums[a]) / base**a, modulo 2**64.
     sums = np.zeros(n + 1, dtype=np.uint64)
     np.cumsum(_byte_values()[data] * _powers(_MULTIPLIER, n), out=sums[1:])
     inverse = _powers(pow(_MULTIPLIER, -1, 2**64), n)
-    grams = _mixed((sums[gram:] - sums[:-gram]) * inverse[: n - gram + 1])
+    return _mixed((sums[gram:] - sums[:-gram]) * inverse[: n - gram + 1])
+
+
+def neighbourhoods(data: np.ndarray, least: int = LEAST) -> tuple[np.ndarray, ...]:
+    """``first, last`` window of each neighbourhood and the hash of its anchor."""
+    gram = _gram(least)
+    if len(data) < least:
+        none = np.zeros(0, dtype=np.int64)
+        return none, none, none
+    grams = _gram_hashes(data, gram)
     least_of = _window_min(grams, least - gram + 1)
     # A new anchor: another value, or the old one has just left the window.
     new = np.empty(len(least_of), dtype=bool)
@@ -370,35 +379,86 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lea
     found = equal.unionByName(narrow.mapInArrow(scanned, span_schema))
     if mixed.where("crowded").isEmpty():
         return found
+    return found.unionByName(_crowded(segments.where("crowded").drop("crowded"), least, span_schema))
+
+
+_ITEM = _long("doc", "h", "anchor", "low", "high", "base")
+
+
+def _placed(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
+    """The windows of each segment by the leftmost anchor in them: ``low`` to ``high`` bytes
+    before ``anchor``, which is a place in the text like ``base``, where ``bytes`` begin."""
+    gram = _gram(least)
+    for batch in batches:
+        rows = []
+        columns = (batch.column(c).to_pylist() for c in ("doc", "h", "lo", "bytes"))
+        for doc, h, lo, data in zip(*columns, strict=True):
+            at = np.flatnonzero(_gram_hashes(np.frombuffer(data, dtype=np.uint8), gram).view(np.int64) == h)
+            first, last = np.maximum(at - (least - gram), 0), np.minimum(at, len(data) - least)
+            first[1:] = np.maximum(first[1:], at[:-1] + 1)
+            for p, i, j in zip(at.tolist(), first.tolist(), last.tolist(), strict=True):
+                if i <= j:
+                    rows.append((doc, h, lo + p, p - j, p - i, lo, data))
+        if rows:
+            *numbers, data = zip(*rows, strict=True)
+            yield pa.RecordBatch.from_arrays(
+                [*(pa.array(c, pa.int64()) for c in numbers), pa.array(data, pa.binary())], names=[*_ITEM.names, "bytes"]
+            )
+
+
+def _crowded(segments: DataFrame, least: int, schema: T.StructType) -> DataFrame:
+    """Repeats among any number of neighbourhoods of one anchor, as rows of ``schema``.
 
-    window_schema = _long("doc", "h", "u", "v", "start")
+    The windows of a neighbourhood differ in how many bytes they have before the anchor.  That range
+    is halved step by step.  All windows of a part share the bytes in their middle: where these
+    occur once, no window of the part repeats, and it is dropped.  Where a part has an
+    equal as a whole, all its windows repeat: it is a result, and one of the equals goes on as
+    a partner for others.  So what goes on are the parts around the ends of repeats.
+    """
+    columns = [*_ITEM.fields, T.StructField("bytes", T.BinaryType())]
+    placed = segments.mapInArrow(lambda batches: _placed(batches, least), T.StructType(columns))
+    top = least - _gram(least)
+    parts = placed.select("*", F.lit(True).alias("asks"), F.lit(0).cast("long").alias("r"), F.lit(top).cast("long").alias("s"))
+    marked = T.StructType([*parts.schema.fields, *_long("cu", "cv", "u", "v").fields])
 
-    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns = (batch.column(c).to_pylist() for c in ("doc", "bytes", "lo", "h"))
-            parts = [
-                (key, own, digests(data, np.arange(n), np.arange(n) + least), lo + np.arange(n))
-                for key, data, lo, own in zip(*columns, strict=True)
-                for n in (len(data) - least + 1,)
-            ]
-            if not parts:
-                continue
-            sizes = [len(p[3]) for p in parts]
-            uv = np.concatenate([p[2] for p in parts])
-            out = [
-                np.repeat([p[0] for p in parts], sizes), np.repeat([p[1] for p in parts], sizes),
-                uv[:, 0], uv[:, 1], np.concatenate([p[3] for p in parts]),
-            ]
-            yield pa.RecordBatch.from_arrays([pa.array(c, type=pa.int64()) for c in out], names=window_schema.fieldNames())
-
-    single = settled(segments.where("crowded").mapInArrow(windows, window_schema), "windows")
-    often = settled(single.groupBy("h", "u", "v").count().where("count > 1").drop("count"), "often")
-    return found.unionByName(
-        single.join(often, ["h", "u", "v"]).select(
-            F.xxhash64("h", "u", "v").alias("group"), nobody.alias("parent"), "doc", "start",
-            F.lit(least).cast("long").alias("length"),
+            at = {c: batch.column(c).to_numpy() for c in ("anchor", "base", "low", "high", "r", "s")}
+            place = at["anchor"] - at["base"]
+            ranges = np.stack([place - at["r"], place - at["s"] + least, place - at["high"], place - at["low"] + least], axis=1)
+            new, found = hashlib.blake2b, []
+            for data, (a, b, c, d) in zip(batch.column("bytes"), ranges.tolist(), strict=True):
+                whole = memoryview(data.as_buffer())
+                found.append(new(whole[a:b], digest_size=16).digest() + new(whole[c:d], digest_size=16).digest())
+            four = np.frombuffer(b"".join(found), dtype="<i8").reshape(-1, 4)
+            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(four[:, k]) for k in range(4))], names=marked.names)
+
+    out = None
+    while True:
+        here = settled(parts.mapInArrow(digested, marked), "parts")
+        core, span = ["h", "r", "cu", "cv"], ["h", "r", "low", "high", "u", "v"]
+        often = here.groupBy(*core).agg(F.count("*").alias("n")).where("n > 1").drop("n")
+        alive = settled(here.join(often, core, "left_semi"), "alive")
+        equal = settled(
+            alive.groupBy(*span).agg(F.count("*").alias("n"), F.min(F.struct("doc", "anchor")).alias("one")).where("n > 1"), "equal"
         )
-    )
+        results = alive.where("asks").join(equal.select(*span), span, "left_semi").select(
+            F.xxhash64("h", "u", "v").alias("group"), F.lit(None).cast("long").alias("parent"), "doc",
+            (F.col("anchor") - F.col("high")).alias("start"), (F.col("high") - F.col("low") + least).alias("length"),
+        )
+        out = results if out is None else out.unionByName(results)
+        if here.where("r < s").isEmpty():
+            return out.select(*schema.names)
+        with_equal = alive.join(equal.select(*span, "one"), span, "left")
+        on = with_equal.where("one IS NULL OR one = struct(doc, anchor)").withColumn("asks", F.col("asks") & F.col("one").isNull())
+        middle = F.floor((F.col("r") + F.col("s")) / 2)
+        halves = F.array(F.struct(F.col("r"), middle.alias("s")), F.struct((middle + 1).alias("r"), F.col("s")))
+        split = on.where("r < s").withColumn("half", F.explode(halves))
+        clipped = split.select(
+            "doc", "h", "anchor", F.greatest("low", "half.r").alias("low"), F.least("high", "half.s").alias("high"), "base", "bytes",
+            "asks", F.col("half.r").alias("r"), F.col("half.s").alias("s"),
+        )
+        parts = clipped.where("low <= high")
 
 
 def all_occurrences(found: DataFrame) -> DataFrame:
