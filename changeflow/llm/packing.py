@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
 from changeflow.llm.bpe import _bytes_of_signs, remembered
-from changeflow.llm.common import settled, shuffle_width
+from changeflow.llm.common import handed_back, settled, shuffle_width
 from changeflow.llm.pretokens import chunked, cut_blanks, gathered
 
 CAPACITY = 4096
@@ -116,7 +116,7 @@ def pieces(
                 columns.append(pa.array(kept, type=pa.list_(pa.int32())))
             yield pa.RecordBatch.from_arrays(columns, names=schema.fieldNames())
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(handed_back(run), schema)
 
 
 # -- the plan ------------------------------------------------------------------------

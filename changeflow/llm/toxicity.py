@@ -74,14 +74,17 @@ _TERMS = T.StructType([T.StructField("ids", T.ArrayType(T.IntegerType())), T.Str
 
 
 def _term_counts(text: Column, vocabulary: list[str]) -> Column:
-    position = {t: k for k, t in enumerate(vocabulary)}
-    known = Remembered()
+    kind = pa.list_(pa.int32())
 
     @F.arrow_udf(_TERMS)
-    def counted(texts: pa.Array) -> pa.Array:
-        ids, counts = _counted(texts.to_pylist(), position, known)
-        kind = pa.list_(pa.int32())
-        return pa.StructArray.from_arrays([pa.array(ids, type=kind), pa.array(counts, type=kind)], ["ids", "counts"])
+    def counted(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        def of(found: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            position, known = {t: k for k, t in enumerate(vocabulary)}, Remembered()
+            for texts in found:
+                ids, counts = _counted(texts.to_pylist(), position, known)
+                yield pa.StructArray.from_arrays([pa.array(ids, type=kind), pa.array(counts, type=kind)], ["ids", "counts"])
+
+        yield from handed_back(of)(batches)
 
     return counted(text)
 
