@@ -11,9 +11,21 @@ from changeflow.llm import exact, packing, pii, simhash, toxicity
 from changeflow.llm.common import settled, ship, table
 
 
+#: Rows in a batch for Python workers: whole texts are large, and two workers share an
+#: executor's memory.
+BATCH_ROWS = 1000
+
+
+def _ready(spark: SparkSession) -> None:
+    ship(spark)
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, BATCH_ROWS)
+
+
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score below 0.5; the labels of the held-out fifth are not learned."""
-    ship(spark)
+    _ready(spark)
     labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
     scored = toxicity.toxicity(docs, labels, ~toxicity.held_out(F.col("id")), carry=True, with_evidence=False)
     return scored.where("predicted = 0").select("row.*")
@@ -21,26 +33,26 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of equal texts, the one with the smallest doc_id."""
-    ship(spark)
+    _ready(spark)
     return exact.exact_dedup(docs)
 
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of near copies, the one with the smallest doc_id: five-word
     shingles, similarity of 0.8 or more."""
-    ship(spark)
+    _ready(spark)
     return simhash.near_dedup(docs, words_in_shingle=5, similarity=0.8)
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All rows, with personal data replaced by its kind; n_chars follows."""
-    ship(spark)
+    _ready(spark)
     return pii.redact_pii(docs)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces of all rows, placed in sequences of 4096."""
-    ship(spark)
+    _ready(spark)
     placed = packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), with_ids=False)
     return placed.withColumnRenamed("id", "doc_id")
 
