@@ -719,6 +719,11 @@ def _registry() -> dict[str, Query]:
         _state_of(s, sf, CDR), _state_of(s, sf, COLLECTION_RESULT), "literal"
     )
 
+    q["stored_collection_funnel"] = lambda s, sf: fun.collection_funnel(
+        *(_stored(s, sf, spec, QUEUE_DAY).rows() for spec in (COLLECTION_TASK, CDR, COLLECTION_RESULT, CUSTOMER_ID)),
+        as_of=AS_OF_EVENTS,
+    )
+
     # 2.13 end-user queries
     q["live_minutes"] = _on_partials(
         pre.CDR_MINUTELY, lambda part: srv.live_minutes(part, AS_OF_EVENTS)
@@ -753,7 +758,8 @@ def _registry() -> dict[str, Query]:
     q["top_agents"] = _on_partials(
         pre.AGENT_DAILY, lambda part: srv.top_agents(part, AS_OF_ORDERS)
     )
-    q["queue_asof"] = lambda s, sf: tt.queue_asof(
+    q["queue_asof"] = _on(CUSTOMER_ID, lambda h: tt.queue_asof(h, QUEUE_DAY))
+    q["stored_queue_asof"] = lambda s, sf: tt.queue_asof(
         _stored(s, sf, CUSTOMER_ID, QUEUE_DAY).versions_asof(QUEUE_DAY), QUEUE_DAY
     )
     q["queue_asof_versions"] = _on(

@@ -8,9 +8,11 @@ through unchanged.
 from __future__ import annotations
 
 import datetime as dt
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.scalars import asof_cut, month_key
 from ..session import require_utc
@@ -65,26 +67,25 @@ def lookup_state(history: DataFrame, spec: TableSpec, where: Column) -> DataFram
     return scan_state(history.join(keys, list(spec.key), "left_semi"), spec).where(where)
 
 
+#: Digits of an arrival number.
+_SEQ_RANGE = Decimal(10**19)
+
+
 def alive_counts(histories: dict[str, DataFrame], specs: dict[str, TableSpec]) -> DataFrame:
-    """Current rows per table, all tables in one pass: ``t, n``.
+    """Current rows per table: ``t, n``.
 
-    Every version becomes its table, key, place and delete marker, no more, and one
-    aggregation tells the newest marker of each key.  Its map side keeps one row per key.
+    Time, arrival and delete marker of a version are one number, so the greatest of each key
+    is a hash aggregate with a map side, and nothing is sorted or ranked.
     """
-    def narrow(name: str, rows: DataFrame) -> DataFrame:
-        spec = specs[name]
-        key = F.array(*(F.col(c).cast("string") for c in spec.key))
-        place = F.struct("_ts_ms", "_seq") if "_ts_ms" in rows.columns else F.struct(F.col("_version").alias("_ts_ms"), F.lit(0).cast("long").alias("_seq"))
-        return rows.select(F.lit(name).alias("t"), key.alias("key"), place.alias("place"), "_is_deleted")
-
-    parts = [narrow(name, rows) for name, rows in histories.items()]
-    # A row without place for each table, so that empty ones are counted too.
-    kinds = {f.name: f.dataType for f in parts[0].schema.fields}
-    names = parts[0].sparkSession.createDataFrame([(n,) for n in histories], "t string")
-    nothing = (F.lit(None).cast(kinds[c]).alias(c) for c in ("key", "place", "_is_deleted"))
-    versions = union_all([*parts, names.select("t", *nothing)])
-    newest = versions.groupBy("t", "key").agg(F.max_by("_is_deleted", "place").alias("gone"))
-    return newest.groupBy("t").agg(F.count_if(F.col("gone") == 0).alias("n"))
+    def counted(name: str, rows: DataFrame) -> DataFrame:
+        time, seq = ("_version", F.lit(0)) if "_version" in rows.columns else ("_ts_ms", F.col("_seq"))
+        wide = T.DecimalType(38, 0)
+        place = F.col(time).cast("decimal(18,0)").cast(wide) * F.lit(_SEQ_RANGE) + seq.cast("decimal(19,0)")
+        last = F.max((place * F.lit(2) + F.col("_is_deleted")).cast(wide)).alias("last")
+        newest = rows.groupBy(*specs[name].key).agg(last)
+        return newest.agg(F.count_if(F.col("last") % 2 == 0).alias("n")).select(F.lit(name).alias("t"), "n")
+
+    return union_all([counted(name, rows) for name, rows in histories.items()])
 
 
 def before_cut(history: DataFrame, day: dt.date | str) -> DataFrame:

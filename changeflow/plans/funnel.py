@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import AsOf, rate_pct, recent, recent_day, stage_label
 from ..operators.funnel import window_funnel
 from ..operators.sets import total, union_all
-from ..operators.state import lookup_state
-from ..specs import CDR, COLLECTION_RESULT, COLLECTION_TASK, CUSTOMER_ID
+from ..operators.state import lookup_state, scan_state
+from ..specs import CDR, COLLECTION_RESULT, COLLECTION_TASK, CUSTOMER_ID, TableSpec
 
 WINDOW_SECONDS = 7 * 86_400
 STEPS = 5
@@ -24,22 +24,28 @@ def union_events(
     Calls without contract number are left out; the other steps keep ''.
     A payment counts at midnight of its day.
 
-    A current row inside the 7 days has a version inside them, so only keys with such a
-    version are folded; the others are left out before the shuffle.
+    A current row inside the 7 days has a version inside them, so of a stored history only keys
+    with such a version are folded; the others are left out before the shuffle.  A history
+    that is computed would be computed twice for that, and is folded as it is.
     """
 
+    def current(history: DataFrame, spec: TableSpec, where: Column) -> DataFrame:
+        if "_month" in history.columns:
+            return lookup_state(history, spec, where)
+        return scan_state(history, spec).where(where)
+
     def step(df: DataFrame, key: str, ts, number) -> DataFrame:
         return df.select(F.col(key).alias("no_kontrak"), ts.alias("ts"), number.alias("step"))
 
     created = F.col("created_ts")
     task_steps = step(
-        lookup_state(tasks, COLLECTION_TASK, recent("created_ts", as_of, 7, "DAY")),
+        current(tasks, COLLECTION_TASK, recent("created_ts", as_of, 7, "DAY")),
         "no_kontrak",
         created,
         F.lit(1),
     )
     call_steps = step(
-        lookup_state(
+        current(
             calls, CDR, recent("calldate", as_of, 7, "DAY") & (F.col("contract_no") != "")
         ),
         "contract_no",
@@ -51,7 +57,7 @@ def union_events(
         ),
     )
     promise_steps = step(
-        lookup_state(
+        current(
             results,
             COLLECTION_RESULT,
             (F.col("classification") == "PTP") & recent("created_ts", as_of, 7, "DAY"),
@@ -61,7 +67,7 @@ def union_events(
         F.lit(4),
     )
     paid_steps = step(
-        lookup_state(
+        current(
             queue, CUSTOMER_ID, (F.col("is_paid") == 1) & recent_day("payment_date", as_of, 7)
         ),
         "no_kontrak",

@@ -730,6 +730,6 @@ ORDER BY work_date DESC, talk_sec DESC, agent_username, branch_code LIMIT 100)""
     )
     for name in ("agent_status", "queue_status"):
         sql[f"stored_{name}"] = sql[f"{name}_now"]
-    for name in ("aging_by_branch", "disposition_share", "ptp_by_agent", "v_cdr"):
+    for name in ("aging_by_branch", "disposition_share", "ptp_by_agent", "v_cdr", "queue_asof", "collection_funnel"):
         sql[f"stored_{name}"] = sql[name]
     return sql
