@@ -7,9 +7,8 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.preagg import PREAGGS
 from ..operators.sets import union_counts
-from ..operators.state import alive_counts, arg_max, asof_state, before_cut, latest_per_key, lookup_state
+from ..operators.state import alive_counts, arg_max, asof_state, before_cut, lookup_state
 from ..specs import CDR, CUSTOMER_ID, SPECS
 from .views import v_agent_login_status, v_customer_queue
 
@@ -95,15 +94,6 @@ def history_row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     return union_counts(tables)
 
 
-def stored_row_counts(histories: dict[str, DataFrame]) -> DataFrame:
-    """Rows of every stored table: histories, states (delete markers included) and
-    aggregates."""
-    tables = {f"{name}_history": df for name, df in histories.items()}
-    tables |= {f"{name}_state": latest_per_key(df, SPECS[name]) for name, df in histories.items()}
-    tables |= {p.name: p.build(histories[p.table.name]) for p in PREAGGS.values()}
-    return union_counts(tables)
-
-
 def version_counts(history: DataFrame) -> DataFrame:
     """Versions per call and whether it is still there: deleted rows leave the state and
     keep their versions in the history."""
