@@ -301,7 +301,8 @@ def near_dedup(
     one with the smallest id.
 
     Near copies have shingle sets of this Jaccard similarity or more, found by their wide
-    fingerprints; groups are connected by such pairs.  NULL and empty texts are copies of
+    fingerprints, which about ``MISSED`` of the pairs at the similarity may escape (more of
+    texts with few shingles); groups are connected by such pairs.  NULL and empty texts are copies of
     each other.  A group without ids keeps one row.
     """
     rows = whole_rows(docs, id=F.col(f"`{id_col}`"), text=F.col(f"`{text_col}`").cast("string"))
