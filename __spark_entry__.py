@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Callable
+from decimal import Decimal
 from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
@@ -493,8 +494,17 @@ def _price_quantiles(orders: DataFrame) -> DataFrame:
 
 
 def _key_quantiles(orders: DataFrame) -> DataFrame:
-    """The same of a 64-bit integer that spreads over all of its range."""
-    spread = orders.select((F.col("o_orderkey") * F.lit(7_000_000_000_003) - F.lit(1 << 50)).alias("wide"))
+    """The same of a 64-bit integer that spreads over all of its range.
+
+    Keys beyond 1.3 million pass that range: the numbers are then exact decimals, as long as they
+    have to be, and the quantiles too.
+    """
+    key = F.col("o_orderkey").cast("decimal(19,0)")
+    wide = key * F.lit(Decimal(7_000_000_000_003)) - F.lit(Decimal(1 << 50))
+    ends = [int(v) for v in orders.agg(F.min(wide), F.max(wide)).first() if v is not None]
+    fits = all(-(1 << 63) <= v < 1 << 63 for v in ends)
+    digits = max((len(str(abs(v))) for v in ends), default=1)
+    spread = orders.select(wide.cast("long" if fits else f"decimal({digits},0)").alias("wide"))
     found = quantiles_radix(spread, "wide", PRICE_LEVELS)
     return found.select(*(F.col("quantiles")[i].alias(f"q{i}") for i in range(len(PRICE_LEVELS))), "n")
 

@@ -3,6 +3,7 @@
 import math
 import random
 from collections import defaultdict
+from decimal import Decimal
 
 import pytest
 from conftest import rows
@@ -210,3 +211,32 @@ def test_rounding(spark):
 def test_stage_label(spark):
     found = [r[0] for r in spark.range(0, 7).select(stage_label(F.col("id").cast("int"))).collect()]
     assert found == ["Start", "Task Created", "Called", "Answered", "PTP", "Paid", None]
+
+
+@pytest.mark.parametrize("digits", [1, 20, 36])
+def test_radix_quantiles_of_decimals(spark, digits):
+    rnd = random.Random(5)
+    end = 10**digits - 1
+    levels = (0.0, 0.001, 0.25, 0.5, 0.5, 0.99, 1.0)
+    for n in (1, 300):
+        values = [rnd.choice([end, -end, 0, -1, end // 3, rnd.randint(-end, end)]) for _ in range(n)]
+        df = spark.createDataFrame([(Decimal(v),) for v in values] + [(None,)], f"v decimal({digits},0)").repartition(3)
+        found = quantiles_radix(df, "v", levels).first()
+        ordered = sorted(values)
+        assert found.n == n
+        assert [int(v) for v in found.quantiles] == [ordered[min(int(p * n), n - 1)] for p in levels]
+    assert tuple(quantiles_radix(df.where("false"), "v", levels).first()) == (None, 0)
+    with pytest.raises(TypeError):
+        quantiles_radix(spark.sql("SELECT 1.5 AS v"), "v", levels)
+
+
+def test_key_quantiles_beyond_64_bits(spark, tmp_path):
+    """The query's numbers pass a long at keys of 1.3 million, as at 60 times sf0.1."""
+    import __spark_entry__ as registered
+
+    for keys in (range(1, 900), range(1, 9_000_000, 10_007), [2**63 - 1, 5], []):
+        spark.createDataFrame([(k,) for k in keys], "o_orderkey bigint").write.mode("overwrite").parquet(f"{tmp_path}/orders.parquet")
+        found = registered.queries()["quantiles_radix_key"](spark, str(tmp_path)).first()
+        wide, n = sorted(k * 7_000_000_000_003 - (1 << 50) for k in keys), len(keys)
+        expected = [wide[min(int(p * n), n - 1)] if n else None for p in registered.PRICE_LEVELS]
+        assert list(found) == [*expected, n]
