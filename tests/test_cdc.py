@@ -519,3 +519,16 @@ def test_filters_reach_the_files(spark, messages):
     plan = share._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(calldate,2025-02-08 00:00:00" in plan
     assert "billsec" not in plan and "WindowGroupLimit" in plan
+
+
+def test_partial_sum_has_all_sums(spark, tmp_path):
+    """Every sum that the aggregate keeps, as the aggregate's own query has them."""
+    import __spark_entry__ as registered
+    from changeflow.operators.preagg import AGENT_DAILY
+
+    lines = "1L AS l_orderkey, 2L AS l_partkey, 3L AS l_suppkey, 1 AS l_linenumber, 10.0D AS l_quantity, 500.0D AS l_extendedprice"
+    row = spark.sql(f"SELECT {lines}, 'R' AS l_returnflag, 'F' AS l_linestatus, timestamp_ntz'1995-03-04 00:00:00' AS l_shipdate")
+    row.write.parquet(f"{tmp_path}/lineitem.parquet")
+    found = registered.queries()["partial_sum"](spark, str(tmp_path))
+    assert found.columns == AGENT_DAILY.schema().names
+    assert rows(found.select("tasks_assigned", "calls_made", "calls_answered", "ptp_achieved", "talk_time_seconds", "ptp_amount")) == [(10, 9, 5, 2, 5, 0.0)]
