@@ -112,7 +112,8 @@ class History:
         """
         covered = published(self.spark, self.checkpoints)
         newest = latest_per_key(self._versions(month), self.spec)
-        replace_partitions(newest.withColumn("_month", F.lit(month)), self._ends, ["_month"], self.spec.key)
+        # Folding has shuffled them by key; they are not shuffled again for the one partition.
+        replace_partitions(newest.withColumn("_month", F.lit(month)), self._ends, ["_month"], self.spec.key, spread=False)
         cover = self.spark.createDataFrame([(r, b, month) for r, b in covered], COVER)
         replace_partitions(cover, self._covers, ["_month"])
 

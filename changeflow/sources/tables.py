@@ -26,15 +26,16 @@ def make_folder(spark: SparkSession, path: str) -> None:
     fs.mkdirs(found)
 
 
-def replace_partitions(rows: DataFrame, path: str, partition_by: Sequence[str], sort_by: Sequence[str] = ()) -> None:
+def replace_partitions(rows: DataFrame, path: str, partition_by: Sequence[str], sort_by: Sequence[str] = (), spread: bool = True) -> None:
     """Write ``rows`` in place of what the partitions they fall into hold; others stay.
 
     Spark writes aside and moves each partition when the job commits, so ``rows`` may come
     from the table itself, a failed job changes nothing, and the same job again leaves the same rows.
     Rebalancing gives few files: a partition value with most of the rows is split over
-    several tasks and small ones are packed together.
+    several tasks and small ones are packed together.  It shuffles all rows once more; without
+    ``spread`` they are written as they lie, for rows of one partition fresh from a shuffle.
     """
-    out = rows.hint("rebalance", *partition_by)
+    out = rows.hint("rebalance", *partition_by) if spread else rows
     if sort_by:
         out = out.sortWithinPartitions(*partition_by, *sort_by)
     writer = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -44,7 +45,8 @@ def replace_partitions(rows: DataFrame, path: str, partition_by: Sequence[str],
 def rows_of(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """The table's rows, ``schema`` with its partition columns; none before the first write."""
     if not exists(spark, path):
-        return spark.createDataFrame([], schema)
+        # Of no Python rows, for which every core would start a worker.
+        return spark.range(0).select(*(F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields))
     return spark.read.schema(schema).parquet(path).select(*schema.names)
 
 

@@ -532,3 +532,19 @@ def test_partial_sum_has_all_sums(spark, tmp_path):
     found = registered.queries()["partial_sum"](spark, str(tmp_path))
     assert found.columns == AGENT_DAILY.schema().names
     assert rows(found.select("tasks_assigned", "calls_made", "calls_answered", "ptp_achieved", "talk_time_seconds", "ptp_amount")) == [(10, 9, 5, 2, 5, 0.0)]
+
+
+def test_month_ends_are_shuffled_by_key_alone(spark, history, monkeypatch, tmp_path):
+    from changeflow.sources.history import History
+    from changeflow.specs import CUSTOMER_ID
+
+    hints = []
+    kind = type(spark.range(1))
+    hint = kind.hint
+    monkeypatch.setattr(kind, "hint", lambda df, name, *a: (hints.append(a), hint(df, name, *a))[1])
+    table = History(spark, CUSTOMER_ID, str(tmp_path))
+    table.append(history(CUSTOMER_ID, []), "run", 0)
+    assert hints == [("_month", "_run", "_batch")]
+    table.keep_month_end(202401)
+    # what it covers, a row for each run, is all that is spread
+    assert hints[1:] == [("_month",)]
