@@ -279,63 +279,84 @@ def _append_history_stream(spark: SparkSession, sf: str) -> DataFrame:
     return sinks.history.rows().select(*CDR.history_schema().names)
 
 
-#: Histories that this session has stored, with month ends: by application, tables and name.
-_STORED: dict[tuple[str, str, str], History] = {}
+#: Tables that this session has filled, by application, tables and name.
+_FILLED: dict[tuple[str, str, str], stream.Sinks] = {}
+#: What has run on them: jobs by name, month ends by month.
+_DONE: set[tuple[tuple[str, str, str], str | int]] = set()
 
 
-def _stored(spark: SparkSession, sf: str, spec: TableSpec, day: str) -> History:
-    """The history as the ingest job stores it, with a month end a year and one a month before
-    ``day``.  Stored once a session; queries then read the tables."""
-    key = (spark.sparkContext.applicationId, sf, spec.name)
-    if key not in _STORED:
+def _key(spark: SparkSession, sf: str, spec: TableSpec) -> tuple[str, str, str]:
+    return spark.sparkContext.applicationId, sf, spec.name
+
+
+def _filled(spark: SparkSession, sf: str, spec: TableSpec) -> stream.Sinks:
+    """Sinks with the history as a load, left once a session for all jobs of the table."""
+    key = _key(spark, sf, spec)
+    if key not in _FILLED:
         sinks = stream.open_sinks(spark, spec, scratch_dir(spark, f"stored-{spec.name}"))
+        make_folder(spark, f"{sinks.root}/inbox/none")
         sinks.write_load(_history(spark, sf, spec), "all")
-        _run_dry(spark, sinks)
-        year, month = int(day[:4]), int(day[5:7])
-        sinks.history.keep_month_end((year - 1) * 100 + month)
-        sinks.history.keep_month_end(year * 100 + month - 1 if month > 1 else (year - 1) * 100 + 12)
-        _STORED[key] = sinks.history
-    return _STORED[key]
+        _FILLED[key] = sinks
+    return _FILLED[key]
+
+
+def _start(spark: SparkSession, sinks: stream.Sinks, job: str):
+    messages = _stream_of(spark, sinks.spec, f"{sinks.root}/inbox")
+    if job == "ingest":
+        return stream.stream_ingest(messages, sinks)
+    if job == "state":
+        return stream.stream_state(messages, sinks)
+    return stream.stream_preagg(messages, sinks, pre.PREAGGS[job])
+
+
+def _run_jobs(spark: SparkSession, sf: str, wanted: list[tuple[TableSpec, str]]) -> None:
+    """Let jobs of tables run dry, beside each other, those that have not run in this session."""
+    todo = [(spec, job) for spec, job in wanted if (_key(spark, sf, spec), job) not in _DONE]
+    sinks = {spec.name: _filled(spark, sf, spec) for spec, _ in todo}
+    started = [(spec, job, _start(spark, sinks[spec.name], job)) for spec, job in todo]
+    for spec, job, query in started:
+        query.awaitTermination()
+        _DONE.add((_key(spark, sf, spec), job))
 
 
-#: States that this session has stored, by application, tables and name.
-_STATES: dict[tuple[str, str, str], stream.Sinks] = {}
+def _stored(spark: SparkSession, sf: str, spec: TableSpec) -> History:
+    """The history as the ingest job stores it.  Stored once a session; queries then read the
+    table."""
+    _run_jobs(spark, sf, [(spec, "ingest")])
+    return _filled(spark, sf, spec).history
+
+
+def _stored_asof(spark: SparkSession, sf: str, spec: TableSpec, day: str) -> DataFrame:
+    """What an as-of query of ``day`` needs of the stored history, which has a month end a year and
+    one a month before."""
+    history, key = _stored(spark, sf, spec), _key(spark, sf, spec)
+    year, month = int(day[:4]), int(day[5:7])
+    for end in ((year - 1) * 100 + month, year * 100 + month - 1 if month > 1 else (year - 1) * 100 + 12):
+        if (key, end) not in _DONE:
+            history.keep_month_end(end)
+            _DONE.add((key, end))
+    return history.versions_asof(day)
 
 
 def _state_of(spark: SparkSession, sf: str, spec: TableSpec) -> DataFrame:
     """Newest versions as the state job keeps them.  Kept once a session; queries then read
     the state store and fold nothing."""
-    key = (spark.sparkContext.applicationId, sf, spec.name)
-    if key not in _STATES:
-        sinks = stream.open_sinks(spark, spec, scratch_dir(spark, f"state-{spec.name}"))
-        sinks.write_load(_history(spark, sf, spec), "all")
-        make_folder(spark, f"{sinks.root}/inbox/none")
-        stream.stream_state(_stream_of(spark, spec, f"{sinks.root}/inbox"), sinks).awaitTermination()
-        _STATES[key] = sinks
-    return _STATES[key].state_rows()
-
-
-#: Aggregates that this session has stored.
-_GROUPS: dict[tuple[str, str, str], stream.Sinks] = {}
+    _run_jobs(spark, sf, [(spec, "state")])
+    return _filled(spark, sf, spec).state_rows()
 
 
 def _groups_of(spark: SparkSession, sf: str, preagg: pre.Preagg) -> DataFrame:
     """An aggregate's table as its job keeps it, stored once a session."""
-    key = (spark.sparkContext.applicationId, sf, preagg.name)
-    if key not in _GROUPS:
-        sinks = stream.open_sinks(spark, preagg.table, scratch_dir(spark, f"groups-{preagg.name}"))
-        sinks.write_load(_history(spark, sf, preagg.table), "all")
-        make_folder(spark, f"{sinks.root}/inbox/none")
-        stream.stream_preagg(_stream_of(spark, preagg.table, f"{sinks.root}/inbox"), sinks, preagg).awaitTermination()
-        _GROUPS[key] = sinks
-    return _GROUPS[key].preagg_rows(preagg)
+    _run_jobs(spark, sf, [(preagg.table, preagg.name)])
+    return _filled(spark, sf, preagg.table).preagg_rows(preagg)
 
 
 def _stored_row_counts(spark: SparkSession, sf: str) -> DataFrame:
     """Rows of every stored table: histories, states (delete markers included), aggregates."""
     tables = {}
     for name, spec in SPECS.items():
-        tables[f"{name}_history"] = _stored(spark, sf, spec, _asof_day(spec)).rows()
+        _run_jobs(spark, sf, [(spec, job) for job in ("ingest", "state", *(p.name for p in pre.preaggs_of(spec)))])
+        tables[f"{name}_history"] = _stored(spark, sf, spec).rows()
         tables[f"{name}_state"] = _state_of(spark, sf, spec)
     tables |= {name: _groups_of(spark, sf, p) for name, p in pre.PREAGGS.items()}
     return union_counts(tables)
@@ -739,7 +760,7 @@ def _registry() -> dict[str, Query]:
     for name, spec in SPECS.items():
         day = _asof_day(spec)
         q[f"asof_state_{name}"] = lambda s, sf, spec=spec, day=day: asof_state(
-            _stored(s, sf, spec, day).versions_asof(day), spec, day
+            _stored_asof(s, sf, spec, day), spec, day
         )
     q["audit_trail"] = _on(CUSTOMER_ID, lambda h: tt.audit_trail(h, CONTRACT))
     q["latest_versions"] = _on(CDR, lambda h: tt.latest_versions(h, CONTRACT))
@@ -758,7 +779,7 @@ def _registry() -> dict[str, Query]:
     )
 
     q["stored_collection_funnel"] = lambda s, sf: fun.collection_funnel(
-        *(_stored(s, sf, spec, QUEUE_DAY).rows() for spec in (COLLECTION_TASK, CDR, COLLECTION_RESULT, CUSTOMER_ID)),
+        *(_stored(s, sf, spec).rows() for spec in (COLLECTION_TASK, CDR, COLLECTION_RESULT, CUSTOMER_ID)),
         as_of=AS_OF_EVENTS,
     )
 
@@ -798,13 +819,13 @@ def _registry() -> dict[str, Query]:
     )
     q["queue_asof"] = _on(CUSTOMER_ID, lambda h: tt.queue_asof(h, QUEUE_DAY))
     q["stored_queue_asof"] = lambda s, sf: tt.queue_asof(
-        _stored(s, sf, CUSTOMER_ID, QUEUE_DAY).versions_asof(QUEUE_DAY), QUEUE_DAY
+        _stored_asof(s, sf, CUSTOMER_ID, QUEUE_DAY), QUEUE_DAY
     )
     q["queue_asof_versions"] = _on(
         CUSTOMER_ID, lambda h: tt.queue_asof(h, QUEUE_DAY, mode="versions")
     )
     q["queue_asof_top1000"] = lambda s, sf: tt.queue_asof(
-        _stored(s, sf, CUSTOMER_ID, QUEUE_DAY).versions_asof(QUEUE_DAY), QUEUE_DAY, limit=1000
+        _stored_asof(s, sf, CUSTOMER_ID, QUEUE_DAY), QUEUE_DAY, limit=1000
     )
     return q
 

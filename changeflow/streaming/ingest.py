@@ -38,17 +38,25 @@ from ..specs import TableSpec
 LOADED = "_loaded"
 STATE_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 _PROVIDER_KEY = "spark.sql.streaming.stateStore.providerClass"
+#: Off: else every row written is looked up once more, for a number that nothing here reads.
+_TRACK_KEY = "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows"
 
 
 @contextmanager
 def _in_rocksdb(spark: SparkSession):
-    """State that need not fit in memory; a query takes the setting when it starts."""
-    before = spark.conf.get(_PROVIDER_KEY)
-    spark.conf.set(_PROVIDER_KEY, STATE_PROVIDER)
+    """State that need not fit in memory; a query takes the settings when it starts."""
+    wanted = {_PROVIDER_KEY: STATE_PROVIDER, _TRACK_KEY: "false"}
+    before = {key: spark.conf.get(key, None) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.set(_PROVIDER_KEY, before)
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
 
 
 def _writer(stream: DataFrame, checkpoint: str, trigger: dict | None):

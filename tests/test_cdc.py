@@ -534,6 +534,33 @@ def test_partial_sum_has_all_sums(spark, tmp_path):
     assert rows(found.select("tasks_assigned", "calls_made", "calls_answered", "ptp_achieved", "talk_time_seconds", "ptp_amount")) == [(10, 9, 5, 2, 5, 0.0)]
 
 
+def _little(spark, folder, names):
+    for name in names:
+        spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet").limit(300).write.parquet(f"{folder}/{name}.parquet")
+
+
+def test_stored_queries_do_no_work_that_they_do_not_read(spark, tmp_path, monkeypatch):
+    """One load a table for all its jobs; month ends for as-of queries alone."""
+    import __spark_entry__ as registered
+    from changeflow.sources.history import History
+    from changeflow.specs import SPECS
+    from changeflow.streaming.ingest import Sinks
+
+    _little(spark, tmp_path, ["events", "orders", "lineitem"])
+    loads, ends = [], []
+    write, keep = Sinks.write_load, History.keep_month_end
+    monkeypatch.setattr(Sinks, "write_load", lambda s, rows, name: (loads.append(s.spec.name), write(s, rows, name)))
+    monkeypatch.setattr(History, "keep_month_end", lambda h, month: (ends.append(month), keep(h, month)))
+    queries = registered.queries()
+    queries["stored_collection_funnel"](spark, str(tmp_path)).collect()
+    counted = dict(rows(queries["stored_row_counts"](spark, str(tmp_path))))
+    assert counted["cdr_history"] == counted["collections_history"] == 300 and len(counted) == 20
+    assert sorted(loads) == sorted(SPECS) and ends == []
+    for _ in range(2):
+        queries["asof_state_customer_id"](spark, str(tmp_path)).collect()
+    assert len(ends) == 2 and len(loads) == len(SPECS)
+
+
 def test_month_ends_are_shuffled_by_key_alone(spark, history, monkeypatch, tmp_path):
     from changeflow.sources.history import History
     from changeflow.specs import CUSTOMER_ID
