@@ -421,10 +421,11 @@ def _stream_minutes(spark: SparkSession, sf: str) -> DataFrame:
 # -- compositions over several tables -----------------------------------------
 
 
+FUNNEL_TABLES = (COLLECTION_TASK, CDR, COLLECTION_RESULT, CUSTOMER_ID)
+
+
 def _funnel_inputs(spark: SparkSession, sf: str) -> list[DataFrame]:
-    return [
-        _history(spark, sf, s) for s in (COLLECTION_TASK, CDR, COLLECTION_RESULT, CUSTOMER_ID)
-    ]
+    return [_history(spark, sf, s) for s in FUNNEL_TABLES]
 
 
 def _events(spark: SparkSession, sf: str) -> DataFrame:
@@ -435,6 +436,12 @@ def _funnel(spark: SparkSession, sf: str) -> DataFrame:
     return fun.collection_funnel(*_funnel_inputs(spark, sf), as_of=AS_OF_EVENTS)
 
 
+def _stored_funnel(spark: SparkSession, sf: str) -> DataFrame:
+    _run_jobs(spark, sf, [(spec, "ingest") for spec in FUNNEL_TABLES])
+    histories = [_stored(spark, sf, spec).rows() for spec in FUNNEL_TABLES]
+    return fun.collection_funnel(*histories, as_of=AS_OF_EVENTS)
+
+
 def _calls_results(spark: SparkSession, sf: str) -> list[DataFrame]:
     return [_history(spark, sf, CDR), _history(spark, sf, COLLECTION_RESULT)]
 
@@ -778,10 +785,7 @@ def _registry() -> dict[str, Query]:
         _state_of(s, sf, CDR), _state_of(s, sf, COLLECTION_RESULT), "literal"
     )
 
-    q["stored_collection_funnel"] = lambda s, sf: fun.collection_funnel(
-        *(_stored(s, sf, spec).rows() for spec in (COLLECTION_TASK, CDR, COLLECTION_RESULT, CUSTOMER_ID)),
-        as_of=AS_OF_EVENTS,
-    )
+    q["stored_collection_funnel"] = _stored_funnel
 
     # 2.13 end-user queries
     q["live_minutes"] = _on_partials(
