@@ -34,7 +34,8 @@ def _library(path: str) -> Tokenizer:
 
 
 #: Words of Latin-1 letters: normal forms and cases are the same in every Unicode version.
-_SIMPLE = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)")
+#: A run of ASCII signs after them is a pre-token of its own.
+_SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\[-`{-~]*)")
 
 
 @cache
@@ -104,7 +105,7 @@ def pieces(
                     piece.append(n)
                     start.append(at)
                     length.append(len(own))
-                    crc.append(zlib.crc32(own.tobytes()))
+                    crc.append(zlib.crc32(own))
                     if with_ids:
                         kept.append(own.astype(np.int32))
             columns = [

@@ -52,6 +52,20 @@ def test_word_pieces_equal_the_library():
     ]
 
 
+def test_runs_of_signs_after_words(monkeypatch):
+    """As the library has them, from its model alone: each run once, not with each word."""
+    library, rnd = Tokenizer.from_file(WORD), random.Random(6)
+    signs = [chr(c) for c in range(0x21, 0x7F) if not chr(c).isalnum()] + ["'"] * 20
+    made = [
+        " ".join("".join(rnd.choices("abczstremvldABÄÉß", k=rnd.randint(1, 6)) + rnd.choices(signs, k=rnd.randint(0, 5))) for _ in range(40))
+        for _ in range(200)
+    ]
+    expected = [e.ids for e in library.encode_batch(made, add_special_tokens=False)]
+    monkeypatch.setattr(packing, "_library", lambda path: type("Model", (), {"model": library.model}))
+    packing.remembered("words", WORD).clear()
+    assert [i.tolist() for i in packing.encode_texts(WORD, made)] == expected
+
+
 def test_token_queries(docs):
     table = docs([(1, "hello world"), (2, None), (2, None), (None, "é")])
     library = Tokenizer.from_file(BYTE)
