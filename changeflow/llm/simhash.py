@@ -8,7 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -130,6 +130,8 @@ WIDE_BITS = 512
 DEVIATIONS = 4
 #: Share of pairs at the similarity that no segment may bring together, at any number of texts.
 MISSED = 0.01
+#: Codes in a bucket beyond which they are compared by their rarest shingles and not by buckets.
+CROWD = 32
 
 
 def shingle_hashes(text: str | None, words_in_shingle: int = 5) -> np.ndarray:
@@ -228,6 +230,56 @@ def _jaccard(a: str, b: str) -> Column:
     return common / F.greatest(F.size(a) + F.size(b) - common, F.lit(1))
 
 
+def _rarest(sets: DataFrame, similarity: float) -> DataFrame:
+    """``node, size, place, shingle``: of each set (``node, set``) the shingles that one of its
+    partners of the similarity must share, by their place among the set's shingles from the
+    rarest on.  Shingles of one set alone take a place, but have no row."""
+    each = sets.select("node", F.size("set").alias("size"), F.explode("set").alias("shingle"))
+    counted = each.withColumn("held", F.count("*").over(Window.partitionBy("shingle")))
+    placed = counted.withColumn("place", F.row_number().over(Window.partitionBy("node").orderBy("held", "shingle")))
+    return placed.where(f"held > 1 AND place <= size - ceil({similarity} * size - 1e-9) + 1").select(
+        "node", "size", "place", "shingle"
+    )
+
+
+def crowd_links(sets: DataFrame, links: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (a, b) of nodes that, with ``links``, connect all sets (``node, set``) of at least
+    this Jaccard similarity.  Exact.
+
+    Two such sets share so many shingles that the rarest shared one has an early place in
+    both.  In a crowd around one text the rarest are what each has of its own, and a text
+    that has too much of its own meets no other.  Those that meet by the common text
+    are first compared with the one of them that has least before that shingle.  Then those
+    outside the largest group of a shingle are compared with all that have it.
+    """
+    rows = settled(_rarest(sets, similarity), "rarest")
+    need = f"ceil({similarity / (1 + similarity)!r} * (size + size_b) - 1e-9)"
+    reach = f"place <= size - {need} + 1 AND place_b <= size_b - {need} + 1"
+    a = sets.select(F.col("node").alias("a"), F.col("set").alias("set_a"))
+    b = sets.select(F.col("node").alias("b"), F.col("set").alias("set_b"))
+
+    def rooted(links: DataFrame) -> DataFrame:
+        return rows.join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
+
+    def verified(met: DataFrame) -> DataFrame:
+        pairs = settled(met.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct(), "met")
+        return settled(pairs.join(a, "a").join(b, "b").where(_jaccard("set_a", "set_b") >= similarity).select("a", "b"), "links")
+
+    least = rows.groupBy("shingle").agg(F.min(F.struct("place", "node", "size")).alias("least")).select(
+        "shingle", F.col("least.place").alias("place_b"), F.col("least.node").alias("b"), F.col("least.size").alias("size_b")
+    )
+    first = verified(rows.join(least, "shingle").where(f"node != b AND {reach}"))
+    known = settled(rooted(links.unionByName(first)), "known")
+    largest = known.groupBy("shingle", "root").count().groupBy("shingle").agg(
+        F.max_by("root", F.struct("count", "root")).alias("most")
+    )
+    others = known.join(largest, "shingle").where("root != most").drop("most")
+    every = known.select(
+        "shingle", F.col("node").alias("b"), F.col("size").alias("size_b"), F.col("place").alias("place_b"), F.col("root").alias("root_b")
+    )
+    return first.unionByName(verified(others.join(every, "shingle").where(f"root != root_b AND {reach}")))
+
+
 def similar_links(codes: DataFrame, texts: DataFrame, similarity: float, words_in_shingle: int, rows: int, bits: int) -> DataFrame:
     """Pairs (a, b) of nodes that connect all texts of at least this Jaccard similarity.
     ``codes`` has ``node, code``, each once, ``texts`` the text of each node, ``rows`` of them;
@@ -235,8 +287,10 @@ def similar_links(codes: DataFrame, texts: DataFrame, similarity: float, words_i
 
     Candidates that pass the distance on all bits are verified on their shingle sets.
     First each code is compared with the smallest node of its buckets, which joins most of
-    a large group along stars.  Then the balls are looked up, and pairs that the stars have
-    not joined are compared.  So a dense group is not written out as all its pairs.
+    a large group along stars.  Codes that have more than ``CROWD`` in a bucket are compared
+    with each other by their rarest shingles.  Then the balls are looked up, and the other pairs
+    that the stars have not joined are compared: a bucket with more codes is asked by no more
+    than its neighbours hold.  So a dense group is not written out as all its pairs.
     """
     width, count = segments_for(rows, similarity)
     rough = _farthest(64, similarity)
@@ -252,6 +306,9 @@ def similar_links(codes: DataFrame, texts: DataFrame, similarity: float, words_i
 
         yield from handed_back(listed)(batches)
 
+    def sets_of(nodes: DataFrame) -> DataFrame:
+        return settled(texts.join(nodes, "node").select("node", shingles("text").alias("set")), "sets")
+
     def verified(pairs: DataFrame) -> DataFrame:
         a = sketched.select(F.col("node").alias("a"), F.col("code").alias("code_a"))
         b = sketched.select(F.col("node").alias("b"), F.col("code").alias("code_b"))
@@ -259,8 +316,7 @@ def similar_links(codes: DataFrame, texts: DataFrame, similarity: float, words_i
         near = settled(near.where(_distance(bits)("code_a", "code_b") <= _farthest(bits, similarity)), "near")
         # Their numbers alone: as long as there are few, Spark sends these to the texts.
         asked = settled(near.select(F.col("a").alias("node")).union(near.select("b")).distinct(), "asked")
-        sets = texts.join(asked, "node").select("node", shingles("text").alias("set"))
-        sets = settled(sets, "sets")
+        sets = sets_of(asked)
         both = near.join(sets.select(F.col("node").alias("a"), F.col("set").alias("set_a")), "a").join(
             sets.select(F.col("node").alias("b"), F.col("set").alias("set_b")), "b"
         )
@@ -271,27 +327,38 @@ def similar_links(codes: DataFrame, texts: DataFrame, similarity: float, words_i
     )
     lead = settled(
         placed.groupBy("key").agg(F.min(F.struct("node", "word")).alias("lead"), F.count("*").alias("n"))
-        .where("n > 1").select("key", F.col("lead.node").alias("b"), F.col("lead.word").alias("word_b")),
+        .where("n > 1").select("key", "n", F.col("lead.node").alias("b"), F.col("lead.word").alias("word_b")),
         "lead",
     )
     stars = verified(
         placed.join(lead, "key").where(f"node != b AND bit_count(word ^ word_b) <= {rough}").select(F.col("node").alias("a"), "b")
     )
-    roots = components(stars).select("node", "root")
+    links = stars
+    crowd = settled(
+        placed.join(lead.where(f"n > {CROWD}").select("key"), "key").select("node", F.lit(True).alias("crowded")).distinct(),
+        "crowd",
+    )
+    if not crowd.isEmpty():
+        links = links.unionByName(crowd_links(sets_of(crowd.select("node")), stars, similarity))
+    roots = settled(components(links).join(crowd, "node", "full"), "roots")
 
     def rooted(rows: DataFrame) -> DataFrame:
-        return rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        return rows.join(roots, "node", "left").withColumns(
+            {"root": F.coalesce("root", "node"), "crowded": F.coalesce("crowded", F.lit(False))}
+        )
 
-    known = settled(rooted(placed), "known").select("key", F.col("node").alias("b"), F.col("word").alias("word_b"), F.col("root").alias("root_b"))
+    known = settled(rooted(placed), "known").select(
+        "key", F.col("node").alias("b"), F.col("word").alias("word_b"), F.col("root").alias("root_b"), F.col("crowded").alias("crowded_b")
+    )
     asked = rooted(sketched).select(
-        F.col("node").alias("a"), "word", "root", F.explode(_keys(width, count, bits, True)("code")).alias("key")
+        F.col("node").alias("a"), "word", "root", "crowded", F.explode(_keys(width, count, bits, True)("code")).alias("key")
     )
     balls = verified(
         asked.join(known, "key")
-        .where(f"a != b AND root != root_b AND bit_count(word ^ word_b) <= {rough}")
+        .where(f"a != b AND root != root_b AND NOT (crowded AND crowded_b) AND bit_count(word ^ word_b) <= {rough}")
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     )
-    return stars.unionByName(balls)
+    return links.unionByName(balls)
 
 
 def near_dedup(

@@ -129,6 +129,58 @@ def test_near_dedup_by_similarity(docs):
     assert simhash.near_dedup(table.where("false")).count() == 0
 
 
+def similar(sets, similarity=0.8):
+    return [
+        (a, b) for a, b in itertools.combinations(sorted(sets), 2)
+        if len(sets[a] & sets[b]) >= similarity * max(len(sets[a] | sets[b]), 1)
+    ]
+
+
+def test_crowd_links_connect_all_similar_sets(spark):
+    """Crowds around common shingles, sizes that differ, pairs at the very similarity, subsets."""
+    random.seed(31)
+    sets, own = {}, itertools.count(1000)
+    for base, least in ((range(40), 0), (range(100, 190), 4), (range(100, 150), 0)):
+        for _ in range(60):
+            chosen = set(base)
+            for s in random.sample(sorted(base), least + random.randrange(len(base) // 5)):
+                chosen.discard(s)
+                if random.random() < 0.7:
+                    chosen.add(next(own) if random.random() < 0.7 else random.randrange(200, 230))
+            sets[len(sets)] = chosen
+    sets |= {1000: set(), 1001: set(range(500, 504)), 1002: set(range(500, 505)), 1003: {7}, 1004: set(range(600, 609)), 1005: set(range(601, 610))}
+    expected = groups(sets, similar(sets))
+    table = spark.createDataFrame([(k, sorted(v)) for k, v in sets.items()], "node long, set array<long>").repartition(4)
+    for given in (similar(sets)[::7], []):
+        links = spark.createDataFrame(given, "a long, b long")
+        found = [tuple(r) for r in simhash.crowd_links(table, links, 0.8).collect()]
+        assert set(found) <= set(similar(sets))
+        assert groups(sets, found + given) == expected
+
+
+def test_a_crowd_below_the_similarity_is_not_compared_in_pairs(docs, monkeypatch):
+    """Texts with words of their own around one text that is not among them."""
+    random.seed(32)
+    base, rows = [f"w{k}" for k in range(150)], []
+    for k in range(600):
+        text = list(base)
+        for at in random.sample(range(150), random.choice([1, 2, 4, 5, 6])):
+            text[at] = f"own{k}x{at}"
+        rows.append((k, " ".join(text)))
+    compared = []
+
+    def counted(df, purpose):
+        out = common.settled(df, purpose)
+        if purpose in ("near", "met"):
+            compared.append(out.count())
+        return out
+
+    monkeypatch.setattr(simhash, "settled", counted)
+    low = groups(range(600), similar({k: set(simhash.shingle_hashes(t).tolist()) for k, t in rows}))
+    assert {r.doc_id for r in simhash.near_dedup(docs(rows)).collect()} == set(low.values())
+    assert sum(compared) <= 30 * len(rows)
+
+
 def cosine_links(rows, threshold=0.9):
     usable = {
         k: np.array(v, dtype=float)
