@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from changeflow.llm.common import components, handed_back, settled, whole_rows
+from changeflow.llm.common import components, handed_back, settled, shuffle_width, whole_rows
 
 SEED = 42
 
@@ -234,7 +234,9 @@ def _rarest(sets: DataFrame, similarity: float) -> DataFrame:
     """``node, size, place, shingle``: of each set (``node, set``) the shingles that one of its
     partners of the similarity must share, by their place among the set's shingles from the
     rarest on.  Shingles of one set alone take a place, but have no row."""
-    each = sets.select("node", F.size("set").alias("size"), F.explode("set").alias("shingle"))
+    # Their files are few and small, but make a row for each shingle.
+    spread = sets.repartition(shuffle_width(sets.sparkSession), "node")
+    each = spread.select("node", F.size("set").alias("size"), F.explode("set").alias("shingle"))
     counted = each.withColumn("held", F.count("*").over(Window.partitionBy("shingle")))
     placed = counted.withColumn("place", F.row_number().over(Window.partitionBy("node").orderBy("held", "shingle")))
     return placed.where(f"held > 1 AND place <= size - ceil({similarity} * size - 1e-9) + 1").select(
