@@ -317,6 +317,13 @@ def _run_jobs(spark: SparkSession, sf: str, wanted: list[tuple[TableSpec, str]])
     for spec, job, query in started:
         query.awaitTermination()
         _DONE.add((_key(spark, sf, spec), job))
+    for spec in {spec.name: spec for spec, _ in todo}.values():
+        if all((_key(spark, sf, spec), job) in _DONE for job in _jobs_of(spec)):
+            sinks[spec.name].drop_loads()
+
+
+def _jobs_of(spec: TableSpec) -> list[str]:
+    return ["ingest", "state", *(p.name for p in pre.preaggs_of(spec))]
 
 
 def _stored(spark: SparkSession, sf: str, spec: TableSpec) -> History:
@@ -351,11 +358,19 @@ def _groups_of(spark: SparkSession, sf: str, preagg: pre.Preagg) -> DataFrame:
     return _filled(spark, sf, preagg.table).preagg_rows(preagg)
 
 
+def _size(df: DataFrame) -> int:
+    """Bytes, as the planner guesses from the files."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def _stored_row_counts(spark: SparkSession, sf: str) -> DataFrame:
     """Rows of every stored table: histories, states (delete markers included), aggregates."""
     tables = {}
+    for spec in sorted(SPECS.values(), key=lambda spec: -_size(_history(spark, sf, spec))):
+        # One after the other, so that the shuffle files of one job are there at a time.
+        _run_jobs(spark, sf, [(spec, "state")])
+        _run_jobs(spark, sf, [(spec, job) for job in _jobs_of(spec)])
     for name, spec in SPECS.items():
-        _run_jobs(spark, sf, [(spec, job) for job in ("ingest", "state", *(p.name for p in pre.preaggs_of(spec)))])
         tables[f"{name}_history"] = _stored(spark, sf, spec).rows()
         tables[f"{name}_state"] = _state_of(spark, sf, spec)
     tables |= {name: _groups_of(spark, sf, p) for name, p in pre.PREAGGS.items()}

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 RUN, BATCH = "_run", "_batch"
+#: How stored tables are compressed.
+PACKED = "zstd"
 
 
 def _path(spark: SparkSession, path: str):
@@ -26,6 +28,20 @@ def make_folder(spark: SparkSession, path: str) -> None:
     fs.mkdirs(found)
 
 
+def empty_folder(spark: SparkSession, path: str) -> None:
+    found, fs = _path(spark, path)
+    for status in fs.listStatus(found):
+        fs.delete(status.getPath(), True)
+
+
+def file_sizes(spark: SparkSession, path: str) -> list[int]:
+    found, fs = _path(spark, path)
+    files, out = fs.listFiles(found, True), []
+    while files.hasNext():
+        out.append(files.next().getLen())
+    return out
+
+
 def replace_partitions(rows: DataFrame, path: str, partition_by: Sequence[str], sort_by: Sequence[str] = (), spread: bool = True) -> None:
     """Write ``rows`` in place of what the partitions they fall into hold; others stay.
 
@@ -39,7 +55,7 @@ def replace_partitions(rows: DataFrame, path: str, partition_by: Sequence[str],
     if sort_by:
         out = out.sortWithinPartitions(*partition_by, *sort_by)
     writer = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy(*partition_by).parquet(path)
+    writer.partitionBy(*partition_by).parquet(path, compression=PACKED)
 
 
 def rows_of(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

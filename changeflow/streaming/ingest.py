@@ -23,7 +23,10 @@ from ..sources.decode import QUARANTINE, bad_rows, checked_rows, good_rows, inge
 from ..sources.history import History
 from ..sources.tables import (
     BATCH,
+    PACKED,
     RUN,
+    empty_folder,
+    file_sizes,
     finished_batches,
     make_folder,
     published,
@@ -40,12 +43,29 @@ STATE_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateSto
 _PROVIDER_KEY = "spark.sql.streaming.stateStore.providerClass"
 #: Off: else every row written is looked up once more, for a number that nothing here reads.
 _TRACK_KEY = "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows"
+#: Stores are packed well, and no file is given room, 4 MB a store, before it has rows.
+_SMALL_STORES = {
+    "spark.sql.streaming.stateStore.rocksdb.compression": "zstd",
+    "spark.sql.streaming.stateStore.rocksdb.blockSizeKB": "32",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
+#: An executor's copy of a store goes when its task ends, not a minute or more after the query.
+#: Every batch then fetches the store, so not for a job that keeps running.
+_UNLOAD_KEY = "spark.sql.streaming.stateStore.unloadOnCommit"
+#: Shuffle files go when the batch that wrote them ends, not when the driver next collects garbage.
+_CLEAN_KEY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def _in_rocksdb(spark: SparkSession, trigger: dict | None):
+    """State that need not fit in memory."""
+    unload = "true" if trigger is None or "availableNow" in trigger else "false"
+    return _started_with(spark, {_PROVIDER_KEY: STATE_PROVIDER, _TRACK_KEY: "false", _UNLOAD_KEY: unload} | _SMALL_STORES)
 
 
 @contextmanager
-def _in_rocksdb(spark: SparkSession):
-    """State that need not fit in memory; a query takes the settings when it starts."""
-    wanted = {_PROVIDER_KEY: STATE_PROVIDER, _TRACK_KEY: "false"}
+def _started_with(spark: SparkSession, wanted: dict[str, str]):
+    """A query takes the settings when it starts."""
+    wanted = wanted | {_CLEAN_KEY: "true"}
     before = {key: spark.conf.get(key, None) for key in wanted}
     for key, value in wanted.items():
         spark.conf.set(key, value)
@@ -59,6 +79,10 @@ def _in_rocksdb(spark: SparkSession):
                 spark.conf.set(key, value)
 
 
+#: Bytes of loads that a batch takes at once.
+LOAD_BATCH = 1 << 30
+
+
 def _writer(stream: DataFrame, checkpoint: str, trigger: dict | None):
     return stream.writeStream.option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True}))
 
@@ -94,20 +118,35 @@ class Sinks:
     def write_load(self, rows: DataFrame, name: str) -> None:
         """Leave history rows (a snapshot, a CSV back-fill) for all jobs of this table, which
         take them as they take messages.  A name is used once."""
-        rows.select(*self.spec.history_schema().names).write.parquet(f"{self.loads_path}/{name}")
-
-    def arrivals(self, messages: DataFrame) -> DataFrame:
-        """Messages and, in ``_loaded``, rows of loads."""
-        loads = self.spark.readStream.schema(self.spec.history_schema()).parquet(f"{self.loads_path}/*")
+        rows.select(*self.spec.history_schema().names).write.parquet(f"{self.loads_path}/{name}", compression=PACKED)
+
+    def drop_loads(self) -> None:
+        """Delete the loads.  For when all jobs of this table have taken them: one that has not would
+        never see their rows."""
+        empty_folder(self.spark, self.loads_path)
+
+    def arrivals(self, messages: DataFrame, halved: bool = False) -> DataFrame:
+        """Messages and, in ``_loaded``, rows of loads.
+
+        ``halved`` is for jobs that shuffle whole rows, seven times the bytes that loads have: a
+        batch takes half of what lies there if that is over ``LOAD_BATCH``, so that half of
+        the shuffle files are there at a time.  In more batches than two a state store would
+        be written anew more often, and its older files be kept.
+        """
+        reader = self.spark.readStream.schema(self.spec.history_schema())
+        if halved:
+            sizes = file_sizes(self.spark, self.loads_path)
+            reader = reader.option("maxBytesPerTrigger", max(LOAD_BATCH, sum(sizes) // 2 + max(sizes, default=0)))
+        loads = reader.parquet(f"{self.loads_path}/*")
         loaded = F.struct(*self.spec.history_schema().names)
         messages = with_context(messages)
         kind = self.spec.history_schema().simpleString()
         nothing = (F.lit(None).cast(f.dataType).alias(f.name) for f in messages.schema.fields)
         return messages.withColumn(LOADED, F.lit(None).cast(kind)).unionByName(loads.select(*nothing, loaded.alias(LOADED)))
 
-    def versions(self, messages: DataFrame) -> DataFrame:
+    def versions(self, messages: DataFrame, halved: bool = False) -> DataFrame:
         """History rows of the good messages and of the loads, as a stream."""
-        arrived = self.arrivals(messages)
+        arrived = self.arrivals(messages, halved)
         return _versions(checked_rows(arrived.where(F.col(LOADED).isNull()), self.spec), arrived, self.spec)
 
     # -- stored state --------------------------------------------------------------
@@ -178,7 +217,8 @@ def stream_ingest(messages: DataFrame, sinks: Sinks, trigger: dict | None = None
         finally:
             checked.unpersist()
 
-    return _writer(sinks.arrivals(messages), checkpoint, trigger).foreachBatch(write).start()
+    with _started_with(sinks.spark, {}):
+        return _writer(sinks.arrivals(messages, halved=True), checkpoint, trigger).foreachBatch(write).start()
 
 
 def stream_state(messages: DataFrame, sinks: Sinks, trigger: dict | None = None) -> StreamingQuery:
@@ -190,8 +230,8 @@ def stream_state(messages: DataFrame, sinks: Sinks, trigger: dict | None = None)
     """
     spec = sinks.spec
     rest = [n for n in spec.history_schema().names if n not in ("_ts_ms", "_seq", *spec.key)]
-    newest = sinks.versions(messages).groupBy(*spec.key).agg(F.max(F.struct("_ts_ms", "_seq", *rest)).alias("newest"))
-    with _in_rocksdb(sinks.spark):
+    newest = sinks.versions(messages, halved=True).groupBy(*spec.key).agg(F.max(F.struct("_ts_ms", "_seq", *rest)).alias("newest"))
+    with _in_rocksdb(sinks.spark, trigger):
         return _writer(newest, sinks.checkpoint("state"), trigger).outputMode("update").format("noop").start()
 
 
@@ -229,7 +269,7 @@ def _start_groups(
         finally:
             changed.unpersist()
 
-    with _in_rocksdb(spark):
+    with _in_rocksdb(spark, trigger):
         return _writer(groups, checkpoint, trigger).outputMode("update").foreachBatch(write).start()
 
 

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import time
 from pathlib import Path
 
 import pytest
@@ -561,6 +562,61 @@ def test_stored_queries_do_no_work_that_they_do_not_read(spark, tmp_path, monkey
     assert len(ends) == 2 and len(loads) == len(SPECS)
 
 
+def _shuffled(spark):
+    """Bytes of shuffle files that the session has."""
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return sum(files.apply(i).length() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_"))
+
+
+def _settles(found, most, seconds=10):
+    """Files go a moment after what asks for it."""
+    until = time.time() + seconds
+    while (last := found()) > most and time.time() < until:
+        time.sleep(0.2)
+    return last
+
+
+def test_stored_row_counts_leaves_only_what_it_stores(spark, tmp_path, monkeypatch):
+    """Loads, shuffle files and executors' copies of stores are gone when the jobs are over."""
+    import __spark_entry__ as registered
+    from changeflow.streaming.ingest import Sinks
+
+    _little(spark, tmp_path, ["events", "orders", "lineitem"])
+    opened = []
+    write = Sinks.write_load
+    monkeypatch.setattr(Sinks, "write_load", lambda s, rows, name: (opened.append(s), write(s, rows, name)))
+    local = Path(spark._jvm.org.apache.spark.util.Utils.getLocalDir(spark.sparkContext._jsc.sc().conf()))
+    before, stores = _shuffled(spark), len(list(local.glob("StateStoreId*")))
+    found = registered.queries()["stored_row_counts"](spark, str(tmp_path))
+    assert len(opened) == len(SPECS) and not any(list(Path(s.loads_path).iterdir()) for s in opened)
+    assert _settles(lambda: _shuffled(spark) - before, 0) <= 0
+    assert _settles(lambda: len(list(local.glob("StateStoreId*"))) - stores, 0) <= 0
+    counted = dict(rows(found))
+    assert counted["cdr_history"] == counted["collections_state"] == 300 and len(counted) == 20
+
+
+def test_large_loads_are_taken_in_two_batches(spark, messages, history, monkeypatch):
+    """By the jobs that shuffle whole rows; with the same rows in the end."""
+    sinks = stream.open_sinks(spark, CDR, scratch_dir(spark, "halves"))
+    events = [
+        {"uniqueid": f"c{k % 7}", "calldate": DAY1 + k % 7, "billsec": k, "kodeCabang": "x", "__op": "u", "__ts_ms": DAY1 + k, "__deleted": "false"}
+        for k in range(40)
+    ]
+    expected = history(CDR, events)
+    sinks.write_load(expected.repartition(8), "large")
+    deliver(messages, sinks.root, "none", [], 0)
+    monkeypatch.setattr(stream, "LOAD_BATCH", 1)
+    for query in stream.stream_table(inbox(spark, sinks), sinks):
+        query.awaitTermination()
+    assert [r[0] for r in sinks.history.rows().select("_batch").distinct().orderBy("_batch").collect()] == [0, 1]
+    assert plain(sinks.history.rows().select(*expected.columns)) == plain(expected)
+    assert plain(sinks.current_rows()) == plain(scan_state(expected, CDR))
+    for preagg in preaggs_of(CDR):
+        assert plain(sinks.preagg_rows(preagg)) == plain(preagg.build(expected))
+    counts = [len(list(Path(sinks.checkpoint(job), "commits").glob("[0-9]*"))) for job in ("state", *(p.name for p in preaggs_of(CDR)))]
+    assert counts == [2, 1, 1]
+
+
 def test_month_ends_are_shuffled_by_key_alone(spark, history, monkeypatch, tmp_path):
     from changeflow.sources.history import History
     from changeflow.specs import CUSTOMER_ID
